@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import struct
 import zlib
@@ -17,34 +18,82 @@ from .common import materialize, table
 
 PIECE_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a task keeps.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 800_000
 
 
 class WordTokens(dict):
     """Token ids of text between blanks, as little-endian unsigned 32-bit integers.
 
-    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its parts in order.
+    The tokenizer drops white space and joins nothing across it, so a text's ids are those of its parts in order. It
+    also parts punctuation from a letter or digit before it, so "word" and "Word," need one encoding; and as each run
+    of letters ends in a token with END, many such words can be encoded in one call.
     """
 
+    END = "</w>"
+    PUNCTUATION = "!\"#$%&'()*+,-./:;=?@[\\]^_`{|}~"
+
     def __init__(self, path: str) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith(self.END)]] = True
+
+    def divide(self, word: str) -> tuple[str, str]:
+        """(core, punctuation) whose ids in order are the word's; the punctuation is empty where that isn't sure."""
+        core = word.rstrip(self.PUNCTUATION)
+        if core == word or not core or "<|" in word or not core[-1].lower()[-1].isalnum():
+            return word, ""
+        return core, word[len(core) :]
+
+    @staticmethod
+    def lowered(text: str) -> str:
+        """The text in lower case, as the tokenizer makes it, if all its characters are below 256."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text if "<|" in text else text.lower()
+
+    def learn(self, words: set[str]) -> None:
+        plain, rest = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
+        blocks = [plain[i : i + 2000] for i in range(0, len(plain), 2000)]
+        for block, got in zip(blocks, self.tokenizer.encode_batch_fast(["\n".join(b) for b in blocks], add_special_tokens=False), strict=True):
+            ids = np.array(got.ids, "<u4")
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) != len(block):
+                rest += block
+                continue
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(block, (4 * last + 4).tolist(), strict=True):
+                self[word], at = raw[at:end], end
+        for word, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self[word] = struct.pack(f"<{len(got.ids)}I", *got.ids)
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*parts) - self.keys())
-        if len(self) + len(new) > CACHE_WORDS:
+        parts = [self.lowered(t).replace("\n", " ").split(" ") for t in texts]
+        new = set().union(*parts)
+        if len(self) > CACHE_WORDS:
             self.clear()
-            new = list(set().union(*parts))
-        for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[word] = struct.pack(f"<{len(got.ids)}I", *got.ids)
+        new -= self.keys()
+        divided = [(w, *self.divide(w)) for w in new]
+        self.learn({x for d in divided for x in d[1:]} - self.keys())
+        for word, core, punctuation in divided:
+            if punctuation:
+                self[word] = self[core] + self[punctuation]
         for words in parts:
             yield b"".join(map(self.__getitem__, words))
 
 
+@functools.cache
+def word_tokens(path: str) -> WordTokens:
+    """One per Python worker, which keeps its words from task to task."""
+    return WordTokens(path)
+
+
 def _batches(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     begin = total = 0
     for i, t in enumerate(texts):
@@ -64,7 +113,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048
     """
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, size = WordTokens(tokenizer_path), 4 * max_tokens
+        words, size = word_tokens(tokenizer_path), 4 * max_tokens
         for frame in frames:
             texts, keys, out = frame["text"].fillna("").tolist(), frame["id"].tolist(), []
             for a, b in _batches(texts):
