@@ -18,7 +18,7 @@ from .common import materialize, table
 
 PIECE_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a task keeps.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 
 
 class WordTokens(dict):
@@ -75,12 +75,10 @@ class WordTokens(dict):
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         parts = [self.lowered(t).replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*parts)
         if len(self) > CACHE_WORDS:
             self.clear()
-        new -= self.keys()
-        divided = [(w, *self.divide(w)) for w in new]
-        self.learn({x for d in divided for x in d[1:]} - self.keys())
+        divided = [(w, *self.divide(w)) for w in set().union(*parts) if w not in self]
+        self.learn({x for d in divided for x in d[1:] if x not in self})
         for word, core, punctuation in divided:
             if punctuation:
                 self[word] = self[core] + self[punctuation]
