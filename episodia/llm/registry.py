@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, packing, urls
+from . import chat, maxscore, mixing, nearest, neardup, packing, urls
 
 QUERIES = {
     "op1_prefix_target_chat": chat.query,
     "op2_url_boosted_trees": urls.query,
+    "op3_collision_counting": nearest.query,
+    "op4_lsh_forest": neardup.query,
+    "op7_maxscore": maxscore.query,
     "op9_vector_best_fit": packing.query,
     "op10_mix_sources": mixing.query,
 }
-SQL = {"op1_prefix_target_chat": chat.SQL, "op10_mix_sources": mixing.SQL}
+SQL = {"op1_prefix_target_chat": chat.SQL, "op7_maxscore": maxscore.SQL, "op10_mix_sources": mixing.SQL}
