@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, maxscore, mixing, nearest, neardup, packing, urls
+from . import chat, maxscore, mixing, nearest, neardup, packing, substrings, urls
 
 QUERIES = {
     "op1_prefix_target_chat": chat.query,
@@ -10,7 +10,8 @@ QUERIES = {
     "op3_collision_counting": nearest.query,
     "op4_lsh_forest": neardup.query,
     "op7_maxscore": maxscore.query,
+    "op8_suffix_automata": substrings.query,
     "op9_vector_best_fit": packing.query,
     "op10_mix_sources": mixing.query,
 }
-SQL = {"op1_prefix_target_chat": chat.SQL, "op7_maxscore": maxscore.SQL, "op10_mix_sources": mixing.SQL}
+SQL = {"op1_prefix_target_chat": chat.SQL, "op7_maxscore": maxscore.SQL, "op8_suffix_automata": substrings.SQL, "op10_mix_sources": mixing.SQL}
