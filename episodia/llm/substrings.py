@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,9 +92,10 @@ class SuffixAutomaton:
         return out
 
 
-def window_anchors(words: np.ndarray, width: int, gram: int) -> np.ndarray:
+def window_anchors(words: np.ndarray, width: int, gram: int, salt: int = 0) -> np.ndarray:
     """The smallest gram hash of every window of `width` words: equal windows have equal anchors."""
     low = gram_hashes(words, gram)
+    low = mix(low ^ np.uint64(salt)) if salt else low
     span, have = width - gram + 1, 1
     if len(low) < span:
         return low[:0]
@@ -103,10 +105,11 @@ def window_anchors(words: np.ndarray, width: int, gram: int) -> np.ndarray:
     return low
 
 
-def runs(anchors: np.ndarray) -> list[tuple[int, int]]:
-    """(first, past last) of the longest stretches of windows with one anchor."""
-    cuts = np.flatnonzero(anchors[1:] != anchors[:-1]) + 1
-    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), len(anchors)], strict=True))
+def runs(*anchors: np.ndarray) -> list[tuple[int, int]]:
+    """(first, past last) of the longest stretches of windows with the same anchors."""
+    cuts = np.flatnonzero(np.logical_or.reduce([a[1:] != a[:-1] for a in anchors])) + 1
+    n = len(anchors[0])
+    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), n], strict=True)) if n else []
 
 
 def spans_of(positions: list[int], width: int) -> list[tuple[int, int]]:
@@ -131,29 +134,63 @@ def _anchor_table(docs: DataFrame, width: int, gram: int) -> DataFrame:
 
 
 def _run_table(shared_docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """Runs of shared anchors with their words, and the windows of hot anchors as 128-bit hashes (hot, other)."""
+    """Runs of shared anchors, by document: their words and where they start.
+
+    The runs of a hot anchor are cut once more, by a second anchor, so that more of them are the same in all documents
+    that share a passage. run_a and run_b are a 128-bit hash of the run's words.
+    """
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = word_hashes()
         for frame in frames:
             out = []
-            for key, mark, text, shared, hot in zip(frame["id"].tolist(), frame["mark"].tolist(), frame["text"].tolist(), frame["shared"], frame["hot"], strict=True):
+            for key, mark, text, cold, hot in zip(frame["id"].tolist(), frame["mark"].tolist(), frame["text"].tolist(), frame["shared"], frame["hot"], strict=True):
                 words = split_words(text)
                 ids = hashes.of(words)
                 anchors = window_anchors(ids, width, gram).astype(np.int64)
-                is_hot = np.isin(anchors, hot)
-                if is_hot.any():
-                    at = np.flatnonzero(is_hot)
-                    a, b = gram_hashes(ids, width).view(np.int64)[at], gram_hashes(mix(ids), width).view(np.int64)[at]
-                    out += [(True, x, y, key, mark, [p], None) for x, y, p in zip(a.tolist(), b.tolist(), at.tolist(), strict=True)]
-                wanted, found = set(shared), {}
-                for begin, end in runs(anchors):
+                wanted, found = dict.fromkeys(cold.tolist(), False) | dict.fromkeys(hot.tolist(), True), {}
+                cuts = runs(anchors)
+                if len(hot):
+                    second = window_anchors(ids, width, gram, salt=1)
+                    cuts = [x for a, b in cuts for x in ([(a + c, a + d) for c, d in runs(second[a:b])] if wanted.get(int(anchors[a])) else [(a, b)])]
+                for begin, end in cuts:
                     if (anchor := int(anchors[begin])) in wanted:
                         found.setdefault((anchor, b" ".join(words[begin : end - 1 + width])), []).append(begin)
-                out += [(False, anchor, 0, key, mark, starts, run) for (anchor, run), starts in found.items()]
-            yield pd.DataFrame(out, columns=["hot", "anchor", "other", "id", "mark", "starts", "run"])
+                for (anchor, run), starts in found.items():
+                    a, b = np.frombuffer(xxhash.xxh3_128_digest(run), np.int64).tolist()
+                    out.append((wanted[anchor], anchor, a, b, key, mark, starts, run.count(b" ") + 1, run))
+            yield pd.DataFrame(out, columns=["hot", "anchor", "run_a", "run_b", "id", "mark", "starts", "words", "run"])
+
+    return shared_docs.mapInPandas(cut, "hot boolean, anchor long, run_a long, run_b long, id long, mark long, starts array<int>, words int, run binary")
+
+
+def _judge_hot(hot: DataFrame, width: int) -> DataFrame:
+    """(id, mark, begin, end) of the repeats among runs of hot anchors, with no task for a whole anchor.
+
+    A run that a smaller id has as a whole is a repeat as a whole. What is left, the first document of each run, is
+    compared window by window, by a 128-bit hash of the window's words.
+    """
+    run = ["anchor", "run_a", "run_b"]
+    first = hot.groupBy(*run).agg(F.min("id").alias("first"))
+    whole = hot.drop("run").join(first, run).where("first < id").select("id", "mark", F.explode("starts").alias("begin"), "words")
+    whole = whole.select("id", "mark", "begin", (F.col("begin") + F.col("words")).alias("end"))
+
+    def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = word_hashes()
+        for frame in frames:
+            out = []
+            for key, mark, starts, words in zip(frame["id"], frame["mark"], frame["starts"], frame["run"], strict=True):
+                ids = hashes.of(words.split())
+                a, b = gram_hashes(ids, width).astype(np.int64), gram_hashes(mix(ids), width).astype(np.int64)
+                out += [pd.DataFrame({"win_a": a, "win_b": b, "id": key, "mark": mark, "begin": np.arange(len(a)) + s}) for s in starts]
+            if out:
+                yield pd.concat(out)
 
-    return shared_docs.mapInPandas(cut, "hot boolean, anchor long, other long, id long, mark long, starts array<int>, run binary")
+    firsts = hot.join(first.withColumnRenamed("first", "id"), [*run, "id"])
+    windows = materialize(firsts.mapInPandas(explode, "win_a long, win_b long, id long, mark long, begin int"), "windows")
+    lowest = windows.groupBy("win_a", "win_b").agg(F.min("id").alias("first"))
+    single = windows.join(lowest, ["win_a", "win_b"]).where("first < id").select("id", "mark", "begin", (F.col("begin") + width).alias("end"))
+    return whole.unionByName(single)
 
 
 def _judge_shards(cold: DataFrame, width: int) -> DataFrame:
@@ -188,19 +225,16 @@ def repeated_spans(docs: DataFrame, width: int = 50, gram: int = 12) -> DataFram
        shard's runs are its reference: a suffix automaton of their distinct word sequences, against which each run is
        streamed for its matching statistics.
     3. An anchor in more than HOT_DOCUMENTS documents could make one shard as large as the table. Its windows are
-       dealt one by one instead, by a 128-bit hash of their words, and compared by summing up the smallest id.
+       compared by run and then by window instead, by 128-bit hashes of their words and the smallest id of each.
     """
     anchors = materialize(_anchor_table(docs, width, gram), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last")
     marked = anchors.join(shared.select("anchor", (F.col("n") > HOT_DOCUMENTS).alias("is_hot")), "anchor")
     lists = marked.groupBy("id").agg(F.collect_set(F.when(~F.col("is_hot"), F.col("anchor"))).alias("shared"), F.collect_set(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"))
     found = materialize(_run_table(docs.join(lists, "id"), width, gram), "runs")
-    judged = _judge_shards(found.where("not hot").drop("hot", "other"), width)
-
-    hot = found.where("hot").select("anchor", "other", "id", "mark", F.col("starts")[0].alias("begin"))
-    first = hot.groupBy("anchor", "other").agg(F.min("id").alias("first"))
-    windows = hot.join(first, ["anchor", "other"]).where("first < id").select("id", "mark", "begin", (F.col("begin") + width).alias("end"))
-    return judged.unionByName(windows).groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+    cold = _judge_shards(found.where("not hot").select("anchor", "id", "mark", "starts", "run"), width)
+    hot = _judge_hot(found.where("hot").drop("hot"), width)
+    return cold.unionByName(hot).groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
 
 
 _WORD = re.compile(WORD)
