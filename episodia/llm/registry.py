@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat, maxscore, mixing, nearest, neardup, packing, substrings, urls
+from . import chat, language, maxscore, mixing, nearest, neardup, packing, substrings, toxicity, urls
 
 QUERIES = {
     "op1_prefix_target_chat": chat.query,
     "op2_url_boosted_trees": urls.query,
     "op3_collision_counting": nearest.query,
     "op4_lsh_forest": neardup.query,
+    "op5_text_cnn": toxicity.query,
+    "op6_string_kernel": language.query,
     "op7_maxscore": maxscore.query,
     "op8_suffix_automata": substrings.query,
     "op9_vector_best_fit": packing.query,
