@@ -125,18 +125,16 @@ class TextCNN:
     def calibrate(self, scores: np.ndarray, labels: np.ndarray, languages: list, least: int = 30) -> TextCNN:
         """Fit scores to probabilities, then find thresholds, on documents that fit() has not seen.
 
-        Half of what fit() sees has label 1; a logistic regression on the raw output (scale and shift, pulled a little
-        towards none) sets that right. A language with `least` positive labels gets the threshold of best F1; the
+        Half of what fit() sees has label 1; the scale and shift of the raw output with the
+        least log loss set that right. A language with `least` positive labels gets the threshold of best F1; the
         others take that of all.
         """
-        raw = np.log(scores / (1 - scores)).clip(-30, 30)
-        x, weight = np.stack([raw, np.ones_like(raw)], axis=1), np.array([1.0, 0.0])
-        for _ in range(25):
-            p = 1 / (1 + np.exp(-(x @ weight).clip(-30, 30)))
-            pull = np.diag([1.0, 0.1])
-            weight -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull, x.T @ (p - labels) + pull @ (weight - [1.0, 0.0]))
-        self.scale, self.shift = np.float32(weight[0]), np.float32(weight[0] * self.shift + weight[1])
-        scores = 1 / (1 + np.exp(-(x @ weight)))
+        raw = np.log(np.maximum(scores, 1e-12) / np.maximum(1 - scores, 1e-12))
+        sign = np.where(labels > 0, -1.0, 1.0)
+        tried = [(np.logaddexp(0, sign * (a * raw + b)).mean(), a, b) for a in np.geomspace(0.2, 2, 11) for b in np.linspace(-5, 2, 29)]
+        _, a, b = min(tried)
+        self.scale, self.shift = np.float32(a), np.float32(a * self.shift + b)
+        scores = 1 / (1 + np.exp(-(a * raw + b)))
 
         def best(s: np.ndarray, y: np.ndarray) -> float:
             order = np.argsort(-s)
@@ -202,7 +200,7 @@ class Scorer:
                 held.append((i, part))
                 size += len(part)
         flush()
-        return 1 / (1 + np.exp(-(m.scale * (np.maximum(best, 0) @ m.out) + m.shift).astype(np.float64)))
+        return 1 / (1 + np.exp(-(m.scale * (np.maximum(best, 0) @ m.out) + m.shift).astype(np.float64).clip(-40, 40)))
 
 
 def crc_mod(key: Column, n: int) -> Column:
