@@ -257,11 +257,11 @@ def cut_words(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[
 
 
 def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_words, n_removed, spans and text of every row: the text without what documents with smaller ids have.
+    """id, mark, n_words, n_removed, spans and text of every row: the text without what documents with smaller ids have.
 
     Each word is removed that a window of `width` words covers which also starts in a document with a smaller id.
     Windows are judged on the input. spans are the removed words as (begin, end); the rest of the text keeps its
-    white space, and a text of which nothing is removed is unchanged.
+    white space, and a text of which nothing is removed is unchanged. mark is a hash of the text as it was.
 
     Null text stays null with 0 words. Rows with a null id are neither changed nor a reason for changes. Rows of one
     id don't count as repeats of each other, whatever their texts. An empty table gives no rows; further columns are
@@ -273,14 +273,14 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     def clean(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for key, text, found in zip(frame["id"], frame["text"], frame["spans"], strict=True):
+            for key, mark, text, found in zip(frame["id"], frame["mark"], frame["text"], frame["spans"], strict=True):
                 words = len(split_words(text))
                 text, merged, gone = (text, [], 0) if found is None else cut_words(text, [(s["begin"], s["end"]) for s in found])
-                out.append((key, words, gone, [{"begin": a, "end": b} for a, b in merged], text))
-            yield pd.DataFrame(out, columns=["id", "n_words", "n_removed", "spans", "text"]).astype({"id": "Int64"})
+                out.append((key, mark, words, gone, [{"begin": a, "end": b} for a, b in merged], text))
+            yield pd.DataFrame(out, columns=["id", "mark", "n_words", "n_removed", "spans", "text"]).astype({"id": "Int64"})
 
-    joined = docs.join(spans, ["id", "mark"], "left").select("id", "text", "spans")
-    return joined.mapInPandas(clean, "id long, n_words long, n_removed long, spans array<struct<begin:int,end:int>>, text string").withColumnsRenamed({"id": id_col, "text": text_col})
+    joined = docs.join(spans, ["id", "mark"], "left").select("id", "mark", "text", "spans")
+    return joined.mapInPandas(clean, "id long, mark long, n_words long, n_removed long, spans array<struct<begin:int,end:int>>, text string").withColumnsRenamed({"id": id_col, "text": text_col})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
