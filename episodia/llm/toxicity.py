@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,9 +34,13 @@ def lower_words(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def flatten(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def flatten(lists: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """(all numbers, where each list begins, and the end)."""
-    return np.fromiter((x for own in lists for x in own), np.int64), np.cumsum([0, *map(len, lists)])
+    numbers, sizes = array("i"), array("q", [0])
+    for own in lists:
+        numbers.extend(own)
+        sizes.append(len(own))
+    return np.frombuffer(numbers, np.int32), np.cumsum(np.frombuffer(sizes, np.int64))
 
 
 def pool_words(embedding: np.ndarray, numbers: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -64,12 +70,12 @@ class TextCNN:
         self.out = rng.normal(0, 0.1, len(self.widths) * self.filters).astype(np.float32)
         self.scale, self.shift = np.float32(1), np.float32(0)
 
-    def fit(self, texts: list[list[str]], labels: np.ndarray) -> TextCNN:
+    def fit(self, texts: list[str | None], labels: np.ndarray) -> TextCNN:
         """AdaGrad on the log loss; only each filter's best position gets a gradient. Half of every batch is of label 1."""
         rng = np.random.default_rng(self.seed + 1)
         names: dict[str, int] = {}
-        rows = [np.fromiter((names.setdefault(w, len(names) + 1) for w in t), np.int32, len(t)) for t in texts]
-        numbers, begins = flatten([[0], *[subwords(w, self.buckets) for w in names]])
+        rows = [np.array([names.setdefault(w, len(names) + 1) for w in lower_words(t)], np.int32) for t in texts]
+        numbers, begins = flatten(itertools.chain([[0]], (subwords(w, self.buckets) for w in names)))
         seen = [np.full_like(self.embedding, 1e-3), *[np.full_like(k, 1e-3) for k in self.kernels], np.full_like(self.out, 1e-3)]
         widest = max(self.widths)
 
@@ -167,7 +173,7 @@ class Scorer:
             new = list(dict.fromkeys(words))
         if new:
             at = len(self.rows) + 1
-            self.vectors[at : at + len(new)] = pool_words(self.model.embedding, *flatten([subwords(w, self.model.buckets) for w in new]))
+            self.vectors[at : at + len(new)] = pool_words(self.model.embedding, *flatten(subwords(w, self.model.buckets) for w in new))
             self.rows.update(zip(new, range(at, at + len(new)), strict=True))
         return np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words))
 
@@ -225,7 +231,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.0
     kept_back = np.arange(len(rows)) % 5 == 0
-    model = TextCNN().fit([lower_words(r.text) for r, b in zip(rows, kept_back, strict=True) if not b], y[~kept_back])
+    model = TextCNN().fit([r.text for r, b in zip(rows, kept_back, strict=True) if not b], y[~kept_back])
     scores = Scorer(model).scores([r.text for r, b in zip(rows, kept_back, strict=True) if b])
     return model.calibrate(scores, y[kept_back], [r.lang for r, b in zip(rows, kept_back, strict=True) if b])
 
