@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
+from . import queries as all_queries
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return all_queries.QUERIES["w1_clips"](spark, sf_dir)
 
 
-def queries() -> dict[str, Query]:
-    return {}
+def queries() -> dict[str, all_queries.Query]:
+    return dict(all_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(all_queries.SQL)
