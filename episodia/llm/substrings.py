@@ -136,8 +136,9 @@ def _anchor_table(docs: DataFrame, width: int, gram: int) -> DataFrame:
 def _run_table(shared_docs: DataFrame, width: int, gram: int) -> DataFrame:
     """Runs of shared anchors, by document: their words and where they start.
 
-    The runs of a hot anchor are cut once more, by a second anchor, so that more of them are the same in all documents
-    that share a passage. run_a and run_b are a 128-bit hash of the run's words.
+    The runs of a hot anchor are cut once more, by a second anchor of about two thirds of the window, so that more of
+    them are the same in all documents that share a passage; the longer its grams, the fewer windows that reach over
+    a passage's end stay with it, and the shorter the runs. run_a and run_b are a 128-bit hash of the run's words.
     """
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,7 +152,7 @@ def _run_table(shared_docs: DataFrame, width: int, gram: int) -> DataFrame:
                 wanted, found = dict.fromkeys(cold.tolist(), False) | dict.fromkeys(hot.tolist(), True), {}
                 cuts = runs(anchors)
                 if len(hot):
-                    second = window_anchors(ids, width, gram, salt=1)
+                    second = window_anchors(ids, width, max(gram, round(0.68 * width)), salt=1)
                     cuts = [x for a, b in cuts for x in ([(a + c, a + d) for c, d in runs(second[a:b])] if wanted.get(int(anchors[a])) else [(a, b)])]
                 for begin, end in cuts:
                     if (anchor := int(anchors[begin])) in wanted:
