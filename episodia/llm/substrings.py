@@ -16,6 +16,8 @@ from .words import gram_hashes, mix, split_words, word_hashes
 
 #: An anchor in more documents than this is split up by the windows' own words.
 HOT_DOCUMENTS = 256
+#: By grams of these parts of the window the runs of hot anchors are cut, in turn; the last gram is the window itself.
+HOT_GRAMS = (0.68, 0.92, 1.0)
 #: Reference runs in one shard.
 SHARD_RUNS = 4000
 
@@ -133,12 +135,27 @@ def _anchor_table(docs: DataFrame, width: int, gram: int) -> DataFrame:
     return docs.select("id", "text").mapInPandas(anchors, "anchor long, id long")
 
 
+_RUNS = "id long, mark long, anchor long, run_a long, run_b long, starts array<int>, words int, run binary"
+
+
+def _with(anchor: int, finer: np.ndarray) -> np.ndarray:
+    """Anchors that are equal where both the anchor and the finer ones are."""
+    return mix(mix(np.array([anchor]).astype(np.uint64)) ^ finer).astype(np.int64)
+
+
+def _run_rows(cuts: list[tuple[int, int, int]], words: list[bytes], width: int) -> list[tuple]:
+    """(anchor, run_a, run_b, starts, words, run) of each distinct run among cuts of (anchor, first window, past last)."""
+    found: dict[tuple[int, bytes], list[int]] = {}
+    for anchor, begin, end in cuts:
+        found.setdefault((anchor, b" ".join(words[begin : end - 1 + width])), []).append(begin)
+    return [(anchor, *np.frombuffer(xxhash.xxh3_128_digest(run), np.int64).tolist(), starts, run.count(b" ") + 1, run) for (anchor, run), starts in found.items()]
+
+
 def _run_table(shared_docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """Runs of shared anchors, by document: their words and where they start.
+    """Runs of shared anchors, by document: their words and where they start. run_a and run_b are a 128-bit hash of the words.
 
-    The runs of a hot anchor are cut once more, by a second anchor of about two thirds of the window, so that more of
-    them are the same in all documents that share a passage; the longer its grams, the fewer windows that reach over
-    a passage's end stay with it, and the shorter the runs. run_a and run_b are a 128-bit hash of the run's words.
+    The runs of a hot anchor are cut once more, by the first of HOT_GRAMS, so that more of them are the same in all
+    documents that share a passage.
     """
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,49 +166,58 @@ def _run_table(shared_docs: DataFrame, width: int, gram: int) -> DataFrame:
                 words = split_words(text)
                 ids = hashes.of(words)
                 anchors = window_anchors(ids, width, gram).astype(np.int64)
-                wanted, found = dict.fromkeys(cold.tolist(), False) | dict.fromkeys(hot.tolist(), True), {}
-                cuts = runs(anchors)
-                if len(hot):
-                    second = window_anchors(ids, width, max(gram, round(0.68 * width)), salt=1)
-                    cuts = [x for a, b in cuts for x in ([(a + c, a + d) for c, d in runs(second[a:b])] if wanted.get(int(anchors[a])) else [(a, b)])]
-                for begin, end in cuts:
-                    if (anchor := int(anchors[begin])) in wanted:
-                        found.setdefault((anchor, b" ".join(words[begin : end - 1 + width])), []).append(begin)
-                for (anchor, run), starts in found.items():
-                    a, b = np.frombuffer(xxhash.xxh3_128_digest(run), np.int64).tolist()
-                    out.append((wanted[anchor], anchor, a, b, key, mark, starts, run.count(b" ") + 1, run))
-            yield pd.DataFrame(out, columns=["hot", "anchor", "run_a", "run_b", "id", "mark", "starts", "words", "run"])
-
-    return shared_docs.mapInPandas(cut, "hot boolean, anchor long, run_a long, run_b long, id long, mark long, starts array<int>, words int, run binary")
-
-
-def _judge_hot(hot: DataFrame, width: int) -> DataFrame:
-    """(id, mark, begin, end) of the repeats among runs of hot anchors, with no task for a whole anchor.
+                cold, hot, cuts = set(cold.tolist()), set(hot.tolist()), {False: [], True: []}
+                finer = window_anchors(ids, width, max(gram, round(HOT_GRAMS[0] * width)), salt=1) if hot else None
+                for begin, end in runs(anchors):
+                    if (anchor := int(anchors[begin])) in cold:
+                        cuts[False].append((anchor, begin, end))
+                    elif anchor in hot:
+                        keys = _with(anchor, finer[begin:end])
+                        cuts[True] += [(int(keys[c]), begin + c, begin + d) for c, d in runs(keys)]
+                out += [(is_hot, key, mark, *row) for is_hot in cuts for row in _run_rows(cuts[is_hot], words, width)]
+            yield pd.DataFrame(out, columns=["hot", "id", "mark", "anchor", "run_a", "run_b", "starts", "words", "run"])
+
+    return shared_docs.mapInPandas(cut, f"hot boolean, {_RUNS}")
 
-    A run that a smaller id has as a whole is a repeat as a whole. What is left, the first document of each run, is
-    compared window by window, by a 128-bit hash of the window's words.
-    """
-    run = ["anchor", "run_a", "run_b"]
-    first = hot.groupBy(*run).agg(F.min("id").alias("first"))
-    whole = hot.drop("run").join(first, run).where("first < id").select("id", "mark", F.explode("starts").alias("begin"), "words")
-    whole = whole.select("id", "mark", "begin", (F.col("begin") + F.col("words")).alias("end"))
 
-    def explode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _finer_runs(left: DataFrame, width: int, gram: int) -> DataFrame:
+    """The runs cut by one more anchor, of grams of `gram` words; where that is the window, every window is a run."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = word_hashes()
         for frame in frames:
             out = []
-            for key, mark, starts, words in zip(frame["id"], frame["mark"], frame["starts"], frame["run"], strict=True):
-                ids = hashes.of(words.split())
-                a, b = gram_hashes(ids, width).astype(np.int64), gram_hashes(mix(ids), width).astype(np.int64)
-                out += [pd.DataFrame({"win_a": a, "win_b": b, "id": key, "mark": mark, "begin": np.arange(len(a)) + s}) for s in starts]
-            if out:
-                yield pd.concat(out)
+            for key, mark, anchor, starts, run in zip(frame["id"].tolist(), frame["mark"].tolist(), frame["anchor"].tolist(), frame["starts"], frame["run"], strict=True):
+                words = run.split()
+                keys = _with(anchor, window_anchors(hashes.of(words), width, gram, salt=gram))
+                cuts = runs(keys) if gram < width else [(i, i + 1) for i in range(len(keys))]
+                for *row, inner, n, text in _run_rows([(int(keys[a]), a, b) for a, b in cuts], words, width):
+                    out.append((key, mark, *row, [int(s) + i for s in starts for i in inner], n, text))
+            yield pd.DataFrame(out, columns=["id", "mark", "anchor", "run_a", "run_b", "starts", "words", "run"])
+
+    return left.mapInPandas(cut, _RUNS)
+
 
-    firsts = hot.join(first.withColumnRenamed("first", "id"), [*run, "id"])
-    windows = materialize(firsts.mapInPandas(explode, "win_a long, win_b long, id long, mark long, begin int"), "windows")
-    lowest = windows.groupBy("win_a", "win_b").agg(F.min("id").alias("first"))
-    single = windows.join(lowest, ["win_a", "win_b"]).where("first < id").select("id", "mark", "begin", (F.col("begin") + width).alias("end"))
-    return whole.unionByName(single)
+def _judge_hot(hot: DataFrame, width: int, gram: int) -> DataFrame:
+    """(id, mark, begin, end) of the repeats among runs of hot anchors, with no task for a whole anchor.
+
+    A run that a smaller id has as a whole is a repeat as a whole. Of each run its first document is left, and of these
+    only the runs whose anchor is that of another document's too: equal windows have equal anchors. What is left is
+    cut by the next of HOT_GRAMS and judged again, at last window by window.
+    """
+    run, out, left = ["anchor", "run_a", "run_b"], None, hot
+    grams = sorted({max(gram, round(part * width)) for part in HOT_GRAMS[1:]} | {width})
+    for finer in [*grams, None]:
+        first = left.groupBy(*run).agg(F.min("id").alias("first"))
+        whole = left.drop("run").join(first, run).where("first < id").select("id", "mark", F.explode("starts").alias("begin"), "words")
+        whole = whole.select("id", "mark", "begin", (F.col("begin") + F.col("words")).alias("end"))
+        out = whole if out is None else out.unionByName(whole)
+        if finer:
+            first = materialize(first, "first_runs")
+            several = first.groupBy("anchor").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("anchor")
+            left = left.join(first.join(several, "anchor").withColumnRenamed("first", "id"), [*run, "id"])
+            left = materialize(_finer_runs(left, width, finer), f"runs_{finer}")
+    return out
 
 
 def _judge_shards(cold: DataFrame, width: int) -> DataFrame:
@@ -226,7 +252,7 @@ def repeated_spans(docs: DataFrame, width: int = 50, gram: int = 12) -> DataFram
        shard's runs are its reference: a suffix automaton of their distinct word sequences, against which each run is
        streamed for its matching statistics.
     3. An anchor in more than HOT_DOCUMENTS documents could make one shard as large as the table. Its windows are
-       compared by run and then by window instead, by 128-bit hashes of their words and the smallest id of each.
+       compared by ever shorter runs instead, by 128-bit hashes of their words and the smallest id of each.
     """
     anchors = materialize(_anchor_table(docs, width, gram), "anchors")
     shared = anchors.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last")
@@ -234,7 +260,7 @@ def repeated_spans(docs: DataFrame, width: int = 50, gram: int = 12) -> DataFram
     lists = marked.groupBy("id").agg(F.collect_set(F.when(~F.col("is_hot"), F.col("anchor"))).alias("shared"), F.collect_set(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"))
     found = materialize(_run_table(docs.join(lists, "id"), width, gram), "runs")
     cold = _judge_shards(found.where("not hot").select("anchor", "id", "mark", "starts", "run"), width)
-    hot = _judge_hot(found.where("hot").drop("hot"), width)
+    hot = _judge_hot(found.where("hot").drop("hot"), width, gram)
     return cold.unionByName(hot).groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
 
 
