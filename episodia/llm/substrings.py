@@ -199,7 +199,7 @@ def _finer_runs(left: DataFrame, width: int, gram: int) -> DataFrame:
 
 
 def _judge_hot(hot: DataFrame, width: int, gram: int) -> DataFrame:
-    """(id, mark, begin, end) of the repeats among runs of hot anchors, with no task for a whole anchor.
+    """(id, mark, spans) of the repeats among runs of hot anchors, with no task for a whole anchor.
 
     A run that a smaller id has as a whole is a repeat as a whole. Of each run its first document is left, and of these
     only the runs whose anchor is that of another document's too: equal windows have equal anchors. What is left is
@@ -209,8 +209,7 @@ def _judge_hot(hot: DataFrame, width: int, gram: int) -> DataFrame:
     grams = sorted({max(gram, round(part * width)) for part in HOT_GRAMS[1:]} | {width})
     for finer in [*grams, None]:
         first = left.groupBy(*run).agg(F.min("id").alias("first"))
-        whole = left.drop("run").join(first, run).where("first < id").select("id", "mark", F.explode("starts").alias("begin"), "words")
-        whole = whole.select("id", "mark", "begin", (F.col("begin") + F.col("words")).alias("end"))
+        whole = left.drop("run").join(first, run).where("first < id").select("id", "mark", F.transform("starts", lambda s: F.struct(s.alias("begin"), (s + F.col("words")).alias("end"))).alias("spans"))
         out = whole if out is None else out.unionByName(whole)
         if finer:
             first = materialize(first, "first_runs")
@@ -221,7 +220,7 @@ def _judge_hot(hot: DataFrame, width: int, gram: int) -> DataFrame:
 
 
 def _judge_shards(cold: DataFrame, width: int) -> DataFrame:
-    """(id, mark, begin, end) of what the automata of the shards find."""
+    """(id, mark, spans) of what the automata of the shards find."""
     shards = max(1, -(-cold.count() // SHARD_RUNS))
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
@@ -237,11 +236,11 @@ def _judge_shards(cold: DataFrame, width: int) -> DataFrame:
             reference.close()
             judged = {text: reference.windows(text.split(), width) for text in lowest}
             for text, key, mark, starts in zip(texts, keys, same["mark"].tolist(), same["starts"], strict=True):
-                gone = [i for i, low in enumerate(judged[text]) if low is not None and low < key]
-                out += [(key, mark, int(s) + a, int(s) + b) for s in starts for a, b in spans_of(gone, width)]
-        return pd.DataFrame(out, columns=["id", "mark", "begin", "end"])
+                if gone := [i for i, low in enumerate(judged[text]) if low is not None and low < key]:
+                    out.append((key, mark, [{"begin": int(s) + a, "end": int(s) + b} for s in starts for a, b in spans_of(gone, width)]))
+        return pd.DataFrame(out, columns=["id", "mark", "spans"])
 
-    return cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(judge, "id long, mark long, begin int, end int")
+    return cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(judge, "id long, mark long, spans array<struct<begin:int,end:int>>")
 
 
 def repeated_spans(docs: DataFrame, width: int = 50, gram: int = 12) -> DataFrame:
@@ -261,7 +260,7 @@ def repeated_spans(docs: DataFrame, width: int = 50, gram: int = 12) -> DataFram
     found = materialize(_run_table(docs.join(lists, "id"), width, gram), "runs")
     cold = _judge_shards(found.where("not hot").select("anchor", "id", "mark", "starts", "run"), width)
     hot = _judge_hot(found.where("hot").drop("hot"), width, gram)
-    return cold.unionByName(hot).groupBy("id", "mark").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+    return cold.unionByName(hot).groupBy("id", "mark").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 _WORD = re.compile(WORD)
