@@ -58,3 +58,26 @@ def six_d_rotation(a: Vector, b: Vector) -> tuple[Vector, Vector, Vector]:
 def to_byte(c: Column) -> Column:
     """A colour in [0, 1] as 0..255, truncated."""
     return (F.greatest(F.least(c, F.lit(1.0)), F.lit(0.0)) * 255).cast("int")
+
+
+def facing(normal: Vector, point: Vector, camera: Vector) -> Vector:
+    """A given normal at length 1, turned to the side of the camera."""
+    n = unit(normal)
+    toward = sum((a * (c - p) for a, p, c in zip(n[1:], point[1:], camera[1:], strict=True)), n[0] * (camera[0] - point[0]))
+    return tuple(F.when(toward < 0, -c).otherwise(c) for c in n)
+
+
+def rotation_distance(p: Vector, q: Vector) -> Column:
+    """The angle, in radians, of the rotation between two unit quaternions."""
+    dot = sum((a * b for a, b in zip(p[1:], q[1:], strict=True)), p[0] * q[0])
+    return 2 * F.acos(F.least(F.abs(dot), F.lit(1.0)))
+
+
+def to_wrist(matrix: tuple[Vector, Vector, Vector], velocity: Vector) -> Vector:
+    """A velocity of the base frame in the frame of the wrist that `matrix` turns."""
+    return rotate(tuple(zip(*matrix, strict=True)), velocity)
+
+
+def full_range(c: Column, top: Column) -> Column:
+    """Colours of a cloud whose largest value is at most 1, scaled to 255; others as they are."""
+    return F.when(top <= 1, c * 255).otherwise(c)

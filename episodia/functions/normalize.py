@@ -110,3 +110,18 @@ def action_of_token(token: Column, vocabulary: int = 32000, bins: int = 256) ->
     """N20, decoded: the centre of the token's bin."""
     at = F.greatest(F.least(F.lit(vocabulary) - token - 1, F.lit(bins - 2)), F.lit(0))
     return (at + 0.5) * F.lit(2.0 / (bins - 1)) - 1.0
+
+
+def mean_std_inverse(y: Column, mean: Column, std: Column, eps: float = 1e-6) -> Column:
+    """The inverse of the standard score; dimensions without statistics count as mean 0 and deviation 1."""
+    return y * (F.coalesce(std, F.lit(1.0)) + eps) + F.coalesce(mean, F.lit(0.0))
+
+
+def min_max(x: Column, low: Column, high: Column, margin: float = 1e-4) -> Column:
+    """To [-1, 1] by bounds that are `margin` wider than the data."""
+    return (x - (low - margin)) / ((high + margin) - (low - margin)) * 2 - 1
+
+
+def noise_scale(std: Column, snr: float) -> Column:
+    """The deviation of noise that leaves a signal-to-noise ratio of `snr` decibels."""
+    return std / F.lit((10.0 ** (snr / 10.0)) ** 0.5)

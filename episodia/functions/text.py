@@ -47,3 +47,18 @@ def episode_number(stem: Column) -> Column:
 def camera_key(c: Column) -> Column:
     """X10."""
     return F.concat(F.lit("camera_"), F.regexp_replace(c, "_camera$", ""))
+
+
+def has_prefix(c: Column, *prefixes: str) -> Column:
+    """Whether c begins with one of the prefixes."""
+    return F.exists(F.array(*map(F.lit, prefixes)), lambda p: c.startswith(p))
+
+
+def base_name(path: Column) -> Column:
+    """What follows the last slash."""
+    return F.regexp_extract(path, "([^/]*)$", 1)
+
+
+def parent_name(path: Column) -> Column:
+    """The part before the last slash and after the one before; empty without two slashes."""
+    return F.regexp_extract(path, "/([^/]*)/[^/]*$", 1)

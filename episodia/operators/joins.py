@@ -49,3 +49,22 @@ def global_rows(frames: DataFrame, wanted: DataFrame) -> DataFrame:
 def flow(points: DataFrame, poses: DataFrame) -> DataFrame:
     """Every point of a part at every time of its poses (x, y, z shifted by tx, ty, tz); fans out by the times."""
     return points.join(poses, "part").select("part", "point", "t", (F.col("x") + F.col("tx")).alias("x"), (F.col("y") + F.col("ty")).alias("y"), (F.col("z") + F.col("tz")).alias("z"))
+
+
+def aligned_grid(rows: DataFrame, key: str, time: str, value: str, dt: float, steps: int) -> DataFrame:
+    """forward_grid cut to `steps` steps, or its last sample repeated up to them."""
+    grid = forward_grid(rows, key, time, value, dt).withColumnRenamed("k", "at")
+    wanted = grid.groupBy(key).agg(F.max("at").alias("top")).select(key, "top", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(steps - 1).cast("long"))).alias("k"))
+    return wanted.withColumn("at", F.least("k", "top")).join(grid, [key, "at"]).select(key, "k", "value")
+
+
+def metadata_issues(parts: DataFrame, metadata: DataFrame, key: str, found: str, expected: str) -> DataFrame:
+    """Every part with what is wrong about its metadata: `missing`, `count`, or nothing."""
+    issue = F.when(F.col(expected).isNull(), "missing").when(F.col(found) != F.col(expected), "count").otherwise("")
+    return parts.join(metadata.select(key, expected), key, "left").withColumn("issue", issue)
+
+
+def unused_models(models: DataFrame, used: DataFrame, key: str, *alike: str) -> DataFrame:
+    """Models that are neither in use nor alike one in use."""
+    taken = models.join(used.select(key).distinct(), key, "left_semi").select(*alike).distinct()
+    return models.join(taken, list(alike), "left_anti")

@@ -55,3 +55,22 @@ def assign_greedy(tasks: Sequence[tuple[str, float]], bins: int) -> dict[str, in
 def deal_batches(rows: DataFrame, n: int, *order: str) -> DataFrame:
     """N chunks of nearly equal size, larger ones first."""
     return rows.withColumn("batch", F.ntile(n).over(Window.orderBy(*order)) - 1)
+
+
+def budgeted_sample(rows: DataFrame, group: str, is_robot: str, order: str, k: int) -> DataFrame:
+    """K rows of each group, evenly spread; robots get a quarter at most unless the other rows don't fill the rest."""
+    n = rows.groupBy(group).agg(F.count_if(is_robot).alias("robots"), F.count_if(~F.col(is_robot)).alias("others"))
+    first = F.least("robots", F.lit(max(1, k // 4)))
+    others = F.least("others", k - first)
+    plan = n.select(group, "robots", "others", F.least("robots", k - others).alias("robot_budget"), others.alias("other_budget"))
+    numbered = rows.withColumn("nth", F.row_number().over(Window.partitionBy(group, is_robot).orderBy(order)) - 1).join(plan, group)
+    size, budget = (F.when(F.col(is_robot), F.col(a)).otherwise(F.col(b)) for a, b in (("robots", "others"), ("robot_budget", "other_budget")))
+    chosen = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.when(i < budget, F.when(i == budget - 1, F.when(budget == 1, 0).otherwise(size - 1)).otherwise(F.floor(i * ((size - 1) / F.greatest(budget - 1, F.lit(1)))))))
+    return numbered.where(F.array_contains(F.array_compact(chosen), F.col("nth").cast("long"))).select(*rows.columns)
+
+
+def effective_length(sources: DataFrame, size: str, weight: str) -> DataFrame:
+    """The share of each source when weights multiply sizes, and the length after which each primary one (weight 1) is through."""
+    part = F.col(size) * F.col(weight)
+    total = sources.agg(F.sum(part).alias("total"), F.max(F.when(F.col(weight) == 1, F.col(size) / part)).alias("rounds"))
+    return sources.join(F.broadcast(total)).withColumn("share", part / F.col("total")).withColumn("length", F.floor(F.col("rounds") * F.col("total"))).drop("total", "rounds")

@@ -67,3 +67,17 @@ def running_success(trials: DataFrame, key: str, order: str, success: str) -> Da
 def most_frequent(rows: DataFrame, value: str, order: str) -> DataFrame:
     """The value that occurs most, the earliest on ties."""
     return rows.groupBy(value).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).orderBy(F.desc("n"), "first").limit(1).select(value, "n")
+
+
+def histogram_quantiles(rows: DataFrame, share: float, bins: int = 5000) -> DataFrame:
+    """A4 by dim: the lower edge of the first of `bins` even bins up to which `share` of the values lie.
+
+    Only counts per bin are shuffled and put in order, never the values.
+    """
+    ends = rows.groupBy("dim").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count("x").alias("n"))
+    wide = F.when(F.col("high") > F.col("low"), F.col("high") - F.col("low")).otherwise(1.0)
+    at = F.least(F.floor((F.col("x") - F.col("low")) / wide * bins), F.lit(bins - 1))
+    counts = rows.join(ends, "dim").groupBy("dim", "low", "high", "n", at.alias("bin")).agg(F.count("x").alias("size"))
+    upto = F.sum("size").over(Window.partitionBy("dim").orderBy("bin"))
+    reached = counts.withColumn("upto", upto).where(F.col("upto") >= F.col("n") * share)
+    return reached.groupBy("dim").agg(F.min(F.col("low") + F.col("bin") * wide / bins).alias("quantile"))

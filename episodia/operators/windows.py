@@ -151,3 +151,29 @@ def subsample(frames: DataFrame, stride: int) -> DataFrame:
 def sample_frames(frames: DataFrame, size: int, key: Column) -> DataFrame:
     """`size` frames of each episode, those with the smallest keys."""
     return frames.withColumn("draw", F.row_number().over(Window.partitionBy("ep").orderBy(key, "idx"))).where(F.col("draw") <= size).drop("draw")
+
+
+def step_difference(frames: DataFrame, value: str) -> DataFrame:
+    """The step to the next frame's value; the last frame goes."""
+    return frames.withColumn("delta", F.lead(value).over(in_order()) - F.col(value)).where("delta is not null")
+
+
+def unsettled(frames: DataFrame, value: str, size: int, limit: float) -> DataFrame:
+    """Per episode whether any of its last `size` frames is more than `limit` from the last one."""
+    ends = frames.groupBy("ep").agg(F.count(F.lit(1)).alias("n"), F.max_by(value, "idx").alias("final"))
+    late = frames.join(ends, "ep").where(F.col("idx") >= F.col("n") - size)
+    return late.groupBy("ep").agg(F.bool_or(F.abs(F.col(value) - F.col("final")) > limit).alias("unsettled"))
+
+
+def recent(frames: DataFrame, value: str, size: int) -> DataFrame:
+    """The values a ring of `size` slots holds after every frame, oldest first, none before the first frame."""
+    return frames.withColumn("ring", F.collect_list(value).over(in_order().rowsBetween(1 - size, 0)))
+
+
+def collate(frames: DataFrame, batch: Column, value: str, size: int, fill: int = 0) -> DataFrame:
+    """Per episode its first `size` values, filled up at the right to the longest of the batch, and their number."""
+    cut = frames.where(F.col("idx") < size).withColumn("batch", batch)
+    rows = cut.groupBy("batch", "ep").agg(F.transform(F.sort_array(F.collect_list(F.struct("idx", value))), lambda s: s[value]).alias("values"))
+    longest = rows.groupBy("batch").agg(F.max(F.size("values")).alias("longest"))
+    padded = F.concat("values", F.array_repeat(F.lit(fill).cast("long"), F.col("longest") - F.size("values")))
+    return rows.join(longest, "batch").select("batch", "ep", padded.alias("values"), F.size("values").cast("long").alias("real"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import preparation  # noqa: F401 - registers its queries
 from . import queries as all_queries
 
 
