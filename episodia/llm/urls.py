@@ -76,13 +76,14 @@ def judge_urls(
     """id, url, host, path, rule, score and verdict of every url.
 
     labelled has url and label (1: block). The trees are fitted on a repeatable hash sample of about max_training_rows
-    labelled rows; every url is scored. A rule's verdict comes before the trees'; score >= 0.5 blocks.
+    different labelled rows; every url is scored. A rule's verdict comes before the trees'; score >= 0.5 blocks.
+    Repeated labelled rows count once, so a url that holds a third of all rows does not fill the sample.
 
     Null urls and urls without :// have empty host and path and are judged by the trees as an empty text. Repeated
     rows are judged alike. With no labelled rows, or labels of one kind only, every score is that kind's share (0
     without any). Further columns of urls are ignored.
     """
-    labelled = labelled.select(F.col(url_col), F.col("label").cast("double").alias("label")).where("label is not null")
+    labelled = labelled.select(F.col(url_col), F.col("label").cast("double").alias("label")).where("label is not null").distinct()
     n = labelled.count()
     sample = labelled.where(hash_below(F.col(url_col), min(1.0, max_training_rows / max(n, 1))))
     sample = lexical_features(split_url(sample, url_col), url_col).repartition(8).persist()
