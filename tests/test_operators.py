@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from episodia.functions import geometry, normalize, text
 from episodia.operators import joins, sampling, windows
+from episodia.operators.schema import rename_columns
 from episodia.sources import episodes
 from episodia.streaming.clips import stream_clips
 
@@ -84,3 +85,10 @@ def test_stream_equals_batch(spark, tmp_path):
     got = spark.sql("select * from stream_clips").collect()
     batch = windows.clip_positions(frames(spark, 6).unionByName(frames(spark, 2, 2)), 3, 2, 1).collect()
     assert sorted((r.ep, r.clip, r.j, r.idx, r.is_pad) for r in got) == sorted((r.ep, r.clip, r.j, r.idx, r.is_pad) for r in batch)
+
+
+def test_rename_clash_is_an_error(spark):
+    rows = spark.createDataFrame([(1, 2)], "a_x int, b_x int")
+    assert rename_columns(rows, {"a_x": "y", "b_.*": None}).columns == ["y"]
+    with pytest.raises(ValueError):
+        rename_columns(rows, {"[ab]_(x)": r"\1"})
