@@ -11,14 +11,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialize, table
+from .common import materialize, small, table
 from .graph import components
-from .words import shingle_set, word_hashes
+from .words import mix, shingle_set, word_hashes
 
 #: Shingles hashed at once, so that very long texts need no more memory.
 CHUNK = 4096
 #: Rows of a sorted order in one task.
 ORDER_ROWS = 150_000
+#: Rows on either side of a cell of a large region's comparison.
+CELL_ROWS = 512
 
 
 @dataclass(frozen=True)
@@ -26,10 +28,10 @@ class Forest:
     """The forest's shape. Every tree orders the signatures by `depth` hashes of its own choice.
 
     A region is a run of signatures in a tree's order with a common prefix. From `least` common hashes on, a region of
-    up to `region` signatures gives all its pairs; a larger one pairs each signature with its smallest member and with
-    the most similar sketches, `best` of them, of the `near` neighbours on either side, and is looked at again one
-    hash deeper: dense regions are thus cut by longer prefixes. Pairs
-    whose sketches agree on less than `agree` of the hashes are left out: at similarity 0.8 that is 4 standard
+    up to `region` signatures gives all its pairs; a larger one pairs each signature with its smallest member, with its
+    hub (the sketch that agrees most with the region's most frequent values) and with the most similar sketches, `best`
+    of them, of the `near` neighbours on either side, and is looked at again one hash deeper. What of a large region
+    that leaves in different components is compared in full afterwards, by _dense(). Pairs whose sketches agree on less than `agree` of the hashes are left out: at similarity 0.8 that is 4 standard
     deviations below the mean.
     """
 
@@ -77,6 +79,18 @@ class Forest:
         found = np.nonzero(most >= 0)
         return found[0], who[found]
 
+    def _hubs(self, sketches: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """For each run the row that agrees most with the run's most frequent value of every hash; only for large runs."""
+        hubs = begins.copy()
+        offsets = 256 * np.arange(self.hashes)
+        for i in np.flatnonzero(sizes > self.region):
+            own = sketches[begins[i] : begins[i] + sizes[i]]
+            counts = np.zeros(256 * self.hashes, np.int64)
+            for at in range(0, len(own), CHUNK):
+                counts += np.bincount((own[at : at + CHUNK] + offsets).ravel(), minlength=256 * self.hashes)
+            hubs[i] += int((own == counts.reshape(self.hashes, 256).argmax(axis=1)).sum(axis=1).argmax())
+        return hubs
+
     def pairs(self, tree: np.ndarray, keys: np.ndarray, ids: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Candidate pairs (low id, high id, equal hashes) of rows sorted by tree and keys (rows x depth)."""
         n = len(ids)
@@ -112,6 +126,8 @@ class Forest:
             order = np.lexsort((ids, run))
             leader = np.repeat(order[begins], sizes)
             emit(leader[large], rows[large])
+            hub = np.repeat(self._hubs(sketches, begins, sizes), sizes)
+            emit(hub[large], rows[large])
             active = large
         return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (ids[:0], ids[:0], np.zeros(0, np.int64))
 
@@ -162,6 +178,67 @@ def _candidates(signed: DataFrame, forest: Forest) -> DataFrame:
     return pairs.groupBy("low", "high").agg(F.max("same").alias("same"))
 
 
+def _dense(signed: DataFrame, roots: DataFrame, forest: Forest, percent: int) -> DataFrame | None:
+    """(low, high, low_root, high_root): all pairs of different components that share a large region; None without any.
+
+    Regions are those of `least` common hashes, counted over the whole table. In each, every row outside the region's
+    most frequent component is compared with all its rows, in cells of CELL_ROWS by CELL_ROWS rows, so that a region is no
+    single task. Rows of one component need no further link.
+    """
+
+    def regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if not len(frame):
+                continue
+            signatures = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(len(frame), -1)
+            for tree, order in enumerate(forest.orders):
+                prefix = np.zeros(len(frame), np.uint64)
+                for k in order[: forest.least]:
+                    prefix = mix(prefix ^ (signatures[:, k] >> 8).astype(np.uint16)) + np.uint64(k)
+                yield pd.DataFrame({"region": mix(prefix + np.uint64(tree)).astype(np.int64), "id": frame["id"]})
+
+    placed = signed.select("id", "signature").mapInPandas(regions, "region long, id long")
+    large = materialize(placed.groupBy("region").count().where(F.col("count") > forest.region).select("region"), "regions")
+    n_large = large.count()
+    if not n_large:
+        return None
+    rows = placed.join(small(large, n_large), "region", "left_semi").join(roots.select(F.col("node").alias("id"), "root"), "id", "left")
+    rows = materialize(rows.withColumn("root", F.coalesce("root", "id")), "dense")
+    own = rows.groupBy("region", "root").count()
+    own = own.groupBy("region").agg(F.sum("count").alias("n"), F.max(F.struct("count", "root")).alias("main"))
+    mixed = own.where("n > main.count").select("region", F.col("main.root").alias("main"), F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("n_right"), F.ceil((F.col("n") - F.col("main.count")) / CELL_ROWS).cast("int").alias("n_left"))
+    mixed = materialize(mixed, "mixed")
+    rows = rows.join(small(mixed, mixed.count()), "region").join(signed.select("id", "n_shingles", "signature"), "id")
+    dealt = rows.withColumns({"minor": F.col("root") != F.col("main"), "hash": F.xxhash64("id", "signature")})
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = dealt.where("minor").withColumn("j", every("n_right")).withColumns({"i": F.pmod("hash", "n_left").cast("int"), "side": F.lit(0)})
+    right = dealt.withColumn("i", every("n_left")).withColumns({"j": F.pmod("hash", "n_right").cast("int"), "side": F.lit(1)})
+    cell = ["region", "i", "j"]
+    columns = [*cell, "side", "id", "root", "minor", "n_shingles", "signature"]
+    limit = forest.agree * forest.hashes
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        x, y = frame[frame["side"] == 0], frame[frame["side"] == 1]
+        out = []
+        if len(x) and len(y):
+            a, b = (np.frombuffer(b"".join(f["signature"]), np.uint32).reshape(len(f), -1).astype(np.uint8) for f in (x, y))
+            x_id, y_id, x_root, y_root, x_n, y_n = (f[c].to_numpy() for c in ("id", "root", "n_shingles") for f in (x, y))
+            twice = y["minor"].to_numpy()
+            for k in range(len(x)):
+                ok = (y_root != x_root[k]) & (~twice | (y_id > x_id[k])) & (100 * np.minimum(y_n, x_n[k]) >= percent * np.maximum(y_n, x_n[k]))
+                at = np.flatnonzero(ok)
+                at = at[(b[at] == a[k]).sum(axis=1) >= limit]
+                out.append((np.full(len(at), x_id[k]), y_id[at], np.full(len(at), x_root[k]), y_root[at]))
+        p, q, p_root, q_root = (np.concatenate(c) for c in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 4
+        swap = p > q
+        pick = lambda u, v: np.where(swap, v, u)
+        return pd.DataFrame({"low": pick(p, q), "high": pick(q, p), "low_root": pick(p_root, q_root), "high_root": pick(q_root, p_root)})
+
+    both = left.select(*columns).unionByName(right.select(*columns))
+    pairs = both.groupBy(*cell).applyInPandas(compare, "low long, high long, low_root long, high_root long")
+    return pairs.distinct()
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
     left = sets.select(F.col("id").alias("low"), F.col("shingles").alias("of_low"))
@@ -179,8 +256,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest:
     that counts has been confirmed on the full sets.
 
     1. Documents with equal sets are one class, found by a hash of the whole set. Only classes go on.
-    2. The forest gives candidate pairs; pairs in dense regions are neighbours and leaders, never all pairs.
+    2. The forest gives candidate pairs; pairs in dense regions are neighbours, leaders and hubs, not yet all pairs.
     3. Each class's best candidate is confirmed; then all other candidates that would join two components.
+    4. Dense regions that still hold several components are compared in full, and what would join two is confirmed.
 
     A text with fewer words than `width` is one shingle; null and empty texts have none and link with nothing. Rows
     of one id are one document with all their links. Null ids link with nothing and are kept. An empty table gives no
@@ -198,18 +276,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest:
     signatures = signatures.dropDuplicates(["id", "set_a", "set_b"]) if repeated else signatures
     pairs = materialize(_candidates(signatures, forest), "candidates")
 
-    needed = materialize(pairs.select(F.col("low").alias("id")).union(pairs.select("high")).distinct(), "needed")
-    if needed.count() <= BROADCAST_ROWS:
-        needed = F.broadcast(needed)
-
     def to_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = word_hashes()
         for frame in frames:
             sets = [shingle_set(t, width, hashes.of).astype(np.int64) for t in frame["text"].tolist()]
             yield pd.DataFrame({"id": frame["id"], "shingles": sets})
 
-    sets = docs.join(needed, "id", "left_semi").mapInPandas(to_sets, "id long, shingles array<long>")
-    sets = materialize(sets.dropDuplicates() if repeated else sets, "sets")
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        needed = materialize(pairs.select(F.col("low").alias("id")).union(pairs.select("high")).distinct(), "needed")
+        sets = docs.join(small(needed, needed.count()), "id", "left_semi").mapInPandas(to_sets, "id long, shingles array<long>")
+        return materialize(sets.dropDuplicates() if repeated else sets, "sets")
+
+    def join_roots(roots: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        linked = _confirm(pairs, sets, percent).join(pairs, ["low", "high"]).select(F.least("low_root", "high_root").alias("low"), F.greatest("low_root", "high_root").alias("high"))
+        above = components(linked).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        final = roots.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        return final.unionByName(above.select(F.col("root").alias("node"), F.col("top").alias("root")))
+
+    sets = sets_of(pairs)
     sure = F.least("same", F.lit(round(0.85 * forest.hashes)))
     first = pairs.groupBy("high").agg(F.max(F.struct(sure.alias("sure"), (-F.col("low")).alias("low"))).alias("best")).select((-F.col("best.low")).alias("low"), "high")
     several = members.groupBy("id").agg(F.min("class").alias("low"), F.max("class").alias("top")).where("low <> top").select("id", "low")
@@ -221,10 +305,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest:
         of = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
         rest = rest.join(of, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
     rest = materialize(rest.where("low_root <> high_root"), "rest")
-    linked = _confirm(rest, sets, percent).join(rest, ["low", "high"]).select(F.least("low_root", "high_root").alias("low"), F.greatest("low_root", "high_root").alias("high"))
-    above = components(linked).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    final = roots.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    final = final.unionByName(above.select(F.col("root").alias("node"), F.col("top").alias("root")))
+    final = join_roots(roots, rest, sets)
+    dense = _dense(signatures, final, forest, percent)
+    if dense is not None:
+        dense = materialize(dense, "compared")
+        if not dense.isEmpty():
+            final = join_roots(final, dense, sets_of(dense))
 
     grouped = members.groupBy("id").agg(F.min("class").alias("class")).join(final.withColumnRenamed("node", "class"), "class", "left").select("id", F.coalesce("root", "class").alias("component_id"))
     out = signed.select("id", "n_shingles").join(grouped, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))

@@ -155,6 +155,29 @@ def test_large_group_of_near_copies(spark):
     assert got == components(rows, 2)
 
 
+def test_star_of_copies_around_a_middle_id(spark):
+    rng = np.random.default_rng(4)
+    base, rows = [f"b{i}" for i in range(181)], []
+    for i in range(3000):
+        words = list(base)
+        for at in rng.choice(np.arange(1, 180, 2), 9, replace=False) if i != 1500 else ():
+            words[at] = f"n{i}x{at}"
+        rows.append((i, " ".join(words)))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert {r.component_id for r in got} == {0} and len(got) == 3000
+
+
+def test_dense_regions_are_compared_in_full(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(181)]
+    rows = [(i, " ".join(w if i in (70, 140) or rng.random() > 0.045 else f"n{rng.integers(10**6)}" for w in (base if i < 100 else [*base[:90], *(f"c{j}" for j in range(91))]))) for i in range(200)]
+    monkeypatch.setattr(neardup, "CELL_ROWS", 16)
+    monkeypatch.setattr(neardup.Forest, "pairs", lambda self, tree, keys, ids, sketches: (ids[:0], ids[:0], np.zeros(0, np.int64)))
+    forest = neardup.Forest(region=1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, forest=forest).collect()}
+    assert got == components(rows, 2)
+
+
 def repeats(rows, width=50):
     first, out = {}, []
     for i, t in sorted(r for r in rows if r[0] is not None):
