@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import hash_below, table
+from .common import hash_below, materialize, table
 
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words convolved at once; longer texts are read in overlapping parts.
 PART = 50_000
 #: Words whose vectors a task keeps.
 CACHE_WORDS = 200_000
+#: Buckets of scores from 0 to 1, for the thresholds.
+BUCKETS = 4096
 
 
 def subwords(word: str, buckets: int) -> list[int]:
@@ -128,37 +130,29 @@ class TextCNN:
                 self.embedding[buckets] -= self.rate * total / np.sqrt(seen[0][buckets])
         return self
 
-    def calibrate(self, scores: np.ndarray, labels: np.ndarray, languages: list, least: int = 30) -> TextCNN:
-        """Fit scores to probabilities, then find thresholds, on documents that fit() has not seen.
+    def calibrate(self, scores: np.ndarray, labels: np.ndarray) -> TextCNN:
+        """Fit scores to probabilities on documents that fit() has not seen.
 
         Half of what fit() sees has label 1; the scale and shift of the raw output with the
-        least log loss set that right. A language with `least` positive labels gets the threshold of best F1; the
-        others take that of all.
+        least log loss set that right.
         """
         raw = np.log(np.maximum(scores, 1e-12) / np.maximum(1 - scores, 1e-12))
         sign = np.where(labels > 0, -1.0, 1.0)
         tried = [(np.logaddexp(0, sign * (a * raw + b)).mean(), a, b) for a in np.geomspace(0.2, 2, 11) for b in np.linspace(-5, 2, 29)]
         _, a, b = min(tried)
         self.scale, self.shift = np.float32(a), np.float32(a * self.shift + b)
-        scores = 1 / (1 + np.exp(-(a * raw + b)))
-
-        def best(s: np.ndarray, y: np.ndarray) -> float:
-            order = np.argsort(-s)
-            hits = np.cumsum(y[order])
-            f1 = 2 * hits / (np.arange(len(s)) + 1 + y.sum())
-            at = int(f1.argmax())
-            below = s[order[at + 1]] if at + 1 < len(s) else 0.0
-            return float(np.clip((s[order[at]] + below) / 2, 0.2, 0.8))
-
-        languages = np.array([x or "" for x in languages], dtype=object)
-        self.thresholds = {None: best(scores, labels) if labels.sum() >= least else 0.5}
-        for name in set(languages) - {""}:
-            own = languages == name
-            if labels[own].sum() >= least:
-                self.thresholds[str(name)] = best(scores[own], labels[own])
         return self
 
 
+def best_threshold(buckets: np.ndarray, n: np.ndarray, bad: np.ndarray) -> float:
+    """The threshold of best F1 from the rows (n) and those of label 1 (bad) of each score bucket that has any."""
+    order = np.argsort(-buckets)
+    f1 = 2 * np.cumsum(bad[order]) / (np.cumsum(n[order]) + bad.sum())
+    at = int(f1.argmax())
+    below = buckets[order[at + 1]] + 1 if at + 1 < len(order) else 0
+    return float(np.clip((buckets[order[at]] + below) / 2 / BUCKETS, 0.2, 0.8))
+
+
 class Scorer:
     """Scores texts with a fitted model, keeping the vectors of the words it has met."""
 
@@ -213,10 +207,11 @@ def crc_mod(key: Column, n: int) -> Column:
     return F.crc32(key.cast("string")) % n
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> TextCNN | float:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", thresholds: bool = True) -> TextCNN | float:
     """A classifier fitted on a repeatable hash sample of about max_training_rows labelled documents, whole texts.
 
-    A fifth of the sample is kept back to calibrate the thresholds by language. Rows of one id in labels count once,
+    A fifth of the sample is kept back to calibrate the scores; the thresholds by language come from all labelled
+    documents that the classifier was not fitted on, see fit_thresholds(). Without `thresholds` all are 0.5. Rows of one id in labels count once,
     with the highest label; null labels don't count. Without labels of both kinds the result is the constant score:
     the share of label 1, or 0 without any.
     """
@@ -232,10 +227,38 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
         return float(y.mean()) if len(y) else 0.0
     kept_back = np.arange(len(rows)) % 5 == 0
     if min(len(set(y[b].tolist())) for b in (kept_back, ~kept_back)) < 2:  # too few to keep any back
-        return TextCNN().fit([r.text for r in rows], y)
+        kept_back[:] = False
     model = TextCNN().fit([r.text for r, b in zip(rows, kept_back, strict=True) if not b], y[~kept_back])
-    scores = Scorer(model).scores([r.text for r, b in zip(rows, kept_back, strict=True) if b])
-    return model.calibrate(scores, y[kept_back], [r.lang for r, b in zip(rows, kept_back, strict=True) if b])
+    if kept_back.any():
+        scores = Scorer(model).scores([r.text for r, b in zip(rows, kept_back, strict=True) if b])
+        model.calibrate(scores, y[kept_back])
+    if not thresholds:
+        return model
+    fitted = sorted({r.id for r, b in zip(rows, kept_back, strict=True) if not b})
+    fitted = docs.sparkSession.createDataFrame([(i,) for i in fitted], StructType([StructField("id", labels.schema["id"].dataType)]))
+    unseen = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(labels.join(F.broadcast(fitted), "id", "left_anti"), "id")
+    return fit_thresholds(model, unseen)
+
+
+def fit_thresholds(model: TextCNN, labelled: DataFrame, least: int = 30) -> TextCNN:
+    """Sets the thresholds of best F1 from all rows of labelled (lang, text, label), which the model was not fitted on.
+
+    A language with `least` rows of label 1 gets its own; one with fewer, and null and empty languages, get the
+    threshold of all rows together, which is 0.5 if they have fewer than `least` as well. Scores are counted in BUCKETS
+    buckets by language; the driver sees those counts alone.
+    """
+    bucket = F.least(F.floor(F.col("toxic_score") * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    scored = score_toxicity(labelled, model).select(F.coalesce("lang", F.lit("")).alias("lang"), bucket.alias("bucket"), "label")
+    counts = materialize(scored.groupBy("lang", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")), "scores")
+    often = counts.where("lang <> ''").groupBy("lang").agg(F.sum("bad").alias("all")).where(F.col("all") >= least).select("lang")
+    by: dict[str | None, list] = {}
+    for r in counts.join(often, "lang").select("lang", "bucket", "n", "bad").collect():
+        by.setdefault(r.lang, []).append(r[1:])
+    common = [tuple(r) for r in counts.groupBy("bucket").agg(F.sum("n"), F.sum("bad")).collect()]
+    if sum(r[2] for r in common) >= least:
+        by[None] = common
+    model.thresholds = {None: 0.5} | {name: best_threshold(*np.array(own, np.int64).T) for name, own in by.items()}
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: TextCNN | float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -266,6 +289,6 @@ def score_toxicity(docs: DataFrame, model: TextCNN | float, id_col: str = "doc_i
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     labels = table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 5) != 0)
-    scored = score_toxicity(docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang")), fit_toxicity(docs, labels))
+    scored = score_toxicity(docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang")), fit_toxicity(docs, labels, thresholds=False))
     held_out = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"))

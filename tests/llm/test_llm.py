@@ -260,6 +260,25 @@ def test_toxicity_held_out(spark, docs, none):
     assert toxicity.score_toxicity(none, toxicity.fit_toxicity(none, spark.createDataFrame([], "doc_id long, toxic int"))).count() == 0
 
 
+def test_toxicity_thresholds_cover_all_labels(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(3000):
+        bad = i % 10 == 0
+        words = [f"w{rng.integers(300)}" for _ in range(20)] + ["vile"] * (bad and rng.random() < 0.8)
+        rows.append((i, " ".join(words), "de" if i % 3 == 0 else "en", int(bad)))
+    rows += [(5000 + i, "w1 vile", "xx", 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model = toxicity.fit_toxicity(df, df.select("doc_id", "toxic"), max_training_rows=400)
+    assert set(model.thresholds) == {None, "de", "en"}
+    own = toxicity.fit_thresholds(model, df.withColumnRenamed("toxic", "label")).thresholds
+    scores, y = toxicity.Scorer(model).scores([r[1] for r in rows]), np.array([r[3] for r in rows])
+    for name in (None, "de", "en"):
+        of = np.array([name in (None, r[2]) for r in rows])
+        f1 = lambda cut: 2 * ((scores >= cut) & (y > 0) & of).sum() / (((scores >= cut) & of).sum() + y[of].sum())
+        assert f1(own[name]) > max(map(f1, scores[of & (scores >= 0.2) & (scores <= 0.8)][:300]), default=0) - 0.005
+
+
 def test_language_held_out(spark, docs, none):
     data = DATA.replace("sf0.001", "sf0.1")
     rows = language.query(spark, data).join(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
