@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, hash_below, table
+from .common import ascii_lower, hash_below, materialize, small, table
 
 Rule = tuple[str, str, str]  # host, path, verdict
 RULES: tuple[Rule, ...] = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -56,7 +56,7 @@ def lexical_features(urls: DataFrame, url_col: str = "url") -> DataFrame:
 
 
 def suffix_statistics(labelled: DataFrame, smoothing: float = 5.0) -> DataFrame:
-    """By suffix: the smoothed rate of blocked urls among labelled ones, and the suffix's share of them."""
+    """By suffix, of all rows of labelled (suffix, label): the smoothed rate of blocked urls among labelled ones, and the suffix's share of them."""
     sums = labelled.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad"))
     total = labelled.agg(F.count(F.lit(1)).alias("all_n"), F.sum("label").alias("all_bad"))
     prior = F.col("all_bad") / F.col("all_n")
@@ -76,7 +76,7 @@ def judge_urls(
     """id, url, host, path, rule, score and verdict of every url.
 
     labelled has url and label (1: block). The trees are fitted on a repeatable hash sample of about max_training_rows
-    different labelled rows; every url is scored. A rule's verdict comes before the trees'; score >= 0.5 blocks.
+    different labelled rows; the suffixes' rates and shares come from all different labelled rows, and every url is scored. A rule's verdict comes before the trees'; score >= 0.5 blocks.
     Repeated labelled rows count once, so a url that holds a third of all rows does not fill the sample.
 
     Null urls and urls without :// have empty host and path and are judged by the trees as an empty text. Repeated
@@ -84,16 +84,18 @@ def judge_urls(
     without any). Further columns of urls are ignored.
     """
     labelled = labelled.select(F.col(url_col), F.col("label").cast("double").alias("label")).where("label is not null").distinct()
-    n = labelled.count()
-    sample = labelled.where(hash_below(F.col(url_col), min(1.0, max_training_rows / max(n, 1))))
+    whole = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).first()
+    sample = labelled.where(hash_below(F.col(url_col), min(1.0, max_training_rows / max(whole.n, 1))))
     sample = lexical_features(split_url(sample, url_col), url_col).repartition(8).persist()
     rows = lexical_features(split_url(urls.select(F.col(id_col), F.col(url_col)), url_col), url_col)
     kinds = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).first()
     if not kinds.n or kinds.bad in (0, kinds.n):
-        rows = rows.withColumn("score", F.lit(float(kinds.bad / kinds.n) if kinds.n else 0.0))
+        rows = rows.withColumn("score", F.lit(float(whole.bad / whole.n) if whole.n else 0.0))
     else:
-        stats = F.broadcast(suffix_statistics(sample))  # one row per suffix of a bounded sample
-        fill = {"suffix_rate": kinds.bad / kinds.n, "suffix_share": 0.0}
+        host = split_url(labelled, url_col).select(F.substring_index("host", ".", -1).alias("suffix"), "label")
+        stats = materialize(suffix_statistics(host), "suffixes")
+        stats = small(stats, stats.count())
+        fill = {"suffix_rate": whole.bad / whole.n, "suffix_share": 0.0}
         features = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
         prepared = lambda df: features.transform(df.join(stats, "suffix", "left").fillna(fill))
         model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32).fit(prepared(sample))

@@ -80,6 +80,18 @@ def test_url_rules_and_trees(spark):
     assert urls.judge_urls(pages.limit(3), labelled.limit(0)).where("score <> 0").count() == 0
 
 
+def test_url_suffixes_count_all_labels(spark, monkeypatch):
+    rows = [(i, f"https://h{i}.example.{'bad' if i % 2 else 'good'}{i % 40}/p") for i in range(2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labelled = pages.select("url", (F.col("page_id") % 2).cast("int").alias("label"))
+    seen, real = [], urls.suffix_statistics
+    monkeypatch.setattr(urls, "suffix_statistics", lambda rows: seen.append(real(rows)) or seen[-1])
+    assert urls.judge_urls(pages, labelled, max_training_rows=100).count() == 2000
+    got = {r.suffix: (r.suffix_rate, r.suffix_share) for r in seen[0].collect()}
+    want = {f"{'bad' if k % 2 else 'good'}{k}": ((50 * (k % 2) + 2.5) / 55, 0.025) for k in range(40)}
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want)
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     rng = np.random.default_rng(3)
