@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from episodia.functions import geometry
+
 
 def history(frames: DataFrame, targets: DataFrame, value: str, horizon: int, interval: int) -> DataFrame:
     """(ep, t0, h, target, value, valid) for the times t0 - h * interval, h below horizon.
@@ -47,8 +49,17 @@ def global_rows(frames: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def flow(points: DataFrame, poses: DataFrame) -> DataFrame:
-    """Every point of a part at every time of its poses (x, y, z shifted by tx, ty, tz); fans out by the times."""
-    return points.join(poses, "part").select("part", "point", "t", (F.col("x") + F.col("tx")).alias("x"), (F.col("y") + F.col("ty")).alias("y"), (F.col("z") + F.col("tz")).alias("z"))
+    """Every point of a part at every time of its poses; fans out by the times.
+
+    A pose is a shift tx, ty, tz and, if poses has them, a rotation qw, qx, qy, qz that is applied before the shift.
+    Repeated points are kept.
+    """
+    point, shift = (tuple(F.col(c) for c in names) for names in (("x", "y", "z"), ("tx", "ty", "tz")))
+    if {"qw", "qx", "qy", "qz"} <= set(poses.columns):
+        moved = geometry.transform_point(geometry.quaternion_matrix(*[F.col(c) for c in ("qw", "qx", "qy", "qz")]), shift, point)
+    else:
+        moved = tuple(p + s for p, s in zip(point, shift, strict=True))
+    return points.join(poses, "part").select("part", "point", "t", *[c.alias(n) for c, n in zip(moved, "xyz", strict=True)])
 
 
 def aligned_grid(rows: DataFrame, key: str, time: str, value: str, dt: float, steps: int) -> DataFrame:

@@ -220,6 +220,17 @@ def j9(spark, d):
     return joins.flow(points, poses)
 
 
+@register("j9_rigid_flow", """SELECT part, point, t, round(x * cos(a) - y * sin(a) + t, 6) AS x, round(x * sin(a) + y * cos(a) + p_size, 6) AS y, z FROM (SELECT l_partkey AS part, l_suppkey AS point, l_quantity::DOUBLE AS x, l_discount::DOUBLE AS y, l_tax::DOUBLE AS z FROM lineitem) JOIN part ON part = p_partkey,
+    (SELECT t, t * pi() / 3 AS a FROM generate_series(0, 2) g(t))""")
+def j9_rigid(spark, d):
+    points = load(spark, d, "lineitem").select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("point"), *[F.col(c).cast("double").alias(n) for c, n in (("l_quantity", "x"), ("l_discount", "y"), ("l_tax", "z"))])
+    t = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long")))
+    half = F.col("t") * F.pi() / 6
+    turned = {"qw": F.cos(half), "qx": F.lit(0.0), "qy": F.lit(0.0), "qz": F.sin(half)}
+    poses = load(spark, d, "part").select(F.col("p_partkey").alias("part"), F.col("p_size").cast("double").alias("ty"), t.alias("t")).withColumns({"tx": F.col("t").cast("double"), "tz": F.lit(0.0), **turned})
+    return joins.flow(points, poses).select("part", "point", "t", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "z")
+
+
 @register("j12_global_index", f"WITH {FR}, {LEN}, e AS (SELECT ep, n, sum(n) OVER (ORDER BY ep)::BIGINT AS e FROM len) SELECT o_orderkey AS position, ep, o_orderkey - e + n AS start FROM orders JOIN e ON o_orderkey >= e - n AND o_orderkey < e")
 def j12(spark, d):
     return joins.global_rows(frames(spark, d), load(spark, d, "orders").select(F.col("o_orderkey").alias("position")))

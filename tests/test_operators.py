@@ -52,6 +52,12 @@ def test_rotation(spark):
         spark.range(1).select(*geometry.rotate(geometry.quaternion_matrix(*[F.lit(0.0)] * 4), (F.lit(1.0),) * 3)).collect()
 
 
+def test_flow_turns_points_and_keeps_repeated_ones(spark):
+    points = spark.createDataFrame([(1, 7, 1.0, 0.0, 0.0)] * 2, "part long, point long, x double, y double, z double")
+    poses = spark.createDataFrame([(1, 0, 1.0, 2.0, 3.0, 0.5**0.5, 0.0, 0.0, 0.5**0.5)], "part long, t long, tx double, ty double, tz double, qw double, qx double, qy double, qz double")
+    assert [[round(v, 9) for v in (r.x, r.y, r.z)] for r in joins.flow(points, poses).collect()] == [[1, 3, 3]] * 2
+
+
 def test_templates(spark):
     df = spark.createDataFrame([("take {A} with {a}", ["A", "a"]), ("take {A}", ["A", "a"]), ("take {B}", ["A"])], "t string, p array<string>")
     assert [r[0] for r in df.select(text.template_fits(F.col("t"), F.col("p"))).collect()] == [True, True, False]
