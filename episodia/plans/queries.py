@@ -183,6 +183,12 @@ def j1(spark, d):
     return out.withColumn("valid", F.coalesce("valid", F.lit(False)))
 
 
+@register("j1_every_frame")
+def j1_every(spark, d):
+    all_frames = frames(spark, d)
+    return joins.history(all_frames, all_frames.select("ep", F.col("idx").alias("t0")), "v", 5, 2).withColumn("valid", F.coalesce("valid", F.lit(False)))
+
+
 @register("j2_first_unpadded", f"WITH {_clips_sql(8, 4, 2)}, r AS (SELECT *, row_number() OVER (PARTITION BY ep, idx ORDER BY is_pad, CASE WHEN is_pad THEN -clip ELSE clip END, CASE WHEN is_pad THEN -j ELSE j END) AS nth FROM po) SELECT ep, idx, clip, is_pad FROM r WHERE nth = 1")
 def j2(spark, d):
     at = F.when(F.col("is_pad"), -F.col("clip")).otherwise(F.col("clip"))
@@ -473,6 +479,11 @@ def n20(spark, d):
     return vectors(spark, d).where("dim < 8").select("vec_id", "dim", normalize.action_token(F.col("x")).alias("token"))
 
 
+@register("n20_all_dims")
+def n20_all(spark, d):
+    return vectors(spark, d).select("vec_id", "dim", normalize.action_token(F.col("x")).alias("token"))
+
+
 # ---- geometry and text -----------------------------------------------------------------------------------------------
 Q = "q AS (SELECT vec_id, e[1]/n AS w, e[2]/n AS x, e[3]/n AS y, e[4]/n AS z, e[5] AS a, e[6] AS b, e[7] AS c FROM (SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(embedding[1]::DOUBLE*embedding[1] + embedding[2]::DOUBLE*embedding[2] + embedding[3]::DOUBLE*embedding[3] + embedding[4]::DOUBLE*embedding[4]) AS n FROM embeddings))"
 
