@@ -19,10 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables: the cluster's spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder for intermediate tables, which the cluster names in spark.checkpoint.dir.
+
+    Where that is unset, a local master takes a temporary folder of its own; on a cluster, whose machines could not
+    read each other's folders, it is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .common import materialize
 
-#: search(ids, vectors, query_ids, queries, k) -> for each query (row numbers of its best in the block, scores)
-Search = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int], list[tuple[np.ndarray, np.ndarray]]]
+#: search(ids, vectors, query_ids, queries, thresholds, k) -> for each query (row numbers of its best in the block, scores)
+Search = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int], list[tuple[np.ndarray, np.ndarray]]]
+#: scores(vectors, queries) -> about the score of every vector for every query, smaller is better
+Scores = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
 def clean_vectors(df: DataFrame, id_col: str, vector_col: str, nonzero: bool) -> DataFrame:
@@ -29,37 +34,68 @@ def clean_vectors(df: DataFrame, id_col: str, vector_col: str, nonzero: bool) ->
     return rows.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(v).alias("vec")).withColumn("dim", F.size("vec"))
 
 
-def search_blocks(vectors: DataFrame, every: int, k: int, search: Search, score: str, ascending: bool, block_rows: int = 4096, query_rows: int = 4096) -> DataFrame:
+def _by_dim(frame: pd.DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
+    """dim -> (ids, vectors, thresholds) of a frame of (id, vec, dim, threshold)."""
+    return {int(d): (f["id"].to_numpy(), np.stack(f["vec"]).astype(np.float64), f["threshold"].to_numpy(np.float64)) for d, f in frame.groupby("dim")}
+
+
+def search_blocks(vectors: DataFrame, every: int, k: int, search: Search, scores: Scores, score: str, ascending: bool, block_rows: int = 8192, chunk_queries: int = 16_384, sample_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all rows for each row whose id is divisible by `every`.
 
-    Rows are hashed into blocks of about block_rows and queries into blocks of about query_rows; each pair of a row
-    block and a query block is one group for `search`, so a task holds two blocks whatever the input's size. Each
-    group gives k rows a query at most, and a window keeps the k best of all blocks. Ties go to the smaller id.
-    Vectors are compared with vectors of their own length only.
+    1. A sample of about sample_rows rows gives each query a first threshold: its k-th best score there, which no
+       answer can fall behind. Without k rows in the sample the threshold is infinite.
+    2. Queries go in chunks of about chunk_queries, which are broadcast with their thresholds; the rows stay where
+       they are, hashed into blocks of about block_rows. A block is one group, indexed once a chunk, and its search
+       gives rows within the threshold only, k a query at most.
+    3. A window keeps the k best of all blocks.
+
+    A task thus holds one block and one chunk whatever the input's size. Ties go to the smaller id. Vectors are compared
+    with vectors of their own length only.
     """
+    spark = vectors.sparkSession
     vectors = materialize(vectors, "vectors")
     is_query = F.pmod("id", F.lit(every)) == 0
     n, n_queries = vectors.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
-    blocks, query_blocks = max(1, -(-n // block_rows)), max(1, -(-n_queries // query_rows))
-    block = lambda count: F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
-    spread = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    rows = vectors.select("id", "vec", "dim", block(blocks).alias("block"), spread(query_blocks).alias("query_block"))
-    queries = vectors.where(is_query).select("id", "vec", "dim", block(query_blocks).alias("query_block"), spread(blocks).alias("block"))
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            left = left.sort_values("id")
-            ids, query_ids = left["id"].to_numpy(), right["id"].to_numpy()
-            found = search(ids, np.stack(left["vec"]).astype(np.float64), query_ids, np.stack(right["vec"]).astype(np.float64), k)
-            out = [pd.DataFrame({"query_id": q, "vec_id": ids[at], "score": scores}) for q, (at, scores) in zip(query_ids, found, strict=True)]
-        return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "vec_id", "score"])
-
-    keys = ["dim", "block", "query_block"]
-    hits = rows.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(best, f"query_id long, vec_id long, score {score}")
-    order = F.col("score").asc() if ascending else F.col("score").desc()
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    part = lambda count, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(count)).cast("int")
+    blocks, chunks, samples = (max(1, -(-a // b)) for a, b in ((n, block_rows), (n_queries, chunk_queries), (n, sample_rows)))
+    sample = spark.sparkContext.broadcast(_by_dim(vectors.where(part(samples, 1) == 0).withColumn("threshold", F.lit(0.0)).toPandas()))
+
+    def first_thresholds(frames):
+        for frame in frames:
+            frame["threshold"] = np.inf
+            for dim, own in frame.groupby("dim"):
+                ids, rows, _ = sample.value.get(int(dim), (np.empty(0, np.int64), np.empty((0, int(dim))), None))
+                for a in range(0, len(own) if len(ids) > k else 0, 512):
+                    some = own.iloc[a : a + 512]
+                    found = scores(rows, np.stack(some["vec"]).astype(np.float64))
+                    found[some["id"].to_numpy()[:, None] == ids] = np.inf
+                    kth = np.partition(found, k - 1, axis=1)[:, k - 1]
+                    frame.loc[some.index, "threshold"] = kth + 1e-9 * np.abs(kth)
+            yield frame
+
+    def block_search(asked: Broadcast) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def best(rows: pd.DataFrame) -> pd.DataFrame:
+            query_ids, queries, thresholds = asked.value.get(int(rows["dim"].iloc[0]), (np.empty(0, np.int64),) * 3)
+            out = []
+            if len(query_ids):
+                rows = rows.sort_values("id")
+                ids = rows["id"].to_numpy()
+                hits = search(ids, np.stack(rows["vec"]).astype(np.float64), query_ids, queries, thresholds, k)
+                out = [pd.DataFrame({"query_id": q, "vec_id": ids[at], "score": own}) for q, (at, own) in zip(query_ids, hits, strict=True) if len(at)]
+            return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "vec_id", "score"])
+
+        return best
+
+    found = []
+    for chunk in range(chunks):
+        queries = vectors.where(is_query & (part(chunks, 2) == chunk)).mapInPandas(first_thresholds, StructType([*vectors.schema.fields, StructField("threshold", DoubleType())]))
+        answer = block_search(spark.sparkContext.broadcast(_by_dim(queries.toPandas())))
+        hits = vectors.withColumn("block", part(blocks, 3)).groupBy("dim", "block").applyInPandas(answer, f"query_id long, vec_id long, score {score}")
+        order = F.col("score").asc() if ascending else F.col("score").desc()
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))
+        ranked = hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found.append(ranked if chunks == 1 else materialize(ranked, "answers"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def first_k(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:

@@ -125,6 +125,35 @@ def test_maxscore_is_exact(vectors):
     assert sorted(got) == sorted(want)
 
 
+def test_nearest_verifies_a_part_and_finds_nine_tenths(spark):
+    data = spark.read.parquet(DATA.replace("sf0.001", "sf0.1") + "/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, rows = np.array([r.vec_id for r in data]), np.array([r.embedding for r in data], float)
+    asked = ids % 100 == 0
+    far = np.sqrt(((rows[asked][:, None] - rows) ** 2).sum(axis=2))
+    far[ids[asked][:, None] == ids] = np.inf
+    kth = np.sort(far, axis=1)[:, 9]
+    first = np.sort(far[:, ::2], axis=1)[:, 9]  # thresholds from half of the rows
+    verified = []
+    got = nearest.CollisionIndex().search(ids, rows, ids[asked], rows[asked], first, 10, verified)
+    assert np.mean([(own <= k + 1e-12).sum() for (_, own), k in zip(got, kth, strict=True)]) >= 9
+    assert np.mean(verified) < 0.35 * len(ids)
+    whole = np.floor(256 * rows)
+    asked = ids % 50 == 0
+    score = whole[asked] @ whole.T
+    score[ids[asked][:, None] == ids] = -np.inf
+    read = []
+    got = maxscore.maxscore(ids, whole, ids[asked], whole[asked], -np.sort(score[:, ::2], axis=1)[:, -5], 5, read)
+    assert all(sorted(own.tolist()) == sorted(np.sort(row)[-5:].tolist()) for (_, own), row in zip(got, score, strict=True))
+    assert np.mean(read) < 0.6 * whole.size
+
+
+def test_queries_in_several_chunks_and_blocks(vectors):
+    df, _ = vectors
+    clean = maxscore.clean_vectors(df, "vec_id", "embedding", nonzero=True)
+    one, many = (sorted(map(tuple, maxscore.search_blocks(clean, 20, 3, nearest.CollisionIndex(margin=5.0).search, nearest.distances, "double", True, **kw).collect())) for kw in ({}, {"block_rows": 100, "chunk_queries": 16, "sample_rows": 200}))
+    assert [r[:3] for r in one] == [r[:3] for r in many] and len(one) > 100
+
+
 def components(rows, width):
     sets = {}
     for i, t in rows:
