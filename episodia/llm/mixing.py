@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from .common import WORD, materialize, small, table
 
-#: A document's place is a hash of 30 bits, refined 10 bits at a time.
-LEVEL_BITS, LEVELS = 10, 3
+#: A document's place is a hash of 48 bits, refined 16 bits at a time.
+LEVEL_BITS, LEVELS = 16, 3
 
 
-def place(key: Column) -> Column:
-    """30 bits of md5 of the id as text; null ids take place 0. DuckDB can compute the same."""
-    head = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long")
-    return F.coalesce(F.shiftright(head, 2), F.lit(0).cast("long"))
+def place(key: Column, text: Column) -> Column:
+    """48 bits of md5 of the id as text, a colon and the text; nulls count as empty. DuckDB can compute the same."""
+    whole = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(whole), 1, 12), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max_repeat: float) -> DataFrame:
@@ -48,21 +48,37 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max
 def _boundary(rows: DataFrame, budgets: DataFrame, n_sources: int, level: int) -> DataFrame:
     """(source, prefix, budget): the bucket at this level in which the budget runs out, and what is left for it.
 
-    rows: (source, place, size) of the bucket that the level before left open. At the last level the bucket is taken
-    if that comes nearer to the budget, so prefix is then the first place not taken.
+    rows: (source, place, size) of the bucket that the level before left open.
     """
-    last = level == LEVELS
     bucket = F.shiftright("place", LEVEL_BITS * (LEVELS - level))
     sums = rows.groupBy("source", bucket.alias("prefix")).agg(F.sum("size").alias("words"))
     running = F.sum("words").over(Window.partitionBy("source").orderBy("prefix"))
-    cut = (
+    return (
         sums.withColumn("upto", running)
         .join(small(budgets.select(F.col("source").alias("of"), "budget"), n_sources), F.col("source").eqNullSafe(F.col("of")))
         .where((F.col("upto") > F.col("budget")) & (F.col("upto") - F.col("words") <= F.col("budget")))
+        .select("source", "prefix", (F.col("budget") - (F.col("upto") - F.col("words"))).alias("budget"))
     )
-    left = F.col("budget") - (F.col("upto") - F.col("words"))
-    nearer = (F.col("upto") - F.col("budget") < left).cast("long") if last else F.lit(0)
-    return cut.select("source", (F.col("prefix") + nearer).alias("prefix"), left.alias("budget"))
+
+
+def _extra_of_ties(ties: DataFrame) -> DataFrame:
+    """ties (source, row, size, budget and further columns) plus extra: 1 for the rows that the budget still takes, else 0.
+
+    The rows of one place are as good as always copies of one document, in any number. They are numbered within their
+    partition of the stored table, and running sums of the partitions' words give each its share of the budget, so
+    that no task holds all rows of a place.
+    """
+    part = F.shiftright("row", 33)
+    ties = ties.withColumn("part", part)
+    parts = ties.groupBy("source", "part").agg(F.sum("size").alias("words"))
+    parts = parts.withColumn("before", F.sum("words").over(Window.partitionBy("source").orderBy("part")) - F.col("words"))
+    parts = parts.select(F.col("source").alias("of"), F.col("part").alias("of_part"), "before")
+    within = Window.partitionBy("source", "part").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.col("before") + F.sum("size").over(within)
+    joined = ties.join(parts, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part"))).withColumn("upto", upto)
+    start = F.col("upto") - F.col("size")
+    taken = (F.col("upto") <= F.col("budget")) | ((start <= F.col("budget")) & (F.col("upto") - F.col("budget") < F.col("budget") - start))
+    return joined.withColumn("extra", taken.cast("long")).drop("part", "of", "of_part", "before", "upto")
 
 
 def mix_sources(
@@ -73,36 +89,43 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """How often the mix takes each document: id, source, size, source_size, target, copies, taken.
+    """How often the mix takes each row: id, source, size, source_size, target, copies, taken, and a struct `row` of the columns to carry.
 
-    A source whose target is r times its size takes every document floor(r) times, and once more those whose hash
-    lies under a threshold. The threshold comes from summed sizes by source and hash bucket; only the bucket in which
-    the budget runs out is looked at again, so nothing is sorted and only sums are shuffled.
+    A source whose target is r times its size takes every document floor(r) times, and once more those whose hash, of
+    id and text, lies under a threshold. The threshold comes from summed sizes by source and hash bucket; only the
+    bucket in which the budget runs out is looked at again, so nothing is sorted and only sums are shuffled. Rows at the
+    threshold itself, which are copies of one row, are taken one by one until the budget is nearest.
 
-    Null text counts as size 0; null sources form a source of their own, last in order; rows with the same id lie at
-    the same place and are taken together; an empty table gives no rows; further columns are ignored.
+    Null text counts as size 0; null sources form a source of their own, last in order; null ids and repeated ids are
+    rows like others; an empty table gives no rows; columns of docs that are neither named nor carried are ignored.
     """
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size"))
-    sized = materialize(sized.withColumn("place", place(F.col("id"))), "sizes")
+    carried = [F.struct(*carry).alias("row_columns")] if carry else []
+    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size"), place(F.col(id_col), F.col(text_col)).alias("place"), F.monotonically_increasing_id().alias("row"), *carried)
+    sized = materialize(sized, "sizes")
     totals = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
-    targets = materialize(source_targets(totals, weights, share, max_repeat), "targets")
-    n_sources = targets.count()
+    n_sources = totals.count()
+    targets = source_targets(totals, weights, share, max_repeat)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    targets = targets.withColumn("whole", whole)
+    targets = materialize(targets.withColumn("whole", whole), "targets")
     cut = targets.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"))
     rows = sized
     for level in range(1, LEVELS + 1):
         cut = materialize(_boundary(rows, cut, n_sources, level), f"cut{level}")
         prefix = F.shiftright("place", LEVEL_BITS * (LEVELS - level))
-        if level < LEVELS:
-            open_bucket = small(cut.select(F.col("source").alias("of"), F.col("prefix").alias("open")), n_sources)
-            rows = sized.join(open_bucket, F.col("source").eqNullSafe(F.col("of")) & (prefix == F.col("open"))).select("source", "place", "size")
-    cut = cut.select(F.col("source").alias("cut_source"), F.col("prefix").alias("limit"))
-    limits = targets.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left").select(F.col("source").alias("of"), "source_size", "target", "whole", F.coalesce("limit", F.lit(0)).alias("limit"))
-    copies = F.col("whole") + (F.col("place") < F.col("limit")).cast("long")
-    return sized.join(small(limits, n_sources), F.col("source").eqNullSafe(F.col("of"))).select(F.col("id").alias(id_col), "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+        open_bucket = small(cut.select(F.col("source").alias("of"), F.col("prefix").alias("open")), n_sources)
+        rows = sized.join(open_bucket, F.col("source").eqNullSafe(F.col("of")) & (prefix == F.col("open"))).select("source", "place", "size")
+    cut = cut.select(F.col("source").alias("cut_source"), F.col("prefix").alias("limit"), "budget")
+    limits = targets.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left").select(F.col("source").alias("of"), "source_size", "target", "whole", F.coalesce("limit", F.lit(0)).alias("limit"), "budget")
+    placed = sized.join(small(limits, n_sources), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    at_limit = (F.col("place") == F.col("limit")) & F.col("budget").isNotNull()
+    others = placed.where(~at_limit).withColumn("extra", (F.col("place") < F.col("limit")).cast("long"))
+    out = others.unionByName(_extra_of_ties(placed.where(at_limit)))
+    copies = F.col("whole") + F.col("extra")
+    columns = ["source", "size", "source_size", "target"]
+    return out.select(F.col("id").alias(id_col), *columns, copies.alias("copies"), (copies * F.col("size")).alias("taken"), *(["row_columns"] if carry else [])).withColumnsRenamed({"row_columns": "row"})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,17 +134,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-                  coalesce(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) >> 2, 0) AS place FROM documents),
+                  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 12) AS BIGINT) AS place FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM d GROUP BY source),
 w AS (SELECT *, ([5.0, 2.0, 1.0]::DOUBLE[])[(nth % 3 + 1)::INT] AS w, source_size * 2.0::DOUBLE AS cap, sum(source_size::DOUBLE) OVER () * 1.5::DOUBLE AS total FROM s),
 l AS (SELECT *, cap / w AS ratio, (total - (sum(cap) OVER a - cap)) / (sum(w) OVER () - (sum(w) OVER a - w)) AS level FROM w WINDOW a AS (ORDER BY cap / w, nth)),
 t AS (SELECT source, source_size, least(cap, coalesce(w * max(CASE WHEN ratio >= level THEN level END) OVER (), cap)) AS target FROM l),
 b AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM t),
-p AS (SELECT source, place, sum(size)::BIGINT AS words FROM d GROUP BY ALL),
-c AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY place) AS upto FROM p),
-x AS (SELECT b.source, min(CASE WHEN upto - budget < budget - (upto - words) THEN place + 1 ELSE place END) AS lim
-      FROM c JOIN (SELECT source, target - whole * source_size AS budget FROM b) b ON c.source IS NOT DISTINCT FROM b.source
-      WHERE upto > budget AND upto - words <= budget GROUP BY b.source)
-SELECT d.doc_id, d.size, b.source_size, b.target, (b.whole + CASE WHEN d.place < coalesce(x.lim, 0) THEN 1 ELSE 0 END) * d.size AS taken
-FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source LEFT JOIN x ON b.source IS NOT DISTINCT FROM x.source
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place, size ROWS UNBOUNDED PRECEDING) AS upto FROM d),
+x AS (SELECT c.*, b.source_size, b.target, b.whole, b.target - b.whole * b.source_size AS budget FROM c JOIN b ON c.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+       (whole + CASE WHEN upto <= budget OR (upto - size <= budget AND upto - budget < budget - (upto - size)) THEN 1 ELSE 0 END) * size AS taken FROM x
 """

@@ -290,6 +290,23 @@ def test_mixing_awkward(docs, none):
     assert mixing.mix_sources(none).count() == 0
 
 
+def test_mixing_comes_near_targets_with_repeated_and_null_ids(spark):
+    rows = [(7, " ".join(["w"] * 100), "a")] * 50 + [(None, f"n{i} x y z", "b") for i in range(400)] + [(i % 3, f"t{i} " * 5, "c") for i in range(300)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    for weights in ((5, 2, 1), (1, 3, 1)):
+        got = defaultdict(list)
+        for r in mixing.mix_sources(df, weights).collect():
+            got[r.source].append(r)
+        assert sum(map(len, got.values())) == len(rows)
+        for own in got.values():
+            assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own) / 2 + 1e-6
+            assert all(r.taken <= 2 * r.size for r in own)
+        again = Counter((r.doc_id, r.source, r.size, r.taken) for r in mixing.mix_sources(df, weights).collect())
+        assert again == Counter((r.doc_id, r.source, r.size, r.taken) for own in got.values() for r in own)
+    carried = mixing.mix_sources(df, carry=["text", "source"]).where("copies > 0").select("row.*")
+    assert carried.columns == ["text", "source"] and carried.count() > 0
+
+
 def test_toxicity_held_out(spark, docs, none):
     data = DATA.replace("sf0.001", "sf0.1")
     rows = toxicity.query(spark, data).join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").where("held_out").collect()
