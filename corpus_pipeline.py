@@ -43,9 +43,9 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it: none, once or twice."""
-    copies = mix_sources(docs).groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    return docs.join(copies, docs.doc_id.eqNullSafe(copies.doc_id)).drop(copies.doc_id).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    """Every document as often as the mix takes it: none, once or twice. Counts belong to rows, so repeated and null ids are no matter."""
+    mixed = mix_sources(docs.select(*COLUMNS), carry=COLUMNS).where("copies > 0")
+    return mixed.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
