@@ -56,10 +56,20 @@ def format_conversations(rows: DataFrame, trainable_role: str = "assistant") ->
     return turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(line)).alias("lines"), F.sort_array(F.collect_list(example)).alias("examples")).select("conv_id", F.array_join(F.col("lines.line"), "").alias("formatted"), "examples")
 
 
+def explode_examples(formatted: DataFrame) -> DataFrame:
+    """formatted with one row for each example, its offsets as columns; conversations without one keep a row of nulls."""
+    return formatted.select("*", F.explode_outer("examples").alias("example")).drop("examples").select("*", "example.*").drop("example")
+
+
+def loss_text(formatted: Column) -> Column:
+    """What the example of a row of explode_examples() trains on, unescaped; empty without an example."""
+    return F.coalesce(unescape(formatted.substr(F.col("loss_start").cast("int"), F.col("loss_chars").cast("int"))), F.lit(""))
+
+
 def expand(formatted: DataFrame) -> DataFrame:
     """One row per example, written out: conv_id, target_turn, text, loss_start, loss_chars."""
-    e = F.col("example")
-    return formatted.select("conv_id", "formatted", F.explode("examples").alias("example")).select("conv_id", e.target_turn.alias("target_turn"), F.col("formatted").substr(F.lit(1), e.end.cast("int")).alias("text"), e.loss_start.alias("loss_start"), e.loss_chars.alias("loss_chars"))
+    text = F.col("formatted").substr(F.lit(1), F.col("end").cast("int"))
+    return explode_examples(formatted).where("target_turn is not null").select("conv_id", "target_turn", text.alias("text"), "loss_start", "loss_chars")
 
 
 def read_turns(formatted: Column) -> Column:
@@ -71,17 +81,15 @@ def read_turns(formatted: Column) -> Column:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     out = format_conversations(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe))
-    masked = F.transform("examples", lambda e: unescape(F.col("formatted").substr(e.loss_start.cast("int"), e.loss_chars.cast("int"))))
-    read = out.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("turns"), F.array_join(masked, "").alias("loss"))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
-    return read.select(
-        "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(whole, 256).alias("turns_sha256"),
-        F.length("loss").cast("long").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+    read = out.withColumn("turns", read_turns(F.col("formatted"))).select(
+        "conv_id", "formatted", "examples", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"), F.length("formatted").cast("long").alias("formatted_chars")
     )
+    # an example's loss text is read out of the example; rows stay where their conversation is
+    examples = explode_examples(read).select("conv_id", "n_turns", "turns_sha256", "formatted_chars", F.struct("target_turn", loss_text(F.col("formatted")).alias("loss")).alias("own"))
+    by = examples.groupBy("conv_id", "n_turns", "turns_sha256", "formatted_chars").agg(F.sort_array(F.collect_list("own")).alias("own"))
+    loss = F.array_join(F.col("own.loss"), "")
+    return by.select("conv_id", "n_turns", "turns_sha256", F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
 
 
 _ESC = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;'), ']', '&rsqb;')"

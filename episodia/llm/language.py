@@ -90,16 +90,20 @@ def fit_kernel(rows: np.ndarray, labels: list[str], landmarks: int = 96, ridge:
 
 
 def fit_languages(docs: DataFrame, max_training_rows: int = 4_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> KernelModel | None:
-    """A model fitted on a repeatable hash sample of about max_training_rows documents with text and language; None without any."""
-    known = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("id is not null and lang is not null and text is not null")
-    share = min(1.0, max_training_rows / max(1, known.count()))
+    """A model fitted on a repeatable hash sample of about max_training_rows documents with text and language; None without any.
+
+    Rows of the same language and text count as one document, whatever their ids, so that no id and no text that
+    repeats can fill the sample.
+    """
+    known = docs.select(F.xxhash64(lang_col, text_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    share = min(1.0, max_training_rows / max(1, known.select("id").distinct().count()))
 
     def grams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [gram_presence(t) for t in frame.pop("text")]
             yield frame.assign(grams=[None if g is None else np.packbits(g).tobytes() for g in found])
 
-    rows = known.where(hash_below(F.col("id"), share)).mapInPandas(grams, "id long, lang string, grams binary").where("grams is not null").collect()
+    rows = known.where(hash_below(F.col("id"), share)).dropDuplicates(["id"]).mapInPandas(grams, "id long, lang string, grams binary").where("grams is not null").collect()
     rows.sort(key=lambda r: (r.id, r.lang, r.grams))
     if not rows:
         return None

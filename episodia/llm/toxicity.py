@@ -9,12 +9,13 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import hash_below, materialize, table
+from .common import hash_below, materialize, small, table
 
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words convolved at once; longer texts are read in overlapping parts.
@@ -72,12 +73,13 @@ class TextCNN:
         self.out = rng.normal(0, 0.1, len(self.widths) * self.filters).astype(np.float32)
         self.scale, self.shift = np.float32(1), np.float32(0)
 
-    def fit(self, texts: list[str | None], labels: np.ndarray) -> TextCNN:
-        """AdaGrad on the log loss; only each filter's best position gets a gradient. Half of every batch is of label 1."""
+    def fit(self, rows: list[np.ndarray], words: list[list[int]], labels: np.ndarray) -> TextCNN:
+        """AdaGrad on the log loss; only each filter's best position gets a gradient. Half of every batch is of label 1.
+
+        rows holds each text's words as numbers from 1, words the buckets of word 1, 2 and so on.
+        """
         rng = np.random.default_rng(self.seed + 1)
-        names: dict[str, int] = {}
-        rows = [np.array([names.setdefault(w, len(names) + 1) for w in lower_words(t)], np.int32) for t in texts]
-        numbers, begins = flatten(itertools.chain([[0]], (subwords(w, self.buckets) for w in names)))
+        numbers, begins = flatten(itertools.chain([[0]], words))
         seen = [np.full_like(self.embedding, 1e-3), *[np.full_like(k, 1e-3) for k in self.kernels], np.full_like(self.out, 1e-3)]
         widest = max(self.widths)
 
@@ -171,6 +173,21 @@ class Scorer:
             self.rows.update(zip(new, range(at, at + len(new)), strict=True))
         return np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words))
 
+    def scores_of_numbers(self, rows: list[np.ndarray], words: list[list[int]]) -> np.ndarray:
+        """As scores(), of texts given as fit() takes them."""
+        m = self.model
+        vectors = np.concatenate([np.zeros((1, m.dims), np.float32), pool_words(m.embedding, *flatten(words))])
+        tail = np.zeros(2 * max(m.widths), np.int32)
+        best = []
+        for row in rows:
+            x, n = vectors[np.concatenate([row, tail])], len(row) + max(m.widths)
+            best.append(np.concatenate([sum(x[j : j + n] @ k[j] for j in range(len(k))).max(axis=0) for k in m.kernels]))
+        return self._logistic(np.stack(best))
+
+    def _logistic(self, best: np.ndarray) -> np.ndarray:
+        m = self.model
+        return 1 / (1 + np.exp(-(m.scale * (np.maximum(best, 0) @ m.out) + m.shift).astype(np.float64).clip(-40, 40)))
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """The score of each text; a text without words scores what no response gives."""
         m, widest = self.model, max(self.model.widths)
@@ -191,8 +208,7 @@ class Scorer:
             held.clear()
             size = 0
 
-        for i, text in enumerate(texts):
-            words = lower_words(text)
+        for i, words in enumerate(map(lower_words, texts)):
             for a in range(0, len(words), PART):
                 part = words[a : a + PART + widest]
                 if size + len(part) > PART:
@@ -200,7 +216,7 @@ class Scorer:
                 held.append((i, part))
                 size += len(part)
         flush()
-        return 1 / (1 + np.exp(-(m.scale * (np.maximum(best, 0) @ m.out) + m.shift).astype(np.float64).clip(-40, 40)))
+        return self._logistic(best)
 
 
 def crc_mod(key: Column, n: int) -> Column:
@@ -210,6 +226,9 @@ def crc_mod(key: Column, n: int) -> Column:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", thresholds: bool = True) -> TextCNN | float:
     """A classifier fitted on a repeatable hash sample of about max_training_rows labelled documents, whole texts.
 
+    Rows of one id and text count once, so that no repeated row fills the sample. The executors hash the texts' words;
+    the driver gets numbers alone: each text's words, and the buckets of each different word.
+
     A fifth of the sample is kept back to calibrate the scores; the thresholds by language come from all labelled
     documents that the classifier was not fitted on, see fit_thresholds(). Without `thresholds` all are 0.5. Rows of one id in labels count once,
     with the highest label; null labels don't count. Without labels of both kinds the result is the constant score:
@@ -217,27 +236,51 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     """
     labels = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
     labels = labels.groupBy("id").agg(F.max("label").alias("label"))
-    share = min(1.0, max_training_rows / max(1, labels.count()))
-    sample = F.broadcast(labels.where(hash_below(F.col("id"), share)))  # about max_training_rows rows
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(sample, "id")
-    rows = rows.collect()
-    rows.sort(key=lambda r: (r.id, r.text or ""))
-    y = np.array([r.label for r in rows], np.int64)
+    few = small(labels, labels.count())
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("mark")).join(few, "id")
+    share = min(1.0, max_training_rows / max(1, rows.select("mark").distinct().count()))
+    model = TextCNN()
+    sample = materialize(rows.where(hash_below(F.col("mark"), share)).dropDuplicates(["mark"]).select("id", "mark", "label", "text").mapInPandas(_numbered, "id long, mark long, label int, words array<int>, fresh array<int>, parts array<array<int>>"), "sample")
+    found = sample.select("id", "mark", "label", "words").collect()
+    found.sort(key=lambda r: (r.id, r.mark))
+    y = np.array([r.label for r in found], np.int64)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.0
-    kept_back = np.arange(len(rows)) % 5 == 0
+    words = sample.select(F.explode(F.arrays_zip("fresh", "parts")).alias("w")).groupBy("w.fresh").agg(F.min("w.parts").alias("parts")).collect()
+    words.sort()
+    number = {w.fresh: i + 1 for i, w in enumerate(words)}
+    texts = [np.fromiter(map(number.__getitem__, r.words), np.int32, len(r.words)) for r in found]
+    parts = [w.parts for w in words]
+    kept_back = np.arange(len(found)) % 5 == 0
     if min(len(set(y[b].tolist())) for b in (kept_back, ~kept_back)) < 2:  # too few to keep any back
         kept_back[:] = False
-    model = TextCNN().fit([r.text for r, b in zip(rows, kept_back, strict=True) if not b], y[~kept_back])
+    model.fit([t for t, b in zip(texts, kept_back, strict=True) if not b], parts, y[~kept_back])
     if kept_back.any():
-        scores = Scorer(model).scores([r.text for r, b in zip(rows, kept_back, strict=True) if b])
-        model.calibrate(scores, y[kept_back])
+        model.calibrate(Scorer(model).scores_of_numbers([t for t, b in zip(texts, kept_back, strict=True) if b], parts), y[kept_back])
     if not thresholds:
         return model
-    fitted = sorted({r.id for r, b in zip(rows, kept_back, strict=True) if not b})
-    fitted = docs.sparkSession.createDataFrame([(i,) for i in fitted], StructType([StructField("id", labels.schema["id"].dataType)]))
-    unseen = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(labels.join(F.broadcast(fitted), "id", "left_anti"), "id")
-    return fit_thresholds(model, unseen)
+    fitted = [(r.mark,) for r, b in zip(found, kept_back, strict=True) if not b]
+    fitted = F.broadcast(docs.sparkSession.createDataFrame(fitted, "mark long"))  # a part of the sample
+    return fit_thresholds(model, rows.join(fitted, "mark", "left_anti"))
+
+
+def _numbered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts as 32-bit hashes of their words, and the buckets of each word that the batch has not shown before."""
+    for frame in frames:
+        seen: set[str] = set()
+        words, fresh, parts = [], [], []
+        for text in frame.pop("text"):
+            own = lower_words(text)
+            new = [w for w in dict.fromkeys(own) if w not in seen]
+            seen.update(new)
+            words.append([word_number(w) for w in own])
+            fresh.append([word_number(w) for w in new])
+            parts.append([subwords(w, TextCNN.buckets) for w in new])
+        yield frame.assign(words=words, fresh=fresh, parts=parts)
+
+
+def word_number(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "replace")) - (1 << 31)
 
 
 def fit_thresholds(model: TextCNN, labelled: DataFrame, least: int = 30) -> TextCNN:
