@@ -55,12 +55,20 @@ def lexical_features(urls: DataFrame, url_col: str = "url") -> DataFrame:
     })
 
 
-def suffix_statistics(labelled: DataFrame, smoothing: float = 5.0) -> DataFrame:
-    """By suffix, of all rows of labelled (suffix, label): the smoothed rate of blocked urls among labelled ones, and the suffix's share of them."""
-    sums = labelled.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad"))
-    total = labelled.agg(F.count(F.lit(1)).alias("all_n"), F.sum("label").alias("all_bad"))
-    prior = F.col("all_bad") / F.col("all_n")
-    return sums.join(F.broadcast(total)).select("suffix", ((F.col("bad") + smoothing * prior) / (F.col("n") + smoothing)).alias("suffix_rate"), (F.col("n") / F.col("all_n")).alias("suffix_share"))
+#: Parts of the labelled urls; a training url's suffix statistics come from the other parts.
+FOLDS = 5
+
+
+def suffix_sums(labelled: DataFrame) -> DataFrame:
+    """(suffix, fold, n, bad) of all rows of labelled (suffix, fold, label)."""
+    return labelled.groupBy("suffix", "fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad"))
+
+
+def suffix_features(n: Column, bad: Column, all_n: float, all_bad: float, smoothing: float = 5.0) -> dict[str, Column]:
+    """The smoothed rate of blocked urls among a suffix's labelled ones, and its share of them; a suffix without any has the common rate."""
+    n, bad = F.coalesce(n, F.lit(0)), F.coalesce(bad, F.lit(0.0))
+    prior = all_bad / max(all_n, 1)
+    return {"suffix_rate": (bad + smoothing * prior) / (n + smoothing), "suffix_share": n / F.lit(float(max(all_n, 1)))}
 
 
 def judge_urls(
@@ -76,7 +84,9 @@ def judge_urls(
     """id, url, host, path, rule, score and verdict of every url.
 
     labelled has url and label (1: block). The trees are fitted on a repeatable hash sample of about max_training_rows
-    different labelled rows; the suffixes' rates and shares come from all different labelled rows, and every url is scored. A rule's verdict comes before the trees'; score >= 0.5 blocks.
+    different labelled rows, and every url is scored. The suffixes' rates and shares come from all different labelled
+    rows; a training row's come from the other folds, so that its own label is not among them. A rule's verdict comes
+    before the trees'; score >= 0.5 blocks.
     Repeated labelled rows count once, so a url that holds a third of all rows does not fill the sample.
 
     Null urls and urls without :// have empty host and path and are judged by the trees as an empty text. Repeated
@@ -84,23 +94,23 @@ def judge_urls(
     without any). Further columns of urls are ignored.
     """
     labelled = labelled.select(F.col(url_col), F.col("label").cast("double").alias("label")).where("label is not null").distinct()
-    whole = labelled.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).first()
-    sample = labelled.where(hash_below(F.col(url_col), min(1.0, max_training_rows / max(whole.n, 1))))
-    sample = lexical_features(split_url(sample, url_col), url_col).repartition(8).persist()
+    labelled = split_url(labelled, url_col).withColumns({"suffix": F.substring_index("host", ".", -1), "fold": F.pmod(F.xxhash64(F.col(url_col), F.lit(1)), F.lit(FOLDS))})
+    sums = materialize(suffix_sums(labelled), "suffixes")
+    whole = sums.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0.0)).alias("bad"), F.count(F.lit(1)).alias("rows")).first()
     rows = lexical_features(split_url(urls.select(F.col(id_col), F.col(url_col)), url_col), url_col)
-    kinds = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("bad")).first()
-    if not kinds.n or kinds.bad in (0, kinds.n):
+    if whole.bad in (0, whole.n):
         rows = rows.withColumn("score", F.lit(float(whole.bad / whole.n) if whole.n else 0.0))
     else:
-        host = split_url(labelled, url_col).select(F.substring_index("host", ".", -1).alias("suffix"), "label")
-        stats = materialize(suffix_statistics(host), "suffixes")
-        stats = small(stats, stats.count())
-        fill = {"suffix_rate": whole.bad / whole.n, "suffix_share": 0.0}
-        features = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        prepared = lambda df: features.transform(df.join(stats, "suffix", "left").fillna(fill))
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32).fit(prepared(sample))
-        rows = model.transform(prepared(rows)).withColumn("score", vector_to_array("probability")[1])
-    sample.unpersist()
+        sample = labelled.where(hash_below(F.col(url_col), min(1.0, max_training_rows / whole.n)))
+        sample = materialize(lexical_features(sample, url_col), "url_sample")
+        by_suffix = small(sums.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), whole.rows)
+        by_fold = small(sums.select("suffix", "fold", F.col("n").alias("own_n"), F.col("bad").alias("own_bad")), whole.rows)
+        assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+        others = suffix_features(F.col("n") - F.col("own_n"), F.col("bad") - F.col("own_bad"), whole.n * (FOLDS - 1) / FOLDS, whole.bad * (FOLDS - 1) / FOLDS)
+        training = sample.join(by_suffix, "suffix").join(by_fold, ["suffix", "fold"]).withColumns(others)
+        model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.3, seed=7, maxBins=32).fit(assembler.transform(training))
+        rows = rows.join(by_suffix, "suffix", "left").withColumns(suffix_features(F.col("n"), F.col("bad"), whole.n, whole.bad))
+        rows = model.transform(assembler.transform(rows)).withColumn("score", vector_to_array("probability")[1])
     found = matching_rule(rules, F.col("host"), F.col("path"))
     return rows.select(id_col, url_col, "host", "path", found.alias("found"), "score").select(id_col, url_col, "host", "path", F.col("found.rule").alias("rule"), "score", F.coalesce(F.col("found.verdict"), F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"))
 
