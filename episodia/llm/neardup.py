@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,11 @@ CHUNK = 4096
 ORDER_ROWS = 150_000
 #: Rows on either side of a cell of a large region's comparison.
 CELL_ROWS = 512
+#: Elements of sets compared at once in a cell.
+COLUMNS = 4096
+#: Classes of equal sets with more than this share of all rows, of which there are few, are broadcast.
+HEAVY_SHARE = 1 / 2000
+PAIR, EDGE = ("low", "high", "same"), ("edge", "tree", "key_a", "key_b", "id", "sketch")
 
 
 @dataclass(frozen=True)
@@ -31,8 +37,9 @@ class Forest:
     up to `region` signatures gives all its pairs; a larger one pairs each signature with its smallest member, with its
     hub (the sketch that agrees most with the region's most frequent values) and with the most similar sketches, `best`
     of them, of the `near` neighbours on either side, and is looked at again one hash deeper. What of a large region
-    that leaves in different components is compared in full afterwards, by _dense(). Pairs whose sketches agree on less than `agree` of the hashes are left out: at similarity 0.8 that is 4 standard
-    deviations below the mean.
+    that leaves in different components is compared in full afterwards, by _dense(), in the regions of the first
+    `dense_trees` trees: a pair of similarity 0.8 shares one of them with probability 0.999. Pairs whose sketches agree
+    on less than `agree` of the hashes are left out: at similarity 0.8 that is 4 standard deviations below the mean.
     """
 
     hashes: int = 64
@@ -42,6 +49,7 @@ class Forest:
     region: int = 48
     near: int = 64
     best: int = 2
+    dense_trees: int = 10
     agree: float = 0.6
     seed: int = 77
     orders: np.ndarray = field(init=False, repr=False, compare=False)
@@ -162,28 +170,40 @@ def _candidates(signed: DataFrame, forest: Forest) -> DataFrame:
                 keys = np.ascontiguousarray((signatures[:, order] >> 8).astype(">u2")).view(">i8").astype(np.int64)
                 yield pd.DataFrame({"tree": tree, "key_a": keys[:, 0], "key_b": keys[:, 1], "id": frame["id"], "sketch": sketch})
 
+    def pairs_of(rows: pd.DataFrame) -> pd.DataFrame:
+        keys = np.ascontiguousarray(rows[["key_a", "key_b"]].to_numpy().astype(">i8")).view(">u2").reshape(len(rows), -1)
+        sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
+        low, high, same = forest.pairs(rows["tree"].to_numpy(), keys, rows["id"].to_numpy(), sketches)
+        return pd.DataFrame({"low": low, "high": high, "same": same}).drop_duplicates()
+
     def neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [f for f in frames if len(f)]
         if rows:
-            rows = pd.concat(rows, ignore_index=True)
-            keys = np.ascontiguousarray(rows[["key_a", "key_b"]].to_numpy().astype(">i8")).view(">u2").reshape(len(rows), -1)
-            sketches = np.frombuffer(b"".join(rows.pop("sketch")), np.uint8).reshape(len(rows), -1)
-            low, high, same = forest.pairs(rows["tree"].to_numpy(), keys, rows["id"].to_numpy(), sketches)
-            yield pd.DataFrame({"low": low, "high": high, "same": same}).drop_duplicates()
+            rows, here = pd.concat(rows, ignore_index=True), TaskContext.get().partitionId()
+            yield pairs_of(rows).reindex(columns=[*PAIR, *EDGE])
+            # a region of up to `region` rows that a partition's end cuts lies within so many rows of it on either side
+            ends = pd.concat([rows.head(forest.region).assign(edge=here), rows.tail(forest.region).assign(edge=here + 1)])
+            yield ends.reindex(columns=[*PAIR, *EDGE]).astype({"edge": "Int64", "tree": "Int32", "key_a": "Int64", "key_b": "Int64", "id": "Int64"})
+
+    def stitch(rows: pd.DataFrame) -> pd.DataFrame:
+        return pairs_of(rows.sort_values(["tree", "key_a", "key_b", "id"], ignore_index=True).drop_duplicates(["tree", "id", "key_a", "key_b"], ignore_index=True))
 
     parts = max(1, -(-signed.count() * forest.trees // ORDER_ROWS))
     planted = signed.select("id", "signature").mapInPandas(plant, "tree int, key_a long, key_b long, id long, sketch binary")
     order = ["tree", "key_a", "key_b", "id"]
-    pairs = planted.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(neighbours, "low long, high long, same long")
-    return pairs.groupBy("low", "high").agg(F.max("same").alias("same"))
+    found = planted.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(neighbours, "low long, high long, same long, edge long, tree int, key_a long, key_b long, id long, sketch binary")
+    found = materialize(found, "neighbours")
+    across = found.where("edge is not null").select(*EDGE).groupBy("edge").applyInPandas(stitch, "low long, high long, same long")
+    return found.where("edge is null").select(*PAIR).unionByName(across).groupBy("low", "high").agg(F.max("same").alias("same"))
 
 
-def _dense(signed: DataFrame, roots: DataFrame, forest: Forest, percent: int) -> DataFrame | None:
-    """(low, high, low_root, high_root): all pairs of different components that share a large region; None without any.
+def _dense(signed: DataFrame, roots: DataFrame, forest: Forest, percent: int, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """(low, high, low_root, high_root): the links between different components that share a large region; None without any.
 
     Regions are those of `least` common hashes, counted over the whole table. In each, every row outside the region's
     most frequent component is compared with all its rows, in cells of CELL_ROWS by CELL_ROWS rows, so that a region is no
-    single task. Rows of one component need no further link.
+    single task. Rows of one component need no further link. Only links leave a cell, found on 32 bits of the shingles'
+    hashes with one shingle to spare, for _confirm() to decide.
     """
 
     def regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,7 +211,7 @@ def _dense(signed: DataFrame, roots: DataFrame, forest: Forest, percent: int) ->
             if not len(frame):
                 continue
             signatures = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(len(frame), -1)
-            for tree, order in enumerate(forest.orders):
+            for tree, order in enumerate(forest.orders[: forest.dense_trees]):
                 prefix = np.zeros(len(frame), np.uint64)
                 for k in order[: forest.least]:
                     prefix = mix(prefix ^ (signatures[:, k] >> 8).astype(np.uint16)) + np.uint64(k)
@@ -208,46 +228,79 @@ def _dense(signed: DataFrame, roots: DataFrame, forest: Forest, percent: int) ->
     own = own.groupBy("region").agg(F.sum("count").alias("n"), F.max(F.struct("count", "root")).alias("main"))
     mixed = own.where("n > main.count").select("region", F.col("main.root").alias("main"), F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("n_right"), F.ceil((F.col("n") - F.col("main.count")) / CELL_ROWS).cast("int").alias("n_left"))
     mixed = materialize(mixed, "mixed")
-    rows = rows.join(small(mixed, mixed.count()), "region").join(signed.select("id", "n_shingles", "signature"), "id")
-    dealt = rows.withColumns({"minor": F.col("root") != F.col("main"), "hash": F.xxhash64("id", "signature")})
+    rows = rows.join(small(mixed, mixed.count()), "region")
+    sets = sets_of(rows.select("id")).select("id", F.transform("shingles", lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("array<int>").alias("shingles"))
+    dealt = rows.join(sets, "id").withColumns({"minor": F.col("root") != F.col("main"), "hash": F.xxhash64("id")})
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = dealt.where("minor").withColumn("j", every("n_right")).withColumns({"i": F.pmod("hash", "n_left").cast("int"), "side": F.lit(0)})
     right = dealt.withColumn("i", every("n_left")).withColumns({"j": F.pmod("hash", "n_right").cast("int"), "side": F.lit(1)})
     cell = ["region", "i", "j"]
-    columns = [*cell, "side", "id", "root", "minor", "n_shingles", "signature"]
-    limit = forest.agree * forest.hashes
+    columns = [*cell, "side", "id", "root", "minor", "shingles"]
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         x, y = frame[frame["side"] == 0], frame[frame["side"] == 1]
-        out = []
+        p = q = p_root = q_root = np.zeros(0, np.int64)
         if len(x) and len(y):
-            a, b = (np.frombuffer(b"".join(f["signature"]), np.uint32).reshape(len(f), -1).astype(np.uint8) for f in (x, y))
-            x_id, y_id, x_root, y_root, x_n, y_n = (f[c].to_numpy() for c in ("id", "root", "n_shingles") for f in (x, y))
-            twice = y["minor"].to_numpy()
-            for k in range(len(x)):
-                ok = (y_root != x_root[k]) & (~twice | (y_id > x_id[k])) & (100 * np.minimum(y_n, x_n[k]) >= percent * np.maximum(y_n, x_n[k]))
-                at = np.flatnonzero(ok)
-                at = at[(b[at] == a[k]).sum(axis=1) >= limit]
-                out.append((np.full(len(at), x_id[k]), y_id[at], np.full(len(at), x_root[k]), y_root[at]))
-        p, q, p_root, q_root = (np.concatenate(c) for c in zip(*out, strict=True)) if out else [np.zeros(0, np.int64)] * 4
+            x_id, y_id, x_root, y_root = (f[c].to_numpy() for c in ("id", "root") for f in (x, y))
+            shared, total = shared_counts(x["shingles"].tolist(), y["shingles"].tolist())
+            ok = (100 * (shared + 1) >= percent * (total - shared - 1)) & (x_root[:, None] != y_root)
+            a, b = np.nonzero(ok & (~y["minor"].to_numpy() | (y_id > x_id[:, None])))
+            p, q, p_root, q_root = x_id[a], y_id[b], x_root[a], y_root[b]
         swap = p > q
         pick = lambda u, v: np.where(swap, v, u)
         return pd.DataFrame({"low": pick(p, q), "high": pick(q, p), "low_root": pick(p_root, q_root), "high_root": pick(q_root, p_root)})
 
     both = left.select(*columns).unionByName(right.select(*columns))
-    pairs = both.groupBy(*cell).applyInPandas(compare, "low long, high long, low_root long, high_root long")
-    return pairs.distinct()
+    links = both.groupBy(*cell).applyInPandas(compare, "low long, high long, low_root long, high_root long")
+    return links.distinct()
+
+
+def shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(elements in common, elements of both) of every set of x with every set of y, by products of 0-1 matrices over COLUMNS elements at once."""
+    sides = []
+    for own in (x, y):
+        sizes = np.array([len(a) for a in own])
+        sides.append((np.concatenate(own), np.repeat(np.arange(len(own)), sizes), sizes))
+    (flat_x, row_x, size_x), (flat_y, row_y, size_y) = sides
+    common = np.intersect1d(flat_x, flat_y)
+    shared = np.zeros((len(x), len(y)), np.int64)
+    at = [(np.searchsorted(common, flat), row, flat) for flat, row in ((flat_x, row_x), (flat_y, row_y))]
+    at = [(k[ok], row[ok]) for k, row, flat in at for ok in [(k < len(common)) & (common[np.minimum(k, len(common) - 1)] == flat) if len(common) else np.zeros(len(k), bool)]]
+    for begin in range(0, len(common), COLUMNS):
+        pair = []
+        for (k, row), n in zip(at, shared.shape, strict=True):
+            here = (k >= begin) & (k < begin + COLUMNS)
+            m = np.zeros((n, min(COLUMNS, len(common) - begin)), np.float32)
+            m[row[here], k[here] - begin] = 1
+            pair.append(m)
+        shared += (pair[0] @ pair[1].T).astype(np.int64)
+    return shared, size_x[:, None] + size_y
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets have 100 * intersection >= percent * union."""
     left = sets.select(F.col("id").alias("low"), F.col("shingles").alias("of_low"))
     right = sets.select(F.col("id").alias("high"), F.col("shingles").alias("of_high"))
-    both = pairs.select("low", "high").join(left, "low").join(right, "high")
+    both = pairs.select("low", "high").join(right, "high").join(left, "low")  # pairs travel with one set, to the other
     shared = F.size(F.array_intersect("of_low", "of_high"))
     return both.select("low", "high", shared.alias("shared"), (F.size("of_low") + F.size("of_high")).alias("total")).where(F.lit(100) * F.col("shared") >= F.lit(percent) * (F.col("total") - F.col("shared"))).select("low", "high")
 
 
+def _members(full: DataFrame) -> DataFrame:
+    """(id, class) of rows of (id, set_a, set_b): class is the smallest id that has the same set.
+
+    The few classes that hold more than HEAVY_SHARE of all rows go to the rows by broadcast, the others by shuffle; rows
+    of a set that no other row has move for neither.
+    """
+    key = ["set_a", "set_b"]
+    classes = materialize(full.groupBy(*key).agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("n")).where("n > 1"), "classes")
+    heavy = F.col("n") > F.greatest(F.lit(64), F.lit(int(full.count() * HEAVY_SHARE)))
+    first = full.join(F.broadcast(classes.where(heavy).select(*key, "class")), key, "left")
+    rest = first.where("class is null").drop("class").join(classes.where(~heavy).select(*key, "class"), key, "left")
+    both = first.where("class is not null").unionByName(rest)
+    return both.select("id", F.coalesce("class", "id").alias("class")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest: Forest | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_shingles, component_id, kept of every row.
 
@@ -256,7 +309,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest:
     that counts has been confirmed on the full sets.
 
     1. Documents with equal sets are one class, found by a hash of the whole set. Only classes go on.
-    2. The forest gives candidate pairs; pairs in dense regions are neighbours, leaders and hubs, not yet all pairs.
+    2. The forest gives candidate pairs; pairs in dense regions are neighbours, leaders and hubs, not yet all pairs. Where
+       a partition of a sorted order ends, the rows on both sides are looked at once more together.
     3. Each class's best candidate is confirmed; then all other candidates that would join two components.
     4. Dense regions that still hold several components are compared in full, and what would join two is confirmed.
 
@@ -268,8 +322,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest:
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = materialize(_sign(docs, width, forest), "signatures")
     full = signed.where("n_shingles > 0")
-    classes = full.groupBy("set_a", "set_b").agg(F.min("id").alias("class"))
-    members = materialize(full.select("id", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("id", "class").distinct(), "members")
+    members = materialize(_members(full.select("id", "set_a", "set_b")), "members")
     heads = members.where("id = class").select("id").distinct()
     repeated = not signed.groupBy("id").count().where("count > 1").isEmpty()
     signatures = full.join(heads, "id", "left_semi")
@@ -283,7 +336,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest:
             yield pd.DataFrame({"id": frame["id"], "shingles": sets})
 
     def sets_of(pairs: DataFrame) -> DataFrame:
-        needed = materialize(pairs.select(F.col("low").alias("id")).union(pairs.select("high")).distinct(), "needed")
+        ids = pairs.select(F.col("low").alias("id")).union(pairs.select("high")) if "low" in pairs.columns else pairs
+        needed = materialize(ids.distinct(), "needed")
         sets = docs.join(small(needed, needed.count()), "id", "left_semi").mapInPandas(to_sets, "id long, shingles array<long>")
         return materialize(sets.dropDuplicates() if repeated else sets, "sets")
 
@@ -306,7 +360,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest:
         rest = rest.join(of, end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
     rest = materialize(rest.where("low_root <> high_root"), "rest")
     final = join_roots(roots, rest, sets)
-    dense = _dense(signatures, final, forest, percent)
+    dense = _dense(signatures, final, forest, percent, sets_of)
     if dense is not None:
         dense = materialize(dense, "compared")
         if not dense.isEmpty():

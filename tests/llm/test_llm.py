@@ -269,6 +269,72 @@ def test_dense_regions_are_compared_in_full(spark, monkeypatch):
     assert got == components(rows, 2)
 
 
+def exact_links(rows, width):
+    """All pairs with 100 * shared >= 80 * union among different sets, by rare shingles: equal pairs share one of the rarest fifth."""
+    sets, number = {}, {}
+    for i, t in rows:
+        w = WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        own = set(zip(*[w[j:] for j in range(width)], strict=False)) if len(w) >= width else {tuple(w)} - {()}
+        if own:
+            sets.setdefault(frozenset(number.setdefault(x, len(number)) for x in own), []).append(i)
+    often = Counter(x for s in sets for x in s)
+    where, links = defaultdict(list), [(min(ids), i) for ids in sets.values() for i in ids if i != min(ids)]
+    for s in sorted(sets, key=len):
+        rare = sorted(s, key=lambda x: (often[x], x))[: len(s) - -(-len(s) * 4 // 5) + 1]
+        for other in {o for x in rare for o in where[x]}:
+            n = len(s & other)
+            if 100 * n >= 80 * (len(s) + len(other) - n):
+                links.append((min(sets[s]), min(sets[other])))
+        for x in rare:
+            where[x].append(s)
+    return links
+
+
+def test_near_duplicates_lose_no_link_of_a_whole_table(spark):
+    data = spark.read.parquet(DATA.replace("sf0.001", "sf0.1") + "/documents.parquet")
+    links = exact_links([(r.doc_id, r.text) for r in data.select("doc_id", "text").collect()], 2)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(data, 2).collect()}
+    assert len(links) > 1000 and all(got[a] == got[b] for a, b in links)
+    root = {i: i for i in got}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    assert got == {i: find(i) for i in root}
+
+
+def test_regions_across_partitions_are_stitched(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = []
+    for k in range(60):
+        base = [f"b{k}x{i}" for i in range(60)]
+        rows += [(20 * k + i, " ".join(w if rng.random() > 0.03 else f"n{rng.integers(10**6)}" for w in base)) for i in range(20)]
+    monkeypatch.setattr(neardup, "ORDER_ROWS", 300)
+    monkeypatch.setattr(neardup, "_dense", lambda *a: None)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == components(rows, 2)
+
+
+def test_shared_counts(monkeypatch):
+    monkeypatch.setattr(neardup, "COLUMNS", 7)
+    rng = np.random.default_rng(2)
+    x, y = ([np.unique(rng.integers(0, 40, rng.integers(1, 30))).astype(np.int32) for _ in range(n)] for n in (9, 5))
+    shared, total = neardup.shared_counts(x, y)
+    assert all(shared[i, j] == len(set(a) & set(b)) and total[i, j] == len(a) + len(b) for i, a in enumerate(x) for j, b in enumerate(y))
+    assert neardup.shared_counts([np.array([1], np.int32)], [np.array([2], np.int32)])[0].tolist() == [[0]]
+
+
+def test_ids_repeated_with_different_texts(spark):
+    rows = [(1, passage(1)), (5, passage(1)), (5, passage(2)), (6, passage(2)), (7, passage(3)), (7, "")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect())
+    assert got == [(1, 66, 1), (5, 66, 1), (5, 66, 1), (6, 66, 1), (7, 0, 7), (7, 66, 7)]
+
+
 def repeats(rows, width=50):
     first, out = {}, []
     for i, t in sorted(r for r in rows if r[0] is not None):
