@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that a table may have to be sent to every executor; a larger one is joined by shuffle.
 BROADCAST_ROWS = 50_000
+#: Keys with more than this share of all rows, of which there are few, are broadcast.
+HEAVY_SHARE = 1 / 2000
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,11 +41,47 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage is cut, and lost executors lose nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch.get() or shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """Tables that are materialized within go to a folder of their own, which is deleted at the end."""
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def lasting() -> Iterator[None]:
+    """Within scratch(): what is materialized here stays."""
+    token = _scratch.set(None)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """rows left-joined with counted: keys, n (how many rows have the key), one or more further columns, the first of them never null.
+
+    The keys with more than HEAVY_SHARE of total rows, 2000 at most, go to the rows by broadcast; the other rows move
+    by key. No task gets more than a small part of the rows for its key.
+    """
+    heavy = F.col("n") > F.greatest(F.lit(64), F.lit(int(total * HEAVY_SHARE)))
+    names = [c for c in counted.columns if c not in (*keys, "n")]
+    first = rows.join(F.broadcast(counted.where(heavy).drop("n")), keys, "left")
+    rest = first.where(F.col(names[0]).isNull()).drop(*names).join(counted.where(~heavy).drop("n"), keys, "left")
+    return first.where(F.col(names[0]).isNotNull()).unionByName(rest)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """df with a broadcast hint if it has no more rows than BROADCAST_ROWS, else as it is (AQE then splits skewed joins)."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

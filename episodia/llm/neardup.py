@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, small, table
+from .common import join_counted, lasting, materialize, scratch, small, table
 from .graph import components
 from .words import mix, shingle_set, word_hashes
 
@@ -24,8 +24,6 @@ ORDER_ROWS = 150_000
 CELL_ROWS = 512
 #: Elements of sets compared at once in a cell.
 COLUMNS = 4096
-#: Classes of equal sets with more than this share of all rows, of which there are few, are broadcast.
-HEAVY_SHARE = 1 / 2000
 PAIR, EDGE = ("low", "high", "same"), ("edge", "tree", "key_a", "key_b", "id", "sketch")
 
 
@@ -287,39 +285,14 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _members(full: DataFrame) -> DataFrame:
-    """(id, class) of rows of (id, set_a, set_b): class is the smallest id that has the same set.
-
-    The few classes that hold more than HEAVY_SHARE of all rows go to the rows by broadcast, the others by shuffle; rows
-    of a set that no other row has move for neither.
-    """
+    """(id, class) of rows of (id, set_a, set_b): class is the smallest id that has the same set."""
     key = ["set_a", "set_b"]
     classes = materialize(full.groupBy(*key).agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("n")).where("n > 1"), "classes")
-    heavy = F.col("n") > F.greatest(F.lit(64), F.lit(int(full.count() * HEAVY_SHARE)))
-    first = full.join(F.broadcast(classes.where(heavy).select(*key, "class")), key, "left")
-    rest = first.where("class is null").drop("class").join(classes.where(~heavy).select(*key, "class"), key, "left")
-    both = first.where("class is not null").unionByName(rest)
-    return both.select("id", F.coalesce("class", "id").alias("class")).distinct()
-
+    return join_counted(full, classes, key, full.count()).select("id", F.coalesce("class", "id").alias("class")).distinct()
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest: Forest | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id, kept of every row.
 
-    Documents whose sets of `width`-word shingles (lower-cased in ASCII) have a Jaccard similarity of percent / 100
-    or more are linked; component_id is the smallest id reachable, and the document of that id is kept. Every link
-    that counts has been confirmed on the full sets.
-
-    1. Documents with equal sets are one class, found by a hash of the whole set. Only classes go on.
-    2. The forest gives candidate pairs; pairs in dense regions are neighbours, leaders and hubs, not yet all pairs. Where
-       a partition of a sorted order ends, the rows on both sides are looked at once more together.
-    3. Each class's best candidate is confirmed; then all other candidates that would join two components.
-    4. Dense regions that still hold several components are compared in full, and what would join two is confirmed.
-
-    A text with fewer words than `width` is one shingle; null and empty texts have none and link with nothing. Rows
-    of one id are one document with all their links. Null ids link with nothing and are kept. An empty table gives no
-    rows; further columns are ignored.
-    """
-    forest = forest or Forest()
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+def _components_of(docs: DataFrame, width: int, percent: int, forest: Forest) -> DataFrame:
+    """(id, n_shingles, component_id) of docs (id, text) with an id."""
     signed = materialize(_sign(docs, width, forest), "signatures")
     full = signed.where("n_shingles > 0")
     members = materialize(_members(full.select("id", "set_a", "set_b")), "members")
@@ -367,7 +340,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest:
             final = join_roots(final, dense, sets_of(dense))
 
     grouped = members.groupBy("id").agg(F.min("class").alias("class")).join(final.withColumnRenamed("node", "class"), "class", "left").select("id", F.coalesce("root", "class").alias("component_id"))
-    out = signed.select("id", "n_shingles").join(grouped, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    return signed.select("id", "n_shingles").join(grouped, "id", "left").withColumn("component_id", F.coalesce("component_id", "id"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, forest: Forest | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_shingles, component_id, kept of every row.
+
+    Documents whose sets of `width`-word shingles (lower-cased in ASCII) have a Jaccard similarity of percent / 100
+    or more are linked; component_id is the smallest id reachable, and the document of that id is kept. Every link
+    that counts has been confirmed on the full sets.
+
+    1. Documents with equal sets are one class, found by a hash of the whole set. Only classes go on.
+    2. The forest gives candidate pairs; pairs in dense regions are neighbours, leaders and hubs, not yet all pairs. Where
+       a partition of a sorted order ends, the rows on both sides are looked at once more together.
+    3. Each class's best candidate is confirmed; then all other candidates that would join two components.
+    4. Dense regions that still hold several components are compared in full, and what would join two is confirmed.
+
+    A text with fewer words than `width` is one shingle; null and empty texts have none and link with nothing. Rows
+    of one id are one document with all their links. Null ids link with nothing and are kept. An empty table gives no
+    rows; further columns are ignored.
+    """
+    forest = forest or Forest()
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    with scratch(docs.sparkSession, "near_duplicates"):
+        out = _components_of(docs, width, percent, forest)
+        with lasting():
+            out = materialize(out, "components")
     nameless = docs.where("id is null").select("id", F.lit(0).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return out.unionByName(nameless).select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
