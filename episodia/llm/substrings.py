@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,15 +13,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, table
-from .words import gram_hashes, mix, split_words, word_hashes
+from .common import WORD, join_counted, lasting, materialize, scratch, small, table
+from .words import gram_hashes, split_words, word_hashes
 
-#: An anchor in more documents than this is split up by the windows' own words.
-HOT_DOCUMENTS = 256
-#: By grams of these parts of the window the runs of hot anchors are cut, in turn; the last gram is the window itself.
-HOT_GRAMS = (0.68, 0.92, 1.0)
-#: Reference runs in one shard.
-SHARD_RUNS = 4000
+#: Shared anchors of one reference shard; an anchor stands for some tens of words.
+SHARD_ANCHORS = 500
+#: Words of one reference document in one shard.
+SHARD_WORDS = 5_000
+#: Words that one task streams against a shard's automaton.
+STREAM_WORDS = 100_000
 
 
 class SuffixAutomaton:
@@ -94,10 +96,9 @@ class SuffixAutomaton:
         return out
 
 
-def window_anchors(words: np.ndarray, width: int, gram: int, salt: int = 0) -> np.ndarray:
+def window_anchors(words: np.ndarray, width: int, gram: int) -> np.ndarray:
     """The smallest gram hash of every window of `width` words: equal windows have equal anchors."""
     low = gram_hashes(words, gram)
-    low = mix(low ^ np.uint64(salt)) if salt else low
     span, have = width - gram + 1, 1
     if len(low) < span:
         return low[:0]
@@ -107,160 +108,154 @@ def window_anchors(words: np.ndarray, width: int, gram: int, salt: int = 0) -> n
     return low
 
 
-def runs(*anchors: np.ndarray) -> list[tuple[int, int]]:
-    """(first, past last) of the longest stretches of windows with the same anchors."""
-    cuts = np.flatnonzero(np.logical_or.reduce([a[1:] != a[:-1] for a in anchors])) + 1
-    n = len(anchors[0])
-    return list(zip([0, *cuts.tolist()], [*cuts.tolist(), n], strict=True)) if n else []
-
-
-def spans_of(positions: list[int], width: int) -> list[tuple[int, int]]:
-    """The words that windows at sorted positions cover, as maximal (begin, end)."""
-    out: list[tuple[int, int]] = []
-    for p in positions:
-        if out and p <= out[-1][1]:
-            out[-1] = (out[-1][0], p + width)
-        else:
-            out.append((p, p + width))
+def grams(width: int, gram: int) -> list[int]:
+    """Gram lengths of the rounds: what a window has beyond a gram shrinks to a third each time, at last to nothing."""
+    out = [gram]
+    while out[-1] < width:
+        out.append(width - (width - out[-1]) // 3)
     return out
 
 
-def _anchor_table(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    def anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = word_hashes()
-        for frame in frames:
-            found = [np.unique(window_anchors(hashes.of(split_words(t)), width, gram)).astype(np.int64) for t in frame["text"].tolist()]
-            yield pd.DataFrame({"anchor": np.concatenate([np.empty(0, np.int64), *found]), "id": np.repeat(frame["id"].to_numpy(np.int64), [len(x) for x in found])})
-
-    return docs.select("id", "text").mapInPandas(anchors, "anchor long, id long")
-
-
-_RUNS = "id long, mark long, anchor long, run_a long, run_b long, starts array<int>, words int, run binary"
-
+def runs(labels: np.ndarray) -> list[tuple[int, int]]:
+    """(first, past last) of the longest stretches of equal labels."""
+    cuts = [0, *(np.flatnonzero(labels[1:] != labels[:-1]) + 1).tolist(), len(labels)]
+    return list(itertools.pairwise(cuts)) if len(labels) else []
 
-def _with(anchor: int, finer: np.ndarray) -> np.ndarray:
-    """Anchors that are equal where both the anchor and the finer ones are."""
-    return mix(mix(np.array([anchor]).astype(np.uint64)) ^ finer).astype(np.int64)
 
+KEY = ["id", "mark", "start"]
+NONE = np.iinfo(np.int64).max
+SPANS = "array<struct<begin:int,end:int>>"
 
-def _run_rows(cuts: list[tuple[int, int, int]], words: list[bytes], width: int) -> list[tuple]:
-    """(anchor, run_a, run_b, starts, words, run) of each distinct run among cuts of (anchor, first window, past last)."""
-    found: dict[tuple[int, bytes], list[int]] = {}
-    for anchor, begin, end in cuts:
-        found.setdefault((anchor, b" ".join(words[begin : end - 1 + width])), []).append(begin)
-    return [(anchor, *np.frombuffer(xxhash.xxh3_128_digest(run), np.int64).tolist(), starts, run.count(b" ") + 1, run) for (anchor, run), starts in found.items()]
 
+def _sketch(pieces: DataFrame, width: int, gram: int) -> DataFrame:
+    """Of each piece with a window: its number of words, a 128-bit hash of them, and its different anchors.
 
-def _run_table(shared_docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """Runs of shared anchors, by document: their words and where they start. run_a and run_b are a 128-bit hash of the words.
-
-    The runs of a hot anchor are cut once more, by the first of HOT_GRAMS, so that more of them are the same in all
-    documents that share a passage.
+    An anchor comes with the part of the document, of SHARD_WORDS words, in which it first stands.
     """
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = word_hashes()
         for frame in frames:
             out = []
-            for key, mark, text, cold, hot in zip(frame["id"].tolist(), frame["mark"].tolist(), frame["text"].tolist(), frame["shared"], frame["hot"], strict=True):
+            for key, mark, start, text in zip(*(frame[c].tolist() for c in (*KEY, "text")), strict=True):
                 words = split_words(text)
-                ids = hashes.of(words)
-                anchors = window_anchors(ids, width, gram).astype(np.int64)
-                cold, hot, cuts = set(cold.tolist()), set(hot.tolist()), {False: [], True: []}
-                finer = window_anchors(ids, width, max(gram, round(HOT_GRAMS[0] * width)), salt=1) if hot else None
-                for begin, end in runs(anchors):
-                    if (anchor := int(anchors[begin])) in cold:
-                        cuts[False].append((anchor, begin, end))
-                    elif anchor in hot:
-                        keys = _with(anchor, finer[begin:end])
-                        cuts[True] += [(int(keys[c]), begin + c, begin + d) for c, d in runs(keys)]
-                out += [(is_hot, key, mark, *row) for is_hot in cuts for row in _run_rows(cuts[is_hot], words, width)]
-            yield pd.DataFrame(out, columns=["hot", "id", "mark", "anchor", "run_a", "run_b", "starts", "words", "run"])
+                if len(words) >= width:
+                    of = hashes.of(words)
+                    anchors, first = np.unique(window_anchors(of, width, gram), return_index=True)
+                    whole = np.frombuffer(xxhash.xxh3_128_digest(of.tobytes()), np.int64).tolist()
+                    out.append((key, mark, start, len(words), *whole, anchors.astype(np.int64), ((start + first) // SHARD_WORDS).astype(np.int32)))
+            yield pd.DataFrame(out, columns=[*KEY, "words", "hash_a", "hash_b", "anchors", "parts"])
 
-    return shared_docs.mapInPandas(cut, f"hot boolean, {_RUNS}")
+    return pieces.select(*KEY, "text").mapInPandas(sketch, "id long, mark long, start int, words int, hash_a long, hash_b long, anchors array<long>, parts array<int>")
 
 
-def _finer_runs(left: DataFrame, width: int, gram: int) -> DataFrame:
-    """The runs cut by one more anchor, of grams of `gram` words; where that is the window, every window is a run."""
+def _segments(pieces: DataFrame, live: DataFrame, shared: DataFrame, n_anchors: int, width: int, gram: int) -> DataFrame:
+    """(shard, role, id, mark, start, words, text): the longest stretches of windows of shared anchors that meet in one shard.
+
+    Role 0 is reference: windows whose anchor no smaller id has. Role 1 is to be streamed against the reference.
+    """
+    anchors = live.select(*KEY, F.explode("anchors").alias("anchor"))
+    met = join_counted(anchors, shared, ["anchor"], n_anchors).where("shard is not null")
+    lists = met.groupBy(*KEY).agg(F.collect_set(F.struct("anchor", (F.col("first") == F.col("id")).alias("is_first"), "shard")).alias("met"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = word_hashes()
         for frame in frames:
             out = []
-            for key, mark, anchor, starts, run in zip(frame["id"].tolist(), frame["mark"].tolist(), frame["anchor"].tolist(), frame["starts"], frame["run"], strict=True):
-                words = run.split()
-                keys = _with(anchor, window_anchors(hashes.of(words), width, gram, salt=gram))
-                cuts = runs(keys) if gram < width else [(i, i + 1) for i in range(len(keys))]
-                for *row, inner, n, text in _run_rows([(int(keys[a]), a, b) for a, b in cuts], words, width):
-                    out.append((key, mark, *row, [int(s) + i for s in starts for i in inner], n, text))
-            yield pd.DataFrame(out, columns=["id", "mark", "anchor", "run_a", "run_b", "starts", "words", "run"])
+            for key, mark, start, text, anchors, is_first, shards in zip(*(frame[c].tolist() for c in (*KEY, "text", "anchors", "is_first", "shards")), strict=True):
+                words, order = split_words(text), np.argsort(anchors)
+                own = window_anchors(hashes.of(words), width, gram).astype(np.int64)
+                at = np.minimum(np.searchsorted(anchors[order], own), len(order) - 1)
+                label = np.where(anchors[order][at] == own, 2 * shards[order][at] + ~is_first[order][at], -1)
+                for begin, end in runs(label):
+                    if label[begin] >= 0:
+                        out.append((label[begin] // 2, label[begin] % 2, key, mark, start + begin, end - begin - 1 + width, b" ".join(words[begin : end - 1 + width]).decode()))
+            yield pd.DataFrame(out, columns=["shard", "role", *KEY, "words", "text"])
 
-    return left.mapInPandas(cut, _RUNS)
+    joined = pieces.join(lists, KEY).select(*KEY, "text", F.col("met.anchor").alias("anchors"), F.col("met.is_first").alias("is_first"), F.col("met.shard").alias("shards"))
+    return joined.mapInPandas(cut, "shard long, role int, id long, mark long, start int, words int, text string")
 
 
-def _judge_hot(hot: DataFrame, width: int, gram: int) -> DataFrame:
-    """(id, mark, spans) of the repeats among runs of hot anchors, with no task for a whole anchor.
+def _stream(segments: DataFrame, width: int) -> DataFrame:
+    """(id, mark, start, spans, text): what a segment shares with a smaller id, and, with text, each stretch of windows left.
 
-    A run that a smaller id has as a whole is a repeat as a whole. Of each run its first document is left, and of these
-    only the runs whose anchor is that of another document's too: equal windows have equal anchors. What is left is
-    cut by the next of HOT_GRAMS and judged again, at last window by window.
+    A shard's reference goes to all tasks that stream its documents, one for each STREAM_WORDS words, which build its
+    suffix automaton and take the documents' matching statistics against it.
     """
-    run, out, left = ["anchor", "run_a", "run_b"], None, hot
-    grams = sorted({max(gram, round(part * width)) for part in HOT_GRAMS[1:]} | {width})
-    for finer in [*grams, None]:
-        first = left.groupBy(*run).agg(F.min("id").alias("first"))
-        whole = left.drop("run").join(first, run).where("first < id").select("id", "mark", F.transform("starts", lambda s: F.struct(s.alias("begin"), (s + F.col("words")).alias("end"))).alias("spans"))
-        out = whole if out is None else out.unionByName(whole)
-        if finer:
-            first = materialize(first, "first_runs")
-            several = first.groupBy("anchor").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low < high").select("anchor")
-            left = left.join(first.join(several, "anchor").withColumnRenamed("first", "id"), [*run, "id"])
-            left = materialize(_finer_runs(left, width, finer), f"runs_{finer}")
-    return out
-
-
-def _judge_shards(cold: DataFrame, width: int) -> DataFrame:
-    """(id, mark, spans) of what the automata of the shards find."""
-    shards = max(1, -(-cold.count() // SHARD_RUNS))
+    loads = materialize(segments.where("role = 1").groupBy("shard").agg(F.ceil(F.sum("words") / STREAM_WORDS).cast("int").alias("tasks")).where("tasks > 1"), "loads")
+    segments = segments.join(small(loads, loads.count()), "shard", "left").withColumn("tasks", F.coalesce("tasks", F.lit(1)))
+    task = F.when(F.col("role") == 1, F.array(F.pmod(F.xxhash64(*KEY), "tasks").cast("int"))).otherwise(F.sequence(F.lit(0), F.col("tasks") - 1))
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
+        lowest: dict[str, int] = {}
+        is_reference = frame["role"].to_numpy() == 0
+        for text, key in zip(*(frame.loc[is_reference, c].tolist() for c in ("text", "id")), strict=True):
+            lowest[text] = min(key, lowest.get(text, key))
+        reference = SuffixAutomaton()
+        for text, key in lowest.items():
+            reference.add(text.encode().split(), key)
+        reference.close()
+        judged: dict[str, tuple[list[bytes], np.ndarray]] = {}
         out = []
-        for _, same in frame.groupby("anchor"):
-            texts, keys = same["run"].tolist(), same["id"].tolist()
-            lowest: dict[bytes, int] = {}
-            for text, key in zip(texts, keys, strict=True):
-                lowest[text] = min(key, lowest.get(text, key))
-            reference = SuffixAutomaton()
-            for text, key in lowest.items():
-                reference.add(text.split(), key)
-            reference.close()
-            judged = {text: reference.windows(text.split(), width) for text in lowest}
-            for text, key, mark, starts in zip(texts, keys, same["mark"].tolist(), same["starts"], strict=True):
-                if gone := [i for i, low in enumerate(judged[text]) if low is not None and low < key]:
-                    out.append((key, mark, [{"begin": int(s) + a, "end": int(s) + b} for s in starts for a, b in spans_of(gone, width)]))
-        return pd.DataFrame(out, columns=["id", "mark", "spans"])
-
-    return cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy("shard").applyInPandas(judge, "id long, mark long, spans array<struct<begin:int,end:int>>")
+        for key, mark, start, text in zip(*(frame.loc[~is_reference, c].tolist() for c in (*KEY, "text")), strict=True):
+            if text not in judged:
+                words = text.encode().split()
+                judged[text] = words, np.array([NONE if low is None else low for low in reference.windows(words, width)], np.int64)
+            words, low = judged[text]
+            found = low < key
+            spans = []
+            for begin, end in runs(found):
+                if found[begin]:
+                    spans.append({"begin": start + begin, "end": start + end - 1 + width})
+                else:
+                    out.append((key, mark, start + begin, None, b" ".join(words[begin : end - 1 + width]).decode()))
+            if spans:
+                out.append((key, mark, start, spans, None))
+        return pd.DataFrame(out, columns=[*KEY, "spans", "text"])
+
+    dealt = segments.select("shard", F.explode(task).alias("task"), "role", *KEY, "text")
+    return dealt.groupBy("shard", "task").applyInPandas(judge, f"id long, mark long, start int, spans {SPANS}, text string")
 
 
 def repeated_spans(docs: DataFrame, width: int = 50, gram: int = 12) -> DataFrame:
     """(id, mark, spans): the words of each text that lie in a window that a smaller id has too. docs: id, mark, text.
 
-    1. Every window has an anchor, the smallest of its gram hashes; only anchors in two documents or more go on.
-    2. The runs of windows of such anchors are dealt to shards by anchor, so all equal windows meet in one shard. The
-       shard's runs are its reference: a suffix automaton of their distinct word sequences, against which each run is
-       streamed for its matching statistics.
-    3. An anchor in more than HOT_DOCUMENTS documents could make one shard as large as the table. Its windows are
-       compared by ever shorter runs instead, by 128-bit hashes of their words and the smallest id of each.
+    Rounds over pieces of text, at first the documents, with ever longer grams:
+
+    1. Equal pieces: what a smaller id has as a whole is repeated as a whole; the smallest id's piece goes on.
+    2. Every window has an anchor, the smallest of its gram hashes, so equal windows have equal anchors. Of each anchor in
+       two documents or more, the document of the smallest id is the reference. Reference windows are cut into shards
+       by document, of bounded size whatever the number of documents that share them.
+    3. A suffix automaton of each shard gives the matching statistics of the documents that share its anchors: where a
+       match spans a window that a smaller id has, the window is repeated.
+    4. Windows that the reference does not have are the next round's pieces: they may still be equal among each other. In
+       the last round the gram is the window, so that nothing is left.
     """
-    anchors = materialize(_anchor_table(docs, width, gram), "anchors")
-    shared = anchors.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last")
-    marked = anchors.join(shared.select("anchor", (F.col("n") > HOT_DOCUMENTS).alias("is_hot")), "anchor")
-    lists = marked.groupBy("id").agg(F.collect_set(F.when(~F.col("is_hot"), F.col("anchor"))).alias("shared"), F.collect_set(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"))
-    found = materialize(_run_table(docs.join(lists, "id"), width, gram), "runs")
-    cold = _judge_shards(found.where("not hot").select("anchor", "id", "mark", "starts", "run"), width)
-    hot = _judge_hot(found.where("hot").drop("hot"), width, gram)
-    return cold.unionByName(hot).groupBy("id", "mark").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+    spark = docs.sparkSession
+    with scratch(spark, "repeats"):
+        pieces, found = docs.withColumn("start", F.lit(0)), []
+        for own in grams(width, gram):
+            sketch = materialize(_sketch(pieces, width, own), "sketch")
+            classes = materialize(sketch.groupBy("hash_a", "hash_b").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last").drop("last"), "classes")
+            marked = materialize(join_counted(sketch, classes, ["hash_a", "hash_b"], sketch.count()), "marked")
+            whole = F.array(F.struct(F.col("start").alias("begin"), (F.col("start") + F.col("words")).alias("end")))
+            found.append(marked.where("first < id").select("id", "mark", whole.alias("spans")))
+            live = marked.where("first is null or first = id")
+            anchors = live.select("id", F.explode(F.arrays_zip("anchors", "parts")).alias("a"))
+            place = F.min(F.struct("id", "a.parts")).alias("place")
+            shared = anchors.groupBy("a.anchors").agg(place, F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("place.id < last")
+            shared = materialize(shared.select(F.col("anchors").alias("anchor"), F.col("place.id").alias("first"), F.xxhash64("place").alias("shard"), "n"), "shared")
+            n_shared, n_anchors = shared.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+            if not n_shared:
+                break
+            shared = shared.withColumn("shard", F.pmod("shard", F.lit(-(-n_shared // SHARD_ANCHORS))))
+            segments = materialize(_segments(pieces, live, shared, n_anchors, width, own), "segments")
+            judged = materialize(_stream(segments, width), "judged")
+            found.append(judged.where("spans is not null").select("id", "mark", "spans"))
+            pieces = judged.where("text is not null").select(*KEY, "text")
+        spans = reduce(DataFrame.unionByName, found).groupBy("id", "mark").agg(F.sort_array(F.flatten(F.collect_set("spans"))).alias("spans"))
+        with lasting():
+            return materialize(spans, "spans")
 
 
 _WORD = re.compile(WORD)

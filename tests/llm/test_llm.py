@@ -350,14 +350,33 @@ def repeats(rows, width=50):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("hot", [1, 256])
-def test_repeats_against_brute_force(spark, docs, none, hot, monkeypatch):
-    monkeypatch.setattr(substrings, "HOT_DOCUMENTS", hot)
+@pytest.mark.parametrize("sizes", [(500, 5000, 100_000), (3, 100, 300)])
+def test_repeats_against_brute_force(spark, docs, none, sizes, monkeypatch):
+    for name, size in zip(("SHARD_ANCHORS", "SHARD_WORDS", "STREAM_WORDS"), sizes, strict=True):
+        monkeypatch.setattr(substrings, name, size)
     got = [(r.doc_id, r.n_words, r.n_removed, WORDS.findall(r.text or "")) for r in substrings.remove_repeats(docs).collect()]
     assert sorted(got, key=str) == repeats([(r[0], r[1]) for r in ROWS])
     assert substrings.remove_repeats(none).count() == 0
 
 
+def test_repeats_of_one_passage_in_a_third_of_all_documents(spark):
+    rng = np.random.default_rng(11)
+    words = lambda n: [f"w{x}" for x in rng.integers(400, size=n)]
+    hot, base = passage(7, 80), words(150)
+    rows = []
+    for i in range(900):
+        if i % 3 == 0:
+            rows.append((i, " ".join([*words(rng.integers(0, 60)), hot, *words(rng.integers(0, 60))])))
+        elif i % 3 == 1:
+            rows.append((i, " ".join(w if rng.random() > 0.03 else f"n{rng.integers(50)}" for w in base)))
+        else:
+            rows.append((i, " ".join(words(rng.integers(0, 120)))))
+    rows += [(2000 + i, rows[0][1]) for i in range(100)]
+    got = [(r.doc_id, r.n_words, r.n_removed, WORDS.findall(r.text or "")) for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()]
+    assert sorted(got, key=str) == repeats(rows)
+    assert substrings.grams(50, 12) == [12, 38, 46, 49, 50] and substrings.grams(10, 10) == [10]
+
+
 def test_suffix_automaton_windows():
     rng = np.random.default_rng(0)
     texts = [[b"%d" % x for x in rng.integers(3, size=60)] for _ in range(8)]
