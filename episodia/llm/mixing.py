@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, materialize, small, table
 
-#: A document's place is a hash of 48 bits, refined 16 bits at a time.
-LEVEL_BITS, LEVELS = 16, 3
+#: A document's place is a hash of 48 bits, refined 12 bits at a time.
+LEVEL_BITS, LEVELS = 12, 4
 
 
 def place(key: Column, text: Column) -> Column:
