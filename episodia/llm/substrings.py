@@ -22,6 +22,10 @@ SHARD_ANCHORS = 500
 SHARD_WORDS = 5_000
 #: Words that one task streams against a shard's automaton.
 STREAM_WORDS = 100_000
+#: Pieces left by a round that one task takes up.
+PIECE_ROWS = 5_000
+#: Keys of two or three numbers that may be sent to every executor.
+KEY_ROWS = 1_000_000
 
 
 class SuffixAutomaton:
@@ -109,10 +113,10 @@ def window_anchors(words: np.ndarray, width: int, gram: int) -> np.ndarray:
 
 
 def grams(width: int, gram: int) -> list[int]:
-    """Gram lengths of the rounds: what a window has beyond a gram shrinks to a third each time, at last to nothing."""
+    """Gram lengths of the rounds: what a window has beyond a gram shrinks to a quarter each time, at last to nothing."""
     out = [gram]
     while out[-1] < width:
-        out.append(width - (width - out[-1]) // 3)
+        out.append(width - (width - out[-1]) // 4)
     return out
 
 
@@ -122,6 +126,11 @@ def runs(labels: np.ndarray) -> list[tuple[int, int]]:
     return list(itertools.pairwise(cuts)) if len(labels) else []
 
 
+def only(rows: DataFrame, table: DataFrame, key: list[str], n: int) -> DataFrame:
+    """rows without those whose key is not among table's n, if the keys can be broadcast; so fewer texts move. Else all rows."""
+    return rows.join(F.broadcast(table.select(*key)), key, "left_semi") if n <= KEY_ROWS else rows
+
+
 KEY = ["id", "mark", "start"]
 NONE = np.iinfo(np.int64).max
 SPANS = "array<struct<begin:int,end:int>>"
@@ -172,7 +181,8 @@ def _segments(pieces: DataFrame, live: DataFrame, shared: DataFrame, n_anchors:
                         out.append((label[begin] // 2, label[begin] % 2, key, mark, start + begin, end - begin - 1 + width, b" ".join(words[begin : end - 1 + width]).decode()))
             yield pd.DataFrame(out, columns=["shard", "role", *KEY, "words", "text"])
 
-    joined = pieces.join(lists, KEY).select(*KEY, "text", F.col("met.anchor").alias("anchors"), F.col("met.is_first").alias("is_first"), F.col("met.shard").alias("shards"))
+    lists = materialize(lists, "lists")
+    joined = only(pieces, lists, KEY, lists.count()).join(lists, KEY).select(*KEY, "text", F.col("met.anchor").alias("anchors"), F.col("met.is_first").alias("is_first"), F.col("met.shard").alias("shards"))
     return joined.mapInPandas(cut, "shard long, role int, id long, mark long, start int, words int, text string")
 
 
@@ -213,7 +223,9 @@ def _stream(segments: DataFrame, width: int) -> DataFrame:
                 out.append((key, mark, start, spans, None))
         return pd.DataFrame(out, columns=[*KEY, "spans", "text"])
 
-    dealt = segments.select("shard", F.explode(task).alias("task"), "role", *KEY, "text")
+    groups = segments.agg(F.count_distinct("shard"), F.coalesce(F.sum(F.when(F.col("role") == 1, F.col("words"))), F.lit(0))).first()
+    parts = max(1, -(-(groups[0] + groups[1] // STREAM_WORDS) // 8))  # so many that small shards don't end in a few long tasks
+    dealt = segments.select("shard", F.explode(task).alias("task"), "role", *KEY, "text").repartition(parts, "shard", "task")
     return dealt.groupBy("shard", "task").applyInPandas(judge, f"id long, mark long, start int, spans {SPANS}, text string")
 
 
@@ -253,6 +265,7 @@ def repeated_spans(docs: DataFrame, width: int = 50, gram: int = 12) -> DataFram
             judged = materialize(_stream(segments, width), "judged")
             found.append(judged.where("spans is not null").select("id", "mark", "spans"))
             pieces = judged.where("text is not null").select(*KEY, "text")
+            pieces = pieces.repartition(max(1, -(-pieces.count() // PIECE_ROWS)))
         spans = reduce(DataFrame.unionByName, found).groupBy("id", "mark").agg(F.sort_array(F.flatten(F.collect_set("spans"))).alias("spans"))
         with lasting():
             return materialize(spans, "spans")
@@ -300,7 +313,11 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
                 out.append((key, mark, words, gone, [{"begin": a, "end": b} for a, b in merged], text))
             yield pd.DataFrame(out, columns=["id", "mark", "n_words", "n_removed", "spans", "text"]).astype({"id": "Int64"})
 
-    joined = docs.join(spans, ["id", "mark"], "left").select("id", "mark", "text", "spans")
+    key, n = ["id", "mark"], spans.count()
+    joined = only(docs, spans, key, n).join(spans, key, "left").select(*key, "text", "spans")
+    if n <= KEY_ROWS:
+        rest = docs.join(F.broadcast(spans.select(*key)), key, "left_anti")
+        joined = joined.unionByName(rest.withColumn("spans", F.lit(None).cast(SPANS)).select(*key, "text", "spans"))
     return joined.mapInPandas(clean, "id long, mark long, n_words long, n_removed long, spans array<struct<begin:int,end:int>>, text string").withColumnsRenamed({"id": id_col, "text": text_col})
 
 
