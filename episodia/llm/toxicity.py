@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -73,13 +72,12 @@ class TextCNN:
         self.out = rng.normal(0, 0.1, len(self.widths) * self.filters).astype(np.float32)
         self.scale, self.shift = np.float32(1), np.float32(0)
 
-    def fit(self, rows: list[np.ndarray], words: list[list[int]], labels: np.ndarray) -> TextCNN:
+    def fit(self, rows: list[np.ndarray], numbers: np.ndarray, begins: np.ndarray, labels: np.ndarray) -> TextCNN:
         """AdaGrad on the log loss; only each filter's best position gets a gradient. Half of every batch is of label 1.
 
-        rows holds each text's words as numbers from 1, words the buckets of word 1, 2 and so on.
+        rows holds each text's words as numbers from 1; the buckets of word i are numbers[begins[i] : begins[i + 1]].
         """
         rng = np.random.default_rng(self.seed + 1)
-        numbers, begins = flatten(itertools.chain([[0]], words))
         seen = [np.full_like(self.embedding, 1e-3), *[np.full_like(k, 1e-3) for k in self.kernels], np.full_like(self.out, 1e-3)]
         widest = max(self.widths)
 
@@ -158,9 +156,9 @@ def best_threshold(buckets: np.ndarray, n: np.ndarray, bad: np.ndarray) -> float
 class Scorer:
     """Scores texts with a fitted model, keeping the vectors of the words it has met."""
 
-    def __init__(self, model: TextCNN) -> None:
+    def __init__(self, model: TextCNN, cache: int = CACHE_WORDS) -> None:
         self.model, self.rows = model, {}
-        self.vectors = np.zeros((CACHE_WORDS + 2 * PART, model.dims), np.float32)  # row 0 pads
+        self.vectors = np.zeros((cache + 2 * PART, model.dims), np.float32)  # row 0 pads
 
     def _look_up(self, words: list[str]) -> np.ndarray:
         new = [w for w in dict.fromkeys(words) if w not in self.rows]
@@ -173,10 +171,11 @@ class Scorer:
             self.rows.update(zip(new, range(at, at + len(new)), strict=True))
         return np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words))
 
-    def scores_of_numbers(self, rows: list[np.ndarray], words: list[list[int]]) -> np.ndarray:
+    def scores_of_numbers(self, rows: list[np.ndarray], numbers: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """As scores(), of texts given as fit() takes them."""
         m = self.model
-        vectors = np.concatenate([np.zeros((1, m.dims), np.float32), pool_words(m.embedding, *flatten(words))])
+        vectors = pool_words(m.embedding, numbers, begins)
+        vectors[0] = 0
         tail = np.zeros(2 * max(m.widths), np.int32)
         best = []
         for row in rows:
@@ -240,26 +239,26 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("mark")).join(few, "id")
     share = min(1.0, max_training_rows / max(1, rows.select("mark").distinct().count()))
     model = TextCNN()
-    sample = materialize(rows.where(hash_below(F.col("mark"), share)).dropDuplicates(["mark"]).select("id", "mark", "label", "text").mapInPandas(_numbered, "id long, mark long, label int, words array<int>, fresh array<int>, parts array<array<int>>"), "sample")
-    found = sample.select("id", "mark", "label", "words").collect()
-    found.sort(key=lambda r: (r.id, r.mark))
-    y = np.array([r.label for r in found], np.int64)
+    sample = rows.where(hash_below(F.col("mark"), share)).dropDuplicates(["mark"]).select("id", "mark", "label", "text")
+    sample = materialize(sample.mapInPandas(_numbered, "id long, mark long, label int, words binary, fresh array<int>, parts array<binary>"), "sample")
+    found = sample.select("id", "mark", "label", "words").orderBy("id", "mark").toArrow()
+    y = found["label"].to_numpy().astype(np.int64)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.0
-    words = sample.select(F.explode(F.arrays_zip("fresh", "parts")).alias("w")).groupBy("w.fresh").agg(F.min("w.parts").alias("parts")).collect()
-    words.sort()
-    number = {w.fresh: i + 1 for i, w in enumerate(words)}
-    texts = [np.fromiter(map(number.__getitem__, r.words), np.int32, len(r.words)) for r in found]
-    parts = [w.parts for w in words]
-    kept_back = np.arange(len(found)) % 5 == 0
+    words = sample.select(F.explode(F.arrays_zip("fresh", "parts")).alias("w")).groupBy("w.fresh").agg(F.min("w.parts").alias("parts")).orderBy("fresh").toArrow()
+    known, parts = words["fresh"].to_numpy(), [np.frombuffer(b, np.int32) for b in words["parts"].to_pylist()]
+    numbers = np.concatenate([np.zeros(1, np.int32), *parts])
+    begins = np.cumsum([0, 1, *map(len, parts)])
+    texts = [(np.searchsorted(known, np.frombuffer(w, np.int32)) + 1).astype(np.int32) for w in found["words"].to_pylist()]
+    kept_back = np.arange(len(texts)) % 5 == 0
     if min(len(set(y[b].tolist())) for b in (kept_back, ~kept_back)) < 2:  # too few to keep any back
         kept_back[:] = False
-    model.fit([t for t, b in zip(texts, kept_back, strict=True) if not b], parts, y[~kept_back])
+    model.fit([t for t, b in zip(texts, kept_back, strict=True) if not b], numbers, begins, y[~kept_back])
     if kept_back.any():
-        model.calibrate(Scorer(model).scores_of_numbers([t for t, b in zip(texts, kept_back, strict=True) if b], parts), y[kept_back])
+        model.calibrate(Scorer(model, cache=0).scores_of_numbers([t for t, b in zip(texts, kept_back, strict=True) if b], numbers, begins), y[kept_back])
     if not thresholds:
         return model
-    fitted = [(r.mark,) for r, b in zip(found, kept_back, strict=True) if not b]
+    fitted = [(int(m),) for m in found["mark"].to_numpy()[~kept_back]]
     fitted = F.broadcast(docs.sparkSession.createDataFrame(fitted, "mark long"))  # a part of the sample
     return fit_thresholds(model, rows.join(fitted, "mark", "left_anti"))
 
@@ -273,9 +272,9 @@ def _numbered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             own = lower_words(text)
             new = [w for w in dict.fromkeys(own) if w not in seen]
             seen.update(new)
-            words.append([word_number(w) for w in own])
+            words.append(np.array([word_number(w) for w in own], np.int32).tobytes())
             fresh.append([word_number(w) for w in new])
-            parts.append([subwords(w, TextCNN.buckets) for w in new])
+            parts.append([np.array(subwords(w, TextCNN.buckets), np.int32).tobytes() for w in new])
         yield frame.assign(words=words, fresh=fresh, parts=parts)
 
 
