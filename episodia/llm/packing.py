@@ -18,7 +18,7 @@ from .common import materialize, table
 
 PIECE_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a task keeps.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 
 
 class WordTokens(dict):
