@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -19,6 +20,8 @@ from .common import hash_below, materialize, small, table
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words convolved at once; longer texts are read in overlapping parts.
 PART = 50_000
+#: Words pooled at once.
+POOLED = 10_000
 #: Words whose vectors a task keeps.
 CACHE_WORDS = 200_000
 #: Buckets of scores from 0 to 1, for the thresholds.
@@ -174,8 +177,10 @@ class Scorer:
     def scores_of_numbers(self, rows: list[np.ndarray], numbers: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """As scores(), of texts given as fit() takes them."""
         m = self.model
-        vectors = pool_words(m.embedding, numbers, begins)
-        vectors[0] = 0
+        vectors = np.zeros((len(begins) - 1, m.dims), np.float32)
+        for a in range(1, len(vectors), POOLED):  # an embedding for each bucket of each word: not for all at once
+            own = begins[a : a + POOLED + 1]
+            vectors[a : a + POOLED] = pool_words(m.embedding, numbers[own[0] : own[-1]], own - own[0])
         tail = np.zeros(2 * max(m.widths), np.int32)
         best = []
         for row in rows:
@@ -246,9 +251,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.0
     words = sample.select(F.explode(F.arrays_zip("fresh", "parts")).alias("w")).groupBy("w.fresh").agg(F.min("w.parts").alias("parts")).orderBy("fresh").toArrow()
-    known, parts = words["fresh"].to_numpy(), [np.frombuffer(b, np.int32) for b in words["parts"].to_pylist()]
-    numbers = np.concatenate([np.zeros(1, np.int32), *parts])
-    begins = np.cumsum([0, 1, *map(len, parts)])
+    known, sizes = words["fresh"].to_numpy(), pc.binary_length(words["parts"]).to_numpy() // 4
+    numbers = np.frombuffer(b"".join([bytes(4), *words["parts"].to_pylist()]), np.int32)
+    begins = np.cumsum(np.concatenate([[0, 1], sizes]))
+    del words
     texts = [(np.searchsorted(known, np.frombuffer(w, np.int32)) + 1).astype(np.int32) for w in found["words"].to_pylist()]
     kept_back = np.arange(len(texts)) % 5 == 0
     if min(len(set(y[b].tolist())) for b in (kept_back, ~kept_back)) < 2:  # too few to keep any back
