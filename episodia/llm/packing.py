@@ -6,7 +6,7 @@ import functools
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -165,19 +165,33 @@ def best_fit(lengths: np.ndarray, capacity: tuple[int, int, int], weights: tuple
 def pack_pieces(pieces: DataFrame, max_tokens: int = 2048, max_docs: int = 2048, max_cost: int = 2048**2, group_rows: int = 8192) -> DataFrame:
     """pieces plus sequence_id and offset. pieces must be a materialized table, so that a repeated task deals it alike.
 
-    The rows are dealt evenly into groups of about group_rows, and each is packed by itself; a group leaves at most a
-    few bins part-filled, so the loss against one large group is under a thousandth.
+    The rows are dealt evenly into groups of about group_rows, and each is packed by itself. What lies in sequences that
+    a group left open by more than a sixty-fourth is dealt and packed once more, all groups' together.
     """
-    groups = max(1, -(-pieces.count() // group_rows))
 
-    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [f for f in frames if len(f)]
-        if rows:
-            rows = pd.concat(rows, ignore_index=True)
-            bins, offsets = best_fit(rows["length"].to_numpy(), (max_tokens, max_docs, max_cost))
-            yield rows.assign(sequence_id=bins + (TaskContext.get().partitionId() << 32), offset=offsets)
-
-    return pieces.repartition(groups).mapInPandas(pack, PIECE_SCHEMA + ", sequence_id long, offset long")
+    def packer(number: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rows = [f for f in frames if len(f)]
+            if rows:
+                rows = pd.concat(rows, ignore_index=True)
+                lengths = rows["length"].to_numpy()
+                bins, offsets = best_fit(lengths, (max_tokens, max_docs, max_cost))
+                first = (number << 60) + (TaskContext.get().partitionId() << 32)
+                yield rows.assign(sequence_id=bins + first, offset=offsets, filled=np.bincount(bins, lengths).astype(np.int64)[bins])
+
+        return pack
+
+    def packed(rows: DataFrame, n: int, number: int) -> DataFrame:
+        return rows.repartition(max(1, -(-n // group_rows))).mapInPandas(packer(number), PIECE_SCHEMA + ", sequence_id long, offset long, filled long")
+
+    n = pieces.count()
+    first = packed(pieces, n, 0)
+    if n > group_rows:
+        first = materialize(first, "packed")
+        is_open = F.col("filled") < max_tokens - max_tokens // 64
+        left = materialize(first.where(is_open).select(*pieces.columns), "open")
+        first = first.where(~is_open).unionByName(packed(left, left.count(), 1))
+    return first.drop("filled")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, max_docs: int | None = None, max_cost: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

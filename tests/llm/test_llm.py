@@ -416,6 +416,20 @@ def test_packing_round_trip(spark, docs, none):
     assert len(set(bins.tolist())) == 3  # documents bind
 
 
+def test_packing_leaves_little_room(spark):
+    rng = np.random.default_rng(12)
+    lengths = np.minimum(rng.lognormal(4, 1.3, 9000).astype(int) + 1, 2048)
+    df = spark.createDataFrame([(i, 0, 0, int(n), i) for i, n in enumerate(lengths)], packing.PIECE_SCHEMA)
+    got = packing.pack_pieces(corpus_pipeline.materialize(df, "pieces"), group_rows=500).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    assert sorted(r.id for r in got) == list(range(9000)) and len(by) <= 1.003 * lengths.sum() / 2048 + 1
+    for own in by.values():
+        own.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:], strict=False)) and own[0][0] == 0 and sum(own[-1]) <= 2048
+
+
 def test_mixing_awkward(docs, none):
     got = mixing.mix_sources(docs).collect()
     assert len(got) == len(ROWS) and all(0 <= r.taken <= 2 * r.size for r in got)
@@ -442,6 +456,23 @@ def test_mixing_comes_near_targets_with_repeated_and_null_ids(spark):
     assert carried.columns == ["text", "source"] and carried.count() > 0
 
 
+def test_samples_are_bounded_by_rows(spark):
+    rows = [(7, f"word{i % 40} bad", "en", 1) for i in range(3000)] + [(i, f"word{i} fine", "de", 0) for i in range(100, 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    labels = df.select("doc_id", "toxic").distinct()
+    model = toxicity.fit_toxicity(df, labels, max_training_rows=1000)
+    assert not isinstance(model, float)
+    assert language.fit_languages(df.unionByName(df.withColumn("doc_id", F.lit(1).cast("long"))), max_training_rows=100).languages == ["de", "en"]
+    assert isinstance(toxicity.fit_toxicity(df.where("doc_id = 7"), labels), float)
+
+
+def test_chat_long_turn_and_many_examples(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", ("<s>[&]" * 20_000) if i == 5 else f"t{i}") for i in range(40)]
+    out = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    losses = [r.loss for r in chat.explode_examples(out).orderBy("target_turn").select(chat.loss_text(F.col("formatted")).alias("loss")).collect()]
+    assert losses == [r[3] for r in rows if r[2] == "assistant"]
+
+
 def test_toxicity_held_out(spark, docs, none):
     data = DATA.replace("sf0.001", "sf0.1")
     rows = toxicity.query(spark, data).join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").where("held_out").collect()
@@ -481,11 +512,113 @@ def test_language_held_out(spark, docs, none):
     assert all(r.lang_pred == "und" for r in language.identify_languages(docs, language.fit_languages(none)).collect())
 
 
+def mixed(rows):
+    """Copies of each row by sorting whole sources by place; rows: (doc_id, text, lang, source, n_chars)."""
+    sizes = [len(WORDS.findall(r[1] or "")) for r in rows]
+    by = defaultdict(list)
+    for k, r in enumerate(rows):
+        by[r[3]].append(k)
+    order = sorted(by, key=lambda x: (x is None, x or ""))
+    weight = {x: (5.0, 2.0, 1.0)[i % 3] for i, x in enumerate(order)}
+    total = {x: sum(sizes[k] for k in by[x]) for x in order}
+    target, free, left = {}, set(order), 1.5 * sum(sizes)
+    while free:
+        level = left / sum(weight[x] for x in free)
+        full = {x for x in free if weight[x] * level >= 2 * total[x]}
+        for x in full or free:
+            target[x] = 2.0 * total[x] if full else weight[x] * level
+        left -= sum(target[x] for x in full)
+        free = free - full if full else set()
+    out = Counter()
+    for x in order:
+        whole = int(target[x] // total[x]) if total[x] else 0
+        budget, upto = target[x] - whole * total[x], 0
+        for k in sorted(by[x], key=lambda k: (int(hashlib.md5(f"{'' if rows[k][0] is None else rows[k][0]}:{rows[k][1] or ''}".encode()).hexdigest()[:12], 16), sizes[k])):
+            before, upto = upto, upto + sizes[k]
+            out[rows[k]] += whole + (upto <= budget or (before <= budget and upto - budget < budget - before))
+    return Counter({r: n for r, n in out.items() if n})
+
+
+def pieces_of(rows):
+    from tokenizers import Tokenizer
+
+    tokenizer, out = Tokenizer.from_file(packing.word_bpe()), Counter()
+    for r in rows:
+        ids = tokenizer.encode(r[1] or "", add_special_tokens=False).ids + [0]
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            out[r[0], k, at, len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part))] += 1
+    return out
+
+
+def check_stage(spark, name, before, out, data=DATA):
+    """A stage's rows against what its rule, followed row by row, makes of the rows before."""
+    columns = corpus_pipeline.COLUMNS
+    if name == "packing":
+        assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out) == pieces_of(before)
+        by = defaultdict(list)
+        for r in out:
+            by[r.sequence_id].append((r.offset, r.length))
+        for own in by.values():
+            own.sort()
+            assert all(o == sum(n for _, n in own[:k]) for k, (o, _) in enumerate(own)) and sum(n for _, n in own) <= 2048
+        return
+    got = [tuple(r[c] for c in columns) for r in out]
+    if name == "toxicity":
+        df = spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")
+        model = toxicity.fit_toxicity(df, spark.read.parquet(f"{data}/labels.parquet"))
+        score = [model] * len(before) if isinstance(model, float) else toxicity.Scorer(model).scores([r[1] for r in before])
+        cuts = {None: 0.5} if isinstance(model, float) else model.thresholds
+        want = [r for r, s in zip(before, score, strict=True) if s < cuts.get(r[2], cuts[None])]
+    elif name == "near_duplicates":
+        roots = components([(r[0], r[1]) for r in before if r[0] is not None], 5)
+        want = [r for r in before if r[0] is None or roots[r[0]][1] == r[0]]
+    elif name == "repeated_passages":
+        kept = defaultdict(list)
+        for i, n, gone, words in repeats([(r[0], r[1]) for r in before]):
+            if not gone or gone < n:
+                kept[i].append((gone, words))
+        assert sorted(((r[0], WORDS.findall(r[1] or "")) for r in got), key=str) == sorted(((i, w) for i, own in kept.items() for _, w in own), key=str)
+        same = {r for r in got if any(not gone and WORDS.findall(r[1] or "") == w for gone, w in kept[r[0]])}
+        assert same <= set(before) and all(r[4] == len(r[1]) for r in set(got) - same)
+        return
+    else:
+        assert Counter(got) == mixed(before)
+        return
+    assert Counter(got) == Counter(want)
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select(*corpus_pipeline.COLUMNS).collect()]
+    rows += [tuple(r[:5]) for r in ROWS if r[0] != 2]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        df = corpus_pipeline.materialize(stage(spark, df, DATA), name)
+        out = df.collect()
+        check_stage(spark, name, rows, out)
+        rows = [tuple(r) for r in out]
+
+
+def test_pipeline_on_no_documents(spark, none):
+    df = none.select(*corpus_pipeline.COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        df = stage(spark, df, DATA)
+        assert df.count() == 0, name
+        df = corpus_pipeline.materialize(df, name)
+
+
+def test_pipeline_runs_all_stages(spark):
+    docs = corpus_pipeline.table(spark, DATA, "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, DATA), "stage")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert Counter(map(tuple, corpus_pipeline.run(spark, DATA).select(columns).collect())) == pieces_of([tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()])
+
+
 def test_pipeline_stages(spark, docs):
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        assert stage(spark, docs.select(*corpus_pipeline.COLUMNS), DATA).columns == list(corpus_pipeline.COLUMNS), name
+        assert stage(spark, docs, DATA).columns == list(corpus_pipeline.COLUMNS), name
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, DATA).select("doc_id").collect()
     assert sorted(r.doc_id or -1 for r in kept) == [-1, 1, 3, 4, 5, 7, 8, 9]
     cut = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_passages(spark, docs, DATA).collect()}
     assert 2 not in cut and cut[1] == passage(1) and cut[8] == f"{passage(2, 30)} {passage(3, 30)}" and hashlib.md5(cut[5].encode()).digest() == hashlib.md5(LONG.encode()).digest()
-    assert corpus_pipeline.run(spark, DATA).count() > 0
