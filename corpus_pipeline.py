@@ -61,9 +61,9 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack),
 ]
 
-#: Learned classifiers, MinHash forests and tokenizers are beyond SQL. The tests compare the operators of near_duplicates,
-#: repeated_passages and packing with brute force, toxicity with held-out labels; for mixing they check totals and bounds.
-#: Of the stages toxicity and mixing only the columns are checked, of run() only that it gives rows.
+#: Learned classifiers, MinHash forests and tokenizers are beyond SQL. The tests compare each stage's rows with what its rule
+#: makes of the rows before it, followed one by one (toxicity: with the fitted model's scores and thresholds), and run()
+#: with the stages in turn.
 ORACLE_SQL = None
 
 
