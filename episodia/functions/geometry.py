@@ -1,7 +1,9 @@
-"""Rigid geometry on columns (survey rows G1-G19)."""
+"""Rigid geometry on columns (survey rows G1-G21). A matrix is a tuple of rows of columns."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,3 +83,129 @@ def to_wrist(matrix: tuple[Vector, Vector, Vector], velocity: Vector) -> Vector:
 def full_range(c: Column, top: Column) -> Column:
     """Colours of a cloud whose largest value is at most 1, scaled to 255; others as they are."""
     return F.when(top <= 1, c * 255).otherwise(c)
+
+
+def dot(a: Vector, b: Vector) -> Column:
+    return sum((p * q for p, q in zip(a[1:], b[1:], strict=True)), a[0] * b[0])
+
+
+def cross(a: Vector, b: Vector) -> Vector:
+    return (a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0])
+
+
+def matmul(a: tuple[Vector, ...], b: tuple[Vector, ...]) -> tuple[Vector, ...]:
+    """The product of two matrices of columns."""
+    return tuple(tuple(dot(row, column) for column in zip(*b, strict=True)) for row in a)
+
+
+def pose_matrix(position: Vector, quaternion: Vector, order: str = "wxyz") -> tuple[Vector, ...]:
+    """The 4 x 4 matrix of a position and a quaternion in either order of components."""
+    w, x, y, z = quaternion if order == "wxyz" else (quaternion[3], *quaternion[:3])
+    rows = quaternion_matrix(w, x, y, z)
+    zero, one = F.lit(0.0), F.lit(1.0)
+    return (*[(*row, t) for row, t in zip(rows, position, strict=True)], (zero, zero, zero, one))
+
+
+def matrix_quaternion(m: tuple[Vector, ...]) -> Vector:
+    """(x, y, z, w) of a rotation matrix, from its largest diagonal term: the trace if that is positive, else one of the three."""
+    trace = m[0][0] + m[1][1] + m[2][2]
+    spread = lambda t: F.sqrt(F.greatest(t, F.lit(0.0))) * 2
+    s = [spread(1 + trace), spread(1 + m[0][0] - m[1][1] - m[2][2]), spread(1 + m[1][1] - m[0][0] - m[2][2]), spread(1 + m[2][2] - m[0][0] - m[1][1])]
+    yz, zx, xy = m[2][1] - m[1][2], m[0][2] - m[2][0], m[1][0] - m[0][1]
+    sum_xy, sum_zx, sum_yz = m[0][1] + m[1][0], m[0][2] + m[2][0], m[1][2] + m[2][1]
+    cases = [(yz, zx, xy, s[0] * s[0] / 4), (s[1] * s[1] / 4, sum_xy, sum_zx, yz), (sum_xy, s[2] * s[2] / 4, sum_yz, zx), (sum_zx, sum_yz, s[3] * s[3] / 4, xy)]
+    first, second = (m[0][0] > m[1][1]) & (m[0][0] > m[2][2]), m[1][1] > m[2][2]
+    picked = [F.when(trace > 0, a / s[0]).when(first, b / s[1]).when(second, c / s[2]).otherwise(d / s[3]) for a, b, c, d in zip(*cases, strict=True)]
+    norm = F.sqrt(dot(tuple(picked), tuple(picked)))
+    return tuple(c / norm for c in picked)
+
+
+def rigid_inverse(m: tuple[Vector, ...]) -> tuple[Vector, ...]:
+    """The inverse of a rigid 4 x 4 matrix."""
+    turned = tuple(zip(*[row[:3] for row in m[:3]], strict=True))
+    shift = tuple(-c for c in rotate(turned, tuple(row[3] for row in m[:3])))
+    return (*[(*row, t) for row, t in zip(turned, shift, strict=True)], m[3])
+
+
+def homogeneous(m: tuple[Vector, ...]) -> tuple[Vector, ...]:
+    """A 3 x 4 extrinsic matrix as 4 x 4; one of 4 x 4 as it is."""
+    return m if len(m) == 4 else (*m, (F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0)))
+
+
+def scaled_intrinsic(fx: Column, cx: Column, fy: Column, cy: Column, width: Column, height: Column, to: tuple[int, int] = (180, 320)) -> tuple[Column, Column, Column, Column]:
+    """Focal lengths and centre of an image of width x height, for one of `to` = (rows, columns)."""
+    x, y = F.lit(float(to[1])) / width, F.lit(float(to[0])) / height
+    return fx * x, cx * x, fy * y, cy * y
+
+
+def rebase(base0: tuple[Vector, ...], pose: tuple[Vector, ...]) -> tuple[Vector, ...]:
+    """A world pose in the frame of the robot's base at frame 0."""
+    return matmul(rigid_inverse(base0), pose)
+
+
+def slerp(p: Vector, q: Vector, t: Column) -> Vector:
+    """Between unit quaternions of any order of components, the shorter way; nearly equal ones are mixed linearly and made a unit again."""
+    cosine = dot(p, q)
+    sign, cosine = F.when(cosine < 0, -1.0).otherwise(1.0), F.least(F.abs(cosine), F.lit(1.0))
+    angle, near = F.acos(cosine), cosine > 0.9999995
+    sine = F.when(near, 1.0).otherwise(F.sin(angle))
+    a = F.when(near, 1 - t).otherwise(F.sin((1 - t) * angle) / sine)
+    b = F.when(near, t).otherwise(F.sin(t * angle) / sine) * sign
+    mixed = tuple(x * a + y * b for x, y in zip(p, q, strict=True))
+    norm = F.sqrt(dot(mixed, mixed))
+    return tuple(c / norm for c in mixed)
+
+
+def euler_matrix(x: Column, y: Column, z: Column) -> tuple[Vector, Vector, Vector]:
+    """The rotation about x, then y, then z, all axes fixed."""
+    (cx, sx), (cy, sy), (cz, sz) = ((F.cos(a), F.sin(a)) for a in (x, y, z))
+    return ((cy * cz, sx * sy * cz - cx * sz, cx * sy * cz + sx * sz), (cy * sz, sx * sy * sz + cx * cz, cx * sy * sz - sx * cz), (-sy, sx * cy, cx * cy))
+
+
+def matrix_euler(m: tuple[Vector, ...]) -> Vector:
+    """(x, y, z) of euler_matrix(), y within a right angle either way."""
+    return F.atan2(m[2][1], m[2][2]), F.asin(F.least(F.greatest(-m[2][0], F.lit(-1.0)), F.lit(1.0))), F.atan2(m[1][0], m[0][0])
+
+
+def axis_angle_matrix(x: Column, y: Column, z: Column) -> tuple[Vector, Vector, Vector]:
+    """The rotation by the vector's length about its direction."""
+    angle = F.sqrt(x * x + y * y + z * z)
+    s = F.when(angle > 1e-12, F.sin(angle / 2) / F.when(angle > 1e-12, angle).otherwise(1.0)).otherwise(0.5)
+    return quaternion_matrix(F.cos(angle / 2), x * s, y * s, z * s)
+
+
+def matrix_axis_angle(m: tuple[Vector, ...]) -> Vector:
+    """The rotation vector, at most half a turn long."""
+    x, y, z, w = matrix_quaternion(m)
+    flip = F.when(w < 0, -1.0).otherwise(1.0)
+    length = F.sqrt(x * x + y * y + z * z)
+    factor = F.when(length > 1e-12, 2 * F.atan2(length, w * flip) / F.when(length > 1e-12, length).otherwise(1.0)).otherwise(2.0) * flip
+    return x * factor, y * factor, z * factor
+
+
+#: Name -> (number of components, to a matrix, from a matrix)
+ROTATIONS = {
+    "quaternion": (4, lambda v: quaternion_matrix(*v), lambda m: (lambda q: (q[3], *q[:3]))(matrix_quaternion(m))),
+    "rotation_6d": (6, lambda v: six_d_rotation(v[:3], v[3:]), lambda m: (*m[0], *m[1])),
+    "euler": (3, lambda v: euler_matrix(*v), matrix_euler),
+    "axis_angle": (3, lambda v: axis_angle_matrix(*v), matrix_axis_angle),
+    "matrix": (9, lambda v: (v[:3], v[3:6], v[6:]), lambda m: (*m[0], *m[1], *m[2])),
+}
+
+
+def _bound(values: Column, size: int, body: Callable[[Vector], Vector]) -> Column:
+    """The array that body makes of an array's elements, which it may name any number of times: the expression holds them once."""
+    return F.transform(F.array(values), lambda a: F.array(*body(tuple(F.get(a, F.lit(i)) for i in range(size)))))[0]
+
+
+def convert_rotation(v: Column, source: str, target: str) -> Column:
+    """An array of one representation as an array of another, always by way of the matrix."""
+    size, to_matrix, _ = ROTATIONS[source]
+    matrix = _bound(v, size, lambda c: tuple(x for row in to_matrix(c) for x in row))
+    return _bound(matrix, 9, lambda m: ROTATIONS[target][2]((m[:3], m[3:6], m[6:])))
+
+
+def palette_color(label: Column, colors: list[tuple[int, int, int]]) -> Column:
+    """The colour of a label, which wraps at 256; null beyond the palette."""
+    table = F.array(*[F.struct(*[F.lit(c).alias(n) for c, n in zip(color, "rgb", strict=True)]) for color in colors])
+    return F.get(table, F.pmod(label, F.lit(256)).cast("int"))

@@ -125,3 +125,52 @@ def min_max(x: Column, low: Column, high: Column, margin: float = 1e-4) -> Colum
 def noise_scale(std: Column, snr: float) -> Column:
     """The deviation of noise that leaves a signal-to-noise ratio of `snr` decibels."""
     return std / F.lit((10.0 ** (snr / 10.0)) ** 0.5)
+
+
+def image_scale() -> tuple[Column, Column]:
+    """(scale, offset) from [0, 1] to [-1, 1]."""
+    return F.lit(2.0), F.lit(-1.0)
+
+
+def identity_scale() -> tuple[Column, Column]:
+    """N5."""
+    return F.lit(1.0), F.lit(0.0)
+
+
+def action_scale(dim: Column, low: Column, high: Column, arms: int = 1, arm_dims: int = 10) -> tuple[Column, Column]:
+    """(scale, offset) of an action of one or two arms: the three dimensions of a position by their limits (range 1e-7), rotation and gripper as they are."""
+    scale, offset = limits_scale(low, high, eps=1e-7)
+    is_position = (dim % arm_dims < 3) & (dim < arms * arm_dims)
+    return F.when(is_position, scale).otherwise(1.0), F.when(is_position, offset).otherwise(0.0)
+
+
+def zscore(x: Column, mean: Column, std: Column) -> Column:
+    """N29."""
+    return (x - mean) / std
+
+
+def zscore_inverse(y: Column, mean: Column, std: Column) -> Column:
+    """N29."""
+    return y * std + mean
+
+
+def evaluation_bounds(x: Column, low: Column, high: Column, masked: Column, eps: float = 1e-8) -> Column:
+    """As bounds(), but the clip hits unmasked dimensions too and constants are not zeroed."""
+    return clip(F.when(masked, 2 * (x - low) / (high - low + eps) - 1).otherwise(x), -1.0, 1.0)
+
+
+def signed_gripper(x: Column, binarize: bool = False, flip: bool = False) -> Column:
+    """From [0, 1] to [-1, 1]; binarized to its sign, of which 0 has none; flipped."""
+    y = 2 * x - 1
+    y = F.signum(y) if binarize else y
+    return -y if flip else y
+
+
+def is_zero_action(action: Column, zero: Column, eps: float = 1e-5) -> Column:
+    """No component of the normalized action is more than eps from what zero normalizes to."""
+    return F.forall(F.zip_with(action, zero, lambda a, z: F.abs(a - z)), lambda d: d <= eps)
+
+
+def first_dims(action: Column, k: int) -> Column:
+    """P22."""
+    return F.slice(action, 1, k)

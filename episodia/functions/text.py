@@ -62,3 +62,56 @@ def base_name(path: Column) -> Column:
 def parent_name(path: Column) -> Column:
     """The part before the last slash and after the one before; empty without two slashes."""
     return F.regexp_extract(path, "/([^/]*)/[^/]*$", 1)
+
+
+def clean_instruction(c: Column, replacements: dict[str, str]) -> Column:
+    """The regular expressions replaced in turn, blanks at the ends removed."""
+    for pattern, new in replacements.items():
+        c = F.regexp_replace(c, pattern, new)
+    return F.trim(c)
+
+
+def clip_key(episode: Column, clip: Column) -> Column:
+    """Episode:clip000007."""
+    return F.concat(episode, F.format_string(":clip%06d", clip))
+
+
+def padding_of(kind: str) -> Column:
+    """The padding of a column of that type: an empty text, or 0."""
+    return F.lit("") if kind == "string" else F.lit(0).cast(kind)
+
+
+def question(instruction: Column) -> Column:
+    """The prompt around an instruction in lower case."""
+    return F.concat(F.lit("What action should the robot take to "), F.lower(instruction), F.lit("?"))
+
+
+def fill_cyclic(texts: Column, size: int) -> Column:
+    """`size` texts, the given ones over and over; none from none."""
+    n = F.size(texts)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.get(texts, k % n))).otherwise(F.array().cast("array<string>"))
+
+
+def same_names(a: Column, b: Column) -> Column:
+    """Both hold the same different names."""
+    return (F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0)
+
+
+def disjoint(a: Column, b: Column) -> Column:
+    """U3."""
+    return ~F.arrays_overlap(a, b)
+
+
+def default_text(c: Column, default: str) -> Column:
+    """The default where the text is null or empty."""
+    return F.coalesce(F.nullif(c, F.lit("")), F.lit(default))
+
+
+def padding_mask(c: Column) -> Column:
+    """Whether there is a text."""
+    return F.coalesce(F.length(c) != 0, F.lit(False))
+
+
+def json_fields(c: Column, schema: str) -> Column:
+    """A struct of the fields of a JSON text; what is missing or of another type is null."""
+    return F.from_json(c, schema)

@@ -2,25 +2,40 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from episodia.functions import geometry
 
+from .ranks import running_sum
+
 
-def history(frames: DataFrame, targets: DataFrame, value: str, horizon: int, interval: int) -> DataFrame:
+def history(frames: DataFrame, targets: DataFrame, value: str, horizon: int, interval: int, bucket: int = 256) -> DataFrame:
     """(ep, t0, h, target, value, valid) for the times t0 - h * interval, h below horizon.
 
     A frame at the very time is valid; else the latest one before it stands in, or the first of the episode if none
-    is earlier, and is not valid. h = 0 is always valid. An as-of lookup: targets and frames in one ordered window.
+    is earlier, and is not valid. h = 0 is always valid.
+
+    Times are cut into buckets of `bucket` steps. Within a bucket, targets and frames are ordered together; what came
+    before the bucket is the last frame of the buckets before, carried on from bucket to bucket. A long episode is thus
+    many small windows, and one over its buckets.
     """
-    wanted = targets.select("ep", "t0", F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))).alias("h")).withColumn("target", F.col("t0") - F.col("h") * interval)
+    wanted = targets.select("ep", "t0", F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))).alias("h")).withColumn("time", F.col("t0") - F.col("h") * interval)
     found = F.struct(F.col("idx").alias("at"), F.col(value).alias("value"))
-    both = frames.select("ep", F.col("idx").alias("time"), found.alias("frame"), F.lit(None).cast("long").alias("t0"), F.lit(None).cast("int").alias("h")).unionByName(wanted.select("ep", F.col("target").alias("time"), F.lit(None).cast(frames.select(found.alias("x")).schema["x"].dataType).alias("frame"), "t0", "h"))
-    w = Window.partitionBy("ep").orderBy("time", F.col("frame").isNull())
-    first = F.min_by("frame", F.when(F.col("frame").isNotNull(), F.col("time"))).over(Window.partitionBy("ep"))
-    looked = both.withColumn("hit", F.coalesce(F.last("frame", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), first)).where("h is not null")
-    return looked.select("ep", "t0", "h", F.col("time").alias("target"), F.col("hit.value").alias("value"), ((F.col("hit.at") == F.col("time")) | (F.col("h") == 0)).alias("valid"))
+    kind = frames.select(found.alias("x")).schema["x"].dataType
+    rows = frames.select("ep", F.col("idx").cast("long").alias("time"), found.alias("frame"), F.lit(None).cast("long").alias("t0"), F.lit(None).cast("int").alias("h"))
+    both = rows.unionByName(wanted.select("ep", F.col("time").cast("long").alias("time"), F.lit(None).cast(kind).alias("frame"), F.col("t0").cast("long").alias("t0"), "h")).withColumn("bucket", F.floor(F.col("time") / bucket))
+    ends = both.groupBy("ep", "bucket").agg(F.max_by("frame", F.when(F.col("frame").isNotNull(), F.col("time"))).alias("last"))
+    carried = F.last("last", ignorenulls=True).over(Window.partitionBy("ep").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select("ep", "bucket", carried.alias("before"))
+    firsts = frames.groupBy("ep").agg(F.min_by(found, "idx").alias("first"))
+    w = Window.partitionBy("ep", "bucket").orderBy("time", F.col("frame").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    looked = both.withColumn("within", F.last("frame", ignorenulls=True).over(w)).where("h is not null")
+    hit = F.coalesce("within", "before", "first")
+    joined = looked.join(ends, ["ep", "bucket"]).join(firsts, "ep", "left").withColumn("hit", hit)
+    return joined.select("ep", "t0", "h", F.col("time").alias("target"), F.col("hit.value").alias("value"), ((F.col("hit.at") == F.col("time")) | (F.col("h") == 0)).alias("valid"))
 
 
 def forward_grid(rows: DataFrame, key: str, time: str, value: str, dt: float, eps: float = 1e-5) -> DataFrame:
@@ -28,8 +43,8 @@ def forward_grid(rows: DataFrame, key: str, time: str, value: str, dt: float, ep
     binned = rows.withColumn("k", F.floor(F.col(time) / dt + eps)).where("k >= 0")
     firsts = binned.groupBy(key, "k").agg(F.min_by(value, time).alias("value"))
     grid = firsts.groupBy(key).agg(F.max("k").alias("top")).select(key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("top"))).alias("k"))
-    ahead = Window.partitionBy(key).orderBy("k").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return grid.join(firsts, [key, "k"], "left").withColumn("value", F.first("value", ignorenulls=True).over(ahead))
+    backwards = Window.partitionBy(key).orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return grid.join(firsts, [key, "k"], "left").withColumn("value", F.last("value", ignorenulls=True).over(backwards))
 
 
 def first_of(rows: DataFrame, keys: list[str], *order: str) -> DataFrame:
@@ -42,10 +57,17 @@ def static_rows(rows: DataFrame, used: DataFrame, key: str) -> DataFrame:
     return rows.join(used, key, "left_anti")
 
 
-def global_rows(frames: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(position, ep, start) of positions in the concatenation of all episodes, by a range join on running sums."""
-    n = frames.groupBy("ep").agg(F.count(F.lit(1)).alias("n")).withColumn("end", F.sum("n").over(Window.orderBy("ep")))
-    return wanted.join(n, (F.col("position") >= F.col("end") - F.col("n")) & (F.col("position") < F.col("end"))).select("position", "ep", (F.col("position") - F.col("end") + F.col("n")).alias("start"))
+def global_rows(frames: DataFrame, wanted: DataFrame, bucket: int = 1024) -> DataFrame:
+    """(position, ep, start) of positions in the concatenation of all episodes.
+
+    Episodes are laid out by running sums and listed under every bucket of positions that they touch, so that positions
+    find them by an equi join on the bucket.
+    """
+    n = frames.groupBy("ep").agg(F.count(F.lit(1)).alias("n"))
+    placed = running_sum(n, ["ep"], F.col("n"), "end").withColumn("begin", F.col("end") - F.col("n"))
+    listed = placed.select("ep", "begin", "end", F.explode(F.sequence(F.floor(F.col("begin") / bucket), F.floor((F.col("end") - 1) / bucket))).alias("bucket"))
+    asked = wanted.withColumn("bucket", F.floor(F.col("position") / bucket))
+    return asked.join(listed, "bucket").where("position >= begin and position < end").select("position", "ep", (F.col("position") - F.col("begin")).alias("start"))
 
 
 def flow(points: DataFrame, poses: DataFrame) -> DataFrame:
@@ -79,3 +101,53 @@ def unused_models(models: DataFrame, used: DataFrame, key: str, *alike: str) ->
     """Models that are neither in use nor alike one in use."""
     taken = models.join(used.select(key).distinct(), key, "left_semi").select(*alike).distinct()
     return models.join(taken, list(alike), "left_anti")
+
+
+def latest_wins(rows: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
+    """Per key the value written last, and the number of writes."""
+    return rows.groupBy(*keys).agg(F.max_by(value, order).alias("value"), F.count(F.lit(1)).alias("writes"))
+
+
+def visible_points(points: DataFrame, parts: DataFrame, key: str) -> DataFrame:
+    """Points of known parts, with the parts' columns; parts without points give nothing."""
+    return points.join(parts, key)
+
+
+def look_up(rows: DataFrame, *tables: tuple[DataFrame, str, str]) -> DataFrame:
+    """Rows with the columns of each (table, own column, table's column) in turn; missing names give nulls."""
+    for table, own, other in tables:
+        rows = rows.join(table, F.col(own) == F.col(other), "left")
+    return rows
+
+
+def describe(params: DataFrame, descriptions: DataFrame) -> DataFrame:
+    """(episode, placeholder, seen, unseen) of params (episode, placeholder, value).
+
+    descriptions: obj, split, texts. A value with a slash names an object and gets its texts; a value of a one-letter
+    placeholder is an arm, any other is its own text. Where no unseen text exists, the seen ones stand in.
+    """
+    by = descriptions.groupBy("obj").pivot("split", ["seen", "unseen"]).agg(F.first("texts"))
+    joined = params.join(by, F.col("value") == F.col("obj"), "left")
+    own = F.when(F.length("placeholder") == 1, F.when(F.lower("placeholder") == F.col("placeholder"), F.concat(F.lit("the "), "value", F.lit(" arm"))))
+    plain = F.array(F.coalesce(own, "value"))
+    seen = F.coalesce("seen", plain)
+    unseen = F.when(F.size(F.coalesce("unseen", F.array().cast("array<string>"))) > 0, F.col("unseen")).otherwise(seen)
+    return joined.select("episode", "placeholder", seen.alias("seen"), unseen.alias("unseen"))
+
+
+def overlapping(circles: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
+    """(circle, box) of circles (circle, x, y, r) that meet boxes (box, x0, y0, x1, y1).
+
+    Both sides are listed under the cells of a grid that they touch and meet by an equi join; a pair counts in one cell
+    only. The distance to the box, by the nearest point of it, is at most the radius.
+    """
+    grid = lambda low, high: F.sequence(F.floor(low / cell), F.floor(high / cell))
+    c = circles.withColumn("gx", F.explode(grid(F.col("x") - F.col("r"), F.col("x") + F.col("r")))).withColumn("gy", F.explode(grid(F.col("y") - F.col("r"), F.col("y") + F.col("r"))))
+    b = boxes.withColumn("gx", F.explode(grid(F.col("x0"), F.col("x1")))).withColumn("gy", F.explode(grid(F.col("y0"), F.col("y1"))))
+    dx, dy = (F.greatest(F.col(low) - F.col(at), F.col(at) - F.col(high), F.lit(0.0)) for low, at, high in (("x0", "x", "x1"), ("y0", "y", "y1")))
+    return c.join(b, ["gx", "gy"]).where(dx * dx + dy * dy <= F.col("r") * F.col("r")).select("circle", "box").distinct()
+
+
+def concatenate(parts: dict[str, DataFrame], name: str) -> DataFrame:
+    """All rows of all parts, with the part's name."""
+    return reduce(DataFrame.unionByName, [df.withColumn(name, F.lit(part)) for part, df in parts.items()])

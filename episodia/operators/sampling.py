@@ -2,29 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import row_ranks, running_sum
+
 
 def even_positions(n: Column, k: int) -> Column:
     """K positions spread evenly over 0..n-1, truncated; all of them if n <= k."""
     step = (n - 1) / F.lit(float(max(k - 1, 1)))
     spread = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.when(i == k - 1, n - 1).otherwise(F.floor(i * step)).cast("long")) if k > 1 else F.array(F.lit(0).cast("long"))
-    return F.when(n <= k, F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)).otherwise(spread)
+    return F.when(n <= 0, F.array().cast("array<bigint>")).when(n <= k, F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)).otherwise(spread)
 
 
 def split_episodes(episodes: DataFrame, key: str, share: float, order: Column) -> DataFrame:
-    """Episodes plus is_test; the ceil(share * n) last in `order` are the test split. One row per episode is ranked."""
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    return episodes.withColumn("is_test", F.row_number().over(Window.orderBy(order, key)) > n - F.ceil(n * share))
+    """Episodes plus is_test; the ceil(share * n) last in `order`, a number, are the test split."""
+    ranked = row_ranks(episodes.withColumn("_order", order), ["_order", key])
+    return ranked.withColumn("is_test", F.col("rank") > F.col("total") - F.ceil(F.col("total") * share)).drop("_order", "rank", "total")
 
 
 def floor_split(episodes: DataFrame, key: str, share: float = 0.8) -> DataFrame:
-    """The first floor(share * n) episodes train."""
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    return episodes.withColumn("is_train", F.row_number().over(Window.orderBy(key)) <= F.floor(n * share))
+    """The first floor(share * n) episodes by key, a number, train."""
+    return row_ranks(episodes, [key]).withColumn("is_train", F.col("rank") <= F.floor(F.col("total") * share)).drop("rank", "total")
+
+
+def shuffled_split(episodes: DataFrame, key: str, share: float, order: Column) -> DataFrame:
+    """The last int(share * n) in a shuffled order validate. With none of them all episodes train, where a slice that
+    ends before the last 0 would leave nothing."""
+    ranked = row_ranks(episodes.withColumn("_order", order), ["_order", key])
+    return ranked.withColumn("is_val", F.col("rank") > F.col("total") - F.floor(F.col("total") * share)).drop("_order", "rank", "total")
+
+
+def downsample(episodes: DataFrame, key: str, mask: Column, size: int, order: Column) -> DataFrame:
+    """Plus `kept`: the mask cut down to its `size` rows of the smallest order."""
+    best = episodes.where(mask).withColumn("_order", order).orderBy("_order", key).limit(size).select(key, F.lit(True).alias("kept"))
+    return episodes.join(F.broadcast(best), key, "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
+def last_episode(episodes: DataFrame, key: str) -> DataFrame:
+    """Plus is_val, true for the last episode."""
+    top = episodes.agg(F.max(key).alias("top"))
+    return episodes.join(F.broadcast(top)).withColumn("is_val", F.col(key) == F.col("top")).drop("top")
+
+
+def shuffled_head(rows: DataFrame, order: Column, key: str, size: int) -> DataFrame:
+    """The first `size` rows of a shuffled order, for a cached validation set."""
+    return rows.withColumn("_order", order).orderBy("_order", key).limit(size).drop("_order")
+
+
+def by_length(lengths: DataFrame, draws: DataFrame, bucket: int = 1024) -> DataFrame:
+    """(draw, ep, start): draws (draw, uniform) fall on episodes in proportion to their length; start is the frame hit."""
+    placed = running_sum(lengths, ["ep"], F.col("n"), "end").withColumn("begin", F.col("end") - F.col("n"))
+    total = lengths.agg(F.sum("n").alias("total"))
+    at = draws.join(F.broadcast(total)).withColumn("position", F.least(F.floor(F.col("uniform") * F.col("total")), F.col("total") - 1)).withColumn("bucket", F.floor(F.col("position") / bucket))
+    listed = placed.select("ep", "begin", "end", F.explode(F.sequence(F.floor(F.col("begin") / bucket), F.floor((F.col("end") - 1) / bucket))).alias("bucket"))
+    return at.join(listed, "bucket").where("position >= begin and position < end").select("draw", "ep", (F.col("position") - F.col("begin")).alias("start"))
 
 
 def weighted_source(draws: DataFrame, weights: dict[str, float], uniform: Column) -> DataFrame:
@@ -42,19 +76,100 @@ def top_k(rows: DataFrame, key: str, score: str, order: str, k: int, largest: bo
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(best, order))).where(F.col("rank") <= k)
 
 
-def assign_greedy(tasks: Sequence[tuple[str, float]], bins: int) -> dict[str, int]:
-    """The largest task first to the least loaded bin, the first on ties. A short list on the driver."""
-    load = [0.0] * bins
-    out = {}
-    for name, size in sorted(tasks, key=lambda t: (-t[1], t[0])):
-        out[name] = load.index(min(load))
-        load[out[name]] += size
-    return out
+def assign_greedy(tasks: DataFrame, task: str, size: str, bins: int) -> DataFrame:
+    """(task, size, bin): the largest task first, by name on ties, to the least loaded bin, the first on ties.
+
+    A sequential rule, so the tasks, a short list, are folded in one row.
+    """
+    items = F.sort_array(F.collect_list(F.struct((-F.col(size)).cast("double").alias("less"), F.col(task).alias("name"))))
+    empty = F.struct(F.array_repeat(F.lit(0.0), bins).alias("load"), F.array().cast("array<int>").alias("to"))
+
+    def place(state: Column, item: Column) -> Column:
+        at = F.array_position(state.load, F.array_min(state.load)).cast("int")
+        return F.struct(F.transform(state.load, lambda x, i: F.when(i == at - 1, x - item.less).otherwise(x)).alias("load"), F.concat(state.to, F.array(at - 1)).alias("to"))
+
+    folded = tasks.agg(items.alias("items")).select("items", F.aggregate("items", empty, place, lambda s: s.to).alias("to"))
+    return folded.select(F.explode(F.arrays_zip("items", "to")).alias("x")).select(F.col("x.items.name").alias(task), (-F.col("x.items.less")).alias(size), F.col("x.to").alias("bin"))
 
 
 def deal_batches(rows: DataFrame, n: int, *order: str) -> DataFrame:
-    """N chunks of nearly equal size, larger ones first."""
-    return rows.withColumn("batch", F.ntile(n).over(Window.orderBy(*order)) - 1)
+    """N chunks of nearly equal size, larger ones first; the first order column is a number."""
+    k, size, more = F.col("rank") - 1, F.floor(F.col("total") / n), F.col("total") % n
+    large = more * (size + 1)
+    batch = F.when(k < large, F.floor(k / (size + 1))).otherwise(more + F.floor((k - large) / F.greatest(size, F.lit(1))))
+    return row_ranks(rows, list(order)).withColumn("batch", batch.cast("long")).drop("rank", "total")
+
+
+def split_lists(rows: DataFrame, split: str, key: str, keep: int) -> DataFrame:
+    """T5: the first `keep` keys of every split in order, as a list."""
+    nth = F.row_number().over(Window.partitionBy(split).orderBy(key))
+    return rows.select(split, key).distinct().withColumn("nth", nth).where(F.col("nth") <= keep).groupBy(split).agg(F.sort_array(F.collect_list(key)).alias("keys"))
+
+
+def closest_axis(vectors: DataFrame, key: str, vector: Column, target: Column) -> DataFrame:
+    """The row of each key whose vector has the largest inner product with the target; the first row on ties is the smallest `pos`."""
+    product = F.aggregate(F.zip_with(vector, target, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    scored = vectors.withColumn("product", product)
+    best = scored.groupBy(key).agg(F.max_by(F.struct("pos", "product"), F.struct("product", -F.col("pos"))).alias("b"))
+    return best.select(key, "b.pos", "b.product")
+
+
+def modality_batches(rows: DataFrame, size: int, ranks: int, order: Column) -> DataFrame:
+    """(batch, rank, id, modality, length): batches of one modality each, dealt over ranks by length.
+
+    rows: id, modality, length. Each modality is shuffled by `order`, a number, and cut into batches of `size`; the last
+    one is filled up with rows of the modality's first batch. Within a batch the longest rows come first and go to the
+    rank of the least total length that has room for more, the first on ties. The batch with the longest row gets number
+    0, in exchange with the one that had it. size must be a multiple of ranks.
+    """
+    if size % ranks:
+        raise ValueError("a batch must divide evenly over the ranks")
+    shuffled = running_sum(rows.withColumn("_order", order), ["_order", "id"], F.lit(1).cast("long"), "_all")
+    counts = shuffled.groupBy("modality").agg(F.count(F.lit(1)).alias("n"))
+    nth = F.row_number().over(Window.partitionBy("modality").orderBy("_all")) - 1
+    numbered = shuffled.withColumn("nth", nth).join(F.broadcast(counts), "modality").withColumn("own", F.floor(F.col("nth") / size).cast("long"))
+    last = F.floor((F.col("n") - 1) / size).cast("long")
+    missing = (last + 1) * size - F.col("n")
+    fill = numbered.where((F.col("own") == 0) & (F.col("nth") < missing) & (last > 0)).withColumn("own", last).withColumn("nth", F.col("nth") + F.col("n"))
+    full = numbered.unionByName(fill).select("modality", "own", "id", "length", "nth")
+    dealt = full.groupBy("modality", "own").agg(F.sort_array(F.collect_list(F.struct((-F.col("length")).alias("less"), "nth", "id"))).alias("items"), F.max("length").alias("longest"))
+    empty = F.struct(F.transform(F.sequence(F.lit(1), F.lit(ranks)), lambda i: F.lit(0).cast("long")).alias("load"), F.transform(F.sequence(F.lit(1), F.lit(ranks)), lambda i: F.lit(0)).alias("held"), F.array().cast("array<int>").alias("to"))
+
+    def place(state: Column, item: Column) -> Column:
+        room = F.transform(state.load, lambda load, i: F.when(F.get(state.held, i) < size // ranks, load).otherwise(F.lit(2**62)))
+        at = F.array_position(room, F.array_min(room)).cast("int")
+        put = lambda a, more: F.transform(a, lambda x, i: F.when(i == at - 1, x + more).otherwise(x))
+        return F.struct(put(state.load, -item.less).alias("load"), put(state.held, F.lit(1)).alias("held"), F.concat(state.to, F.array(at - 1)).alias("to"))
+
+    placed = dealt.withColumn("to", F.aggregate("items", empty, place, lambda s: s.to))
+    batches = running_sum(placed.withColumn("key", F.xxhash64("modality", "own").cast("double")), ["key", "modality", "own"], F.lit(1).cast("long"), "number").withColumn("number", F.col("number") - 1)
+    longest = batches.orderBy(F.desc("longest"), "number").limit(1).select(F.col("number").alias("top"))
+    batch = F.when(F.col("number") == F.col("top"), F.lit(0).cast("long")).when(F.col("number") == 0, F.col("top")).otherwise(F.col("number"))
+    rows = batches.join(F.broadcast(longest)).select(batch.alias("batch"), "modality", F.explode(F.arrays_zip("to", "items")).alias("x"))
+    return rows.select("batch", F.col("x.to").alias("rank"), F.col("x.items.id").alias("id"), "modality", (-F.col("x.items.less")).alias("length"))
+
+
+def farthest_points(points: DataFrame, key: str, k: int) -> DataFrame:
+    """(key, nth, id, x, y, z): k points of each cloud (key, id, x, y, z), each the farthest from those before; the
+    point of the smallest id is the first, ties go to the smaller id. A cloud of fewer points is filled up with zeros, id
+    null. A cloud is one task, as each step needs all its points."""
+
+    def sample(cloud: pd.DataFrame) -> pd.DataFrame:
+        cloud = cloud.sort_values("id")
+        xyz = cloud[["x", "y", "z"]].to_numpy(float)
+        chosen, far, at = [], np.full(len(xyz), np.inf), 0
+        for _ in range(min(k, len(xyz))):
+            chosen.append(at)
+            far = np.minimum(far, ((xyz - xyz[at]) ** 2).sum(axis=1))
+            far[chosen] = -1
+            at = int(far.argmax())
+        short = k - len(chosen)
+        return pd.DataFrame({
+            key: cloud[key].iloc[0], "nth": range(k), "id": pd.array([*cloud["id"].to_numpy()[chosen], *[None] * short], "Int64"),
+            **{c: [*xyz[chosen, j], *[0.0] * short] for j, c in enumerate("xyz")},
+        })
+
+    return points.select(key, "id", "x", "y", "z").groupBy(key).applyInPandas(sample, f"{key} {points.schema[key].dataType.simpleString()}, nth long, id long, x double, y double, z double")
 
 
 def budgeted_sample(rows: DataFrame, group: str, is_robot: str, order: str, k: int) -> DataFrame:
@@ -65,8 +180,14 @@ def budgeted_sample(rows: DataFrame, group: str, is_robot: str, order: str, k: i
     plan = n.select(group, "robots", "others", F.least("robots", k - others).alias("robot_budget"), others.alias("other_budget"))
     numbered = rows.withColumn("nth", F.row_number().over(Window.partitionBy(group, is_robot).orderBy(order)) - 1).join(plan, group)
     size, budget = (F.when(F.col(is_robot), F.col(a)).otherwise(F.col(b)) for a, b in (("robots", "others"), ("robot_budget", "other_budget")))
-    chosen = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.when(i < budget, F.when(i == budget - 1, F.when(budget == 1, 0).otherwise(size - 1)).otherwise(F.floor(i * ((size - 1) / F.greatest(budget - 1, F.lit(1)))))))
-    return numbered.where(F.array_contains(F.array_compact(chosen), F.col("nth").cast("long"))).select(*rows.columns)
+    # nth is the i-th of `budget` even positions floor(i * step) if the i next to nth / step gives it; the last one is size - 1
+    step, nth = (size - 1) / F.greatest(budget - 1, F.lit(1)), F.col("nth")
+    near = F.floor(nth / F.greatest(step, F.lit(1.0)))
+    hit = F.lit(False)
+    for i in (near - 1, near, near + 1):
+        hit = hit | ((i >= 0) & (i < budget - 1) & (F.floor(i * step) == nth))
+    chosen = F.when(budget <= 0, False).when(budget == 1, nth == 0).when(budget >= size, True).otherwise((nth == size - 1) | hit)
+    return numbered.where(chosen).select(*rows.columns)
 
 
 def effective_length(sources: DataFrame, size: str, weight: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry, normalize, text
 from ..functions.common import hash_uniform
-from ..operators import joins, sampling, schema, stats, windows
+from ..operators import filters, joins, sampling, schema, stats, transforms, windows
+from ..sources import episodes
 from .queries import FR, HASH, LEN, STATS, UNIT, VEC, _quaternions, _with_stats, frames, load, register, unit_frames, vectors
 
 
@@ -22,14 +23,14 @@ def rounded(columns, *names: str) -> list:
 # ---- sources ---------------------------------------------------------------------------------------------------------
 @register("s5_contiguous_frames", "SELECT l_orderkey AS episode, max(l_linenumber) = count(DISTINCT l_linenumber) AND min(l_linenumber) = 1 AS contiguous FROM lineitem GROUP BY l_orderkey")
 def s5(spark, d):
-    n = F.col("l_linenumber")
-    return load(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("episode")).agg(((F.max(n) == F.countDistinct(n)) & (F.min(n) == 1)).alias("contiguous"))
+    rows = load(spark, d, "lineitem").select(F.col("l_orderkey").alias("ep"), (F.col("l_linenumber") - 1).alias("idx"))
+    return episodes.contiguous(rows).withColumnRenamed("ep", "episode")
 
 
 @register("s19_log_lines", "SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events WHERE contains(props, '\"k\": 6') OR contains(props, '\"k\": 7')")
 def s19(spark, d):
-    wanted = F.col("props").contains('"k": 6') | F.col("props").contains('"k": 7')
-    return load(spark, d, "events").where(wanted).select("event_id", F.from_json("props", "k bigint").k.alias("k"))
+    found = episodes.parse_lines(load(spark, d, "events"), "props", ['"k": 6', '"k": 7'], "k bigint")
+    return found.select("event_id", "row.k")
 
 
 @register("s23_next_states", f"""WITH {FR}, {LEN} SELECT a.ep, a.idx, '{{"id":"' || a.ep || '_' || a.idx || '","states":"' || string_agg(b.kind, ' ' ORDER BY j) || '"}}' AS line
@@ -43,7 +44,7 @@ def s23(spark, d):
 # ---- projections -----------------------------------------------------------------------------------------------------
 @register("p10_success_filter", "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 1000")
 def p10(spark, d):
-    return load(spark, d, "orders").where("o_orderstatus = 'F' and o_totalprice > 1000").select("o_orderkey")
+    return filters.successful(load(spark, d, "orders"), F.col("o_orderstatus") == "F", F.col("o_totalprice") > 1000).select("o_orderkey")
 
 
 @register("p13_rename", "SELECT c_custkey AS episode, c_name AS attr_name, c_nationkey AS attr_nationkey, c_acctbal AS attr_acctbal FROM customer")
@@ -53,20 +54,18 @@ def p13(spark, d):
 
 @register("p14_repack", "SELECT c_custkey, c_nationkey + c_acctbal AS total FROM customer")
 def p14(spark, d):
-    packed = load(spark, d, "customer").select("c_custkey", F.struct(F.col("c_nationkey").alias("a"), F.struct(F.col("c_acctbal").alias("c")).alias("b")).alias("state"))
+    packed = transforms.repack(load(spark, d, "customer"), {"c_custkey": "c_custkey", "state": {"a": "c_nationkey", "b": {"c": "c_acctbal"}}})
     return packed.select("c_custkey", (F.col("state.a") + F.col("state.b.c")).alias("total"))
 
 
 @register("p17_default_prompt", "SELECT conv_id, turn, md5(coalesce(nullif(text, ''), 'be good')) AS prompt FROM conversations")
 def p17(spark, d):
-    return load(spark, d, "conversations").select("conv_id", "turn", F.md5(F.coalesce(F.nullif("text", F.lit("")), F.lit("be good"))).alias("prompt"))
+    return load(spark, d, "conversations").select("conv_id", "turn", F.md5(text.default_text(F.col("text"), "be good")).alias("prompt"))
 
 
 @register("p19_drop_episode", "SELECT event_id, CASE WHEN user_id = (SELECT max(user_id) FROM events) THEN 3 ELSE user_id END AS ep FROM events WHERE user_id <> 3")
 def p19(spark, d):
-    events = load(spark, d, "events")
-    last = events.agg(F.max("user_id").alias("last"))
-    return events.where("user_id <> 3").join(F.broadcast(last)).select("event_id", F.when(F.col("user_id") == F.col("last"), 3).otherwise(F.col("user_id")).alias("ep"))
+    return filters.swap_in_last(load(spark, d, "events"), "user_id", 3).select("event_id", F.col("user_id").alias("ep"))
 
 
 @register("x14_flatten", "SELECT event_id AS \"id\", user_id AS \"who/user\", event_type AS \"who/what/kind\" FROM events")
@@ -89,13 +88,14 @@ def j4(spark, d):
 
 @register("j5_latest_wins", "SELECT user_id, date_trunc('hour', ts) AS slot, max_by(value, event_id) AS value, count(*) AS writes FROM events GROUP BY user_id, date_trunc('hour', ts)")
 def j5(spark, d):
-    return load(spark, d, "events").groupBy("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot")).agg(F.max_by("value", "event_id").alias("value"), F.count(F.lit(1)).alias("writes"))
+    slots = load(spark, d, "events").withColumn("slot", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return joins.latest_wins(slots, ["user_id", "slot"], "value", "event_id")
 
 
 @register("j6_visible_points", "SELECT l_orderkey, l_linenumber, l_partkey, p_name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 25")
 def j6(spark, d):
     visible = load(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(visible, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey", "p_name")
+    return joins.visible_points(load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), visible, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey", "p_name")
 
 
 @register("j10_metadata_issues", "SELECT l_partkey AS part, points, CASE WHEN p_size IS NULL THEN 'missing' WHEN points <> p_size THEN 'count' ELSE '' END AS issue FROM (SELECT l_partkey, count(*) AS points FROM lineitem GROUP BY l_partkey) LEFT JOIN (SELECT * FROM part WHERE p_size > 5) ON l_partkey = p_partkey")
@@ -121,29 +121,29 @@ def a4(spark, d):
 
 @register("a7_bounds", f"WITH {STATS} SELECT dim::INT AS dim, round(low - 1e-4, 6) AS low, round(high + 1e-4, 6) AS high FROM st")
 def a7(spark, d):
-    return vectors(spark, d).groupBy("dim").agg(F.round(F.min("x") - 1e-4, 6).alias("low"), F.round(F.max("x") + 1e-4, 6).alias("high"))
+    return stats.widened_bounds(vectors(spark, d)).select("dim", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 @register("a8_bucket_statistics", "SELECT CASE WHEN contains(url, 'utm_') THEN 'tracked' WHEN contains(url, '?') THEN 'query' ELSE 'plain' END AS bucket, count(*) AS n, round(avg(length(html)), 5) AS mean, round(stddev_pop(length(html)), 5) AS std FROM pages GROUP BY ALL")
 def a8(spark, d):
-    bucket = F.when(F.col("url").contains("utm_"), "tracked").when(F.col("url").contains("?"), "query").otherwise("plain")
-    size = F.length("html")
-    return load(spark, d, "pages").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(size), 5).alias("mean"), F.round(F.stddev_pop(size), 5).alias("std"))
+    got = stats.bucket_statistics(load(spark, d, "pages"), "url", F.length("html"), {"utm_": "tracked", "?": "query"}, "plain")
+    return got.select("bucket", "n", F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"))
 
 
 @register("a12_point_counts", "SELECT l_partkey AS part, count(*) AS points FROM lineitem GROUP BY l_partkey")
 def a12(spark, d):
-    return load(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(F.count(F.lit(1)).alias("points"))
+    return stats.point_counts(load(spark, d, "lineitem").withColumnRenamed("l_partkey", "part"), "part")
 
 
 @register("a17_plan_totals", "SELECT count(DISTINCT o_custkey) AS tasks, count(*) AS episodes, count(*) FILTER (o_orderstatus <> 'F') AS pending FROM orders")
 def a17(spark, d):
-    return load(spark, d, "orders").agg(F.countDistinct("o_custkey").alias("tasks"), F.count(F.lit(1)).alias("episodes"), F.count_if(F.col("o_orderstatus") != "F").alias("pending"))
+    return stats.plan_totals(load(spark, d, "orders"), "o_custkey", F.col("o_orderstatus") != "F")
 
 
 @register("a19_mean_of_fields", "SELECT event_type, round(avg((props->>'$.k')::BIGINT), 6) AS k, round(avg(value), 6) AS value FROM events GROUP BY event_type")
 def a19(spark, d):
-    return load(spark, d, "events").groupBy("event_type").agg(F.round(F.avg(F.from_json("props", "k bigint").k), 6).alias("k"), F.round(F.avg("value"), 6).alias("value"))
+    fields = {"k": text.json_fields(F.col("props"), "k bigint").k, "value": F.col("value")}
+    return stats.mean_of_fields(load(spark, d, "events"), "event_type", fields).select("event_type", F.round("k", 6).alias("k"), F.round("value", 6).alias("value"))
 
 
 # ---- sequences -------------------------------------------------------------------------------------------------------
@@ -159,8 +159,7 @@ def w14(spark, d):
 
 @register("w24_episode_slice", f"WITH {FR} SELECT ep, idx - 5 AS idx, event_id FROM fr WHERE ep < (SELECT max(user_id) FROM events) AND idx BETWEEN 5 AND 24")
 def w24(spark, d):
-    last = load(spark, d, "events").agg(F.max("user_id").alias("last"))
-    return frames(spark, d).where("idx between 5 and 24").join(F.broadcast(last)).where("ep < last").select("ep", (F.col("idx") - 5).alias("idx"), "event_id")
+    return windows.slice_episodes(windows.drop_last_episode(frames(spark, d)), 5, 25).select("ep", "idx", "event_id")
 
 
 @register("w25_unsettled", f"WITH {FR}, f AS (SELECT ep, count(*) AS n, max_by(v, idx) AS f FROM fr GROUP BY ep) SELECT ep, bool_or(abs(v - f) > 150) AS unsettled FROM fr JOIN f USING (ep) WHERE idx >= n - 20 GROUP BY ep")
@@ -341,13 +340,13 @@ def x12(spark, d):
 
 @register("x15_padding_mask", "SELECT conv_id, turn, coalesce(length(text) <> 0, false) AS mask FROM conversations")
 def x15(spark, d):
-    return load(spark, d, "conversations").select("conv_id", "turn", F.coalesce(F.length("text") != 0, F.lit(False)).alias("mask"))
+    return load(spark, d, "conversations").select("conv_id", "turn", text.padding_mask(F.col("text")).alias("mask"))
 
 
 @register("x16_keep_one_condition", f"SELECT event_id, CASE WHEN {HASH.format('(event_id + 3)')} / 4294967296.0::DOUBLE < 0.5 OR event_type = 'error' THEN value END AS image, CASE WHEN {HASH.format('(event_id + 3)')} / 4294967296.0::DOUBLE < 0.5 OR event_type = 'error' THEN '' ELSE event_type END AS instruction FROM events")
 def x16(spark, d):
-    keep_image = (hash_uniform(F.col("event_id"), 3) < 0.5) | (F.col("event_type") == "error")
-    return load(spark, d, "events").select("event_id", F.when(keep_image, F.col("value")).alias("image"), F.when(keep_image, "").otherwise(F.col("event_type")).alias("instruction"))
+    rows = load(spark, d, "events").select("event_id", F.col("value").alias("image"), F.col("event_type").alias("instruction"))
+    return filters.keep_one(rows, "image", "instruction", hash_uniform(F.col("event_id"), 3), F.col("instruction") == "error")
 
 
 @register("x17_path_names", "SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS base, regexp_extract(url, '/([^/]*)/[^/]*$', 1) AS parent FROM pages")
@@ -358,4 +357,4 @@ def x17(spark, d):
 @register("x24_spec_check", "SELECT p_partkey, CASE WHEN p_name IS NULL THEN 'null;' ELSE '' END || CASE WHEN p_size NOT BETWEEN 1 AND 45 THEN 'range;' ELSE '' END || CASE WHEN len(string_split(p_name, ' ')) <> 2 THEN 'shape;' ELSE '' END AS issues FROM part")
 def x24(spark, d):
     checks = {"null;": F.col("p_name").isNull(), "range;": ~F.col("p_size").between(1, 45), "shape;": F.size(F.split("p_name", " ")) != 2}
-    return load(spark, d, "part").select("p_partkey", F.concat(*[F.when(bad, name).otherwise("") for name, bad in checks.items()]).alias("issues"))
+    return filters.list_issues(load(spark, d, "part"), checks).select("p_partkey", F.array_join("issues", "").alias("issues"))
\ No newline at end of file

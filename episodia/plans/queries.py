@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geometry, normalize, text
+from ..functions import codecs, geometry, normalize, text
 from ..functions.common import clip, hash_order, hash_uniform
-from ..operators import joins, sampling, stats, windows
+from ..operators import filters, joins, sampling, stats, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,9 +91,8 @@ def w3(spark, d):
 
 @register("w4_sequence_gather", f"WITH {FR}, {LEN}, s AS (SELECT ep, n, unnest(generate_series(-1, n - 4 + 3)) AS start FROM len), p AS (SELECT ep, start, j, greatest(least(start + j, n - 1), 0) AS idx FROM s, generate_series(0, 3) g(j)) SELECT ep, start, string_agg(event_id::VARCHAR, ',' ORDER BY j) AS ids FROM p JOIN fr USING (ep, idx) GROUP BY ep, start")
 def w4(spark, d):
-    fr = frames(spark, d)
-    got = windows.sequence_positions(fr, 4, 1, 3).join(fr.select("ep", "idx", "event_id"), ["ep", "idx"])
-    return got.groupBy("ep", "start").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("j", "event_id"))), lambda s: s.event_id.cast("string")), ",").alias("ids"))
+    got = windows.gather_sequences(frames(spark, d), "event_id", 4, 1, 3)
+    return got.select("ep", "start", F.array_join(F.transform("values", lambda x: x.cast("string")), ",").alias("ids"))
 
 
 @register("w6_forward_chunk", f"WITH {FR}, {LEN} SELECT a.ep, a.idx, string_agg(b.event_id::VARCHAR, ',' ORDER BY j) AS chunk FROM fr a JOIN len USING (ep), generate_series(0, 4) g(j) JOIN fr b ON b.ep = a.ep AND b.idx = least(a.idx + j, n - 1) GROUP BY a.ep, a.idx")
@@ -139,7 +138,7 @@ def w17(spark, d):
 
 @register("w18_previous_action", f"WITH {FR} SELECT ep, idx, coalesce(lag(v) OVER (PARTITION BY ep ORDER BY idx), 0.0::DOUBLE) AS state, v AS action FROM fr")
 def w18(spark, d):
-    return frames(spark, d).select("ep", "idx", F.lag("v", 1, 0.0).over(windows.in_order()).alias("state"), F.col("v").alias("action"))
+    return windows.previous_action(frames(spark, d), "v").select("ep", "idx", "state", "action")
 
 
 @register("w20_moving_average", f"WITH {FR} SELECT ep, idx, round(sum(v) OVER (PARTITION BY ep ORDER BY idx ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 5, 5) AS smooth FROM fr")
@@ -169,21 +168,20 @@ def w27(spark, d):
 
 @register("w28_save_steps", f"WITH {FR}, {LEN} SELECT ep, idx FROM fr JOIN len USING (ep) WHERE idx % 15 = 0 OR idx = n - 1")
 def w28(spark, d):
-    n = F.count(F.lit(1)).over(Window.partitionBy("ep"))
-    return frames(spark, d).withColumn("n", n).where("idx % 15 = 0 or idx = n - 1").select("ep", "idx")
+    return windows.save_steps(frames(spark, d), 15).select("ep", "idx")
 
 
 # ---- joins -----------------------------------------------------------------------------------------------------------
-@register("j1_history", f"""WITH {FR}, sp AS (SELECT ep, idx * 3 AS idx, v FROM fr), t AS (SELECT ep, idx AS t0, h, idx - h * 2 AS target FROM sp, generate_series(0, 4) g(h) WHERE idx % 2 = 0),
+@register("j1_history", f"""WITH {FR}, sp AS (SELECT ep, idx * 3 AS idx, v FROM fr), t AS (SELECT ep, idx AS t0, h, idx - h * 2 AS target FROM sp, generate_series(0, 4) g(h)),
     f AS (SELECT ep, min_by(v, idx) AS v0 FROM sp GROUP BY ep)
     SELECT t.ep, t0, h, target, coalesce(sp.v, v0) AS value, coalesce(sp.idx = target, false) OR h = 0 AS valid FROM t JOIN f USING (ep) ASOF LEFT JOIN sp ON t.ep = sp.ep AND t.target >= sp.idx""")
 def j1(spark, d):
     sparse = frames(spark, d).select("ep", (F.col("idx") * 3).alias("idx"), "v")
-    out = joins.history(sparse, sparse.where("idx % 2 = 0").select("ep", F.col("idx").alias("t0")), "v", 5, 2)
+    out = joins.history(sparse, sparse.select("ep", F.col("idx").alias("t0")), "v", 5, 2)
     return out.withColumn("valid", F.coalesce("valid", F.lit(False)))
 
 
-@register("j1_every_frame")
+@register("j1_every_frame", f"WITH {FR} SELECT a.ep, a.idx AS t0, h::INT AS h, a.idx - 2 * h AS target, b.v AS value, a.idx >= 2 * h AS valid FROM fr a, generate_series(0, 4) g(h) JOIN fr b ON b.ep = a.ep AND b.idx = greatest(a.idx - 2 * h, 0)")
 def j1_every(spark, d):
     all_frames = frames(spark, d)
     return joins.history(all_frames, all_frames.select("ep", F.col("idx").alias("t0")), "v", 5, 2).withColumn("valid", F.coalesce("valid", F.lit(False)))
@@ -245,8 +243,7 @@ def j12(spark, d):
 @register("j15_dataset_lookup", "SELECT s_suppkey, n_name, r_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
 def j15(spark, d):
     nation, region = load(spark, d, "nation"), load(spark, d, "region")
-    s = load(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    return s.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("s_suppkey", "n_name", "r_name")
+    return joins.look_up(load(spark, d, "supplier"), (nation, "s_nationkey", "n_nationkey"), (region, "n_regionkey", "r_regionkey")).select("s_suppkey", "n_name", "r_name")
 
 
 # ---- aggregates ------------------------------------------------------------------------------------------------------
@@ -272,7 +269,7 @@ def a6(spark, d):
 
 @register("a9_episode_statistics", f"WITH {FR} SELECT ep, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(sqrt(avg(v * v)), 6) AS rms FROM fr GROUP BY ep")
 def a9(spark, d):
-    return frames(spark, d).groupBy("ep").agg(F.round(F.avg("v"), 6).alias("mean"), F.round(F.stddev_pop("v"), 6).alias("std"), F.round(F.sqrt(F.avg(F.col("v") * F.col("v"))), 6).alias("rms"))
+    return stats.episode_statistics(frames(spark, d), "v").select("ep", *[F.round(c, 6).alias(c) for c in ("mean", "std", "rms")])
 
 
 @register("a10_displacement", f"WITH {FR}, b AS (SELECT ep, v AS v0 FROM fr WHERE idx = 0) SELECT ep, round(max(abs(v - v0)), 6) AS max_moved, bool_or(abs(v - v0) > 1e-5) AS moving FROM fr JOIN b USING (ep) GROUP BY ep")
@@ -282,18 +279,17 @@ def a10(spark, d):
 
 @register("a11_most_moving", f"WITH {FR}, b AS (SELECT ep, max(v) - min(v) AS m FROM fr GROUP BY ep) SELECT ep, round(m, 6) AS motion FROM b ORDER BY m DESC, ep LIMIT 1")
 def a11(spark, d):
-    moved = frames(spark, d).groupBy("ep").agg((F.max("v") - F.min("v")).alias("m"))
-    return moved.orderBy(F.desc("m"), "ep").limit(1).select("ep", F.round("m", 6).alias("motion"))
+    return stats.most_moving(frames(spark, d), "v").withColumn("motion", F.round("motion", 6))
 
 
 @register("a13_names", "SELECT l_returnflag, string_agg(DISTINCT l_linestatus, ',' ORDER BY l_linestatus) AS names, count(*) AS points FROM lineitem GROUP BY l_returnflag")
 def a13(spark, d):
-    return load(spark, d, "lineitem").groupBy("l_returnflag").agg(F.array_join(F.sort_array(F.collect_set("l_linestatus")), ",").alias("names"), F.count(F.lit(1)).alias("points"))
+    return stats.distinct_names(load(spark, d, "lineitem"), "l_returnflag", "l_linestatus").withColumn("names", F.array_join("names", ","))
 
 
 @register("a14_manifest", "SELECT o_orderpriority AS split, count(*) AS clips, count(DISTINCT o_custkey) AS episodes, count(*) FILTER (o_orderstatus = 'F') AS complete FROM orders GROUP BY o_orderpriority")
 def a14(spark, d):
-    return load(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("split")).agg(F.count(F.lit(1)).alias("clips"), F.countDistinct("o_custkey").alias("episodes"), F.count_if(F.col("o_orderstatus") == "F").alias("complete"))
+    return stats.manifest(load(spark, d, "orders"), "o_orderpriority", "o_custkey", F.col("o_orderstatus") == "F")
 
 
 @register("a15_running_success", "SELECT o_custkey, o_orderkey, count(*) OVER w AS trials, (sum((o_orderstatus = 'F')::INT) OVER w)::BIGINT AS successes, round(100.0::DOUBLE * sum((o_orderstatus = 'F')::INT) OVER w / count(*) OVER w, 1) AS rate FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING)")
@@ -314,7 +310,7 @@ def a18(spark, d):
 
 @register("a20_sliding_mean", f"WITH {FR} SELECT ep, idx, round(avg(v) OVER (PARTITION BY ep ORDER BY idx ROWS 9 PRECEDING), 5) AS mean FROM fr")
 def a20(spark, d):
-    return frames(spark, d).select("ep", "idx", F.round(F.avg("v").over(windows.in_order().rowsBetween(-9, 0)), 5).alias("mean"))
+    return windows.sliding_mean(frames(spark, d), "v", 10).select("ep", "idx", F.round("mean", 5).alias("mean"))
 
 
 @register("a21_pooled_statistics", f"WITH {FR}, p AS (SELECT kind, count(*) AS n, avg(v) AS mean, stddev_samp(v) AS std FROM fr GROUP BY kind) SELECT round(sum(n * mean) / sum(n), 6) AS mean, round(sqrt(greatest(sum((n - 1) * (std * std + mean * mean)) / sum(n) - pow(sum(n * mean) / sum(n), 2), 0)), 6) AS std, sum(n)::BIGINT AS n FROM p")
@@ -326,58 +322,50 @@ def a21(spark, d):
 # ---- filters ---------------------------------------------------------------------------------------------------------
 @register("p3_integrity", "SELECT l_orderkey, l_partkey, l_suppkey, string_agg(issue, ';' ORDER BY issue) AS issues FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate, unnest(list_filter([CASE WHEN l_quantity > 45 THEN 'quantity' END, CASE WHEN l_discount > 0.08 THEN 'discount' END], lambda x: x IS NOT NULL)) AS issue FROM lineitem) GROUP BY ALL")
 def p3(spark, d):
-    issues = F.array_compact(F.array(F.when(F.col("l_quantity") > 45, "quantity"), F.when(F.col("l_discount") > 0.08, "discount")))
-    rows = load(spark, d, "lineitem").distinct().withColumn("issues", issues).where(F.size("issues") > 0).withColumn("issue", F.explode("issues"))
-    return rows.groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(F.array_join(F.sort_array(F.collect_list("issue")), ";").alias("issues"))
+    checks = {"quantity": F.col("l_quantity") > 45, "discount": F.col("l_discount") > 0.08}
+    return filters.issues_by(load(spark, d, "lineitem").distinct(), checks, "l_orderkey", "l_partkey", "l_suppkey").withColumn("issues", F.array_join("issues", ";"))
 
 
 @register("p4_min_motion", f"WITH {_clips_sql(8, 4, 2)}, m AS (SELECT ep, clip, max(v) - min(v) AS motion FROM po JOIN fr USING (ep, idx) GROUP BY ep, clip) SELECT ep, clip, row_number() OVER (PARTITION BY ep ORDER BY clip) - 1 AS ordinal FROM m WHERE motion >= 60")
 def p4(spark, d):
-    m = windows.clips(frames(spark, d), 8, 4, 2).groupBy("ep", "clip").agg((F.max("v") - F.min("v")).alias("motion")).where("motion >= 60")
-    return m.select("ep", "clip", (F.row_number().over(Window.partitionBy("ep").orderBy("clip")) - 1).cast("long").alias("ordinal"))
+    return filters.moving_clips(windows.clips(frames(spark, d), 8, 4, 2), "v", 60).select("ep", "clip", "ordinal")
 
 
 @register("p5_labelled_episodes", "SELECT conv_id, turn FROM conversations WHERE conv_id IN (SELECT conv_id FROM conversations WHERE length(text) > 1200)")
 def p5(spark, d):
-    c = load(spark, d, "conversations")
-    return c.join(c.where(F.length("text") > 1200).select("conv_id").distinct(), "conv_id", "left_semi").select("conv_id", "turn")
+    return filters.labelled_episodes(load(spark, d, "conversations"), "conv_id", F.length("text") > 1200).select("conv_id", "turn")
 
 
 @register("p6_bounded_episodes", f"WITH {FR} SELECT ep, count(*) AS n FROM fr GROUP BY ep HAVING bool_and(abs(v) <= 400)")
 def p6(spark, d):
-    return frames(spark, d).groupBy("ep").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.abs("v") <= 400).alias("ok")).where("ok").select("ep", "n")
+    return filters.bounded_episodes(frames(spark, d), "v", 400)
 
 
 @register("p8_success_path", "SELECT url FROM pages WHERE regexp_full_match(url, '.*utm_source.*')")
 def p8(spark, d):
-    return load(spark, d, "pages").where(F.col("url").rlike("^.*utm_source.*$")).select("url")
+    return filters.matching_paths(load(spark, d, "pages"), "url", ".*utm_source.*").select("url")
 
 
 @register("p9_frame_ranges", f"WITH {FR}, r AS (SELECT c_custkey AS ep, c_nationkey AS a, c_nationkey + 10 AS b FROM customer) SELECT ep, idx FROM fr WHERE EXISTS (SELECT 1 FROM r WHERE r.ep = fr.ep AND fr.idx >= a AND fr.idx < b)")
 def p9(spark, d):
-    r = load(spark, d, "customer").select(F.col("c_custkey").alias("ep"), F.col("c_nationkey").alias("a"), (F.col("c_nationkey") + 10).alias("b"))
-    fr = frames(spark, d)
-    return fr.join(r, (fr.ep == r.ep) & (fr.idx >= r.a) & (fr.idx < r.b), "left_semi").select("ep", "idx")
+    r = load(spark, d, "customer").select(F.col("c_custkey").alias("ep"), F.col("c_nationkey").alias("begin"), (F.col("c_nationkey") + 10).alias("end"))
+    return filters.in_ranges(frames(spark, d), r).select("ep", "idx")
 
 
 @register("p11_episode_length", f"WITH {FR}, {LEN}, r AS (SELECT ep, idx, n, row_number() OVER (PARTITION BY ep ORDER BY {HASH.format('event_id')}, idx) AS nth FROM fr JOIN len USING (ep)) SELECT ep, idx FROM r WHERE n >= 60 AND nth <= 70")
 def p11(spark, d):
-    n = F.count(F.lit(1)).over(Window.partitionBy("ep"))
-    return windows.sample_frames(frames(spark, d).withColumn("n", n).where("n >= 60"), 70, hash_order(F.col("event_id"))).select("ep", "idx")
+    return windows.sample_frames(filters.episode_lengths(frames(spark, d), 60), 70, hash_order(F.col("event_id"))).select("ep", "idx")
 
 
 @register("p12_skip_still_start", f"WITH {FR}, b AS (SELECT ep, v AS v0 FROM fr WHERE idx = 0), s AS (SELECT ep, min(idx) - 1 AS s FROM fr JOIN b USING (ep) WHERE abs(v - v0) > 20 GROUP BY ep) SELECT ep, idx FROM fr JOIN s USING (ep) WHERE idx >= s")
 def p12(spark, d):
-    w = windows.in_order()
-    moved = F.abs(F.col("v") - F.first("v").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))) > 20
-    start = F.min(F.when(F.col("moved"), F.col("idx"))).over(Window.partitionBy("ep")) - 1
-    return frames(spark, d).withColumn("moved", moved).withColumn("start", start).where("idx >= start").select("ep", "idx")
+    return windows.skip_still_start(frames(spark, d), "v", 20).select("ep", "idx")
 
 
 @register("p20_crop", "SELECT vec_id FROM embeddings WHERE embedding[1] BETWEEN -0.1 AND 0.1 AND embedding[2] BETWEEN -0.1 AND 0.1 AND embedding[3] BETWEEN -0.1 AND 0.1")
 def p20(spark, d):
-    inside = [F.col("embedding")[k].cast("double").between(-0.1, 0.1) for k in range(3)]
-    return load(spark, d, "embeddings").where(inside[0] & inside[1] & inside[2]).select("vec_id")
+    point = tuple(F.col("embedding")[k].cast("double") for k in range(3))
+    return filters.within_box(load(spark, d, "embeddings"), point, (-0.1,) * 3, (0.1,) * 3).select("vec_id")
 
 
 # ---- samples and splits ----------------------------------------------------------------------------------------------
@@ -400,7 +388,7 @@ def t7(spark, d):
 
 @register("t9_shuffled_head", f"SELECT event_id FROM events ORDER BY {HASH.format('event_id')}, event_id LIMIT 100")
 def t9(spark, d):
-    return load(spark, d, "events").orderBy(hash_order(F.col("event_id")), "event_id").limit(100).select("event_id")
+    return sampling.shuffled_head(load(spark, d, "events").select("event_id"), hash_order(F.col("event_id")), "event_id", 100)
 
 
 @register("t12_episode_split", f"WITH e AS (SELECT DISTINCT user_id AS ep FROM events) SELECT ep, row_number() OVER (ORDER BY {HASH.format('ep')}, ep) > count(*) OVER () - ceil(count(*) OVER () * 0.2::DOUBLE) AS is_test FROM e")
@@ -410,8 +398,7 @@ def t12(spark, d):
 
 @register("t13_last_episode", "SELECT DISTINCT user_id AS ep, user_id = (SELECT max(user_id) FROM events) AS is_val FROM events")
 def t13(spark, d):
-    e = load(spark, d, "events").select(F.col("user_id").alias("ep")).distinct()
-    return e.join(F.broadcast(e.agg(F.max("ep").alias("top")))).select("ep", (F.col("ep") == F.col("top")).alias("is_val"))
+    return sampling.last_episode(load(spark, d, "events").select(F.col("user_id").alias("ep")).distinct(), "ep")
 
 
 @register("t14_floor_split", "SELECT user_id AS ep, row_number() OVER (ORDER BY user_id) <= floor(count(*) OVER () * 0.8::DOUBLE) AS is_train FROM (SELECT DISTINCT user_id FROM events)")
@@ -427,12 +414,14 @@ def t20(spark, d):
 # ---- sets ------------------------------------------------------------------------------------------------------------
 @register("u1_concatenate", "SELECT 'c' AS part, c_custkey AS id FROM customer UNION ALL SELECT 's', s_suppkey FROM supplier")
 def u1(spark, d):
-    return load(spark, d, "customer").select(F.lit("c").alias("part"), F.col("c_custkey").alias("id")).unionByName(load(spark, d, "supplier").select(F.lit("s").alias("part"), F.col("s_suppkey").alias("id")))
+    parts = {"c": load(spark, d, "customer").select(F.col("c_custkey").alias("id")), "s": load(spark, d, "supplier").select(F.col("s_suppkey").alias("id"))}
+    return joins.concatenate(parts, "part")
 
 
-@register("u2_difference", "SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders")
+@register("u2_difference", "SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 300000")
 def u2(spark, d):
-    return load(spark, d, "customer").select(F.col("c_custkey").alias("id")).distinct().join(load(spark, d, "orders").select(F.col("o_custkey").alias("id")), "id", "left_anti")
+    used = load(spark, d, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("id"))
+    return joins.static_rows(load(spark, d, "customer").select(F.col("c_custkey").alias("id")).distinct(), used, "id")
 
 
 # ---- normalization ---------------------------------------------------------------------------------------------------
@@ -474,14 +463,15 @@ def n18(spark, d):
     return vectors(spark, d).select("vec_id", "dim", normalize.quantize_normal(F.col("x")).alias("q"))
 
 
-@register("n20_action_tokens", f"WITH {VEC}, e AS (SELECT list_transform(generate_series(0, 255), lambda i: CASE WHEN i = 255 THEN 1.0::DOUBLE ELSE i * (2.0::DOUBLE / 255) - 1.0 END) AS e) SELECT vec_id, dim::INT AS dim, (32000 - len(list_filter(e, lambda b: b <= greatest(least(x, 1.0::DOUBLE), -1.0::DOUBLE))))::INT AS token FROM ve, e WHERE dim < 8")
+@register("n20_action_tokens", f"WITH {VEC}, e AS (SELECT list_transform(generate_series(0, 255), lambda i: CASE WHEN i = 255 THEN 1.0::DOUBLE ELSE i * (2.0::DOUBLE / 255) - 1.0 END) AS e) SELECT vec_id, dim::INT AS dim, (32000 - len(list_filter(e, lambda b: b <= greatest(least(x, 1.0::DOUBLE), -1.0::DOUBLE))))::INT AS token FROM ve, e")
 def n20(spark, d):
-    return vectors(spark, d).where("dim < 8").select("vec_id", "dim", normalize.action_token(F.col("x")).alias("token"))
+    return vectors(spark, d).select("vec_id", "dim", normalize.action_token(F.col("x")).alias("token"))
 
 
-@register("n20_all_dims")
+@register("n20_all_dims", f"WITH {VEC} SELECT vec_id, string_agg((31999 - floor((greatest(least(x, 1), -1) + 1) / (2.0::DOUBLE / 255) + 1e-9))::INT::VARCHAR, ',' ORDER BY dim) AS tokens FROM ve GROUP BY vec_id")
 def n20_all(spark, d):
-    return vectors(spark, d).select("vec_id", "dim", normalize.action_token(F.col("x")).alias("token"))
+    tokens = codecs.even_tokens(F.col("embedding").cast("array<double>"))
+    return load(spark, d, "embeddings").select("vec_id", F.array_join(F.transform(tokens, lambda x: x.cast("string")), ",").alias("tokens"))
 
 
 # ---- geometry and text -----------------------------------------------------------------------------------------------
@@ -517,9 +507,8 @@ def g12(spark, d):
 
 @register("x5_cyclic_fill", "WITH t AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i, count(*) OVER (PARTITION BY conv_id) AS m FROM conversations) SELECT conv_id, k, md5(text) AS text FROM t, generate_series(0, 9) g(k) WHERE k % m = i")
 def x5(spark, d):
-    by = Window.partitionBy("conv_id")
-    t = load(spark, d, "conversations").withColumn("i", F.row_number().over(by.orderBy("turn")) - 1).withColumn("m", F.count(F.lit(1)).over(by))
-    return t.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long")))).where(F.col("k") % F.col("m") == F.col("i")).select("conv_id", "k", F.md5("text").alias("text"))
+    lists = load(spark, d, "conversations").groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("turn", "text"))), lambda r: r.text).alias("texts"))
+    return lists.select("conv_id", F.posexplode(text.fill_cyclic(F.col("texts"), 10)).alias("k", "text")).select("conv_id", F.col("k").cast("long").alias("k"), F.md5("text").alias("text"))
 
 
 @register("x7_capitalize", "SELECT event_id, upper(event_type[1]) || event_type[2:] || '.' AS sentence FROM events")
@@ -539,13 +528,14 @@ def x11(spark, d):
 
 @register("x13_json", "SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
 def x13(spark, d):
-    return load(spark, d, "events").select("event_id", F.from_json("props", "k bigint").k.alias("k"))
+    return load(spark, d, "events").select("event_id", text.json_fields(F.col("props"), "k bigint").k.alias("k"))
 
 
 @register("x22_condition_dropout", f"SELECT event_id, CASE WHEN {HASH.format('(event_id + 1)')} / 4294967296.0::DOUBLE < 0.1 THEN '' ELSE event_type END AS instruction, CASE WHEN {HASH.format('(event_id + 2)')} / 4294967296.0::DOUBLE < 0.1 THEN 0.0 ELSE value END::DOUBLE AS state FROM events")
 def x22(spark, d):
-    key = F.col("event_id")
-    return load(spark, d, "events").select("event_id", F.when(hash_uniform(key, 1) < 0.1, "").otherwise(F.col("event_type")).alias("instruction"), F.when(hash_uniform(key, 2) < 0.1, 0.0).otherwise(F.col("value")).alias("state"))
+    key, named = F.col("event_id"), F.col("event_type").alias("instruction")
+    rows = load(spark, d, "events").select("event_id", named, F.col("value").alias("state"))
+    return filters.drop_conditions(rows, {"instruction": (hash_uniform(key, 1), F.lit("")), "state": (hash_uniform(key, 2), F.lit(0.0))}, 0.1)
 
 
 @register("n16_invert_clip", f"WITH {UNIT} SELECT ep, idx, round(1 - greatest(least(g * 2, 1), 0), 6) AS gripper FROM un")

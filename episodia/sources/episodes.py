@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import io
 import tarfile
-from collections.abc import Sequence
+import tempfile
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from ..functions.common import hash_order, hash_uniform
 from ..functions.text import episode_number
+from ..operators.windows import forward_chunk
 
 
 def csv_names(value: str | None) -> list[str] | None:
@@ -30,8 +35,9 @@ def discover(paths: DataFrame, tasks: Sequence[str] | None = None, max_per_task:
 
 
 def contiguous(frames: DataFrame) -> DataFrame:
-    """Episodes whose frames are not exactly 0 .. n-1."""
-    return frames.groupBy("ep").agg(F.min("idx").alias("low"), F.max("idx").alias("high"), F.countDistinct("idx").alias("n")).where("low <> 0 or high + 1 <> n")
+    """(ep, contiguous): whether an episode's frames are exactly 0 .. n-1; repeated frames count once."""
+    ends = frames.groupBy("ep").agg(F.min("idx").alias("low"), F.max("idx").alias("high"), F.countDistinct("idx").alias("n"))
+    return ends.select("ep", ((F.col("low") == 0) & (F.col("high") + 1 == F.col("n"))).alias("contiguous"))
 
 
 def write_episodes(frames: DataFrame, path: str, *partitions: str) -> None:
@@ -40,19 +46,105 @@ def write_episodes(frames: DataFrame, path: str, *partitions: str) -> None:
 
 
 def json_lines(spark: SparkSession, path: str, keys: Sequence[str], schema: str) -> DataFrame:
-    """Rows of a JSON-lines log that name any of the keys; incomplete lines are left out."""
-    wanted = F.lit(False)
-    for k in keys:
-        wanted = wanted | F.col("value").contains(f'"{k}"')
-    return spark.read.text(path).where(wanted & F.col("value").endswith("}")).select(F.from_json("value", schema).alias("row")).select("row.*")
+    """Rows of a JSON-lines log that hold any of the keys; incomplete lines are left out."""
+    return parse_lines(spark.read.text(path), "value", [f'"{k}"' for k in keys], schema).select("row.*")
+
+
+def parse_lines(lines: DataFrame, column: str, wanted: Sequence[str], schema: str) -> DataFrame:
+    """Lines that hold one of the texts and end with a brace, plus the parsed `row`."""
+    any_of = F.lit(False)
+    for text in wanted:
+        any_of = any_of | F.col(column).contains(text)
+    return lines.where(any_of & F.col(column).endswith("}")).withColumn("row", F.from_json(column, schema))
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below spark.checkpoint.dir, which a cluster's machines share; a local master may do without the setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def read_split(episodes: DataFrame, key: str, split: str, share: float = 0.95) -> DataFrame:
+    """The train, val or all rows, an episode as a whole, by a hash of its key; in a shuffled, repeatable order of files it is the reader's to sort by `shuffle`."""
+    train = hash_uniform(F.col(key)) < share
+    rows = episodes.withColumn("shuffle", hash_order(F.col(key), 1))
+    if split not in ("train", "val", "all"):
+        raise ValueError(f"no split {split}")
+    return rows if split == "all" else rows.where(train if split == "train" else ~train)
+
+
+def build_table(paths: DataFrame, parse: Callable[[str], Iterator[dict]], schema: str) -> DataFrame:
+    """The rows that parse() reads from each path, one file at a time, as many files at once as there are tasks."""
+
+    def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [f.split()[0] for f in schema.split(",")]
+        for frame in frames:
+            for path in frame["path"]:
+                yield pd.DataFrame(list(parse(path)), columns=names)
+
+    return paths.select("path").mapInPandas(build, schema)
+
+
+def frame_tables(frames: DataFrame, tasks: DataFrame, fps: int = 50) -> dict[str, DataFrame]:
+    """Frames, episodes and tasks as tables. frames: ep, idx, further columns; tasks: ep, texts.
+
+    A frame has its time at `fps`; an episode its length and one of its instructions, drawn by a hash of its number; a
+    task is a different instruction with its number in code-point order.
+    """
+    timed = frames.withColumn("timestamp", F.col("idx") / float(fps))
+    drawn = F.get("texts", (hash_order(F.col("ep")) % F.size("texts")).cast("int"))
+    episodes = frames.groupBy("ep").agg(F.count(F.lit(1)).alias("length")).join(tasks, "ep", "left").withColumn("task", drawn).drop("texts")
+    names = episodes.select("task").distinct().where("task is not null")
+    numbered = names.withColumn("task_index", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("task")) - 1)  # one row for each text
+    return {"frames": timed, "episodes": episodes, "tasks": numbered}
+
+
+def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
+    """Each table as Parquet below the folder."""
+    for name, df in tables.items():
+        df.write.option("compression", "zstd").mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def delta_windows(frames: DataFrame, value: str, horizon: int, fps: int) -> DataFrame:
+    """For every frame the values at the times t / fps ahead, t below horizon, the episode's last one repeated, and those times."""
+    times = F.array(*[F.lit(t / fps) for t in range(horizon)])
+    return forward_chunk(frames, value, horizon).withColumn("delta_timestamps", times)
+
+
+def manifest_lines(summary: DataFrame) -> DataFrame:
+    """Each row as one JSON text."""
+    return summary.select(F.to_json(F.struct("*")).alias("line"))
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """JSON lines."""
+    df.write.mode("overwrite").json(path)
+
+
+def numeric_lines(rows: DataFrame) -> DataFrame:
+    """A JSON text of each row's numeric columns."""
+    names = [f.name for f in rows.schema if isinstance(f.dataType, NumericType)]
+    return rows.select(F.to_json(F.struct(*names)).alias("line"))
+
+
+def complete_lines(lines: DataFrame) -> DataFrame:
+    """The lines that are whole JSON objects; a tail that a crash cut short is left out."""
+    return lines.where(F.try_parse_json("line").isNotNull() & F.col("line").startswith("{") & F.rtrim("line").endswith("}"))
 
 
 def tar_shards(samples: DataFrame, split: str, max_bytes: int) -> DataFrame:
     """(name, content) of tar shards of up to max_bytes of samples (key, payload).
 
     Samples are hashed into as many groups as their bytes need, so that each task holds one shard; a group that grew
-    beyond max_bytes is written as several.
+    beyond max_bytes is written as several. A shard is one binary value, so max_bytes may be 512 MB at most.
     """
+    if max_bytes > 512_000_000:
+        raise ValueError("a shard of more than 512 MB does not fit into one value")
     total = samples.agg(F.sum(F.length("payload"))).first()[0] or 0
     groups = max(1, -(-total // max(1, max_bytes)))
 

@@ -5,17 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-CLIP_SCHEMA = "ep long, clip long, j long, idx long, is_pad boolean"
+CLIP_SCHEMA = "ep long, clip long, j long, idx long, is_pad boolean, complete boolean"
+CLIP_COLUMNS = [c.split()[0] for c in CLIP_SCHEMA.split(", ")]
 STATE_SCHEMA = "next long, clip long, waiting string"
 
 
-def stream_clips(frames: DataFrame, length: int, stride: int, interval: int) -> DataFrame:
+def stream_clips(frames: DataFrame, length: int, stride: int, interval: int, patience: int | None = None) -> DataFrame:
     """Clips as soon as their frames are there; frames: ep, idx, is_end.
 
+    A closed episode gives one more row, with the number of its clips in `clip`, no j, and `complete`. An episode that
+    gets no frame for `patience` seconds is closed as it is, not complete, so that a lost frame does not hold it and
+    what waits for it in state for ever; without patience it waits.
+
     A row with is_end closes its episode, its idx being the number of frames: frames left over then give one padded
     clip, and what comes later is ignored. Frames may arrive out of order; they wait in state until those before them
     are there, so a restart emits no clip twice. Repeated frames count once. State is a counter and the frames that
@@ -26,6 +31,11 @@ def stream_clips(frames: DataFrame, length: int, stride: int, interval: int) ->
 
     def cut(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         ready, clip, waiting = state.get if state.exists else (0, 0, "")
+        if state.hasTimedOut:
+            if ready >= 0:
+                state.update((-1, clip, ""))
+                yield pd.DataFrame([(key[0], clip, None, None, None, False)], columns=CLIP_COLUMNS)
+            return
         if ready < 0:
             return
         early = {int(x) for x in waiting.split(",") if x and not x.startswith("e")}
@@ -39,21 +49,55 @@ def stream_clips(frames: DataFrame, length: int, stride: int, interval: int) ->
             ready += 1
         out = []
         while clip * step + reach <= ready:
-            out += [(key[0], clip, j, clip * step + j * interval, False) for j in range(length)]
+            out += [(key[0], clip, j, clip * step + j * interval, False, None) for j in range(length)]
             clip += 1
         closed = end is not None and ready >= end
         if closed and clip * step < end:
-            out += [(key[0], clip, j, min(clip * step + j * interval, end - 1), clip * step + j * interval > end - 1) for j in range(length)]
+            out += [(key[0], clip, j, min(clip * step + j * interval, end - 1), clip * step + j * interval > end - 1, None) for j in range(length)]
+            clip += 1
         if closed:
+            out.append((key[0], clip, None, None, None, True))
             state.update((-1, clip, ""))
         else:
             state.update((ready, clip, ",".join([*map(str, sorted(early)), *([f"e{end}"] if end is not None else [])])))
+            if patience:
+                state.setTimeoutDuration(1000 * patience)
         if out:
-            yield pd.DataFrame(out, columns=["ep", "clip", "j", "idx", "is_pad"])
+            yield pd.DataFrame(out, columns=CLIP_COLUMNS).astype({"j": "Int64", "idx": "Int64", "is_pad": "boolean", "complete": "boolean"})
 
-    return frames.groupBy("ep").applyInPandasWithState(cut, CLIP_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if patience else GroupStateTimeout.NoTimeout
+    return frames.groupBy("ep").applyInPandasWithState(cut, CLIP_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
 def running_statistics(frames: DataFrame, value: str) -> DataFrame:
     """Mean, deviation and range by episode so far; run it in complete or update mode."""
     return frames.groupBy("ep").agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("low"), F.max(value).alias("high"))
+
+
+def run_over_table(stream: DataFrame, folder: str) -> DataFrame:
+    """What an append-mode stream gives for all that its source holds now, as a table below the folder."""
+    query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+def continued_grid(rows: DataFrame, state: DataFrame, key: str, time: str, value: str, dt: float, eps: float = 1e-5) -> tuple[DataFrame, DataFrame]:
+    """(steps, state): the next call's steps of a grid of dt seconds, from the step after the last one filled.
+
+    state: key, next_step. A sample fills all steps up to its own that are still open; of samples for the same steps the
+    first counts. The new state goes with the next call.
+    """
+    sampled = rows.join(state, key, "left").withColumn("next_step", F.coalesce("next_step", F.lit(0).cast("long"))).withColumn("k", F.floor(F.col(time) / dt + eps))
+    firsts = sampled.where(F.col("k") >= F.col("next_step")).groupBy(key, "next_step", "k").agg(F.min_by(value, time).alias("value"))
+    before = F.lag("k").over(Window.partitionBy(key).orderBy("k"))
+    filled = firsts.withColumn("from", F.coalesce(before + 1, F.col("next_step")))
+    steps = filled.select(key, F.explode(F.sequence("from", "k")).alias("step"), "value")
+    new = filled.groupBy(key).agg((F.max("k") + 1).alias("_next"))
+    return steps, state.join(new, key, "full").select(key, F.coalesce("_next", "next_step").alias("next_step"))
+
+
+def merge_statistics(parts: DataFrame, *keys: str) -> DataFrame:
+    """running statistics of parts (n, mean, std, low, high, deviations over n) as those of the whole."""
+    n, mean = F.sum("n"), F.sum(F.col("n") * F.col("mean")) / F.sum("n")
+    square = F.sum(F.col("n") * (F.col("std") * F.col("std") + F.col("mean") * F.col("mean"))) / n
+    return parts.groupBy(*keys).agg(n.alias("n"), mean.alias("mean"), F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("std"), F.min("low").alias("low"), F.max("high").alias("high"))

@@ -17,7 +17,7 @@ def test_query_matches_sql(spark, name):
 
 def test_every_dimension_is_tokenized(spark):
     vectors = {r.vec_id: np.array(r.embedding, float) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").collect()}
-    got = {(r.vec_id, r.dim): r.token for r in registry.queries()["n20_all_dims"](spark, DATA).collect()}
+    got = {(r.vec_id, r.dim): r.token for r in registry.queries()["n20_action_tokens"](spark, DATA).collect()}
     tokens = {i: 32000 - np.digitize(np.clip(v, -1, 1), np.linspace(-1, 1, 256)) for i, v in vectors.items()}
     assert got == {(i, k): t for i, own in tokens.items() for k, t in enumerate(own)}
 
