@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType
 
 from ..functions import geometry
 from . import windows
@@ -150,10 +150,13 @@ STANDARDS: dict[str, Standard] = {
 }
 
 
-@F.pandas_udf("array<double>")
-def inflate(packed: pd.Series) -> pd.Series:
+def inflate(packed: Column) -> Column:
     """Zlib-compressed 32-bit floats; Spark has no function for them."""
-    return packed.map(lambda b: None if b is None else np.frombuffer(zlib.decompress(b), "<f4").astype(float).tolist())
+
+    def unpack(packed: pd.Series) -> pd.Series:
+        return packed.map(lambda b: None if b is None else np.frombuffer(zlib.decompress(b), "<f4").astype(float).tolist())
+
+    return F.pandas_udf(unpack, ArrayType(DoubleType()))(packed)
 
 
 def _numbers(df: DataFrame, column: str) -> Column:
