@@ -50,11 +50,20 @@ def quaternion_angle(w: Column) -> Column:
 
 def six_d_rotation(a: Vector, b: Vector) -> tuple[Vector, Vector, Vector]:
     """Rotation rows from two vectors, by Gram-Schmidt."""
-    x = unit(a)
-    dot = sum((p * q for p, q in zip(x[1:], b[1:], strict=True)), x[0] * b[0])
-    y = unit(tuple(q - dot * p for p, q in zip(x, b, strict=True)))
-    z = (x[1] * y[2] - x[2] * y[1], x[2] * y[0] - x[0] * y[2], x[0] * y[1] - x[1] * y[0])
-    return x, y, z
+    v = _six_d_array((*a, *b))
+    m = [F.get(v, F.lit(i)) for i in range(9)]
+    return tuple(m[:3]), tuple(m[3:6]), tuple(m[6:])
+
+
+def _six_d_array(v: Vector) -> Column:
+    v = bound(F.array(*v), 6, lambda v: (*unit(v[:3]), *v[3:]))
+    v = bound(v, 6, lambda v: (*v[:3], *[q - dot(v[:3], v[3:]) * p for p, q in zip(v[:3], v[3:], strict=True)]))
+    v = bound(v, 6, lambda v: (*v[:3], *unit(v[3:])))
+    return bound(v, 6, lambda v: (*v, *cross(v[:3], v[3:])))
+
+
+def _flat(m: tuple[Vector, ...]) -> Vector:
+    return tuple(c for row in m for c in row)
 
 
 def to_byte(c: Column) -> Column:
@@ -106,18 +115,36 @@ def pose_matrix(position: Vector, quaternion: Vector, order: str = "wxyz") -> tu
     return (*[(*row, t) for row, t in zip(rows, position, strict=True)], (zero, zero, zero, one))
 
 
+def bound(values: Column, size: int, body: Callable[[Vector], Vector | Column]) -> Column:
+    """The array that body makes of an array's elements, which it may name any number of times: the expression holds them once."""
+
+    def array_of(a: Column) -> Column:
+        made = body(tuple(F.get(a, F.lit(i)) for i in range(size)))
+        return made if isinstance(made, Column) else F.array(*made)
+
+    return F.transform(F.array(values), array_of)[0]
+
+
 def matrix_quaternion(m: tuple[Vector, ...]) -> Vector:
     """(x, y, z, w) of a rotation matrix, from its largest diagonal term: the trace if that is positive, else one of the three."""
-    trace = m[0][0] + m[1][1] + m[2][2]
-    spread = lambda t: F.sqrt(F.greatest(t, F.lit(0.0))) * 2
-    s = [spread(1 + trace), spread(1 + m[0][0] - m[1][1] - m[2][2]), spread(1 + m[1][1] - m[0][0] - m[2][2]), spread(1 + m[2][2] - m[0][0] - m[1][1])]
-    yz, zx, xy = m[2][1] - m[1][2], m[0][2] - m[2][0], m[1][0] - m[0][1]
-    sum_xy, sum_zx, sum_yz = m[0][1] + m[1][0], m[0][2] + m[2][0], m[1][2] + m[2][1]
-    cases = [(yz, zx, xy, s[0] * s[0] / 4), (s[1] * s[1] / 4, sum_xy, sum_zx, yz), (sum_xy, s[2] * s[2] / 4, sum_yz, zx), (sum_zx, sum_yz, s[3] * s[3] / 4, xy)]
-    first, second = (m[0][0] > m[1][1]) & (m[0][0] > m[2][2]), m[1][1] > m[2][2]
-    picked = [F.when(trace > 0, a / s[0]).when(first, b / s[1]).when(second, c / s[2]).otherwise(d / s[3]) for a, b, c, d in zip(*cases, strict=True)]
-    norm = F.sqrt(dot(tuple(picked), tuple(picked)))
-    return tuple(c / norm for c in picked)
+    q = _quaternion_array(m)
+    return tuple(F.get(q, F.lit(i)) for i in range(4))
+
+
+def _quaternion_array(m: tuple[Vector, ...]) -> Column:
+    def largest(a: Vector) -> Vector:
+        m = a[:3], a[3:6], a[6:]
+        trace = m[0][0] + m[1][1] + m[2][2]
+        spread = lambda t: F.sqrt(F.greatest(t, F.lit(0.0))) * 2
+        s = [spread(1 + trace), spread(1 + m[0][0] - m[1][1] - m[2][2]), spread(1 + m[1][1] - m[0][0] - m[2][2]), spread(1 + m[2][2] - m[0][0] - m[1][1])]
+        yz, zx, xy = m[2][1] - m[1][2], m[0][2] - m[2][0], m[1][0] - m[0][1]
+        sum_xy, sum_zx, sum_yz = m[0][1] + m[1][0], m[0][2] + m[2][0], m[1][2] + m[2][1]
+        cases = [(yz, zx, xy, s[0] * s[0] / 4), (s[1] * s[1] / 4, sum_xy, sum_zx, yz), (sum_xy, s[2] * s[2] / 4, sum_yz, zx), (sum_zx, sum_yz, s[3] * s[3] / 4, xy)]
+        first, second = (m[0][0] > m[1][1]) & (m[0][0] > m[2][2]), m[1][1] > m[2][2]
+        return tuple(F.when(trace > 0, a / s[0]).when(first, b / s[1]).when(second, c / s[2]).otherwise(d / s[3]) for a, b, c, d in zip(*cases, strict=True))
+
+    q = bound(F.array(*[c for row in m for c in row[:3]]), 9, largest)
+    return bound(q, 4, lambda c: tuple(x / F.sqrt(dot(c, c)) for x in c))
 
 
 def rigid_inverse(m: tuple[Vector, ...]) -> tuple[Vector, ...]:
@@ -174,35 +201,33 @@ def axis_angle_matrix(x: Column, y: Column, z: Column) -> tuple[Vector, Vector,
     return quaternion_matrix(F.cos(angle / 2), x * s, y * s, z * s)
 
 
-def matrix_axis_angle(m: tuple[Vector, ...]) -> Vector:
-    """The rotation vector, at most half a turn long."""
-    x, y, z, w = matrix_quaternion(m)
-    flip = F.when(w < 0, -1.0).otherwise(1.0)
-    length = F.sqrt(x * x + y * y + z * z)
-    factor = F.when(length > 1e-12, 2 * F.atan2(length, w * flip) / F.when(length > 1e-12, length).otherwise(1.0)).otherwise(2.0) * flip
-    return x * factor, y * factor, z * factor
+def matrix_axis_angle(m: tuple[Vector, ...]) -> Column:
+    """The rotation vector as an array, at most half a turn long."""
 
+    def vector(q: Vector) -> Vector:
+        flip = F.when(q[3] < 0, -1.0).otherwise(1.0)
+        length = F.sqrt(dot(q[:3], q[:3]))
+        factor = F.when(length > 1e-12, 2 * F.atan2(length, q[3] * flip) / F.when(length > 1e-12, length).otherwise(1.0)).otherwise(2.0) * flip
+        return tuple(c * factor for c in q[:3])
 
-#: Name -> (number of components, to a matrix, from a matrix)
-ROTATIONS = {
-    "quaternion": (4, lambda v: quaternion_matrix(*v), lambda m: (lambda q: (q[3], *q[:3]))(matrix_quaternion(m))),
-    "rotation_6d": (6, lambda v: six_d_rotation(v[:3], v[3:]), lambda m: (*m[0], *m[1])),
-    "euler": (3, lambda v: euler_matrix(*v), matrix_euler),
-    "axis_angle": (3, lambda v: axis_angle_matrix(*v), matrix_axis_angle),
-    "matrix": (9, lambda v: (v[:3], v[3:6], v[6:]), lambda m: (*m[0], *m[1], *m[2])),
-}
+    return bound(_quaternion_array(m), 4, vector)
 
 
-def _bound(values: Column, size: int, body: Callable[[Vector], Vector]) -> Column:
-    """The array that body makes of an array's elements, which it may name any number of times: the expression holds them once."""
-    return F.transform(F.array(values), lambda a: F.array(*body(tuple(F.get(a, F.lit(i)) for i in range(size)))))[0]
+#: Name -> (number of components, to the nine numbers of a matrix, from a matrix)
+ROTATIONS = {
+    "quaternion": (4, lambda v: _flat(quaternion_matrix(*v)), lambda m: bound(_quaternion_array(m), 4, lambda q: (q[3], *q[:3]))),
+    "rotation_6d": (6, lambda v: _six_d_array(v), lambda m: (*m[0], *m[1])),
+    "euler": (3, lambda v: _flat(euler_matrix(*v)), matrix_euler),
+    "axis_angle": (3, lambda v: _flat(axis_angle_matrix(*v)), matrix_axis_angle),
+    "matrix": (9, lambda v: v, lambda m: (*m[0], *m[1], *m[2])),
+}
 
 
 def convert_rotation(v: Column, source: str, target: str) -> Column:
     """An array of one representation as an array of another, always by way of the matrix."""
     size, to_matrix, _ = ROTATIONS[source]
-    matrix = _bound(v, size, lambda c: tuple(x for row in to_matrix(c) for x in row))
-    return _bound(matrix, 9, lambda m: ROTATIONS[target][2]((m[:3], m[3:6], m[6:])))
+    matrix = bound(v, size, to_matrix)
+    return bound(matrix, 9, lambda m: ROTATIONS[target][2]((m[:3], m[3:6], m[6:])))
 
 
 def palette_color(label: Column, colors: list[tuple[int, int, int]]) -> Column:

@@ -406,10 +406,10 @@ def f2(spark, d):
     return frames(spark, d).transform(there_and_back).select("ep", "idx", "v")
 
 
-@register("f5_merged_statistics", f"WITH {FR} SELECT ep, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_pop(v), 5) AS std, min(v) AS low, max(v) AS high FROM fr GROUP BY ep")
+@register("f5_merged_statistics", f"WITH {FR} SELECT ep, count(v) AS n, round(avg(v), 8) AS mean, round(stddev_pop(v), 8) AS std, min(v) AS low, max(v) AS high FROM fr GROUP BY ep")
 def f5(spark, d):
     parts = clips.running_statistics(frames(spark, d).withColumn("ep", F.struct("ep", (F.col("idx") % 3).alias("part"))), "v").withColumn("ep", F.col("ep.ep"))
-    return clips.merge_statistics(parts, "ep").select("ep", "n", F.round("mean", 6).alias("mean"), F.round("std", 5).alias("std"), "low", "high")
+    return clips.merge_statistics(parts, "ep").select("ep", "n", F.round("mean", 8).alias("mean"), F.round("std", 8).alias("std"), "low", "high")
 
 
 # ---- streams ---------------------------------------------------------------------------------------------------------
