@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows that a table may have to be sent to every executor; a larger one is joined by shuffle.
 BROADCAST_ROWS = 50_000
+#: Rows of two or three numbers that may be sent to every executor.
+KEY_ROWS = 1_000_000
 #: Keys with more than this share of all rows, of which there are few, are broadcast.
 HEAVY_SHARE = 1 / 2000
 _scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
@@ -87,6 +89,11 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def narrow(df: DataFrame, rows: int) -> DataFrame:
+    """As small(), for rows of two or three numbers."""
+    return F.broadcast(df) if rows <= KEY_ROWS else df
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

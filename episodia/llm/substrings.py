@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, join_counted, lasting, materialize, scratch, small, table
+from .common import KEY_ROWS, WORD, join_counted, lasting, materialize, scratch, small, table
 from .words import gram_hashes, split_words, word_hashes
 
 #: Shared anchors of one reference shard; an anchor stands for some tens of words.
@@ -24,8 +24,6 @@ SHARD_WORDS = 5_000
 STREAM_WORDS = 100_000
 #: Pieces left by a round that one task takes up.
 PIECE_ROWS = 5_000
-#: Keys of two or three numbers that may be sent to every executor.
-KEY_ROWS = 1_000_000
 
 
 class SuffixAutomaton:

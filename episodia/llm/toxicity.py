@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import hash_below, materialize, small, table
+from .common import hash_below, materialize, narrow, table
 
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words convolved at once; longer texts are read in overlapping parts.
@@ -240,7 +240,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     """
     labels = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
     labels = labels.groupBy("id").agg(F.max("label").alias("label"))
-    few = small(labels, labels.count())
+    few = narrow(labels, labels.count())
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("mark")).join(few, "id")
     share = min(1.0, max_training_rows / max(1, rows.select("mark").distinct().count()))
     model = TextCNN()
