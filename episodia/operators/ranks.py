@@ -6,20 +6,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_sum(rows: DataFrame, order: list[str], value: Column, name: str, parts: int = 64) -> DataFrame:
-    """rows plus the sum of `value` up to and with each row in ascending order; order[0] must be a number, the order total.
+def running_sum(rows: DataFrame, order: list[str], value: Column, name: str, parts: int = 64, by: tuple[str, ...] = ()) -> DataFrame:
+    """rows plus the sum of `value` up to and with each row in ascending order, of all rows or by key.
 
-    Approximate quantiles of order[0] cut the table into about `parts` ranges; each is summed up by itself and starts
-    from the sum of those before, which is one number for each range. Any cuts give the same result.
+    order[0] must be a number, the order total, and keys not null. Approximate quantiles of order[0] cut the table into
+    about `parts` ranges; each is summed up by itself and starts from the sum of those before, which is one number for
+    each range and key. Any cuts give the same result, and a key that holds most of the rows is many tasks.
     """
     shares = [k / parts for k in range(1, parts)]
     cuts = rows.agg(F.percentile_approx(order[0], shares, 10_000).alias("cuts")).first().cuts or []
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
     ranged = rows.withColumn("_range", F.size(F.filter(bounds, lambda b: b < F.col(order[0])))).withColumn("_value", value)
-    sums = ranged.groupBy("_range").agg(F.sum("_value").alias("_sum"))
-    before = F.sum("_sum").over(Window.partitionBy(F.lit(0)).orderBy("_range")) - F.col("_sum")  # a row for each range
-    within = F.sum("_value").over(Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = ranged.join(F.broadcast(sums.select("_range", before.alias("_before"))), "_range")
+    sums = ranged.groupBy(*by, "_range").agg(F.sum("_value").alias("_sum"))
+    before = F.sum("_sum").over(Window.partitionBy(*(by or (F.lit(0),))).orderBy("_range")) - F.col("_sum")  # a row for each range
+    sums = sums.select(*by, "_range", before.alias("_before"))
+    within = F.sum("_value").over(Window.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    joined = ranged.join(sums if by else F.broadcast(sums), [*by, "_range"])
     return joined.withColumn(name, F.col("_before") + within).drop("_range", "_value", "_before")
 
 

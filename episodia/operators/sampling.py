@@ -124,10 +124,9 @@ def modality_batches(rows: DataFrame, size: int, ranks: int, order: Column) -> D
     """
     if size % ranks:
         raise ValueError("a batch must divide evenly over the ranks")
-    shuffled = running_sum(rows.withColumn("_order", order), ["_order", "id"], F.lit(1).cast("long"), "_all")
-    counts = shuffled.groupBy("modality").agg(F.count(F.lit(1)).alias("n"))
-    nth = F.row_number().over(Window.partitionBy("modality").orderBy("_all")) - 1
-    numbered = shuffled.withColumn("nth", nth).join(F.broadcast(counts), "modality").withColumn("own", F.floor(F.col("nth") / size).cast("long"))
+    shuffled = running_sum(rows.withColumn("_order", order), ["_order", "id"], F.lit(1).cast("long"), "_all", by=("modality",))
+    counts = rows.groupBy("modality").agg(F.count(F.lit(1)).alias("n"))
+    numbered = shuffled.withColumn("nth", F.col("_all") - 1).join(F.broadcast(counts), "modality").withColumn("own", F.floor(F.col("nth") / size).cast("long"))
     last = F.floor((F.col("n") - 1) / size).cast("long")
     missing = (last + 1) * size - F.col("n")
     fill = numbered.where((F.col("own") == 0) & (F.col("nth") < missing) & (last > 0)).withColumn("own", last).withColumn("nth", F.col("nth") + F.col("n"))

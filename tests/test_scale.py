@@ -70,6 +70,11 @@ def test_running_sums_and_ranks(spark):
         want[i] = (upto, n, len(rows))
     assert got == want
     assert ranks.row_ranks(df.limit(0), ["k", "i"]).count() == 0
+    keyed = {r.i: r.n for r in ranks.running_sum(df.withColumn("odd", F.col("v") % 2), ["k", "i"], F.lit(1), "n", by=("odd",)).collect()}
+    seen = {0: 0, 1: 0}
+    for _, i, v in sorted(rows):
+        seen[v % 2] += 1
+        assert keyed[i] == seen[v % 2]
 
 
 def test_exact_quantiles(spark):
