@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -230,8 +231,8 @@ def crc_mod(key: Column, n: int) -> Column:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", thresholds: bool = True) -> TextCNN | float:
     """A classifier fitted on a repeatable hash sample of about max_training_rows labelled documents, whole texts.
 
-    Rows of one id and text count once, so that no repeated row fills the sample. The executors hash the texts' words;
-    the driver gets numbers alone: each text's words, and the buckets of each different word.
+    Rows of one id and text count once, so that no repeated row fills the sample. Words are hashed where the texts are;
+    one task fits the model on the sample's numbers, and the driver gets the model alone.
 
     A fifth of the sample is kept back to calibrate the scores; the thresholds by language come from all labelled
     documents that the classifier was not fitted on, see fit_thresholds(). Without `thresholds` all are 0.5. Rows of one id in labels count once,
@@ -243,30 +244,52 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     few = narrow(labels, labels.count())
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("mark")).join(few, "id")
     share = min(1.0, max_training_rows / max(1, rows.select("mark").distinct().count()))
-    model = TextCNN()
     sample = rows.where(hash_below(F.col("mark"), share)).dropDuplicates(["mark"]).select("id", "mark", "label", "text")
     sample = materialize(sample.mapInPandas(_numbered, "id long, mark long, label int, words binary, fresh array<int>, parts array<binary>"), "sample")
-    found = sample.select("id", "mark", "label", "words").orderBy("id", "mark").toArrow()
-    y = found["label"].to_numpy().astype(np.int64)
-    if len(set(y.tolist())) < 2:
-        return float(y.mean()) if len(y) else 0.0
-    words = sample.select(F.explode(F.arrays_zip("fresh", "parts")).alias("w")).groupBy("w.fresh").agg(F.min("w.parts").alias("parts")).orderBy("fresh").toArrow()
-    known, sizes = words["fresh"].to_numpy(), pc.binary_length(words["parts"]).to_numpy() // 4
-    numbers = np.frombuffer(b"".join([bytes(4), *words["parts"].to_pylist()]), np.int32)
-    begins = np.cumsum(np.concatenate([[0, 1], sizes]))
-    del words
-    texts = [(np.searchsorted(known, np.frombuffer(w, np.int32)) + 1).astype(np.int32) for w in found["words"].to_pylist()]
+    kinds = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
+    if len(kinds) < 2:
+        return float(max(kinds)) if kinds else 0.0
+    fitted = sample.repartition(1).mapInArrow(_train, "model binary, marks binary").first()  # about max_training_rows rows
+    model = pickle.loads(fitted.model)
+    if not thresholds:
+        return model
+    marks = [(m,) for m in np.frombuffer(fitted.marks, np.int64).tolist()]
+    fitted = F.broadcast(docs.sparkSession.createDataFrame(marks, "mark long"))  # a part of the sample
+    return fit_thresholds(model, rows.join(fitted, "mark", "left_anti"))
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row with the model fitted on all rows of _numbered(), and the marks of those that were not kept back."""
+    rows = pa.Table.from_batches(list(batches))
+    rows = rows.take(np.lexsort((rows["mark"].to_numpy(), rows["id"].to_numpy())))
+    y, marks = rows["label"].to_numpy().astype(np.int64), rows["mark"].to_numpy().copy()
+    known, first = np.unique(pc.list_flatten(rows["fresh"]).to_numpy(), return_index=True)
+    parts, ends = _binary_numbers(pc.take(pc.list_flatten(rows["parts"]), first))
+    numbers, begins = np.append(np.int32(0), parts), np.append(0, ends + 1)
+    flat, ends = _binary_numbers(rows["words"])
+    texts = np.split((np.searchsorted(known, flat) + 1).astype(np.int32), ends[1:-1])
+    del rows, parts, flat
     kept_back = np.arange(len(texts)) % 5 == 0
     if min(len(set(y[b].tolist())) for b in (kept_back, ~kept_back)) < 2:  # too few to keep any back
         kept_back[:] = False
-    model.fit([t for t, b in zip(texts, kept_back, strict=True) if not b], numbers, begins, y[~kept_back])
+    model = TextCNN().fit([t for t, b in zip(texts, kept_back, strict=True) if not b], numbers, begins, y[~kept_back])
     if kept_back.any():
         model.calibrate(Scorer(model, cache=0).scores_of_numbers([t for t, b in zip(texts, kept_back, strict=True) if b], numbers, begins), y[kept_back])
-    if not thresholds:
-        return model
-    fitted = [(int(m),) for m in found["mark"].to_numpy()[~kept_back]]
-    fitted = F.broadcast(docs.sparkSession.createDataFrame(fitted, "mark long"))  # a part of the sample
-    return fit_thresholds(model, rows.join(fitted, "mark", "left_anti"))
+    yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)], "marks": [marks[~kept_back].tobytes()]})
+
+
+def _binary_numbers(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit numbers of all values of a binary column in a row, and where each value's begin and the last one's end."""
+    ends = np.cumsum(np.append(0, pc.binary_length(column).to_numpy() // 4))
+    numbers = np.empty(ends[-1], np.int32)
+    at = 0
+    for chunk in column.chunks:
+        offsets = np.frombuffer(chunk.buffers()[1], np.int64 if pa.types.is_large_binary(chunk.type) else np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+        if len(chunk) and offsets[-1] > offsets[0]:
+            own = np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.int32)
+            numbers[at : at + len(own)] = own
+            at += len(own)
+    return numbers, ends
 
 
 def _numbered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
