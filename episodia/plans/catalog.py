@@ -186,7 +186,10 @@ def t15(spark, d):
     return sampling.shuffled_split(users, "ep", 0.05, hash_order(F.col("ep")))
 
 
-@register("t16_greedy_assignment")
+@register("t16_greedy_assignment", """WITH RECURSIVE s AS (SELECT c_nationkey::VARCHAR AS task, count(*)::DOUBLE AS size FROM customer GROUP BY c_nationkey), t AS (SELECT *, row_number() OVER (ORDER BY size DESC, task) AS i FROM s),
+    r(i, load, task, size, bin) AS (SELECT 0::BIGINT, [0.0::DOUBLE, 0.0, 0.0, 0.0], NULL::VARCHAR, NULL::DOUBLE, NULL::INT
+    UNION ALL SELECT t.i, list_transform(r.load, lambda x, j: CASE WHEN j = list_position(r.load, list_min(r.load)) THEN x + t.size ELSE x END), t.task, t.size, (list_position(r.load, list_min(r.load)) - 1)::INT FROM r JOIN t ON t.i = r.i + 1)
+    SELECT task, size, bin FROM r WHERE task IS NOT NULL""")
 def t16(spark, d):
     tasks = load(spark, d, "customer").groupBy(F.col("c_nationkey").cast("string").alias("task")).agg(F.count(F.lit(1)).cast("double").alias("size"))
     return sampling.assign_greedy(tasks, "task", "size", 4)
