@@ -24,7 +24,7 @@ PART = 50_000
 #: Words pooled at once.
 POOLED = 10_000
 #: Words whose vectors a task keeps.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 #: Buckets of scores from 0 to 1, for the thresholds.
 BUCKETS = 4096
 
@@ -249,7 +249,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     kinds = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(kinds) < 2:
         return float(max(kinds)) if kinds else 0.0
-    fitted = sample.repartition(1).mapInArrow(_train, "model binary, marks binary").first()  # about max_training_rows rows
+    texts = sample.select(F.lit(0).alias("kind"), "id", "mark", "label", F.col("words").alias("numbers"))
+    words = sample.select(F.explode(F.arrays_zip("fresh", "parts")).alias("w")).groupBy("w.fresh").agg(F.min("w.parts").alias("numbers"))
+    words = words.select(F.lit(1).alias("kind"), F.col("fresh").cast("long").alias("id"), F.lit(0).cast("long").alias("mark"), F.lit(0).alias("label"), "numbers")
+    fitted = texts.unionByName(words).repartition(1).mapInArrow(_train, "model binary, marks binary").first()  # about max_training_rows texts
     model = pickle.loads(fitted.model)
     if not thresholds:
         return model
@@ -259,16 +262,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row with the model fitted on all rows of _numbered(), and the marks of those that were not kept back."""
+    """One row with the model fitted on all texts, and the marks of those that were not kept back.
+
+    Rows of kind 0 are texts as hashes of their words, those of kind 1 are words (id) and their buckets.
+    """
     rows = pa.Table.from_batches(list(batches))
+    kind = rows["kind"].to_numpy()
+    words, rows = rows.filter(kind == 1), rows.filter(kind == 0)
+    words = words.take(np.argsort(words["id"].to_numpy()))
+    known = words["id"].to_numpy().astype(np.int32)
+    parts, ends = _binary_numbers(words["numbers"], np.uint16)
+    numbers, begins = np.concatenate([np.zeros(1, np.uint16), parts]), np.append(0, ends + 1)
     rows = rows.take(np.lexsort((rows["mark"].to_numpy(), rows["id"].to_numpy())))
     y, marks = rows["label"].to_numpy().astype(np.int64), rows["mark"].to_numpy().copy()
-    known, first = np.unique(pc.list_flatten(rows["fresh"]).to_numpy(), return_index=True)
-    parts, ends = _binary_numbers(pc.take(pc.list_flatten(rows["parts"]), first))
-    numbers, begins = np.append(np.int32(0), parts), np.append(0, ends + 1)
-    flat, ends = _binary_numbers(rows["words"])
-    texts = np.split((np.searchsorted(known, flat) + 1).astype(np.int32), ends[1:-1])
-    del rows, parts, flat
+    flat, ends = _binary_numbers(rows["numbers"], np.int32)
+    del words, rows, parts
+    texts = [(np.searchsorted(known, flat[a:b]) + 1).astype(np.int32) for a, b in zip(ends[:-1], ends[1:], strict=True)]
     kept_back = np.arange(len(texts)) % 5 == 0
     if min(len(set(y[b].tolist())) for b in (kept_back, ~kept_back)) < 2:  # too few to keep any back
         kept_back[:] = False
@@ -278,24 +287,25 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)], "marks": [marks[~kept_back].tobytes()]})
 
 
-def _binary_numbers(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """The 32-bit numbers of all values of a binary column in a row, and where each value's begin and the last one's end."""
-    ends = np.cumsum(np.append(0, pc.binary_length(column).to_numpy() // 4))
-    numbers = np.empty(ends[-1], np.int32)
+def _binary_numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all values of a binary column in a row, and where each value's begin and the last one's end."""
+    width = np.dtype(kind).itemsize
+    ends = np.cumsum(np.append(0, pc.binary_length(column).to_numpy() // width))
+    numbers = np.empty(ends[-1], kind)
     at = 0
     for chunk in column.chunks:
         offsets = np.frombuffer(chunk.buffers()[1], np.int64 if pa.types.is_large_binary(chunk.type) else np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
         if len(chunk) and offsets[-1] > offsets[0]:
-            own = np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.int32)
+            own = np.frombuffer(chunk.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind)
             numbers[at : at + len(own)] = own
             at += len(own)
     return numbers, ends
 
 
 def _numbered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts as 32-bit hashes of their words, and the buckets of each word that the batch has not shown before."""
+    """Texts as 32-bit hashes of their words, and the buckets, 16 bits each, of every word that the task has not shown before."""
+    seen: set[str] = set()
     for frame in frames:
-        seen: set[str] = set()
         words, fresh, parts = [], [], []
         for text in frame.pop("text"):
             own = lower_words(text)
@@ -303,7 +313,7 @@ def _numbered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen.update(new)
             words.append(np.array([word_number(w) for w in own], np.int32).tobytes())
             fresh.append([word_number(w) for w in new])
-            parts.append([np.array(subwords(w, TextCNN.buckets), np.int32).tobytes() for w in new])
+            parts.append([np.array(subwords(w, TextCNN.buckets), np.uint16).tobytes() for w in new])
         yield frame.assign(words=words, fresh=fresh, parts=parts)
 
 
