@@ -110,7 +110,7 @@ def mix_sources(
     targets = source_targets(totals, weights, share, max_repeat)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets = materialize(targets.withColumn("whole", whole), "targets")
-    cut = targets.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"))
+    cut = targets.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget")).where("budget > 0")
     rows = sized
     for level in range(1, LEVELS + 1):
         cut = materialize(_boundary(rows, cut, n_sources, level), f"cut{level}")

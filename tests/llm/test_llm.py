@@ -535,7 +535,7 @@ def mixed(rows):
         budget, upto = target[x] - whole * total[x], 0
         for k in sorted(by[x], key=lambda k: (int(hashlib.md5(f"{'' if rows[k][0] is None else rows[k][0]}:{rows[k][1] or ''}".encode()).hexdigest()[:12], 16), sizes[k])):
             before, upto = upto, upto + sizes[k]
-            out[rows[k]] += whole + (upto <= budget or (before <= budget and upto - budget < budget - before))
+            out[rows[k]] += whole + (budget > 0 and (upto <= budget or (before <= budget and upto - budget < budget - before)))
     return Counter({r: n for r, n in out.items() if n})
 
 
@@ -590,7 +590,7 @@ def check_stage(spark, name, before, out, data=DATA):
 
 def test_pipeline_stages_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{DATA}/documents.parquet").select(*corpus_pipeline.COLUMNS).collect()]
-    rows += [tuple(r[:5]) for r in ROWS if r[0] != 2]
+    rows += [(r[0] and r[0] + 100_000, *r[1:5]) for r in ROWS if r[0] != 2]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in corpus_pipeline.STAGES:
         df = corpus_pipeline.materialize(stage(spark, df, DATA), name)
