@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_counted, lasting, materialize, scratch, small, table
+from .common import join_counted, lasting, materialize, scratch, small, table, trimmed
 from .graph import components
 from .words import mix, shingle_set, word_hashes
 
@@ -151,7 +151,7 @@ def _sign(docs: DataFrame, width: int, forest: Forest) -> DataFrame:
                 out.append((key, len(s), whole[0], whole[1], forest.signature(s).tobytes() if len(s) else None))
             yield pd.DataFrame(out, columns=["id", "n_shingles", "set_a", "set_b", "signature"])
 
-    return docs.where("id is not null").mapInPandas(sign, "id long, n_shingles long, set_a long, set_b long, signature binary")
+    return docs.where("id is not null").mapInPandas(trimmed(sign), "id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
 def _candidates(signed: DataFrame, forest: Forest) -> DataFrame:
@@ -187,9 +187,9 @@ def _candidates(signed: DataFrame, forest: Forest) -> DataFrame:
         return pairs_of(rows.sort_values(["tree", "key_a", "key_b", "id"], ignore_index=True).drop_duplicates(["tree", "id", "key_a", "key_b"], ignore_index=True))
 
     parts = max(1, -(-signed.count() * forest.trees // ORDER_ROWS))
-    planted = signed.select("id", "signature").mapInPandas(plant, "tree int, key_a long, key_b long, id long, sketch binary")
+    planted = signed.select("id", "signature").mapInPandas(trimmed(plant), "tree int, key_a long, key_b long, id long, sketch binary")
     order = ["tree", "key_a", "key_b", "id"]
-    found = planted.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(neighbours, "low long, high long, same long, edge long, tree int, key_a long, key_b long, id long, sketch binary")
+    found = planted.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(trimmed(neighbours), "low long, high long, same long, edge long, tree int, key_a long, key_b long, id long, sketch binary")
     found = materialize(found, "neighbours")
     across = found.where("edge is not null").select(*EDGE).groupBy("edge").applyInPandas(stitch, "low long, high long, same long")
     return found.where("edge is null").select(*PAIR).unionByName(across).groupBy("low", "high").agg(F.max("same").alias("same"))
@@ -215,7 +215,7 @@ def _dense(signed: DataFrame, roots: DataFrame, forest: Forest, percent: int, se
                     prefix = mix(prefix ^ (signatures[:, k] >> 8).astype(np.uint16)) + np.uint64(k)
                 yield pd.DataFrame({"region": mix(prefix + np.uint64(tree)).astype(np.int64), "id": frame["id"]})
 
-    placed = signed.select("id", "signature").mapInPandas(regions, "region long, id long")
+    placed = signed.select("id", "signature").mapInPandas(trimmed(regions), "region long, id long")
     large = materialize(placed.groupBy("region").count().where(F.col("count") > forest.region).select("region"), "regions")
     n_large = large.count()
     if not n_large:
@@ -311,7 +311,7 @@ def _components_of(docs: DataFrame, width: int, percent: int, forest: Forest) ->
     def sets_of(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("low").alias("id")).union(pairs.select("high")) if "low" in pairs.columns else pairs
         needed = materialize(ids.distinct(), "needed")
-        sets = docs.join(small(needed, needed.count()), "id", "left_semi").mapInPandas(to_sets, "id long, shingles array<long>")
+        sets = docs.join(small(needed, needed.count()), "id", "left_semi").mapInPandas(trimmed(to_sets), "id long, shingles array<long>")
         return materialize(sets.dropDuplicates() if repeated else sets, "sets")
 
     def join_roots(roots: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:

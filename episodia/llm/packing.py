@@ -14,11 +14,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, table, trimmed
 
 PIECE_SCHEMA = "id long, piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a task keeps.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 600_000
 
 
 class WordTokens(dict):
@@ -120,7 +120,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048
                     out += [(key, k, k * max_tokens, (min(len(ids), at + size) - at) // 4, zlib.crc32(ids[at : at + size])) for k, at in enumerate(range(0, len(ids), size))]
             yield pd.DataFrame(out, columns=["id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(pieces, PIECE_SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInPandas(trimmed(pieces), PIECE_SCHEMA)
 
 
 def best_fit(lengths: np.ndarray, capacity: tuple[int, int, int], weights: tuple[float, float, float] = (1.0, 1e-3, 1e-3)) -> tuple[np.ndarray, np.ndarray]:

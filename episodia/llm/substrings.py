@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KEY_ROWS, WORD, join_counted, lasting, materialize, scratch, small, table
+from .common import KEY_ROWS, WORD, join_counted, lasting, materialize, scratch, small, table, trimmed
 from .words import gram_hashes, split_words, word_hashes
 
 #: Shared anchors of one reference shard; an anchor stands for some tens of words.
@@ -153,7 +153,7 @@ def _sketch(pieces: DataFrame, width: int, gram: int) -> DataFrame:
                     out.append((key, mark, start, len(words), *whole, anchors.astype(np.int64), ((start + first) // SHARD_WORDS).astype(np.int32)))
             yield pd.DataFrame(out, columns=[*KEY, "words", "hash_a", "hash_b", "anchors", "parts"])
 
-    return pieces.select(*KEY, "text").mapInPandas(sketch, "id long, mark long, start int, words int, hash_a long, hash_b long, anchors array<long>, parts array<int>")
+    return pieces.select(*KEY, "text").mapInPandas(trimmed(sketch), "id long, mark long, start int, words int, hash_a long, hash_b long, anchors array<long>, parts array<int>")
 
 
 def _segments(pieces: DataFrame, live: DataFrame, shared: DataFrame, n_anchors: int, width: int, gram: int) -> DataFrame:
@@ -181,7 +181,7 @@ def _segments(pieces: DataFrame, live: DataFrame, shared: DataFrame, n_anchors:
 
     lists = materialize(lists, "lists")
     joined = only(pieces, lists, KEY, lists.count()).join(lists, KEY).select(*KEY, "text", F.col("met.anchor").alias("anchors"), F.col("met.is_first").alias("is_first"), F.col("met.shard").alias("shards"))
-    return joined.mapInPandas(cut, "shard long, role int, id long, mark long, start int, words int, text string")
+    return joined.mapInPandas(trimmed(cut), "shard long, role int, id long, mark long, start int, words int, text string")
 
 
 def _stream(segments: DataFrame, width: int) -> DataFrame:
@@ -316,7 +316,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     if n <= KEY_ROWS:
         rest = docs.join(F.broadcast(spans.select(*key)), key, "left_anti")
         joined = joined.unionByName(rest.withColumn("spans", F.lit(None).cast(SPANS)).select(*key, "text", "spans"))
-    return joined.mapInPandas(clean, "id long, mark long, n_words long, n_removed long, spans array<struct<begin:int,end:int>>, text string").withColumnsRenamed({"id": id_col, "text": text_col})
+    return joined.mapInPandas(trimmed(clean), "id long, mark long, n_words long, n_removed long, spans array<struct<begin:int,end:int>>, text string").withColumnsRenamed({"id": id_col, "text": text_col})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import hash_below, materialize, narrow, table
+from .common import hash_below, materialize, narrow, table, trimmed
 
 STRIP = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words convolved at once; longer texts are read in overlapping parts.
@@ -245,14 +245,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("mark")).join(few, "id")
     share = min(1.0, max_training_rows / max(1, rows.select("mark").distinct().count()))
     sample = rows.where(hash_below(F.col("mark"), share)).dropDuplicates(["mark"]).select("id", "mark", "label", "text")
-    sample = materialize(sample.mapInPandas(_numbered, "id long, mark long, label int, words binary, fresh array<int>, parts array<binary>"), "sample")
+    sample = materialize(sample.mapInPandas(trimmed(_numbered), "id long, mark long, label int, words binary, fresh array<int>, parts array<binary>"), "sample")
     kinds = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(kinds) < 2:
         return float(max(kinds)) if kinds else 0.0
     texts = sample.select(F.lit(0).alias("kind"), "id", "mark", "label", F.col("words").alias("numbers"))
     words = sample.select(F.explode(F.arrays_zip("fresh", "parts")).alias("w")).groupBy("w.fresh").agg(F.min("w.parts").alias("numbers"))
     words = words.select(F.lit(1).alias("kind"), F.col("fresh").cast("long").alias("id"), F.lit(0).cast("long").alias("mark"), F.lit(0).alias("label"), "numbers")
-    fitted = texts.unionByName(words).repartition(1).mapInArrow(_train, "model binary, marks binary").first()  # about max_training_rows texts
+    fitted = texts.unionByName(words).repartition(1).mapInArrow(trimmed(_train), "model binary, marks binary").first()  # about max_training_rows texts
     model = pickle.loads(fitted.model)
     if not thresholds:
         return model
@@ -360,7 +360,7 @@ def score_toxicity(docs: DataFrame, model: TextCNN | float, id_col: str = "doc_i
                 texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
                 yield batch.append_column("toxic_score", pa.array(scorer.scores(texts)))
 
-        scored = plain.mapInArrow(score, StructType([*plain.schema.fields, StructField("toxic_score", DoubleType())]))
+        scored = plain.mapInArrow(trimmed(score), StructType([*plain.schema.fields, StructField("toxic_score", DoubleType())]))
     threshold = F.lit(thresholds[None])
     for name, value in sorted((k, v) for k, v in thresholds.items() if k):
         threshold = F.when(F.col(lang_col) == name, value).otherwise(threshold)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 import numpy as np
@@ -26,9 +25,8 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-@functools.cache
 def word_hashes() -> WordHashes:
-    """One per Python worker, which keeps its words from task to task."""
+    """One for each task: a word is hashed sooner than it is worth keeping from stage to stage."""
     return WordHashes()
 
 
