@@ -119,5 +119,7 @@ def ascii_lower(c: Column) -> Column:
 
 
 def hash_below(c: Column, share: float) -> Column:
-    """Whether c's hash falls into the first `share` of the hash range: a repeatable sample."""
-    return F.pmod(F.xxhash64(c), F.lit(1_000_000)) < F.lit(round(share * 1_000_000))
+    """Whether c's hash falls into the first `share` of the hash range: a repeatable sample, exact at any share."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(c).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(share * (1 << 63)))

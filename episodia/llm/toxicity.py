@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -228,11 +228,13 @@ def crc_mod(key: Column, n: int) -> Column:
     return F.crc32(key.cast("string")) % n
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", thresholds: bool = True) -> TextCNN | float:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic", thresholds: bool = True, max_training_words: int = 20_000_000) -> TextCNN | float:
     """A classifier fitted on a repeatable hash sample of about max_training_rows labelled documents, whole texts.
 
     Rows of one id and text count once, so that no repeated row fills the sample. Words are hashed where the texts are;
-    one task fits the model on the sample's numbers, and the driver gets the model alone.
+    one task fits the model on the sample's numbers, and the driver gets the model alone. That task holds four bytes a
+    word, so that the sample is bounded by max_training_words as well: texts beyond it, in the order of their hashes,
+    take no part in the fitting.
 
     A fifth of the sample is kept back to calibrate the scores; the thresholds by language come from all labelled
     documents that the classifier was not fitted on, see fit_thresholds(). Without `thresholds` all are 0.5. Rows of one id in labels count once,
@@ -246,6 +248,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_training_rows: int = 8_
     share = min(1.0, max_training_rows / max(1, rows.select("mark").distinct().count()))
     sample = rows.where(hash_below(F.col("mark"), share)).dropDuplicates(["mark"]).select("id", "mark", "label", "text")
     sample = materialize(sample.mapInPandas(trimmed(_numbered), "id long, mark long, label int, words binary, fresh array<int>, parts array<binary>"), "sample")
+    words = (F.octet_length("words") / 4).cast("long")
+    if (sample.agg(F.sum(words)).first()[0] or 0) > max_training_words:
+        sums = sample.select("mark", F.sum(words).over(Window.orderBy("mark")).alias("upto"))  # about max_training_rows rows of two numbers
+        sample = sample.join(F.broadcast(sums.where(F.col("upto") <= max_training_words).select("mark")), "mark")
     kinds = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(kinds) < 2:
         return float(max(kinds)) if kinds else 0.0

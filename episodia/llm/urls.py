@@ -98,11 +98,12 @@ def judge_urls(
     sums = materialize(suffix_sums(labelled), "suffixes")
     whole = sums.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0.0)).alias("bad"), F.count(F.lit(1)).alias("rows")).first()
     rows = lexical_features(split_url(urls.select(F.col(id_col), F.col(url_col)), url_col), url_col)
-    if whole.bad in (0, whole.n):
-        rows = rows.withColumn("score", F.lit(float(whole.bad / whole.n) if whole.n else 0.0))
-    else:
+    if 0 < whole.bad < whole.n:
         sample = labelled.where(hash_below(F.col(url_col), min(1.0, max_training_rows / whole.n)))
         sample = materialize(lexical_features(sample, url_col), "url_sample")
+    if whole.bad in (0, whole.n) or sample.select("label").distinct().count() < 2:
+        rows = rows.withColumn("score", F.lit(float(whole.bad / whole.n) if whole.n else 0.0))
+    else:
         by_suffix = small(sums.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), whole.rows)
         by_fold = small(sums.select("suffix", "fold", F.col("n").alias("own_n"), F.col("bad").alias("own_bad")), whole.rows)
         assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
@@ -121,3 +122,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ruled = split_url(pages).withColumn("found", matching_rule(RULES, F.col("host"), F.col("path")))
     labelled = ruled.where("found is not null").select("url", (F.col("found.verdict") == "block").cast("int").alias("label"))
     return judge_urls(pages, labelled, RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+#: The part of query() that needs no trees: page_id, host, path, rule.
+URL_SQL = r"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages), r AS (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r)
+SELECT page_id, host, path, CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -39,25 +39,51 @@ def _by_dim(frame: pd.DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
     return {int(d): (f["id"].to_numpy(), np.stack(f["vec"]).astype(np.float64), f["threshold"].to_numpy(np.float64)) for d, f in frame.groupby("dim")}
 
 
+class Best:
+    """The k best rows so far of every query of one dimension, and the thresholds that follow from them."""
+
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, thresholds: np.ndarray, k: int, sign: int) -> None:
+        self.query_ids, self.queries, self.thresholds, self.k, self.sign = query_ids, queries, thresholds.copy(), k, sign
+        self.at, self.ids, self.scores = np.empty(0, np.int64), np.empty(0, np.int64), None
+
+    def add(self, ids: np.ndarray, rows: np.ndarray, search: Search) -> None:
+        """Searches a block, rows in order of ids. sign is 1 if small scores are good, else -1."""
+        hits = search(ids, rows, self.query_ids, self.queries, self.thresholds, self.k)
+        at = np.append(self.at, np.repeat(np.arange(len(hits)), [len(rows) for rows, _ in hits]))
+        found = np.append(self.ids, ids[np.concatenate([rows for rows, _ in hits])])
+        scores = np.concatenate([*([] if self.scores is None else [self.scores]), *[own for _, own in hits]])
+        order = np.lexsort((found, self.sign * scores, at))
+        at, found, scores = at[order], found[order], scores[order]
+        begins = np.searchsorted(at, np.arange(len(hits)))
+        nth = np.arange(len(at)) - begins[at]
+        last = nth == self.k - 1
+        worst = self.sign * scores[last].astype(np.float64)
+        self.thresholds[at[last]] = np.minimum(self.thresholds[at[last]], worst + 1e-9 * np.abs(worst))
+        self.at, self.ids, self.scores = at[nth < self.k], found[nth < self.k], scores[nth < self.k]
+
+
 def search_blocks(vectors: DataFrame, every: int, k: int, search: Search, scores: Scores, score: str, ascending: bool, block_rows: int = 8192, chunk_queries: int = 16_384, sample_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all rows for each row whose id is divisible by `every`.
 
-    1. A sample of about sample_rows rows gives each query a first threshold: its k-th best score there, which no
-       answer can fall behind. Without k rows in the sample the threshold is infinite.
-    2. Queries go in chunks of about chunk_queries, which are broadcast with their thresholds; the rows stay where
-       they are, hashed into blocks of about block_rows. A block is one group, indexed once a chunk, and its search
-       gives rows within the threshold only, k a query at most.
-    3. A window keeps the k best of all blocks.
-
-    A task thus holds one block and one chunk whatever the input's size. Ties go to the smaller id. Vectors are compared
-    with vectors of their own length only.
+    1. The rows are written once, dealt out by their ids. A sample of about sample_rows rows gives each query a first
+       threshold: its k-th best score there, which no answer can fall behind. Without k rows in the sample the
+       threshold is infinite.
+    2. Queries go in chunks of about chunk_queries, which are broadcast with their thresholds. The rows stay where
+       they are: each task reads its part in blocks of at most block_rows, indexes and searches them one after the
+       other, and keeps the k best of each query, which lower the threshold for its next blocks. Nothing is shuffled but
+       the tasks' answers.
+    3. A window keeps the k best of all tasks.
+
+    A task thus holds one block, one chunk and its answers whatever the input's size. Ties go to the smaller id. Vectors
+    are compared with vectors of their own length only.
     """
     spark = vectors.sparkSession
-    vectors = materialize(vectors, "vectors")
     is_query = F.pmod("id", F.lit(every)) == 0
     n, n_queries = vectors.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
     part = lambda count, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(count)).cast("int")
     blocks, chunks, samples = (max(1, -(-a // b)) for a, b in ((n, block_rows), (n_queries, chunk_queries), (n, sample_rows)))
+    few = 4 * spark.sparkContext.defaultParallelism
+    vectors = materialize(vectors.repartition(blocks if blocks <= few else max(few, blocks // 32), "id"), "vectors")
     sample = spark.sparkContext.broadcast(_by_dim(vectors.where(part(samples, 1) == 0).withColumn("threshold", F.lit(0.0)).toPandas()))
 
     def first_thresholds(frames):
@@ -73,24 +99,27 @@ def search_blocks(vectors: DataFrame, every: int, k: int, search: Search, scores
                     frame.loc[some.index, "threshold"] = kth + 1e-9 * np.abs(kth)
             yield frame
 
-    def block_search(asked: Broadcast) -> Callable[[pd.DataFrame], pd.DataFrame]:
-        def best(rows: pd.DataFrame) -> pd.DataFrame:
-            query_ids, queries, thresholds = asked.value.get(int(rows["dim"].iloc[0]), (np.empty(0, np.int64),) * 3)
-            out = []
-            if len(query_ids):
-                rows = rows.sort_values("id")
-                ids = rows["id"].to_numpy()
-                hits = search(ids, np.stack(rows["vec"]).astype(np.float64), query_ids, queries, thresholds, k)
-                out = [pd.DataFrame({"query_id": q, "vec_id": ids[at], "score": own}) for q, (at, own) in zip(query_ids, hits, strict=True) if len(at)]
-            return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "vec_id", "score"])
-
-        return best
+    def chunk_search(asked: Broadcast) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def answers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            best = {dim: Best(*found, k, 1 if ascending else -1) for dim, found in asked.value.items()}
+            for frame in frames:
+                for dim, own in frame.groupby("dim"):
+                    if int(dim) in best:
+                        own = own.sort_values("id")
+                        ids, rows = own["id"].to_numpy(), np.stack(own["vec"]).astype(np.float64)
+                        for at in np.array_split(np.arange(len(ids)), -(-len(ids) // block_rows)):
+                            best[int(dim)].add(ids[at], rows[at], search)
+            for own in best.values():
+                if len(own.at):
+                    yield pd.DataFrame({"query_id": own.query_ids[own.at], "vec_id": own.ids, "score": own.scores})
+
+        return answers
 
     found = []
     for chunk in range(chunks):
         queries = vectors.where(is_query & (part(chunks, 2) == chunk)).mapInPandas(first_thresholds, StructType([*vectors.schema.fields, StructField("threshold", DoubleType())]))
-        answer = block_search(spark.sparkContext.broadcast(_by_dim(queries.toPandas())))
-        hits = vectors.withColumn("block", part(blocks, 3)).groupBy("dim", "block").applyInPandas(answer, f"query_id long, vec_id long, score {score}")
+        answer = chunk_search(spark.sparkContext.broadcast(_by_dim(queries.toPandas())))
+        hits = vectors.mapInPandas(answer, f"query_id long, vec_id long, score {score}")
         order = F.col("score").asc() if ascending else F.col("score").desc()
         rank = F.row_number().over(Window.partitionBy("query_id").orderBy(order, "vec_id"))
         ranked = hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

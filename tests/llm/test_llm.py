@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from episodia.llm import chat, language, maxscore, mixing, nearest, neardup, packing, registry, substrings, toxicity, urls
+from episodia.llm import chat, common, language, maxscore, mixing, nearest, neardup, packing, registry, substrings, toxicity, urls
 
 from ..compare import DATA, same
 
@@ -117,18 +117,8 @@ def test_url_trees_on_held_out_urls(spark):
     assert np.mean([(r.verdict == "block") == bool(r.label) for r in got]) > 0.95
 
 
-URL_SQL = r"""
-WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages), r AS (SELECT *, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
-p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r)
-SELECT page_id, host, path, CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
-    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
-    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
-    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM p
-"""
-
-
 def test_url_rules_match_sql(spark):
-    same(urls.query(spark, DATA).select("page_id", "host", "path", "rule"), URL_SQL)
+    same(urls.query(spark, DATA).select("page_id", "host", "path", "rule"), urls.URL_SQL)
 
 
 def test_urls_awkward(spark):
@@ -197,6 +187,45 @@ def test_nearest_verifies_a_part_and_finds_nine_tenths(spark):
     assert np.mean(read) < 0.6 * whole.size
 
 
+def test_nearest_query_finds_nine_tenths(spark):
+    data = DATA.replace("sf0.001", "sf0.1")
+    rows = spark.read.parquet(f"{data}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, whole = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    found = defaultdict(list)
+    for r in nearest.query(spark, data).collect():
+        found[r.query_id].append(r.vec_id)
+    assert sorted(found) == sorted(ids[ids % 100 == 0].tolist())
+    hits = 0
+    for q in found:
+        far = np.sqrt(((whole - whole[ids == q]) ** 2).sum(axis=1))
+        far[ids == q] = np.inf
+        hits += len(set(ids[np.lexsort((ids, far))[:10]].tolist()) & set(found[q]))
+    assert hits >= 0.95 * 10 * len(found)
+
+
+def test_samples_of_any_share(spark):
+    rows = spark.range(2_000_000_000)
+    assert 1 <= rows.where(common.hash_below(F.col("id"), 5e-9)).count() <= 40  # about 10
+    few = spark.range(10_000)
+    assert 40 <= few.where(common.hash_below(F.col("id"), 0.01)).count() <= 200
+    assert few.where(common.hash_below(F.col("id"), 1.0)).count() == 10_000
+    # a table that claims 1e11 rows: the share of 20,000 rows among them
+    assert spark.range(500_000_000).where(common.hash_below(F.col("id"), 20_000 / 1e11)).count() > 20
+
+
+def test_models_from_tiny_samples(spark):
+    urls_of = spark.createDataFrame([(f"http://h{i}.x/{i}", i % 2) for i in range(400)], "url string, label int")
+    pages = urls_of.selectExpr("cast(hash(url) as long) AS page_id", "url")
+    scores = {r.score for r in urls.judge_urls(pages, urls_of, max_training_rows=1).collect()}
+    assert scores == {0.5} or len(scores) > 1  # one kind in the sample: the share of label 1
+    texts = [(i, ("schlimm " if i % 3 == 0 else "gut ") * 40) for i in range(90)]
+    docs = spark.createDataFrame([(i, f"{t} {i}", "de") for i, t in texts], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in texts], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels, max_training_words=1200, thresholds=False)
+    got = {r.doc_id: r.toxic_score for r in toxicity.score_toxicity(docs, model).collect()}
+    assert np.mean([got[i] for i in got if i % 3 == 0]) > np.mean([got[i] for i in got if i % 3])
+
+
 def test_queries_in_several_chunks_and_blocks(vectors):
     df, _ = vectors
     clean = maxscore.clean_vectors(df, "vec_id", "embedding", nonzero=True)
