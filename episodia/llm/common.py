@@ -21,7 +21,7 @@ BROADCAST_ROWS = 50_000
 KEY_ROWS = 1_000_000
 #: Keys with more than this share of all rows, of which there are few, are broadcast.
 HEAVY_SHARE = 1 / 2000
-_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+_scratch: contextvars.ContextVar[tuple[str, ...]] = contextvars.ContextVar("scratch", default=())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage is cut, and lost executors lose nothing."""
-    path = f"{_scratch.get() or shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{[*_scratch.get(), shared_dir(df.sparkSession)][0]}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -54,25 +54,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> Iterator[None]:
     """Tables that are materialized within go to a folder of their own, which is deleted at the end."""
     folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    token = _scratch.set(folder)
+    token = _scratch.set((folder, *_scratch.get()))
     try:
         yield
     finally:
         _scratch.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
 
 
 @contextlib.contextmanager
 def lasting() -> Iterator[None]:
-    """Within scratch(): what is materialized here stays."""
-    token = _scratch.set(None)
+    """Within scratch(): what is materialized here outlives it, as long as the scratch() around it if there is one."""
+    token = _scratch.set(_scratch.get()[1:])
     try:
         yield
     finally:
         _scratch.reset(token)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediate tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], total: int) -> DataFrame:
     """rows left-joined with counted: keys, n (how many rows have the key), one or more further columns, the first of them never null.
 

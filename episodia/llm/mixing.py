@@ -102,9 +102,8 @@ def mix_sources(
     rows like others; an empty table gives no rows; columns of docs that are neither named nor carried are ignored.
     """
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    carried = [F.struct(*carry).alias("row_columns")] if carry else []
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size"), place(F.col(id_col), F.col(text_col)).alias("place"), F.monotonically_increasing_id().alias("row"), *carried)
-    sized = materialize(sized, "sizes")
+    measures = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), words.alias("size"), place(F.col(id_col), F.col(text_col)).alias("place"), F.monotonically_increasing_id().alias("row")]
+    sized = materialize(docs.select(*measures), "sizes")
     totals = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     n_sources = totals.count()
     targets = source_targets(totals, weights, share, max_repeat)
@@ -119,10 +118,11 @@ def mix_sources(
         rows = sized.join(open_bucket, F.col("source").eqNullSafe(F.col("of")) & (prefix == F.col("open"))).select("source", "place", "size")
     cut = cut.select(F.col("source").alias("cut_source"), F.col("prefix").alias("limit"), "budget")
     limits = targets.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left").select(F.col("source").alias("of"), "source_size", "target", "whole", F.coalesce("limit", F.lit(0)).alias("limit"), "budget")
-    placed = sized.join(small(limits, n_sources), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    whole_rows = docs.select(*measures, F.struct(*carry).alias("row_columns")) if carry else sized  # measured again, so that no text is written twice
+    placed = whole_rows.join(small(limits, n_sources), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     at_limit = (F.col("place") == F.col("limit")) & F.col("budget").isNotNull()
     others = placed.where(~at_limit).withColumn("extra", (F.col("place") < F.col("limit")).cast("long"))
-    out = others.unionByName(_extra_of_ties(placed.where(at_limit)))
+    out = others.unionByName(_extra_of_ties(materialize(placed.where(at_limit), "ties")))
     copies = F.col("whole") + F.col("extra")
     columns = ["source", "size", "source_size", "target"]
     return out.select(F.col("id").alias(id_col), *columns, copies.alias("copies"), (copies * F.col("size")).alias("taken"), *(["row_columns"] if carry else [])).withColumnsRenamed({"row_columns": "row"})

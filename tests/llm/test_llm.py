@@ -449,7 +449,7 @@ def test_packing_leaves_little_room(spark):
     rng = np.random.default_rng(12)
     lengths = np.minimum(rng.lognormal(4, 1.3, 9000).astype(int) + 1, 2048)
     df = spark.createDataFrame([(i, 0, 0, int(n), i) for i, n in enumerate(lengths)], packing.PIECE_SCHEMA)
-    got = packing.pack_pieces(corpus_pipeline.materialize(df, "pieces"), group_rows=500).collect()
+    got = packing.pack_pieces(common.materialize(df, "pieces"), group_rows=500).collect()
     by = defaultdict(list)
     for r in got:
         by[r.sequence_id].append((r.offset, r.length))
@@ -622,7 +622,7 @@ def test_pipeline_stages_against_brute_force(spark):
     rows += [(r[0] and r[0] + 100_000, *r[1:5]) for r in ROWS if r[0] != 2]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     for name, stage in corpus_pipeline.STAGES:
-        df = corpus_pipeline.materialize(stage(spark, df, DATA), name)
+        df = common.materialize(stage(spark, df, DATA), name)
         out = df.collect()
         check_stage(spark, name, rows, out)
         rows = [tuple(r) for r in out]
@@ -633,13 +633,13 @@ def test_pipeline_on_no_documents(spark, none):
     for name, stage in corpus_pipeline.STAGES:
         df = stage(spark, df, DATA)
         assert df.count() == 0, name
-        df = corpus_pipeline.materialize(df, name)
+        df = common.materialize(df, name)
 
 
 def test_pipeline_runs_all_stages(spark):
     docs = corpus_pipeline.table(spark, DATA, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = corpus_pipeline.materialize(stage(spark, docs, DATA), "stage")
+        docs = common.materialize(stage(spark, docs, DATA), "stage")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert Counter(map(tuple, corpus_pipeline.run(spark, DATA).select(columns).collect())) == pieces_of([tuple(r) for r in docs.select(*corpus_pipeline.COLUMNS).collect()])
 
