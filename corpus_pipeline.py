@@ -6,12 +6,13 @@ next stage's docs. All but the last give the columns of documents.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodia.llm.common import materialize, table
+from episodia.llm.common import delete, scratch, shared_dir, table
 from episodia.llm.mixing import mix_sources
 from episodia.llm.neardup import near_duplicates
 from episodia.llm.packing import pack_documents, word_bpe
@@ -68,7 +69,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's own tables go when its result is written, its result when the next one's is."""
+    docs, folder = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        written = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        with scratch(spark, name):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.option("compression", "zstd").parquet(written)
+        docs = spark.read.schema(rows.schema).parquet(written)
+        if folder:
+            delete(spark, folder)
+        folder = written
+    packed = STAGES[-1][1](spark, docs, sf_dir)  # rests on tables of pieces, no longer on docs
+    delete(spark, folder)
+    return packed
