@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .common import clip
+from .normalize import edges_below
 
 #: (first edge, end, number of edges, end included) of the seven segments. Fixed values.
 SEGMENTS = ((-1.0, -0.5, 15, False), (-0.5, -0.25, 40, False), (-0.25, -0.1, 42, False), (-0.1, 0.1, 62, False), (0.1, 0.25, 42, False), (0.25, 0.5, 40, False), (0.5, 1.0, 15, True))
@@ -23,15 +24,11 @@ def uneven_bin(x: Column, segments: Sequence[tuple[float, float, int, bool]] = S
     inside, count = clip(x, segments[0][0], segments[-1][1]), F.lit(0)
     for low, high, size, closed in segments:
         step = (high - low) / (size - 1 if closed else size)
-        own = F.size(F.filter(_edges(low, step, size), lambda e: e <= inside + 1e-12))
+        own = edges_below(inside, low, step, size, 1e-12)
         count = count + F.when(inside < low - 1e-12, 0).when(inside >= high, size).otherwise(own)
     return count
 
 
-def _edges(low: float, step: float, size: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.lit(low) + i * F.lit(step))
-
-
 def parse_numbers(text: Column) -> Column:
     """Numbers parted by blanks."""
     return F.transform(F.split(text, " "), lambda x: x.cast("double"))

@@ -101,9 +101,19 @@ def depth_to_mm(depth: Column, frame_max: Column) -> Column:
 
 def action_token(x: Column, vocabulary: int = 32000, bins: int = 256) -> Column:
     """Vocabulary minus the number of the `bins` even edges of [-1, 1] that are not above the clipped x."""
-    edges = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.when(i == bins - 1, 1.0).otherwise(i * F.lit(2.0 / (bins - 1)) - 1.0))
     inside = clip(x, -1.0, 1.0)
-    return F.lit(vocabulary) - F.size(F.filter(edges, lambda e: e <= inside))
+    return F.lit(vocabulary) - F.when(inside >= 1.0, bins).otherwise(edges_below(inside, -1.0, 2.0 / (bins - 1), bins))
+
+
+def edges_below(x: Column, low: float, step: float, size: int, slack: float = 0.0) -> Column:
+    """How many of the edges low + i * step, i below size, are not above x (plus slack).
+
+    The place comes from a division, which may be off by one where x lies at an edge; the two edges next to it decide.
+    """
+    guess = F.floor((x + slack - low) / step)
+    edge = lambda i: i * F.lit(step) + low
+    count = guess + F.when(edge(guess + 1) <= x + slack, 2).when(edge(guess) <= x + slack, 1).otherwise(0)
+    return F.greatest(F.least(count, F.lit(size)), F.lit(0)).cast("int")
 
 
 def action_of_token(token: Column, vocabulary: int = 32000, bins: int = 256) -> Column:

@@ -51,7 +51,7 @@ def bounded_episodes(frames: DataFrame, value: str, bound: float) -> DataFrame:
 
 def matching_paths(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     """Rows whose whole path matches."""
-    return rows.where(F.col(path).rlike(f"^(?:{pattern})$"))
+    return rows.where(F.col(path).rlike(rf"\A(?:{pattern})\z"))
 
 
 def in_ranges(frames: DataFrame, ranges: DataFrame) -> DataFrame:

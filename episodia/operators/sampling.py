@@ -38,7 +38,8 @@ def shuffled_split(episodes: DataFrame, key: str, share: float, order: Column) -
 def downsample(episodes: DataFrame, key: str, mask: Column, size: int, order: Column) -> DataFrame:
     """Plus `kept`: the mask cut down to its `size` rows of the smallest order."""
     best = episodes.where(mask).withColumn("_order", order).orderBy("_order", key).limit(size).select(key, F.lit(True).alias("kept"))
-    return episodes.join(F.broadcast(best), key, "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+    best = F.broadcast(best) if size <= BROADCAST_ROWS else best
+    return episodes.join(best, key, "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
 
 
 def last_episode(episodes: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,7 @@ from row to row, so that the cost is linear in an episode's length.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .ranks import running_sum
@@ -141,10 +141,15 @@ def chunk_with_history(frames: DataFrame, value: str, chunk: int, history: int,
     return both.withColumn("mask", mask).where(F.col("idx") >= F.col("first_idx") - 1).drop("first_idx")
 
 
+def _with_nulls(value: str, w: WindowSpec) -> Column:
+    """The values of a window in order; collect_list alone would leave out nulls."""
+    return F.transform(F.collect_list(F.struct(F.col(value).alias("v"))).over(w), lambda s: s.v)
+
+
 def zero_padded_suffix(frames: DataFrame, value: str, size: int) -> DataFrame:
     """For every frame the values from the frame before it (from 0 for frame 0) to the end, cut at `size` or filled
-    up with zeros, and is_pad."""
-    rest = F.collect_list(value).over(in_order().rowsBetween(-1, size - 1))
+    up with zeros, and is_pad. A null value keeps its place."""
+    rest = _with_nulls(value, in_order().rowsBetween(-1, size - 1))
     suffix = F.slice("rest", 1, size)
     padded = F.concat(suffix, F.array_repeat(F.lit(0.0), F.lit(size) - F.size(suffix)))
     return frames.withColumn("rest", rest).withColumn("actions", padded).withColumn("is_pad", F.transform(F.sequence(F.lit(1), F.lit(size)), lambda i: i > F.size(suffix))).drop("rest")
@@ -205,9 +210,14 @@ def sliding_mean(frames: DataFrame, value: str, size: int) -> DataFrame:
     return frames.withColumn("mean", F.avg(value).over(in_order().rowsBetween(1 - size, 0)))
 
 
+def _before_last(frames: DataFrame) -> DataFrame:
+    """All but each episode's last frame."""
+    return frames.withColumn("_next", F.lead("idx").over(in_order())).where("_next is not null").drop("_next")
+
+
 def state_action(frames: DataFrame, value: str) -> DataFrame:
-    """State of a frame, action = the next frame's state; the last frame goes."""
-    return frames.withColumn("action", F.lead(value).over(in_order())).where("action is not null").withColumnRenamed(value, "state")
+    """State of a frame, action = the next frame's state; the last frame goes, one with a null value stays."""
+    return _before_last(frames.withColumn("action", F.lead(value).over(in_order()))).withColumnRenamed(value, "state")
 
 
 def relative_action(frames: DataFrame, value: str) -> DataFrame:
@@ -266,8 +276,8 @@ def sample_frames(frames: DataFrame, size: int, key: Column) -> DataFrame:
 
 
 def step_difference(frames: DataFrame, value: str) -> DataFrame:
-    """The step to the next frame's value; the last frame goes."""
-    return frames.withColumn("delta", F.lead(value).over(in_order()) - F.col(value)).where("delta is not null")
+    """The step to the next frame's value; the last frame goes, one with a null step stays."""
+    return _before_last(frames.withColumn("delta", F.lead(value).over(in_order()) - F.col(value)))
 
 
 def unsettled(frames: DataFrame, value: str, size: int, limit: float) -> DataFrame:
@@ -278,8 +288,8 @@ def unsettled(frames: DataFrame, value: str, size: int, limit: float) -> DataFra
 
 
 def recent(frames: DataFrame, value: str, size: int) -> DataFrame:
-    """The values a ring of `size` slots holds after every frame, oldest first, none before the first frame."""
-    return frames.withColumn("ring", F.collect_list(value).over(in_order().rowsBetween(1 - size, 0)))
+    """The values a ring of `size` slots holds after every frame, oldest first, none before the first frame; a null fills a slot."""
+    return frames.withColumn("ring", _with_nulls(value, in_order().rowsBetween(1 - size, 0)))
 
 
 def collate(frames: DataFrame, batch: Column, value: str, size: int, fill: int = 0) -> DataFrame:

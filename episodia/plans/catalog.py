@@ -130,14 +130,14 @@ def f8(spark, d):
     return filters.successful(load(spark, d, "orders"), (urgent & (F.col("o_totalprice") > 100000)) | (~urgent & (F.col("o_orderstatus") == "F"))).select("o_orderkey")
 
 
-@register("a1_population_statistics", f"WITH {VEC} SELECT dim::INT AS dim, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, min(x) AS low, max(x) AS high FROM ve WHERE label < 5 GROUP BY dim")
+@register("a1_population_statistics", f"WITH {VEC} SELECT dim::INT AS dim, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, min(x) AS low, max(x) AS high FROM ve GROUP BY dim")
 def a1(spark, d):
-    return stats.dataset_statistics(vectors(spark, d).where("label < 5")).select("dim", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "low", "high")
+    return stats.dataset_statistics(vectors(spark, d)).select("dim", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "low", "high")
 
 
-@register("a2_sample_statistics", f"WITH {VEC} SELECT dim::INT AS dim, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std FROM ve WHERE label >= 5 GROUP BY dim")
+@register("a2_sample_statistics", f"WITH {VEC} SELECT dim::INT AS dim, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std FROM ve GROUP BY dim")
 def a2(spark, d):
-    return stats.dataset_statistics(vectors(spark, d).where("label >= 5")).select("dim", F.round("mean", 6).alias("mean"), F.round("std_samp", 6).alias("std"))
+    return stats.dataset_statistics(vectors(spark, d)).select("dim", F.round("mean", 6).alias("mean"), F.round("std_samp", 6).alias("std"))
 
 
 @register("stats_cache", f"WITH {VEC} SELECT dim::BIGINT AS dim, round(avg(x), 6) AS mean, round(quantile_cont(x, 0.01), 6) AS q01, count(x) AS n FROM ve GROUP BY dim")

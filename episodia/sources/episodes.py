@@ -15,6 +15,7 @@ from pyspark.sql.types import NumericType
 
 from ..functions.common import hash_order, hash_uniform
 from ..functions.text import episode_number
+from ..operators.ranks import row_ranks
 from ..operators.windows import forward_chunk
 
 
@@ -100,7 +101,7 @@ def frame_tables(frames: DataFrame, tasks: DataFrame, fps: int = 50) -> dict[str
     drawn = F.get("texts", (hash_order(F.col("ep")) % F.size("texts")).cast("int"))
     episodes = frames.groupBy("ep").agg(F.count(F.lit(1)).alias("length")).join(tasks, "ep", "left").withColumn("task", drawn).drop("texts")
     names = episodes.select("task").distinct().where("task is not null")
-    numbered = names.withColumn("task_index", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("task")) - 1)  # one row for each text
+    numbered = row_ranks(names, ["task"]).select("task", (F.col("rank") - 1).cast("int").alias("task_index"))
     return {"frames": timed, "episodes": episodes, "tasks": numbered}
 
 

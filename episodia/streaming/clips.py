@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -74,10 +75,21 @@ def running_statistics(frames: DataFrame, value: str) -> DataFrame:
     return frames.groupBy("ep").agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("low"), F.max(value).alias("high"))
 
 
-def run_over_table(stream: DataFrame, folder: str) -> DataFrame:
-    """What an append-mode stream gives for all that its source holds now, as a table below the folder."""
-    query = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
+def run_over_table(stream: DataFrame, folder: str, timers: bool = False) -> DataFrame:
+    """What an append-mode stream gives for all that its source holds now, as a table below the folder.
+
+    With timers a stream has another batch for ever; it is stopped after the first one without input.
+    """
+    writer = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append")
+    if timers:
+        query = writer.start()
+        while query.isActive and not (query.lastProgress and query.lastProgress.numInputRows == 0):
+            time.sleep(0.1)
+        query.stop()
+        if query.exception():
+            raise query.exception()
+    else:
+        writer.trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
