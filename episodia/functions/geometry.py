@@ -234,3 +234,65 @@ def palette_color(label: Column, colors: list[tuple[int, int, int]]) -> Column:
     """The colour of a label, which wraps at 256; null beyond the palette."""
     table = F.array(*[F.struct(*[F.lit(c).alias(n) for c, n in zip(color, "rgb", strict=True)]) for color in colors])
     return F.get(table, F.pmod(label, F.lit(256)).cast("int"))
+
+
+def length(v: Vector) -> Column:
+    return F.sqrt(dot(v, v))
+
+
+def rotation_about(axis: Vector, angle: Column) -> tuple[Vector, Vector, Vector]:
+    """The turn by `angle` about an axis, which counts by its direction."""
+    n = length(axis)
+    a = tuple(c / F.when(n > 0, n) for c in axis)
+    c, s = F.cos(angle), F.sin(angle)
+    zero = F.lit(0.0)
+    side = ((zero, -a[2], a[1]), (a[2], zero, -a[0]), (-a[1], a[0], zero))
+    return tuple(tuple((c if i == j else zero) + a[i] * a[j] * (1 - c) + s * side[i][j] for j in range(3)) for i in range(3))
+
+
+def aligning_rotation(a: Vector, b: Vector, turn_back: bool = False) -> Column:
+    """The rotation that turns a's direction into b's, as an array of nine.
+
+    Directions that are nearly parallel need none, and opposite ones get none either, as their axis is not defined; with
+    turn_back they get a half turn about an axis at a right angle to a. Vectors of length 0 give nulls.
+    """
+
+    def rotation(v: Vector) -> Vector:
+        p, q = v[:3], v[3:]
+        axis = cross(p, q)
+        turned = rotation_about(axis, F.acos(F.greatest(F.least(dot(p, q), F.lit(1.0)), F.lit(-1.0))))
+        same = tuple(F.lit(1.0 if i % 4 == 0 else 0.0) for i in range(9))
+        # at a right angle to p: the cross product with x, or with y if p is nearly x itself
+        steep = F.abs(p[0]) > 0.9
+        side = cross(p, (F.when(steep, 0.0).otherwise(1.0), F.when(steep, 1.0).otherwise(0.0), F.lit(0.0)))
+        back = _flat(rotation_about(side, F.pi()))
+        small = length(axis) < 1e-6
+        still = [F.when(dot(p, q) < 0, y).otherwise(x) for x, y in zip(same, back, strict=True)] if turn_back else same
+        return tuple(F.when(p[0].isNull() | q[0].isNull(), F.lit(None)).when(small, x).otherwise(m) for x, m in zip(still, _flat(turned), strict=True))
+
+    norms = [F.when(length(v) > 0, length(v)) for v in (a, b)]
+    return bound(F.array(*[c / norms[0] for c in a], *[c / norms[1] for c in b]), 6, rotation)
+
+
+def projection(onto: Vector, v: Vector) -> Vector:
+    """The part of v that lies along `onto`; nulls if that has no length."""
+    square = dot(onto, onto)
+    return tuple(dot(onto, v) / F.when(square > 0, square) * c for c in onto)
+
+
+def facing_frame(eye: Vector, origin: Vector, up: Vector) -> tuple[Vector, Vector, Vector]:
+    """The rotation whose x axis points from eye to origin and whose z axis is as near to `up` as can be; axes are its columns."""
+    x = unit(tuple(o - e for o, e in zip(origin, eye, strict=True)))
+    z = unit(tuple(u - dot(x, up) * c for u, c in zip(up, x, strict=True)))
+    y = cross(z, x)
+    return tuple(zip(x, y, z, strict=True))
+
+
+def placement(actor: tuple[Vector, ...], target: tuple[Vector, ...], upright: bool = True) -> Column:
+    """A pose at the target's place whose up direction is the target's z axis, turned there the shortest way, as an array of 12
+    (three rows of four). The actor's up is its own y axis with upright, else its z axis."""
+    up = tuple(row[1 if upright else 2] for row in actor[:3])
+    turn = aligning_rotation(up, tuple(row[2] for row in target[:3]))
+    m = [[F.get(turn, F.lit(3 * i + j)) for j in range(3)] for i in range(3)]
+    turned = matmul(tuple(map(tuple, m)), tuple(tuple(row[:3]) for row in actor[:3]))
+    return F.array(*[c for row, place in zip(turned, target, strict=False) for c in (*row, place[3])])

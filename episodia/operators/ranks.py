@@ -32,8 +32,11 @@ def _number_cuts(rows: DataFrame, column: str, parts: int) -> list[float]:
 
 
 def _text_cuts(rows: DataFrame, column: str, parts: int, sample: int = 4096) -> list[str]:
-    share = min(1.0, sample / max(1, rows.count()))
-    drawn = rows.where(F.xxhash64(column).bitwiseAND(F.lit((1 << 63) - 1)) <= F.lit(int(share * ((1 << 63) - 1)))).select(column).distinct().limit(4 * sample)
+    n = rows.count()
+    drawn = rows.select(column)
+    if n > sample:
+        drawn = drawn.where(F.xxhash64(column).bitwiseAND(F.lit((1 << 63) - 1)) < F.lit(int(sample / n * (1 << 63))))
+    drawn = drawn.distinct().limit(4 * sample)
     found = sorted(r[0] for r in drawn.collect() if r[0] is not None)
     return sorted({found[len(found) * k // parts] for k in range(1, parts)}) if found else []
 

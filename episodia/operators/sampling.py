@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from .ranks import row_ranks, running_sum
 
+#: Rows that may be sent to every executor.
+BROADCAST_ROWS = 50_000
+
 
 def even_positions(n: Column, k: int) -> Column:
     """K positions spread evenly over 0..n-1, truncated; all of them if n <= k."""
@@ -195,3 +198,73 @@ def effective_length(sources: DataFrame, size: str, weight: str) -> DataFrame:
     part = F.col(size) * F.col(weight)
     total = sources.agg(F.sum(part).alias("total"), F.max(F.when(F.col(weight) == 1, F.col(size) / part)).alias("rounds"))
     return sources.join(F.broadcast(total)).withColumn("share", part / F.col("total")).withColumn("length", F.floor(F.col("rounds") * F.col("total"))).drop("total", "rounds")
+
+
+def epoch_draws(sources: DataFrame, size: str = "size", weight: str = "weight", primary: str = "primary", name: str = "source", step: float = 0.6180339887498949) -> DataFrame:
+    """(draw, source, nth): draws from 0 until every primary source is through once; nth counts a source's own draws from 0.
+
+    sources: name, size, weight, primary. A source's share of the draws is size * weight over the sum of those. Draw i
+    falls where the fraction of i * step lies in the running shares (sources by name). The step spreads draws evenly, so
+    that no stretch lacks a source for long. The sources, a short list, come to the driver; without a primary source
+    there are no draws.
+    """
+    listed = [(r[0], int(r[1]), r[1] * r[2], bool(r[3])) for r in sources.select(name, size, weight, primary).orderBy(name).collect() if r[1] and r[2]]
+    spark, total = sources.sparkSession, sum(s[2] for s in listed)
+    needed = max([-(-n * total // share) for _, n, share, first in listed if first], default=0)
+    chosen, upto = F.lit(listed[-1][0]) if listed else F.lit(None).cast("string"), total
+    for source, _, share, _ in reversed(listed):
+        chosen = F.when(F.col("uniform") < upto / total, F.lit(source)).otherwise(chosen)
+        upto -= share
+    while True:
+        draws = spark.range(int(needed)).select(F.col("id").alias("draw"), F.pmod(F.col("id") * F.lit(step), F.lit(1.0)).alias("uniform")).select("draw", chosen.alias(name))
+        numbered = running_sum(draws, ["draw"], F.lit(1).cast("long"), "nth", by=(name,)).withColumn("nth", F.col("nth") - 1)
+        through = {r[0]: r[1] for r in draws.groupBy(name).count().collect()}
+        if all(through.get(source, 0) >= n for source, n, _, first in listed if first):
+            break
+        needed = needed * 1.1 + 10
+    ends = F.lit(False)
+    for source, n, _, first in listed:
+        if first:
+            ends = ends | ((F.col(name) == source) & (F.col("nth") == n - 1))
+    last = numbered.where(ends).agg(F.max("draw")).first()[0]
+    return numbered.where(F.col("draw") <= (-1 if last is None else last)).select("draw", name, "nth")
+
+
+def interleave(rows: DataFrame, draws: DataFrame, name: str, order: list[str]) -> DataFrame:
+    """The rows of all sources in the order of draws (draw, source, nth): draw, epoch, and the columns of rows.
+
+    A source's rows stand in `order` (a number first); its nth draw takes the row nth modulo its size, so that a source
+    that is used up begins again. Positions come from running sums in ranges and the rows by an equi join on (source,
+    position): no buffer holds a source. Rows of a null source take no part.
+    """
+    placed = running_sum(rows.where(F.col(name).isNotNull()), order, F.lit(1).cast("long"), "_place", by=(name,)).withColumn("_place", F.col("_place") - 1)
+    sizes = rows.groupBy(name).agg(F.count(F.lit(1)).alias("_size"))
+    due = draws.join(F.broadcast(sizes), name).withColumns({"_place": F.col("nth") % F.col("_size"), "epoch": F.floor(F.col("nth") / F.col("_size")).cast("long")})
+    return due.select("draw", "epoch", name, "_place").join(placed, [name, "_place"]).drop("_place")
+
+
+def apportion(sources: DataFrame, n: int, weight: str = "weight", order: str = "pos") -> DataFrame:
+    """Sources plus `share`: n dealt out in whole numbers by weight, at least 1 to each weight above 0.
+
+    Weights whose part of what is left would be below 1 get 1 and leave the rest to the others, which makes further ones
+    fall below, until none does. In ascending order those are a beginning of the list, which ends at the first weight
+    whose part of the rest is 1 or more; running sums find it. The others get the whole of their part, and what remains
+    goes to the largest fractions, the later in `order` (a number, different in every row) on ties. A weight of 0 gets
+    none of it. Fewer than the weights above 0, or a negative weight, is an error.
+    """
+    counted = sources.agg(F.count(F.when(F.col(weight) > 0, 1)).alias("n"), F.sum(weight).alias("total"), F.min(weight).alias("low")).first()
+    if counted.n > n or (counted.low or 0) < 0:
+        raise ValueError("weights must not be negative, nor more than what is to be dealt")
+    if not counted.n:
+        return sources.withColumn("share", F.lit(0).cast("long"))
+    positive = row_ranks(running_sum(sources.where(F.col(weight) > 0).select(order, weight), [weight, order], F.col(weight).cast("double"), "_upto"), [weight, order])
+    before, place = F.col("_upto") - F.col(weight), F.col("rank") - 1
+    first = positive.where(F.col(weight) * (n - place) >= F.lit(float(counted.total)) - before).agg(F.min("rank").alias("rank")).first().rank or counted.n + 1
+    fixed = positive.where(F.col("rank") < first).select(order, F.lit(1).cast("long").alias("share"))
+    rest = positive.where(F.col("rank") >= first)
+    left, weights = n - (first - 1), rest.agg(F.sum(weight)).first()[0] or 1.0
+    part = F.col(weight) / F.lit(float(weights)) * left
+    parts = rest.select(order, F.floor(part).cast("long").alias("_whole"), (F.floor(part) - part).alias("_less"), (-F.col(order)).alias("_later"))
+    remaining = left - (parts.agg(F.sum("_whole")).first()[0] or 0)
+    dealt = row_ranks(parts, ["_less", "_later"]).select(order, (F.col("_whole") + (F.col("rank") <= remaining).cast("long")).alias("share"))
+    return sources.join(fixed.unionByName(dealt), order, "left").withColumn("share", F.coalesce("share", F.lit(0).cast("long")))

@@ -11,7 +11,7 @@ from ..operators import filters, joins, sampling, schema, stats, statscache, str
 from ..sources import episodes
 from ..streaming import clips
 from .preparation import E, as_text
-from .queries import FR, HASH, LEN, VEC, _clips_sql, _quaternions, frames, load, register, unit_frames, vectors
+from .queries import FR, HASH, LEN, VEC, _clips_sql, _quaternions, frames, joined, load, register, unit_frames, vectors
 
 
 # ---- sources ---------------------------------------------------------------------------------------------------------
@@ -262,12 +262,11 @@ def x23(spark, d):
     return windows.collate(frames(spark, d).withColumn("token", F.col("event_id") % 100), F.col("ep") % 5, "token", 80, 7).select("batch", "ep", as_text("values").alias("values"), "real")
 
 
-@register("u3_name_sets", "SELECT p_partkey, p_size % 2 = 0 AS same, p_size % 3 = 0 AS apart FROM part")
+@register("u3_name_sets", "WITH n AS (SELECT p_partkey, list_distinct(string_split(p_name, ' ')) AS a, list_distinct(string_split(CASE WHEN p_size > 25 THEN p_name ELSE lower(p_type) || ' rod' END, ' ')) AS b FROM part) SELECT p_partkey, list_sort(a) = list_sort(b) AS same, len(list_intersect(a, b)) = 0 AS apart FROM n")
 def u3(spark, d):
-    a = F.array(F.lit("x"), F.lit("y"))
-    b = F.when(F.col("p_size") % 2 == 0, F.array(F.lit("y"), F.lit("x"), F.lit("x"))).otherwise(F.array(F.lit("x")))
-    c = F.when(F.col("p_size") % 3 == 0, F.array(F.lit("z"))).otherwise(F.array(F.lit("y"), F.lit("z")))
-    return load(spark, d, "part").select("p_partkey", text.same_names(a, b).alias("same"), text.disjoint(a, c).alias("apart"))
+    a = F.split("p_name", " ")
+    b = F.when(F.col("p_size") > 25, F.concat(F.reverse(F.split("p_name", " ")), F.split("p_name", " "))).otherwise(F.array(F.lower("p_type"), F.lit("rod")))
+    return load(spark, d, "part").select("p_partkey", text.same_names(a, b).alias("same"), text.disjoint(a, b).alias("apart"))
 
 
 @register("u5_deep_merge", "SELECT event_id, user_id AS a, coalesce(CASE WHEN event_id % 2 = 0 THEN value END, 0.5)::DOUBLE AS x, event_type AS y, 1 AS z, event_id % 3 AS k FROM events")
@@ -292,10 +291,11 @@ def tu2(spark, d):
     return load(spark, d, "embeddings").select("vec_id", F.round(structs.gather(e, F.col("vec_id") % 64), 6).alias("x"), structs.gather(e, F.lit(64)).alias("beyond"))
 
 
-@register("tu3_padded", "SELECT p_partkey, '1,1,1,2,3,3' AS edge, '0,1,2,3,0,0' AS constant FROM part")
+@register("tu3_padded", "WITH e AS (SELECT vec_id, list_transform(embedding[1:vec_id % 5 + 1], lambda x: printf('%.4f', x::DOUBLE)) AS e FROM embeddings) SELECT vec_id, array_to_string(list_concat([e[1], e[1]], e, [e[len(e)]]), ',') AS edge, array_to_string(list_concat(['0.0000'], e, ['0.0000', '0.0000']), ',') AS constant FROM e")
 def tu3(spark, d):
-    a = F.sequence(F.lit(1), F.lit(3))
-    return load(spark, d, "part").select("p_partkey", structs.pad_sequence(a, 2, 1).alias("e"), structs.pad_sequence(a, 1, 2, F.lit(0)).alias("c")).select("p_partkey", as_text("e").alias("edge"), as_text("c").alias("constant"))
+    e = F.slice(F.col("embedding").cast("array<double>"), F.lit(1), (F.col("vec_id") % 5 + 1).cast("int"))
+    rows = load(spark, d, "embeddings").select("vec_id", structs.pad_sequence(e, 2, 1).alias("e"), structs.pad_sequence(e, 1, 2, F.lit(0.0)).alias("c"))
+    return rows.select("vec_id", joined("e", 4).alias("edge"), joined("c", 4).alias("constant"))
 
 
 @register("tu4_reduced", "SELECT vec_id, round(list_sum(e), 5) AS sum, round(list_max(e), 6) AS max, round(list_avg(e), 6) AS mean, 128 AS flat FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)")

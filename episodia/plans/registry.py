@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import catalog, policies, preparation, scenes  # noqa: F401 - they register their queries
+from . import additions, catalog, policies, preparation, scenes  # noqa: F401 - they register their queries
 from . import queries as all_queries
 
 
