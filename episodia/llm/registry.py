@@ -19,4 +19,4 @@ QUERIES = {
     "op12_burst_tries": tries.query,
     "op13_diagonal_voting": licenses.query,
 }
-SQL = {"op1_prefix_target_chat": chat.SQL, "op7_maxscore": maxscore.SQL, "op8_suffix_automata": substrings.SQL, "op10_mix_sources": mixing.SQL, "op11_trie_node_pairs": spelling.SQL, "op12_burst_tries": tries.SQL, "op13_diagonal_voting": licenses.SQL}
+SQL = {"op1_prefix_target_chat": chat.SQL, "op4_lsh_forest": neardup.SQL, "op7_maxscore": maxscore.SQL, "op8_suffix_automata": substrings.SQL, "op10_mix_sources": mixing.SQL, "op11_trie_node_pairs": spelling.SQL, "op12_burst_tries": tries.SQL, "op13_diagonal_voting": licenses.SQL}

@@ -54,6 +54,13 @@ def pool_words(embedding: np.ndarray, numbers: np.ndarray, begins: np.ndarray) -
     return np.add.reduceat(embedding[numbers], begins[:-1], axis=0) / np.sqrt(np.diff(begins))[:, None].astype(np.float32)
 
 
+def own_responses(h: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
+    """h, the responses at all places of texts in a row, without those of windows that reach into the next text; ends are the texts' ends."""
+    for back in range(1, width):
+        h[ends - back] = -np.inf
+    return h
+
+
 @dataclass
 class TextCNN:
     """Hashed (sub)word embeddings, filters over several numbers of words, the largest response of each filter, and a logistic output."""
@@ -102,7 +109,7 @@ class TextCNN:
             x = vectors[flat]
             pooled, places = [], []
             for w, kernel in zip(self.widths, self.kernels, strict=True):
-                h = sum(x[j : j + n] @ kernel[j] for j in range(w))
+                h = own_responses(sum(x[j : j + n] @ kernel[j] for j in range(w)), ends[1:], w)
                 place = np.stack([h[a:b].argmax(axis=0) + a for a, b in zip(ends[:-1], ends[1:], strict=True)])
                 places.append(place)
                 pooled.append(np.take_along_axis(h, place, axis=0))
@@ -208,7 +215,7 @@ class Scorer:
                 flat = np.zeros(begins[-1] + widest, np.int32)
                 flat[np.concatenate([np.arange(len(part)) + a for a, (_, part) in zip(begins, held, strict=False)])] = ids
                 x, n = self.vectors[flat], begins[-1]
-                top = [np.maximum.reduceat(sum(x[j : j + n] @ k[j] for j in range(len(k))), begins[:-1], axis=0) for k in m.kernels]
+                top = [np.maximum.reduceat(own_responses(sum(x[j : j + n] @ k[j] for j in range(len(k))), begins[1:], len(k)), begins[:-1], axis=0) for k in m.kernels]
                 np.maximum.at(best, [i for i, _ in held], np.concatenate(top, axis=1))
             held.clear()
             size = 0
