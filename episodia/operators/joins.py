@@ -27,14 +27,16 @@ def history(frames: DataFrame, targets: DataFrame, value: str, horizon: int, int
     kind = frames.select(found.alias("x")).schema["x"].dataType
     rows = frames.select("ep", F.col("idx").cast("long").alias("time"), found.alias("frame"), F.lit(None).cast("long").alias("t0"), F.lit(None).cast("int").alias("h"))
     both = rows.unionByName(wanted.select("ep", F.col("time").cast("long").alias("time"), F.lit(None).cast(kind).alias("frame"), F.col("t0").cast("long").alias("t0"), "h")).withColumn("bucket", F.floor(F.col("time") / bucket))
-    ends = both.groupBy("ep", "bucket").agg(F.max_by("frame", F.when(F.col("frame").isNotNull(), F.col("time"))).alias("last"))
-    carried = F.last("last", ignorenulls=True).over(Window.partitionBy("ep").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    ends = ends.select("ep", "bucket", carried.alias("before"))
-    firsts = frames.groupBy("ep").agg(F.min_by(found, "idx").alias("first"))
+    shown = F.when(F.col("frame").isNotNull(), F.col("time"))
+    ends = both.groupBy("ep", "bucket").agg(F.max_by("frame", shown).alias("last"), F.min_by("frame", shown).alias("first"))
+    by_bucket = Window.partitionBy("ep").orderBy("bucket")
+    carried = F.last("last", ignorenulls=True).over(by_bucket.rowsBetween(Window.unboundedPreceding, -1))
+    earliest = F.first("first", ignorenulls=True).over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ends = ends.select("ep", "bucket", carried.alias("before"), earliest.alias("first"))
     w = Window.partitionBy("ep", "bucket").orderBy("time", F.col("frame").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     looked = both.withColumn("within", F.last("frame", ignorenulls=True).over(w)).where("h is not null")
     hit = F.coalesce("within", "before", "first")
-    joined = looked.join(ends, ["ep", "bucket"]).join(firsts, "ep", "left").withColumn("hit", hit)
+    joined = looked.join(ends, ["ep", "bucket"]).withColumn("hit", hit)
     return joined.select("ep", "t0", "h", F.col("time").alias("target"), F.col("hit.value").alias("value"), ((F.col("hit.at") == F.col("time")) | (F.col("h") == 0)).alias("valid"))
 
 

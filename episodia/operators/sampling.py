@@ -20,6 +20,16 @@ def even_positions(n: Column, k: int) -> Column:
     return F.when(n <= 0, F.array().cast("array<bigint>")).when(n <= k, F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)).otherwise(spread)
 
 
+def even_place(nth: Column, n: Column, k: int) -> Column:
+    """The place of position nth in even_positions(n, k), null if it isn't among them; by arithmetic, without the list."""
+    step = (n - 1) / F.lit(float(max(k - 1, 1)))
+    near = F.floor(nth / F.greatest(step, F.lit(1.0)))
+    found = F.when(nth == n - 1, F.lit(k - 1)) if k > 1 else F.when(nth == 0, F.lit(0))
+    for i in (near - 1, near, near + 1) if k > 1 else ():
+        found = found.when((i >= 0) & (i < k - 1) & (F.floor(i * step) == nth), i)
+    return F.when(n <= k, nth).otherwise(found).cast("long")
+
+
 def split_episodes(episodes: DataFrame, key: str, share: float, order: Column) -> DataFrame:
     """Episodes plus is_test; the ceil(share * n) last in `order`, a number, are the test split."""
     ranked = row_ranks(episodes.withColumn("_order", order), ["_order", key])

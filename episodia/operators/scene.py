@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry
+from ..sources.storage import stored
 from .filters import valid_pixels
-from .sampling import even_positions
+from .sampling import even_place
 
 #: Names that other tools read. Fixed values.
 OBJECT, ROBOT, STATIC = "task_object", "robot", "static"
@@ -90,10 +91,8 @@ def local_points(points: DataFrame, parts: DataFrame, poses: DataFrame, most: in
     rows = points.join(parts.select("clip", "part", "part_pos", "actor_id"), ["clip", "actor_id"])
     rows = rows.withColumn("point", (F.row_number().over(pixel) - 1).cast("long"))
     if most is not None:
-        n = F.count(F.lit(1)).over(Window.partitionBy("clip", "part"))
-        rows = rows.withColumn("_n", n)
-        kept = rows.select("clip", "part", "_n").distinct().select("clip", "part", F.posexplode(even_positions(F.col("_n"), most)).alias("_to", "point"))
-        rows = rows.drop("_n").join(kept, ["clip", "part", "point"]).withColumn("point", F.col("_to").cast("long")).drop("_to")
+        n = F.count(F.lit(1)).over(pixel.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        rows = rows.withColumn("_n", n).withColumn("point", even_place(F.col("point"), F.col("_n"), most)).where("point is not null").drop("_n")
     first = poses.where("t = 0").select("clip", "part_pos", F.col("pose").alias("_pose"))
     rows = rows.join(first, ["clip", "part_pos"], "left").withColumn("_pose", F.coalesce("_pose", F.array(*map(F.lit, IDENTITY))))
     m = as_matrix(F.col("_pose"))
@@ -123,7 +122,7 @@ def scene_flows(local: DataFrame, trajectories: DataFrame) -> DataFrame:
 
 
 def build_clips(pixels: DataFrame, cameras: DataFrame, parts: DataFrame, poses: DataFrame, most: int | None = None, drop: Sequence[int] = (), statics: bool = True) -> dict[str, DataFrame]:
-    """The composite: parts, local points, trajectories and flows of clips.
+    """The composite: parts, local points, trajectories and flows of clips. Each is written once and read by what builds on it.
 
     pixels: clip, v, u, x, y, z, w, actor_id, r, g, b and nx, ny, nz, or without normals, which are then estimated.
     cameras: clip, pose (camera to world at frame 0). parts as in clip_parts(); poses: clip, part_pos, t, pose.
@@ -131,10 +130,11 @@ def build_clips(pixels: DataFrame, cameras: DataFrame, parts: DataFrame, poses:
     if "nx" not in pixels.columns:
         pixels = camera_normals(pixels, "clip")
     keep = pixels.join(cameras.select("clip", F.col("pose").alias("_camera")), "clip")
-    points = world_points(keep, F.col("_camera"), None, drop).drop("_camera")
-    found = clip_parts(points, parts, drop, statics)
-    local = local_points(points, found, poses, most)
-    trajectories = part_trajectories(found, poses)
+    points = stored(world_points(keep, F.col("_camera"), None, drop).drop("_camera"), "points")
+    parts, poses = stored(parts, "parts"), stored(poses, "poses")
+    found = stored(clip_parts(points, parts, drop, statics), "found")
+    local = stored(local_points(points, found, poses, most), "local")
+    trajectories = stored(part_trajectories(found, poses), "trajectories")
     return {"parts": found, "points": local, "trajectories": trajectories, "flows": scene_flows(local, trajectories)}
 
 
