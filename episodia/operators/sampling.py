@@ -133,8 +133,9 @@ def modality_batches(rows: DataFrame, size: int, ranks: int, order: Column) -> D
 
     rows: id, modality, length. Each modality is shuffled by `order`, a number, and cut into batches of `size`; the last
     one is filled up with rows of the modality's first batch. Within a batch the longest rows come first and go to the
-    rank of the least total length that has room for more, the first on ties. The batch with the longest row gets number
-    0, in exchange with the one that had it. size must be a multiple of ranks.
+    rank of the least total length that has room for more, the first on ties. Batches are numbered in the order of
+    md5(modality:batch); the one with the longest row gets number 0, in exchange with the one that had it. size must be
+    a multiple of ranks.
     """
     if size % ranks:
         raise ValueError("a batch must divide evenly over the ranks")
@@ -155,7 +156,8 @@ def modality_batches(rows: DataFrame, size: int, ranks: int, order: Column) -> D
         return F.struct(put(state.load, -item.less).alias("load"), put(state.held, F.lit(1)).alias("held"), F.concat(state.to, F.array(at - 1)).alias("to"))
 
     placed = dealt.withColumn("to", F.aggregate("items", empty, place, lambda s: s.to))
-    batches = running_sum(placed.withColumn("key", F.xxhash64("modality", "own").cast("double")), ["key", "modality", "own"], F.lit(1).cast("long"), "number").withColumn("number", F.col("number") - 1)
+    key = F.conv(F.substring(F.md5(F.concat(F.col("modality").cast("string"), F.lit(":"), F.col("own").cast("string"))), 1, 12), 16, 10).cast("long")
+    batches = running_sum(placed.withColumn("key", key), ["key", "modality", "own"], F.lit(1).cast("long"), "number").withColumn("number", F.col("number") - 1)
     longest = batches.orderBy(F.desc("longest"), "number").limit(1).select(F.col("number").alias("top"))
     batch = F.when(F.col("number") == F.col("top"), F.lit(0).cast("long")).when(F.col("number") == 0, F.col("top")).otherwise(F.col("number"))
     rows = batches.join(F.broadcast(longest)).select(batch.alias("batch"), "modality", F.explode(F.arrays_zip("to", "items")).alias("x"))

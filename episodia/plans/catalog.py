@@ -150,7 +150,13 @@ def stats_cache(spark, d):
 
 
 # ---- samples ---------------------------------------------------------------------------------------------------------
-@register("t3_farthest_points")
+@register(
+    "t3_farthest_points",
+    """WITH RECURSIVE cl AS (SELECT label, list(vec_id ORDER BY vec_id) AS ids, list(embedding[1]::DOUBLE ORDER BY vec_id) AS xs, list(embedding[2]::DOUBLE ORDER BY vec_id) AS ys, list(embedding[3]::DOUBLE ORDER BY vec_id) AS zs, count(*) AS n FROM embeddings GROUP BY label),
+    st AS (SELECT label, 0::BIGINT AS nth, 1::BIGINT AS pos, list_transform(ids, lambda i: 1e300::DOUBLE) AS far FROM cl
+        UNION ALL SELECT label, nth + 1, list_position(f, list_max(f))::BIGINT, f FROM (SELECT st.label, nth, list_transform(range(1, n + 1), lambda i: CASE WHEN i = pos OR far[i] < 0 THEN -1.0 ELSE least(far[i], (xs[i] - xs[pos]) * (xs[i] - xs[pos]) + (ys[i] - ys[pos]) * (ys[i] - ys[pos]) + (zs[i] - zs[pos]) * (zs[i] - zs[pos])) END) AS f FROM st JOIN cl ON cl.label = st.label WHERE nth + 1 < least(64, n)))
+    SELECT st.label, nth, ids[pos] AS id, xs[pos] AS x, ys[pos] AS y, zs[pos] AS z FROM st JOIN cl ON cl.label = st.label UNION ALL SELECT label, k, NULL, 0.0, 0.0, 0.0 FROM cl, range(64) g(k) WHERE k >= n""",
+)
 def t3(spark, d):
     df, e = _quaternions(spark, d)
     return sampling.farthest_points(df.select("label", F.col("vec_id").alias("id"), *[c.alias(n) for c, n in zip(e[:3], "xyz", strict=True)]), "label", 64)
@@ -195,16 +201,34 @@ def t16(spark, d):
     return sampling.assign_greedy(tasks, "task", "size", 4)
 
 
-@register("t18_modality_batches")
+def _batches_sql(rows: str, size: int, ranks: int) -> str:
+    """SQL of modality_batches() for rows (id, modality, length): a greedy step for each place of all batches at once."""
+    free = f"list_transform(load, lambda x, i: CASE WHEN held[i] < {size // ranks} THEN x ELSE 4611686018427387904 END)"
+    return f"""RECURSIVE ro AS ({rows}), nu AS (SELECT *, row_number() OVER (PARTITION BY modality ORDER BY {HASH.format('id')}, id) - 1 AS nth, count(*) OVER (PARTITION BY modality) AS n FROM ro),
+    ba AS (SELECT modality, nth // {size} AS own, id, length, nth FROM nu UNION ALL SELECT modality, (n - 1) // {size}, id, length, nth + n FROM nu WHERE nth < least({size}, ((n - 1) // {size} + 1) * {size} - n) AND n > {size}),
+    it AS (SELECT *, row_number() OVER (PARTITION BY modality, own ORDER BY length DESC, nth, id) AS k FROM ba),
+    pl AS (SELECT DISTINCT modality, own, 0::BIGINT AS k, list_transform(range({ranks}), lambda x: 0::BIGINT) AS load, list_transform(range({ranks}), lambda x: 0) AS held, 0::INT AS pos FROM it
+        UNION ALL SELECT modality, own, k, list_transform(load, lambda x, i: CASE WHEN i = best THEN x + length ELSE x END), list_transform(held, lambda x, i: CASE WHEN i = best THEN x + 1 ELSE x END), best FROM
+        (SELECT pl.modality, pl.own, it.k, load, held, length, list_position({free}, list_min({free}))::INT AS best FROM pl JOIN it ON it.modality = pl.modality AND it.own = pl.own AND it.k = pl.k + 1)),
+    bn AS (SELECT modality, own, max(length) AS longest, row_number() OVER (ORDER BY substr(md5(modality || ':' || own), 1, 12), modality, own) - 1 AS number FROM it GROUP BY modality, own),
+    tp AS (SELECT number AS top FROM bn ORDER BY longest DESC, number LIMIT 1),
+    dealt AS (SELECT CASE WHEN number = top THEN 0 WHEN number = 0 THEN top ELSE number END AS batch, pos - 1 AS rank, id, it.modality, length FROM it JOIN pl ON pl.modality = it.modality AND pl.own = it.own AND pl.k = it.k JOIN bn ON bn.modality = it.modality AND bn.own = it.own, tp)"""
+
+
+_TURNS = "SELECT conv_id * 1000 + turn AS id, role AS modality, coalesce(length(text), 0)::BIGINT AS length FROM conversations"
+_TEXTS = "SELECT doc_id AS id, coalesce(lang, 'none') AS modality, coalesce(length(text), 0)::BIGINT AS length FROM documents"
+
+
+@register("t18_modality_batches", f"WITH {_batches_sql(_TURNS, 16, 4)} SELECT batch, rank, id, modality, length FROM dealt")
 def t18(spark, d):
-    rows = load(spark, d, "conversations").select(F.xxhash64("conv_id", "turn").alias("id"), F.col("role").alias("modality"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("length"))
-    return sampling.modality_batches(rows, 16, 4, F.pmod("id", F.lit(1_000_003)).cast("double"))
+    rows = load(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("role").alias("modality"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("length"))
+    return sampling.modality_batches(rows, 16, 4, hash_order(F.col("id")))
 
 
-@register("t17_rank_loads")
+@register("t17_rank_loads", f"WITH {_batches_sql(_TEXTS, 32, 8)} SELECT batch, rank, sum(length)::BIGINT AS load, count(*) AS rows FROM dealt GROUP BY batch, rank")
 def t17(spark, d):
     rows = load(spark, d, "documents").select(F.col("doc_id").alias("id"), F.coalesce("lang", F.lit("none")).alias("modality"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("length"))
-    dealt = sampling.modality_batches(rows, 32, 8, F.pmod(F.xxhash64("id"), F.lit(1_000_003)).cast("double"))
+    dealt = sampling.modality_batches(rows, 32, 8, hash_order(F.col("id")))
     return dealt.groupBy("batch", "rank").agg(F.sum("length").alias("load"), F.count(F.lit(1)).alias("rows"))
 
 
