@@ -79,3 +79,13 @@ def test_kernel_scores(spark):
         assert abs(got[r.doc_id].score - p.max() / p.sum()) < 1e-4
         top = np.sort(answers)[::-1]
         assert top[0] - top[1] < 1e-5 or got[r.doc_id].lang_pred == model.languages[int(answers.argmax())]
+
+
+def test_few_sequences_of_all_documents(spark):
+    from episodia.llm import packing
+
+    from ..compare import DATA
+
+    packed = packing.query(spark, DATA.replace("sf0.001", "sf0.1"))
+    tokens, sequences, pieces = packed.agg(F.sum("length"), F.count_distinct("sequence_id"), F.count(F.lit(1))).first()
+    assert sequences <= 1.002 * tokens / 2048 + 1 and pieces >= 10_000
