@@ -150,8 +150,9 @@ STANDARDS: dict[str, Standard] = {
     "tdroid": Standard({"action": "action[:6] action[-1:]|binarize", "eef_state": "cartesian_position[:6]", "gripper_state": "gripper_position[-1:]"}),
     "libero": Standard({"action": "action[:6] action[-1:]|clip|invert", "eef_state": "state[:6]", "gripper_state": "state[-2:]"}),
     "aloha": Standard(),
-    "droid": Standard({"action": "cartesian_velocity[:6] action_gripper_position|invert", "proprio": "cartesian_position gripper_position"}),
 }
+#: Velocities in the robot's base frame, for DROID and its parts. Fixed values.
+BASE_FRAME = Standard({"action": "cartesian_velocity[:6] action_gripper_position|invert", "proprio": "cartesian_position gripper_position"})
 #: The ending of datasets that were brought to the common format by others.
 CONVERTED = "_converted_externally_to_rlds"
 #: The datasets' own names by the standard that they follow. Fixed values.
@@ -202,7 +203,6 @@ DATASETS: dict[str, str] = {
     "tdroid_move_object_onto_plate": "tdroid",
     "tdroid_knock_object_over": "tdroid",
     "tdroid_cover_object_with_towel": "tdroid",
-    "droid_wipe": "droid",
     "libero_spatial_no_noops": "libero",
     "libero_object_no_noops": "libero",
     "libero_goal_no_noops": "libero",
@@ -318,8 +318,8 @@ def standardize(df: DataFrame, standard: Standard) -> DataFrame:
     return rows.drop(*[c for c in rows.columns if c.startswith(OWN)])
 
 
-for _name in (*STANDARDS, *DATASETS):
-    register(_name)(lambda df, s=STANDARDS[DATASETS.get(_name, _name)]: standardize(df, s))
+for _name, _standard in (STANDARDS | {name: STANDARDS[own] for name, own in DATASETS.items()} | {"droid": BASE_FRAME, "droid_wipe": BASE_FRAME}).items():
+    register(_name)(lambda df, s=_standard: standardize(df, s))
 
 
 def restructure(df: DataFrame, images: dict[str, str | None], proprio: dict[str | None, int], text: str | None, dataset: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from episodia.operators import transforms
-from episodia.operators.transforms import DATASETS, STANDARDS
+from episodia.operators.transforms import BASE_FRAME, DATASETS, STANDARDS
 
 N = 4
 GRIP = [0.99, 0.5, 0.01, 0.4]  # decided, open, decided, undecided
@@ -97,6 +97,7 @@ WANTED = {
     "droid": {"action": lambda f, t: [*f["cartesian_velocity"][:6], 1 - GRIP[t]], "proprio": lambda f, t: [*f["cartesian_position"], GRIP[t]]},
 }
 WANTED["kuka"]["base_pose_tool_reached"] = reads("robot_state", (0, 7))
+ALL = STANDARDS | {"droid": BASE_FRAME}
 TEXTS = {name: s.instruction for name, s in STANDARDS.items() if s.instruction}
 
 
@@ -107,11 +108,11 @@ def frames(spark):
     return spark.createDataFrame([(1, t, 7, *f.values()) for t, f in enumerate(FRAMES)], schema).cache()
 
 
-@pytest.mark.parametrize("name", sorted(STANDARDS))
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_values(frames, name):
     got = transforms.named(name)(frames).orderBy("idx").collect()
     assert all(r._own == 7 for r in got)  # users' columns stay, whatever they begin with
-    if STANDARDS[name].drop_first:
+    if ALL[name].drop_first:
         assert [r.idx for r in got] == list(range(N - 2))
         for r in got:
             here, there = FRAMES[r.idx + 1], FRAMES[r.idx + 2]
@@ -130,7 +131,7 @@ def test_values(frames, name):
 
 
 def test_registry_names():
-    assert len(STANDARDS) == 60 and set(DATASETS.values()) <= set(STANDARDS)
+    assert len(STANDARDS) == 59 and set(DATASETS.values()) <= set(STANDARDS)
     for name in ("fractal20220817_data", "bridge_dataset", "libero_spatial_no_noops", "utokyo_xarm_bimanual_converted_externally_to_rlds", "droid_wipe", "aloha_stack_bowls_three_clean_builder", "kuka"):
         transforms.named(name)
     with pytest.raises(KeyError, match="no transform nothing"):
