@@ -9,7 +9,7 @@ from ..functions import text
 from ..functions.common import hash_order, hash_uniform
 from ..operators import filters, joins, sampling, schema, stats, statscache, structs, transforms, windows
 from ..sources import episodes
-from ..streaming import clips
+from ..streaming import clips, processors
 from .preparation import E, as_text
 from .queries import FR, HASH, LEN, VEC, _clips_sql, _quaternions, frames, joined, load, register, unit_frames, vectors
 
@@ -458,7 +458,9 @@ def r1(spark, d):
 @register("r2_completeness", f"WITH {_clips_sql(4, 4, 1)} SELECT ep, count(DISTINCT clip) AS num_clips, true AS episode_complete FROM po GROUP BY ep")
 def r2(spark, d):
     stream, folder = _streamed(spark, d)
-    return clips.run_over_table(clips.stream_clips(stream, 4, 4, 1), folder).where("j is null").select("ep", F.col("clip").alias("num_clips"), F.col("complete").alias("episode_complete"))
+    with processors.rocksdb(spark):
+        ended = clips.run_over_table(processors.cut_clips(stream, 4, 4, 1), folder, timers=True).where("j is null")
+    return ended.select("ep", F.col("clip").alias("num_clips"), F.col("complete").alias("episode_complete"))
 
 
 @register("r7_continued_grid", """WITH b AS (SELECT user_id, floor(epoch(ts - TIMESTAMP '2024-01-01') / 3600 + 1e-5)::BIGINT AS k, ts, event_id FROM events), f AS (SELECT user_id, k, min_by(event_id, ts) AS event_id FROM b GROUP BY user_id, k),

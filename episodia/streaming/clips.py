@@ -12,6 +12,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 CLIP_SCHEMA = "ep long, clip long, j long, idx long, is_pad boolean, complete boolean"
 CLIP_COLUMNS = [c.split()[0] for c in CLIP_SCHEMA.split(", ")]
+#: Seconds for which a closed episode is remembered, if there are timers.
+MEMORY = 86_400
 STATE_SCHEMA = "next long, clip long, waiting string"
 
 
@@ -20,7 +22,9 @@ def stream_clips(frames: DataFrame, length: int, stride: int, interval: int, pat
 
     A closed episode gives one more row, with the number of its clips in `clip`, no j, and `complete`. An episode that
     gets no frame for `patience` seconds is closed as it is, not complete, so that a lost frame does not hold it and
-    what waits for it in state for ever; without patience it waits.
+    what waits for it in state for ever; a closed one is forgotten after MEMORY seconds. Without patience neither
+    happens, as such timers need a stream that never ends. processors.cut_clips() gives the frames' columns as well, has a
+    patience of its own accord and takes frames after the end for errors.
 
     A row with is_end closes its episode, its idx being the number of frames: frames left over then give one padded
     clip, and what comes later is ignored. Frames may arrive out of order; they wait in state until those before them
@@ -33,8 +37,11 @@ def stream_clips(frames: DataFrame, length: int, stride: int, interval: int, pat
     def cut(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         ready, clip, waiting = state.get if state.exists else (0, 0, "")
         if state.hasTimedOut:
-            if ready >= 0:
+            if ready < 0:
+                state.remove()
+            else:
                 state.update((-1, clip, ""))
+                state.setTimeoutDuration(1000 * MEMORY)
                 yield pd.DataFrame([(key[0], clip, None, None, None, False)], columns=CLIP_COLUMNS)
             return
         if ready < 0:
@@ -59,6 +66,8 @@ def stream_clips(frames: DataFrame, length: int, stride: int, interval: int, pat
         if closed:
             out.append((key[0], clip, None, None, None, True))
             state.update((-1, clip, ""))
+            if patience:
+                state.setTimeoutDuration(1000 * MEMORY)
         else:
             state.update((ready, clip, ",".join([*map(str, sorted(early)), *([f"e{end}"] if end is not None else [])])))
             if patience:
