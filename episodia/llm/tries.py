@@ -251,7 +251,7 @@ _CRC = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transf
 #: Every prefix of every rebuilt conversation is spelled out as a list of turns; subtrees are sums over ancestors.
 SQL = f"""
 WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab),
-turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t FROM conversations WHERE conv_id IS NOT NULL),
 own AS (SELECT conv_id, list(t ORDER BY k) AS t FROM turns GROUP BY conv_id),
 h AS (SELECT conv_id, t, {_CRC} % 9 AS h FROM own, crc),
 rebuilt AS (SELECT h.conv_id, list_concat(coalesce(b.t, [])[1:h], h.t[h + 1:]) AS t FROM h LEFT JOIN own AS b ON b.conv_id = h.conv_id - h.conv_id % 5),
