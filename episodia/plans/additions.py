@@ -177,6 +177,14 @@ def r10(spark, d):
         return clips.run_over_table(processors.broker(stream, 3), folder).withColumn("action", F.round("action", 6))
 
 
+@register("r9_streamed_ring", f"WITH {FR} SELECT a.ep, a.idx AS t, string_agg(b.event_id::VARCHAR, ',' ORDER BY j DESC) AS ring FROM fr a, range(3) g(j) JOIN fr b ON b.ep = a.ep AND b.idx = greatest(a.idx - j, 0) GROUP BY a.ep, a.idx")
+def r9_stream(spark, d):
+    steps = frames(spark, d).select("ep", F.col("idx").cast("long").alias("t"), F.col("event_id").alias("value"))
+    stream, folder = _stream_of(spark, steps, "ring")
+    with processors.rocksdb(spark):
+        return clips.run_over_table(processors.keep_recent(stream, 3, filled=True), folder).select("ep", "t", F.array_join(F.transform("ring", lambda x: x.cast("string")), ",").alias("ring"))
+
+
 @register("t4_online", "WITH e AS (SELECT event_type AS key, event_id AS nth, value AS score FROM events) SELECT a.key, a.nth, a.score FROM e a LEFT JOIN e b ON a.key = b.key AND b.nth < a.nth AND b.score >= a.score GROUP BY ALL HAVING count(b.nth) < 5")
 def t4_online(spark, d):
     offers = load(spark, d, "events").select(F.col("event_type").alias("key"), F.col("event_id").alias("nth"), F.col("event_id").cast("string").alias("name"), F.col("value").alias("score"))

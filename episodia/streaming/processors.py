@@ -1,4 +1,4 @@
-"""Keyed stateful processors on streams: chunk broker (R10), top-K keeper (T4), clips with their frames.
+"""Keyed stateful processors on streams: chunk broker (R10), rings (R5, R9), top-K keeper (T4), clips with their frames.
 
 State is typed: values, lists and maps that Spark keeps in RocksDB, so the session needs that provider (rocksdb()).
 Python sees one key's rows of one micro-batch at a time, and what it holds is bounded by the state, not the stream.
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from .clips import MEMORY
 
@@ -97,6 +97,57 @@ def broker(steps: DataFrame, horizon: int) -> DataFrame:
     return steps.groupBy("ep").transformWithStateInPandas(ChunkBroker(horizon), schema, "append", "none")
 
 
+class RingKeeper(StatefulProcessor):
+    """The last values of a key; see keep_recent()."""
+
+    def __init__(self, size: int, kind: StructField, filled: bool) -> None:
+        self.size, self.kind, self.filled = size, kind, filled
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.next = handle.getValueState("next", "t long")
+        self.ring = handle.getListState("ring", StructType([self.kind]))
+        self.early = handle.getMapState("early", "t long", StructType([self.kind]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        due = self.next.get()[0] if self.next.exists() else 0
+        ring = [v for (v,) in self.ring.get()] if due else []
+        waiting = {t: v for (t,), (v,) in self.early.iterator()}
+        held = set(waiting)
+        for r in _sorted_rows(rows, "t"):
+            if r.t >= due:
+                waiting.setdefault(int(r.t), _plain(r.value))
+        out = []
+        while due in waiting:
+            ring = [*ring, waiting.pop(due)][-self.size :]
+            shown = [ring[0]] * (self.size - len(ring)) + ring if self.filled else ring
+            out.append((key[0], due, shown))
+            due += 1
+        for t in held - set(waiting):
+            self.early.removeKey((t,))
+        for t in set(waiting) - held:
+            self.early.updateValue((t,), (waiting[t],))
+        if out:
+            self.ring.put([(v,) for v in ring])
+            self.next.update((due,))
+            yield pd.DataFrame(out, columns=["ep", "t", "ring"])
+
+    def close(self) -> None:
+        pass
+
+
+def keep_recent(steps: DataFrame, size: int, filled: bool = False) -> DataFrame:
+    """(ep, t, ring): the last `size` values after each step of a stream (ep, t, value), t counting from 0, oldest first.
+
+    With filled a short ring is filled up at the front with its first value. A null value has its place. Steps may come
+    out of order and more than once; state holds the ring and what came early.
+    """
+    if size < 1:
+        raise ValueError("a ring holds one value at least")
+    value = StructField("value", steps.schema["value"].dataType)
+    schema = StructType([StructField("ep", steps.schema["ep"].dataType), StructField("t", LongType()), StructField("ring", ArrayType(value.dataType))])
+    return steps.groupBy("ep").transformWithStateInPandas(RingKeeper(size, value, filled), schema, "append", "none")
+
+
 class TopKeeper(StatefulProcessor):
     """The k best of a key so far; see keep_best()."""
 

@@ -37,6 +37,17 @@ def test_top_k_keeps_strict_improvements(spark, largest):
     assert run(spark, processors.keep_best(stream(spark, rows, "key string, nth long, name string, score double", 2), 0, largest)) == []
 
 
+def test_rings_on_a_stream(spark):
+    rows = [("a", t, None if t == 2 else float(t)) for t in (1, 0, 4, 2, 3)] + [("a", 1, 9.0), ("b", 0, 5.0)]
+    schema = "ep string, t long, value double"
+    got = {(r.ep, r.t): r.ring for r in run(spark, processors.keep_recent(stream(spark, rows, schema), 3))}
+    assert got == {("a", 0): [0], ("a", 1): [0, 1], ("a", 2): [0, 1, None], ("a", 3): [1, None, 3], ("a", 4): [None, 3, 4], ("b", 0): [5]}
+    filled = {(r.ep, r.t): r.ring for r in run(spark, processors.keep_recent(stream(spark, rows[-1:], schema, 1), 2, filled=True))}
+    assert filled == {("b", 0): [5, 5]}
+    with pytest.raises(ValueError):
+        processors.keep_recent(stream(spark, rows, schema), 0)
+
+
 FRAMES = "ep long, idx long, is_end boolean, v double, name string"
 
 
