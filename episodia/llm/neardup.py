@@ -19,7 +19,7 @@ from .words import mix, shingle_set, word_hashes
 #: Shingles hashed at once, so that very long texts need no more memory.
 CHUNK = 4096
 #: Rows of a sorted order in one task.
-ORDER_ROWS = 64_000
+ORDER_ROWS = 32_000
 #: Rows on either side of a cell of a large region's comparison.
 CELL_ROWS = 512
 #: Elements of sets compared at once in a cell.
