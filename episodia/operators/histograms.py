@@ -93,7 +93,7 @@ def merge_states(states: DataFrame, *keys: str, bins: int = 5000) -> DataFrame:
         ranges = ranges.withColumn("e", F.col("e") + F.when(wide(F.col("e")), 1).otherwise(0))
     grid = ranges.select(*keys, F.col("e").alias("exponent"), F.floor(F.col("low") / F.pow(F.lit(2.0), "e")).cast("long").alias("first"), F.floor(F.col("high") / F.pow(F.lit(2.0), "e")).cast("long").alias("last"), "n", "mean", "square", "low", "high")
     placed = states.select(*keys, F.col("exponent").alias("own"), F.col("first").alias("begin"), F.posexplode("counts").alias("at", "count")).where("count > 0").join(grid.select(*keys, "exponent"), list(keys))
-    bin_of = F.expr("shiftright(begin + at, exponent - own)")
+    bin_of = F.expr("shiftright(begin + at, least(exponent - own, 63))")  # beyond 63 a shift begins again at 0
     counts = placed.groupBy(*keys, bin_of.alias("bin")).agg(F.sum("count").alias("count")).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("counts"))
     whole = F.transform(F.sequence("first", "last"), lambda b: F.coalesce(F.col("counts")[b], F.lit(0).cast("long")))
     return grid.join(counts, list(keys)).select(*keys, "n", "mean", "square", "low", "high", "exponent", "first", whole.alias("counts"))

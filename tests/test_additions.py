@@ -72,6 +72,19 @@ def test_histograms_merge_in_any_order(spark, seed):
     assert stats.mean == pytest.approx(values.mean()) and stats.std == pytest.approx(values.std())
 
 
+@pytest.mark.parametrize("power", [20, 63, 64, 128, 300])
+def test_histograms_of_very_different_sizes(spark, power):
+    tiny, large = histograms.RangeHistogram(16), histograms.RangeHistogram(16)
+    tiny.update(np.array([1.5, -1.25, 1.75]) * 2.0**-power)
+    large.update(np.array([3.0, 100.0]))
+    both = histograms.RangeHistogram(16)
+    both.update(np.array([1.5, -1.25, 1.75]) * 2.0**-power)
+    both.update(np.array([3.0, 100.0]))
+    states = [("k", *h.state()[:-1], h.counts.tolist()) for h in (tiny, large)]
+    got = histograms.merge_states(spark.createDataFrame(states, f"key string, {histograms.STATE}"), "key", bins=16).first()
+    assert (got.exponent, got.first, got.counts) == (both.exponent, both.first, both.counts.tolist()) and sum(got.counts) == 5
+
+
 def test_histograms_of_awkward_values(spark):
     rows = spark.createDataFrame([("a", None), ("a", float("nan")), ("a", float("inf")), ("a", 3.0), ("a", 3.0), ("b", 1.0), (None, 1.0)], "key string, x double")
     merged = histograms.merge_states(histograms.histogram_states(rows, "key", "x"), "key")
