@@ -292,7 +292,63 @@ def placement(actor: tuple[Vector, ...], target: tuple[Vector, ...], upright: bo
     """A pose at the target's place whose up direction is the target's z axis, turned there the shortest way, as an array of 12
     (three rows of four). The actor's up is its own y axis with upright, else its z axis."""
     up = tuple(row[1 if upright else 2] for row in actor[:3])
-    turn = aligning_rotation(up, tuple(row[2] for row in target[:3]))
-    m = [[F.get(turn, F.lit(3 * i + j)) for j in range(3)] for i in range(3)]
-    turned = matmul(tuple(map(tuple, m)), tuple(tuple(row[:3]) for row in actor[:3]))
-    return F.array(*[c for row, place in zip(turned, target, strict=False) for c in (*row, place[3])])
+
+    def pose(m: Vector) -> Vector:
+        turned = matmul((m[:3], m[3:6], m[6:9]), tuple(tuple(row[:3]) for row in actor[:3]))
+        return tuple(c for row, place in zip(turned, target, strict=False) for c in (*row, place[3]))
+
+    return bound(aligning_rotation(up, tuple(row[2] for row in target[:3])), 9, pose)
+
+
+
+def orbit(target: tuple[Vector, ...], center: tuple[Vector, ...], axis: Vector, angle: Column, frame: str = "center", towards: Vector | None = None, up: Vector | None = None) -> Column:
+    """A pose carried round another one's place by `angle` about an axis, as an array of 12 (three rows of four).
+
+    The axis is given in the frame of the center, of the target, or of the world. With towards the turn goes the other way
+    if it would lead to a place against that direction, seen from the center. The pose turns as it goes, or, with up, it
+    faces the center (see facing_frame()).
+    """
+    if frame not in ("center", "target", "world"):
+        raise ValueError("an axis is given in the frame of the center, the target or the world")
+    own = {"center": center, "target": target}.get(frame)
+    about = rotate(tuple(tuple(row[:3]) for row in own[:3]), axis) if own else axis
+    middle, start = (tuple(row[3] for row in m[:3]) for m in (center, target))
+    arm = tuple(s - c for s, c in zip(start, middle, strict=True))
+    turns = [rotation_about(about, angle), rotation_about(about, -angle)]
+    chosen = F.array(*_flat(turns[0]))
+    if towards is not None:
+        chosen = F.when(dot(rotate(turns[0], arm), towards) < 0, F.array(*_flat(turns[1]))).otherwise(chosen)
+
+    def pose(m: Vector) -> Vector:
+        turn = (m[:3], m[3:6], m[6:9])
+        place = tuple(r + c for r, c in zip(rotate(turn, arm), middle, strict=True))
+        rows = facing_frame(place, middle, up) if up is not None else matmul(turn, tuple(tuple(row[:3]) for row in target[:3]))
+        return tuple(c for row, p in zip(rows, place, strict=True) for c in (*row, p))
+
+    return bound(chosen, 9, pose)
+
+
+def aligned_placement(actor: tuple[Vector, ...], target: tuple[Vector, ...], axes: list[Vector], own_axis: Vector, upright: bool = True) -> Column:
+    """placement(), then turned about the target's z axis until the actor's own axis points, seen in the target's plane, where
+    the one of the given world axes does that it was nearest to; as an array of 12. The first of equal axes counts."""
+
+    def shown_and_nearest(m: Vector) -> Vector:
+        shown = rotate((m[0:3], m[4:7], m[8:11]), own_axis)
+        products = F.array(*[dot(shown, unit(a)) for a in axes])
+        nearest = F.get(F.array(*[F.array(*a) for a in axes]), F.array_position(products, F.array_max(products)).cast("int") - 1)
+        return (*m, *shown, *[F.get(nearest, F.lit(i)) for i in range(3)])
+
+    def in_plane(m: Vector) -> Vector:
+        plane = [tuple(row[k] for row in target[:3]) for k in (0, 1)]
+        flat = lambda v: tuple(a + b for a, b in zip(projection(plane[0], v), projection(plane[1], v), strict=True))
+        return (*m[:12], *flat(m[12:15]), *flat(m[15:18]))
+
+    def with_turn(m: Vector) -> Column:
+        return F.concat(F.array(*m[:12]), aligning_rotation(m[12:15], m[15:18]))
+
+    def pose(m: Vector) -> Vector:
+        rows = matmul((m[12:15], m[15:18], m[18:21]), (m[0:3], m[4:7], m[8:11]))
+        return tuple(c for row, p in zip(rows, (m[3], m[7], m[11]), strict=True) for c in (*row, p))
+
+    placed = bound(placement(actor, target, upright), 12, shown_and_nearest)
+    return bound(bound(bound(placed, 18, in_plane), 18, with_turn), 21, pose)

@@ -73,6 +73,16 @@ def g16(spark, d):
     return rows.select("vec_id", *[F.round(c, 5).alias(n) for c, n in zip(turned, "xyz", strict=True)], F.round("p", 5).alias("p"), (F.round(gap, 6) + 0.0).alias("back"))
 
 
+@register("g16_orbits", f"WITH {E3}, p AS (SELECT vec_id, e, vec_id % 7 * 0.3::DOUBLE AS a, vec_id % 5 * 0.2::DOUBLE AS b FROM e) SELECT vec_id, round((e[1] - 1) * cos(a) - (e[2] - 2) * sin(a) + 1, 5) AS x, round((e[1] - 1) * sin(a) + (e[2] - 2) * cos(a) + 2, 5) AS y, round(e[3], 5) AS z, round(cos(a + b), 5) AS r FROM p")
+def g16_orbits(spark, d):
+    e = F.col("embedding").cast("array<double>")
+    a, b, zero, one = F.col("vec_id") % 7 * 0.3, F.col("vec_id") % 5 * 0.2, F.lit(0.0), F.lit(1.0)
+    target = geometry.pose_matrix(tuple(F.get(e, F.lit(i)) for i in range(3)), (F.cos(b / 2), zero, zero, F.sin(b / 2)))
+    center = geometry.pose_matrix((one, F.lit(2.0), F.lit(3.0)), (one, zero, zero, zero))
+    moved = load(spark, d, "embeddings").select("vec_id", geometry.orbit(target, center, (zero, zero, F.lit(2.0)), a).alias("m"))
+    return moved.select("vec_id", *[F.round(F.get("m", F.lit(i)), 5).alias(n) for i, n in ((3, "x"), (7, "y"), (11, "z"), (0, "r"))])
+
+
 def _pixel(height: int, width: int, to_height: int, to_width: int, e: str = "e") -> str:
     """SQL of the resized pixel at (y, x)."""
     place = lambda c, n, to: f"greatest(least(({c} + 0.5) * {n / to!r}::DOUBLE - 0.5, {n - 1}.0), 0.0)"

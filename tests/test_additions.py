@@ -225,6 +225,26 @@ def test_alignment(spark):
     assert np.allclose(put[:, 1], [0, 0, 1]) and np.allclose(put[:, 3], [1, 2, 3])
 
 
+def test_orbits_and_aligned_placement(spark):
+    lit = lambda v: tuple(F.lit(float(x)) for x in v)
+    rows = lambda m: tuple(map(lit, m))
+    one = lambda c: np.array(spark.range(1).select(c.alias("c")).first().c).reshape(3, 4)
+    target, center = rows(((1, 0, 0, 2), (0, 1, 0, 0), (0, 0, 1, 5))), rows(((0, -1, 0, 1), (1, 0, 0, 0), (0, 0, 1, 5)))
+    quarter = F.lit(math.pi / 2)
+    assert np.allclose(one(geometry.orbit(target, center, lit((0, 0, 1)), quarter)), [[0, -1, 0, 1], [1, 0, 0, 1], [0, 0, 1, 5]])
+    assert np.allclose(one(geometry.orbit(target, center, lit((0, 0, 1)), quarter, towards=lit((0, -1, 0))))[:, 3], [1, -1, 5])
+    assert np.allclose(one(geometry.orbit(target, center, lit((1, 0, 0)), quarter))[:, 3], [1, 0, 4])  # the center's x is the world's y
+    assert np.allclose(one(geometry.orbit(target, center, lit((0, 1, 0)), quarter, frame="world"))[:, 3], [1, 0, 4])
+    facing = one(geometry.orbit(target, center, lit((0, 0, 1)), F.lit(math.pi), up=lit((0, 0, 1))))
+    assert np.allclose(facing[:, 3], [0, 0, 5]) and np.allclose(facing[:, 0], [1, 0, 0])
+    with pytest.raises(ValueError):
+        geometry.orbit(target, center, lit((0, 0, 1)), quarter, frame="camera")
+    actor = rows(((0.8, 0, 0.6, 9), (-0.6, 0, 0.8, 9), (0, -1, 0, 9)))  # y down, so that upright placement turns it over
+    put = one(geometry.aligned_placement(actor, rows(((1, 0, 0, 1), (0, 1, 0, 2), (0, 0, 1, 3))), [lit((1, 0, 0)), lit((0, 1, 0)), lit((-1, 0, 0))], lit((1, 0, 0)), upright=False))
+    assert np.allclose(put[:, 2], [0, 0, 1]) and np.allclose(put[:, 3], [1, 2, 3]) and np.allclose(put[:, :3] @ put[:, :3].T, np.eye(3))
+    assert any(np.allclose(put[:, 0], a, atol=1e-6) for a in ([1, 0, 0], [0, 1, 0], [-1, 0, 0]))
+
+
 def test_nulls_keep_their_places(spark):
     f = spark.createDataFrame([(1, 0, 1.0), (1, 1, None), (1, 2, 3.0), (1, 3, 4.0)], "ep long, idx long, v double")
     rows = lambda df, c: [r[c] for r in df.orderBy("idx").collect()]
