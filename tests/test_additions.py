@@ -2,6 +2,7 @@
 
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -272,3 +273,20 @@ def test_numbered_tasks(spark):
     tasks = spark.createDataFrame([(e, [f"task {e % 7}"]) for e in range(30)], "ep long, texts array<string>")
     made = episodes.frame_tables(f, tasks)
     assert sorted((r.task, r.task_index) for r in made["tasks"].collect()) == [(f"task {i}", i) for i in range(7)]
+
+
+def test_poses_of_small_and_large_trees(spark):
+    rng = np.random.default_rng(4)
+    kinds = ("revolute", "prismatic", "fixed", "continuous")
+    rows = [(f"{t}l{i}", f"{t}l{rng.integers(max(0, i - 3), i)}" if i else f"{t}base", f"{t}j{i}", kinds[int(rng.integers(4))], [*rng.normal(size=12).tolist(), 0.0, 0.0, 0.0, 1.0], rng.normal(size=3).tolist()) for t, n in (("a", 1), ("b", 9), ("c", 40)) for i in range(n)]
+    links = spark.createDataFrame(rows, LINKS)
+    values = spark.createDataFrame([(s, r[2], float(rng.normal())) for s in range(40) for r in rows if rng.random() < 0.7], "sample int, joint string, value double")
+    base = Path(spark.conf.get("spark.checkpoint.dir", None) or episodes.scratch_folder(spark, "x").rsplit("/", 1)[0])
+    written = lambda: {str(p) for p in base.glob("poses*/*") if p.is_dir()}
+    before = written()
+    got = {(r.sample, r.link): np.array(r.pose) for r in kinematics.link_poses(links, values).collect()}
+    assert written() == before  # small trees leave no table of poses
+    halved = {(r.sample, r.link): np.array(r.pose) for r in kinematics.link_poses(links, values, most=8).collect()}
+    assert len(written() - before) == 1  # a round's table goes when the next one is there
+    assert got.keys() == halved.keys() and len(got) == 40 * (50 + 3)
+    assert all(np.allclose(got[k], halved[k], rtol=1e-6) for k in got)
