@@ -79,16 +79,27 @@ def read_split(episodes: DataFrame, key: str, split: str, share: float = 0.95) -
     return rows if split == "all" else rows.where(train if split == "train" else ~train)
 
 
-def build_table(paths: DataFrame, parse: Callable[[str], Iterator[dict]], schema: str) -> DataFrame:
-    """The rows that parse() reads from each path, one file at a time, as many files at once as there are tasks."""
+def build_table(paths: DataFrame, parse: Callable[[str], Iterator[dict]], schema: str, rows: int = 10_000) -> DataFrame:
+    """The rows that parse() reads from each path, one file at a time, as many files at once as there are tasks.
+
+    Paths are dealt to all tasks; a task passes its rows on in frames of up to `rows`, from one file or many.
+    """
+    names = [f.split()[0] for f in schema.split(",")]
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [f.split()[0] for f in schema.split(",")]
+        held: list[dict] = []
         for frame in frames:
             for path in frame["path"]:
-                yield pd.DataFrame(list(parse(path)), columns=names)
-
-    return paths.select("path").mapInPandas(build, schema)
+                for row in parse(path):
+                    held.append(row)
+                    if len(held) == rows:
+                        yield pd.DataFrame(held, columns=names)
+                        held = []
+        if held:
+            yield pd.DataFrame(held, columns=names)
+
+    tasks = 4 * paths.sparkSession.sparkContext.defaultParallelism
+    return paths.select("path").repartition(tasks).mapInPandas(build, schema)
 
 
 def frame_tables(frames: DataFrame, tasks: DataFrame, fps: int = 50) -> dict[str, DataFrame]:
