@@ -27,25 +27,43 @@ def lengths(frames: DataFrame) -> DataFrame:
     return frames.groupBy("ep").agg(F.count(F.lit(1)).alias("n"))
 
 
-def clip_positions(frames: DataFrame, length: int, stride: int, interval: int) -> DataFrame:
-    """(ep, clip, j, idx, is_pad). Clips of `length` frames, `interval` apart, every `stride` frames; a last,
-    padded clip if frames remain. A stride beyond a clip's reach counts as the reach."""
+def _clip_count(length: int, stride: int, interval: int) -> tuple[int, Column]:
+    """The frames from a clip to the next, and the number of clips of an episode of n frames."""
     reach = (length - 1) * interval + 1
     step = min(stride, reach)
     full = F.when(F.col("n") < reach, 0).otherwise(F.floor((F.col("n") - reach) / step) + 1)
-    clips = full + F.when(full * step < F.col("n"), 1).otherwise(0)
+    return step, (full + F.when(full * step < F.col("n"), 1).otherwise(0)).cast("long")
+
+
+def clip_positions(frames: DataFrame, length: int, stride: int, interval: int) -> DataFrame:
+    """(ep, clip, j, idx, is_pad). Clips of `length` frames, `interval` apart, every `stride` frames; a last,
+    padded clip if frames remain. A stride beyond a clip's reach counts as the reach."""
+    step, clips = _clip_count(length, stride, interval)
     at = F.col("clip") * step + F.col("j") * interval
     return (
         lengths(frames)
-        .withColumn("clip", F.explode(F.sequence(F.lit(0).cast("long"), clips.cast("long") - 1)))
+        .withColumn("clip", F.explode(F.sequence(F.lit(0).cast("long"), clips - 1)))
         .withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(length - 1).cast("long"))))
         .select("ep", "clip", "j", F.least(at, F.col("n") - 1).alias("idx"), (at > F.col("n") - 1).alias("is_pad"))
     )
 
 
 def clips(frames: DataFrame, length: int, stride: int, interval: int) -> DataFrame:
-    """W1 with the frames' columns."""
-    return clip_positions(frames, length, stride, interval).join(frames, ["ep", "idx"])
+    """W1 with the frames' columns. A frame that knows its episode's length lists its places, so that places don't move:
+    those at its own number, and the last frame also those beyond it."""
+    step, count = _clip_count(length, stride, interval)
+    sizes = lengths(frames).select("ep", (F.col("n") - 1).alias("_last"), count.alias("_clips"))
+    ahead = F.col("idx") - F.col("j") * interval
+    from_here = F.greatest(F.ceil(ahead / step), F.lit(0).cast("long"))
+    beyond = F.when(from_here < F.col("_clips"), F.sequence(from_here, F.col("_clips") - 1))
+    own = F.when((ahead >= 0) & (ahead % step == 0) & (from_here < F.col("_clips")), F.array(from_here))
+    return (
+        frames.join(sizes, "ep")
+        .where(F.col("idx") <= F.col("_last"))
+        .withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(length - 1).cast("long"))))
+        .withColumn("clip", F.explode(F.when(F.col("idx") == F.col("_last"), beyond).otherwise(own)))
+        .select("ep", "idx", "clip", "j", (F.col("clip") * step + F.col("j") * interval > F.col("_last")).alias("is_pad"), *[c for c in frames.columns if c not in ("ep", "idx")])
+    )
 
 
 def clip_summary(clipped: DataFrame, value: str) -> DataFrame:
