@@ -446,7 +446,8 @@ def _streamed(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
     fr = frames(spark, d).select("ep", "idx", F.lit(False).alias("is_end"))
     ends = windows.lengths(fr).select("ep", F.col("n").alias("idx"), F.lit(True).alias("is_end"))
     fr.unionByName(ends).write.parquet(f"{folder}/in")
-    return spark.readStream.schema("ep long, idx long, is_end boolean").option("maxFilesPerTrigger", 4).parquet(f"{folder}/in"), folder
+    batch = clips.files_a_batch(f"{folder}/in", spark)
+    return spark.readStream.schema("ep long, idx long, is_end boolean").option("maxFilesPerTrigger", batch).parquet(f"{folder}/in"), folder
 
 
 @register("r1_streamed_clips", f"WITH {_clips_sql(8, 4, 2)} SELECT ep, clip, j, idx, is_pad FROM po")

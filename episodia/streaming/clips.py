@@ -5,8 +5,9 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -49,22 +50,19 @@ def stream_clips(frames: DataFrame, length: int, stride: int, interval: int, pat
         early = {int(x) for x in waiting.split(",") if x and not x.startswith("e")}
         end = next((int(x[1:]) for x in waiting.split(",") if x.startswith("e")), None)
         for batch in batches:
-            early.update(int(i) for i in batch.loc[~batch["is_end"], "idx"] if i >= ready)
-            if batch["is_end"].any():
-                end = int(batch.loc[batch["is_end"], "idx"].max())
+            at, ends = batch["idx"].to_numpy(), batch["is_end"].to_numpy(dtype=bool)
+            early.update(i for i in at[~ends].tolist() if i >= ready)
+            if ends.any():
+                end = int(at[ends].max())
         while ready in early:
             early.discard(ready)
             ready += 1
-        out = []
-        while clip * step + reach <= ready:
-            out += [(key[0], clip, j, clip * step + j * interval, False, None) for j in range(length)]
-            clip += 1
+        begun = clip
+        clip = full = max(clip, (ready - reach) // step + 1)
         closed = end is not None and ready >= end
         if closed and clip * step < end:
-            out += [(key[0], clip, j, min(clip * step + j * interval, end - 1), clip * step + j * interval > end - 1, None) for j in range(length)]
             clip += 1
         if closed:
-            out.append((key[0], clip, None, None, None, True))
             state.update((-1, clip, ""))
             if patience:
                 state.setTimeoutDuration(1000 * MEMORY)
@@ -72,13 +70,35 @@ def stream_clips(frames: DataFrame, length: int, stride: int, interval: int, pat
             state.update((ready, clip, ",".join([*map(str, sorted(early)), *([f"e{end}"] if end is not None else [])])))
             if patience:
                 state.setTimeoutDuration(1000 * patience)
-        if out:
-            yield pd.DataFrame(out, columns=CLIP_COLUMNS).astype({"j": "Int64", "idx": "Int64", "is_pad": "boolean", "complete": "boolean"})
+        if closed or clip > begun:
+            yield _clip_rows(key[0], begun, full, clip, length, step, interval, end if closed else None)
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if patience else GroupStateTimeout.NoTimeout
     return frames.groupBy("ep").applyInPandasWithState(cut, CLIP_SCHEMA, STATE_SCHEMA, "append", timeout)
 
 
+def _clip_rows(ep: int, begun: int, full: int, clip: int, length: int, step: int, interval: int, end: int | None) -> pd.DataFrame:
+    """The rows of the clips from `begun` up to `clip`, padded from `full` on, and that of the episode's end if it has one; columns are arrays, as most of an episode's time would go into tuples."""
+    clips = np.repeat(np.arange(begun, clip, dtype=np.int64), length)
+    j = np.tile(np.arange(length, dtype=np.int64), clip - begun)
+    idx = clips * step + j * interval
+    pad = np.zeros(len(j), dtype=bool) if end is None else (clips >= full) & (idx > end - 1)
+    if end is not None:
+        idx = np.where(pad, end - 1, idx)
+        clips, j, idx, pad = np.append(clips, clip), np.append(j, 0), np.append(idx, 0), np.append(pad, False)
+    last = np.zeros(len(j), dtype=bool)
+    if end is not None:
+        last[-1] = True
+    number = pd.arrays.IntegerArray
+    flag = pd.arrays.BooleanArray
+    return pd.DataFrame({"ep": np.full(len(j), ep), "clip": clips, "j": number(j, last), "idx": number(idx, last.copy()), "is_pad": flag(pad, last.copy()), "complete": flag(last, ~last)})
+
+
+def files_a_batch(stream_folder: str, spark: SparkSession, least: int = 4, batches: int = 4) -> int:
+    """Files that a batch may have so that all of the folder's take about `batches` batches: each batch reads and writes all partitions of the state."""
+    return max(least, -(-len(spark.read.parquet(stream_folder).inputFiles()) // batches))
+
+
 def running_statistics(frames: DataFrame, value: str) -> DataFrame:
     """Mean, deviation and range by episode so far; run it in complete or update mode."""
     return frames.groupBy("ep").agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("low"), F.max(value).alias("high"))
