@@ -175,7 +175,7 @@ def _stream_of(spark: SparkSession, rows: DataFrame, name: str, files: int | Non
     folder = episodes.scratch_folder(spark, name)
     rows.write.parquet(f"{folder}/in")
     reader = spark.readStream.schema(rows.schema)
-    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(f"{folder}/in"), folder
+    return (reader.option("maxFilesPerTrigger", clips.files_a_batch(f"{folder}/in", spark, files)) if files else reader).parquet(f"{folder}/in"), folder
 
 
 @register("r10_chunk_broker", f"WITH {FR}, r AS (SELECT ep, idx AS t, v, coalesce(max(CASE WHEN kind = 'error' THEN idx END) OVER (PARTITION BY ep ORDER BY idx), 0) AS since FROM fr), a AS (SELECT ep, t, t - (t - since) % 3 AS asked FROM r) SELECT a.ep, a.t, asked, round(v + t - asked, 6) AS action FROM a JOIN fr ON fr.ep = a.ep AND fr.idx = asked")

@@ -36,7 +36,10 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
 
 def _sorted_rows(batches: Iterator[pd.DataFrame], *order: str) -> list:
     frames = [b for b in batches if len(b)]
-    return list(pd.concat(frames).sort_values(list(order), kind="stable").itertuples(index=False)) if frames else []
+    if not frames:
+        return []
+    whole = frames[0] if len(frames) == 1 else pd.concat(frames)
+    return list(whole.sort_values(list(order), kind="stable").itertuples(index=False))
 
 
 class ChunkBroker(StatefulProcessor):
@@ -51,9 +54,10 @@ class ChunkBroker(StatefulProcessor):
         self.early = handle.getMapState("early", "t long", "reset boolean, chunk array<double>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        due, asked, step = self.cursor.get() if self.cursor.exists() else (0, None, 0)
+        known = self.cursor.exists()  # a new key has no other state either, and each question costs a way to Spark and back
+        due, asked, step = self.cursor.get() if known else (0, None, 0)
         chunk = [a for (a,) in self.chunk.get()] if asked is not None else []
-        waiting = {t: row for (t,), row in self.early.iterator()}
+        waiting = {t: row for (t,), row in self.early.iterator()} if known else {}
         held = set(waiting)
         for r in _sorted_rows(rows, "t"):
             if r.t >= due:
@@ -73,7 +77,8 @@ class ChunkBroker(StatefulProcessor):
         for t in set(waiting) - held:
             self.early.updateValue((t,), waiting[t])
         if asked is None:
-            self.chunk.clear()
+            if before is not None:
+                self.chunk.clear()
         elif asked != before:
             self.chunk.put([(a,) for a in chunk])
         self.cursor.update((due, asked, step))
