@@ -238,8 +238,9 @@ class ClipCutter(StatefulProcessor):
             if beyond and self.late == "error":
                 raise ValueError(f"episode {key[0]} ended after {size} frames; frame {beyond[0]} came later")
             return
-        ready, clip, size, timer = self.cursor.get() if self.cursor.exists() else (0, 0, None, None)
-        held = {idx: value for (idx,), value in self.frames.iterator()}
+        open_before = self.cursor.exists()  # else there are no frames either
+        ready, clip, size, timer = self.cursor.get() if open_before else (0, 0, None, None)
+        held = {idx: value for (idx,), value in self.frames.iterator()} if open_before else {}
         known, out = set(held), []
         first = clip * self.step
         for r in new:
@@ -260,7 +261,7 @@ class ClipCutter(StatefulProcessor):
                 out += self._clip(key, clip, held, size - 1)
                 clip += 1
             out.append(self._end(key, clip, True))
-            self._close(size, clip, timer)
+            self._close(size, clip, timer, open_before)
         else:
             first = clip * self.step
             for idx in known - {i for i in held if i >= first}:
@@ -275,9 +276,10 @@ class ClipCutter(StatefulProcessor):
         if out:
             yield self._out(out)
 
-    def _close(self, size: int, clips: int, timer: int | None) -> None:
-        self.frames.clear()
-        self.cursor.clear()
+    def _close(self, size: int, clips: int, timer: int | None, held: bool = True) -> None:
+        if held:
+            self.frames.clear()
+            self.cursor.clear()
         self.ended.update((size, clips))
         if timer is not None:
             self.handle.deleteTimer(timer)

@@ -66,3 +66,44 @@ def test_appending_to_an_ended_episode(spark):
         run(spark, processors.cut_clips(stream(spark, rows, FRAMES), 2, 1, 1), True)
     got = run(spark, processors.cut_clips(stream(spark, rows, FRAMES), 2, 1, 1, late="drop"), True)
     assert [(r.clip, r.complete) for r in got if r.j is None] == [(1, True)]
+
+
+def test_batches_do_not_grow_with_files(spark):
+    from episodia.streaming import clips
+
+    folder = scratch_folder(spark, "files")
+    spark.range(0, 41, 1, 41).write.parquet(folder)
+    assert clips.files_a_batch(folder, spark) == 11
+    small = scratch_folder(spark, "files")
+    spark.range(0, 4, 1, 3).write.parquet(small)
+    assert clips.files_a_batch(small, spark) == 4
+
+
+class State:
+    """A state variable that counts the questions it is asked."""
+
+    def __init__(self, asked):
+        self.asked, self.value = asked, None
+
+    def __getattr__(self, name):
+        def ask(*args):
+            self.asked.append(name)
+            if name == "update":
+                self.value = args[0]
+            return {"exists": self.value is not None, "get": self.value, "iterator": iter(())}.get(name)
+
+        return ask
+
+
+def test_a_new_key_asks_for_no_state(spark):
+    import pandas as pd
+    from pyspark.sql.types import StructField, StringType
+
+    asked = []
+    cutter = processors.ClipCutter(4, 2, 2, [StructField("name", StringType())], 60, "error")
+    cutter.cursor, cutter.frames, cutter.ended = State(asked), State(asked), State(asked)
+    rows = pd.DataFrame({"idx": [0, 1, 2], "is_end": [False, False, False], "name": ["a", "b", "c"]})
+    end = pd.DataFrame({"idx": [3], "is_end": [True], "name": [None]})
+    [out] = list(cutter.handleInputRows((1,), iter([rows, end]), None))
+    assert out[["clip", "j", "idx"]].values.tolist()[:4] == [[0, 0, 0], [0, 1, 2], [0, 2, 2], [0, 3, 2]]
+    assert asked == ["exists", "exists", "update"]
