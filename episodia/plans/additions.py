@@ -297,8 +297,8 @@ def s13(spark, d):
     rows = frames(spark, d).select("ep", "idx", "event_id", "v")
     folder = episodes.scratch_folder(spark, "chunks")
     chunk = files.optimal_chunk((rows.count(), 3), 8, 400)  # 17 rows of three numbers
-    files.rechunk(rows, folder, "ep", chunk[0])
-    ep = F.regexp_extract("path", "ep=([0-9]+)/", 1).cast("long")
+    files.rechunk(rows, folder, "ep", "idx", max(chunk[0], 1))
+    ep = F.regexp_extract("path", "ep=(-?[0-9]+)/", 1).try_cast("long")
     return files.row_groups(spark, folder).groupBy(ep.alias("ep")).agg(F.count(F.lit(1)).alias("files"), F.max("rows").alias("largest"), F.sum("rows").alias("rows"), F.sum("groups").alias("groups"))
 
 

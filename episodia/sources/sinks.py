@@ -199,9 +199,13 @@ def number_shards(samples: DataFrame, order: list[str], max_bytes: int) -> DataF
 def write_tar_shards(samples: DataFrame, path: str, split: str = "train", mode: str = "append") -> None:
     """Samples (shard, key, payload) as <split>-<shard>.tar, members in the order of their keys. A task holds one payload
     at a time, whatever a shard's size. Null payloads are empty members."""
+    write_dealt_tar_shards(samples.select("shard", "key", "payload").repartition("shard").sortWithinPartitions("shard", "key"), path, split, mode)
+
+
+def write_dealt_tar_shards(samples: DataFrame, path: str, split: str = "train", mode: str = "append") -> None:
+    """As write_tar_shards(), of samples of which each shard lies in one task already, in the order of its members: none moves."""
     register_sinks(samples.sparkSession)
-    dealt = samples.select("shard", "key", "payload").repartition("shard").sortWithinPartitions("shard", "key")
-    dealt.write.format("tar_shards").option("split", split).mode(mode).save(path)
+    samples.select("shard", "key", "payload").write.format("tar_shards").option("split", split).mode(mode).save(path)
 
 
 def write_point_clouds(points: DataFrame, path: str, order: str, mode: str = "append") -> None:
